@@ -2,6 +2,7 @@
 
 from retention.functions.scalars import (
     r6,
+    round_half_up,
     nan_to_null,
     tenure_years,
     months_between_ref,
@@ -15,7 +16,7 @@ from retention.functions.scalars import (
 )
 
 __all__ = [
-    "r6", "nan_to_null", "tenure_years", "months_between_ref", "log10p1",
+    "r6", "round_half_up", "nan_to_null", "tenure_years", "months_between_ref", "log10p1",
     "recode_flag", "bool_to_int", "share_label", "nonzero_mean", "hash_bucket",
     "safe_div",
 ]

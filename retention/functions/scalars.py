@@ -34,6 +34,15 @@ def r6(col) -> Column:
     return F.floor(snapped * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
 
 
+def round_half_up(col, digits: int) -> Column:
+    """Round half up to ``digits`` decimals with the same snapping as ``r6``."""
+    c = _c(col)
+    scale = float(10 ** digits)
+    snapped = F.when(F.abs(c) < F.lit(1000000.0),
+                     F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
+    return F.floor(snapped * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
 def nan_to_null(col) -> Column:
     """NaN -> NULL, so avg/max/first skip it as pandas does."""
     c = _c(col)
