@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retention.functions.scalars import hash_bucket
-from retention.session import materialize
+from retention.session import checkpoint_dir, materialize
 
 # Spark caps tree depth at 30; an unbounded depth request maps onto it.
 MAX_DEPTH = 30
@@ -58,6 +58,9 @@ class ForestConfig:
     seed: int = 42
     feature_subset: str = "sqrt"
     max_bins: int = 32
+    # memory for node statistics per pass: more nodes split per pass over the
+    # data means fewer passes for deep trees
+    max_memory_mb: int = 1024
 
 
 def forest_pipeline(features: list[str], cfg: ForestConfig) -> Pipeline:
@@ -67,13 +70,15 @@ def forest_pipeline(features: list[str], cfg: ForestConfig) -> Pipeline:
         featuresCol="features", labelCol="label", numTrees=cfg.num_trees,
         maxDepth=min(cfg.max_depth, MAX_DEPTH), minInstancesPerNode=cfg.min_instances_per_node,
         featureSubsetStrategy=cfg.feature_subset, maxBins=cfg.max_bins, seed=cfg.seed,
-        impurity="gini", bootstrap=True, cacheNodeIds=True, checkpointInterval=10)
+        impurity="gini", bootstrap=True, cacheNodeIds=True, checkpointInterval=10,
+        maxMemoryInMB=cfg.max_memory_mb)
     return Pipeline(stages=[assembler, rf])
 
 
 def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = ForestConfig(),
                label: str = "churn", cut_lineage: bool = True) -> PipelineModel:
     data = with_label(train, label)
+    checkpoint_dir(data.sparkSession)  # node-id cache checkpoints need a shared folder
     if cut_lineage:
         data = materialize(data.select("id", "label", *features), "forest-train")
     return forest_pipeline(features, cfg).fit(data)

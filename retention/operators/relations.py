@@ -17,29 +17,71 @@ def rate_by(df: DataFrame, dim: str, label: str = "churn", descending: bool = Tr
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form (col_a, col_b, corr).
 
-    One pass over ``df``: for every unordered pair, covar_pop over rows where
-    both are non-null and the two variances over the same rows (masking one
-    side by the other's nulls). A pair with zero variance gives NULL (pandas
-    NaN) instead of the DIVIDE_BY_ZERO that ANSI mode raises in ``corr``.
-    Both orders of each pair are emitted, the diagonal included.
-    The one-row aggregate is exploded inside Spark; nothing is collected.
+    Two passes, each spread over all partitions:
+
+    1. per-column means, minima and maxima (3k aggregates); means are shifts so the sums below are
+       sums of deviations (no cancellation for large-valued columns);
+    2. ``mapInPandas``: every partition turns its rows into a (rows x k)
+       matrix and emits, per column pair, the count of rows where both are
+       non-null, the masked sums of each side, the masked sums of squares and
+       the sum of products -- k*k small rows per partition. Spark sums them
+       per pair (map-side partial sums, one exchange of k*k rows per task).
+
+    corr = cov / sqrt(var_a * var_b) over the pair's common rows; a pair with
+    zero variance gives NULL (pandas NaN). Both orders and the diagonal are
+    emitted. No pair of input rows is ever formed.
     """
     cols = list(cols)
-    quoted = {c: F.col(f"`{c}`").cast("double") for c in cols}
-    structs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            xa, xb = quoted[a], quoted[b]
-            ma = F.when(xb.isNotNull(), xa)
-            mb = F.when(xa.isNotNull(), xb)
-            cov = F.covar_pop(xa, xb)
-            var_prod = F.var_pop(ma) * F.var_pop(mb)
-            r = F.try_divide(cov, F.sqrt(var_prod))
-            structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("corr")))
-    upper = df.agg(F.array(*structs).alias("_c")).select(F.inline("_c"))
-    lower = upper.filter(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    return upper.unionByName(lower)
+    k = len(cols)
+    x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    first = x.agg(*[F.avg(f"c{i}").alias(f"m{i}") for i in range(k)],
+                  *[F.min(f"c{i}").alias(f"lo{i}") for i in range(k)],
+                  *[F.max(f"c{i}").alias(f"hi{i}") for i in range(k)]).first()
+    shift = [float(first[f"m{i}"]) if first[f"m{i}"] is not None else 0.0 for i in range(k)]
+    # a column with a single distinct value has zero variance: its pairs are NULL
+    constant = [c for i, c in enumerate(cols) if first[f"lo{i}"] is None or first[f"lo{i}"] == first[f"hi{i}"]]
+    names = list(cols)
+
+    def comoments(batches):
+        import numpy as np
+        import pandas as pd
+        n = np.zeros((k, k))
+        s = np.zeros((k, k))
+        ss = np.zeros((k, k))
+        p = np.zeros((k, k))
+        seen = False
+        for pdf in batches:
+            a = pdf.to_numpy(dtype="float64", na_value=np.nan) - np.asarray(shift)
+            m = (~np.isnan(a)).astype("float64")
+            a0 = np.where(m > 0, a, 0.0)
+            n += m.T @ m
+            s += a0.T @ m
+            ss += (a0 * a0).T @ m
+            p += a0.T @ a0
+            seen = True
+        if not seen:
+            return
+        ia, ib = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
+        yield pd.DataFrame({
+            "col_a": np.asarray(names, dtype=object)[ia.ravel()],
+            "col_b": np.asarray(names, dtype=object)[ib.ravel()],
+            "n": n.ravel(), "sa": s.ravel(), "sb": s.T.ravel(),
+            "saa": ss.ravel(), "sbb": ss.T.ravel(), "sab": p.ravel(),
+        })
+
+    schema = "col_a string, col_b string, n double, sa double, sb double, saa double, sbb double, sab double"
+    parts = x.mapInPandas(comoments, schema)
+    tot = parts.groupBy("col_a", "col_b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    n = F.col("n")
+    ma, mb = F.col("sa") / n, F.col("sb") / n
+    cov = F.col("sab") / n - ma * mb
+    var_a = F.col("saa") / n - ma * ma
+    var_b = F.col("sbb") / n - mb * mb
+    prod = var_a * var_b
+    corr = F.when((n > 0) & (prod > 0), cov / F.sqrt(prod))
+    if constant:
+        corr = F.when(~(F.col("col_a").isin(constant) | F.col("col_b").isin(constant)), corr)
+    return tot.select("col_a", "col_b", corr.alias("corr"))
 
 
 def correlated_pairs(corr_long: DataFrame, threshold: float = 0.9) -> DataFrame:

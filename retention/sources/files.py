@@ -38,7 +38,7 @@ def parse_dates(df: DataFrame, cols: list[str], fmt: str | None = "yyyy-MM-dd")
     """String -> date; a value that does not parse becomes NULL (use
     ``date_rejects`` to count them) instead of failing the job."""
     def parse(c):
-        return F.try_to_date(F.col(c), F.lit(fmt)) if fmt else F.try_to_date(F.col(c))
+        return F.try_to_date(F.col(c), fmt) if fmt else F.try_to_date(F.col(c))
     return df.withColumns({c: parse(c) for c in cols})
 
 

@@ -35,7 +35,7 @@ def price_view(spark: SparkSession, sf_dir: str, with_tiebreak: bool = False) ->
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
     cols = [
         F.col("o_custkey").alias("id"),
-        F.date_trunc("month", F.col("o_orderdate")).cast("date").alias("price_date"),
+        F.trunc(F.col("o_orderdate").cast("date"), "month").alias("price_date"),
         F.col("l_discount").alias("price_off_peak_var"),
         F.col("l_tax").alias("price_peak_var"),
         (F.col("l_discount") * F.col("l_tax")).alias("price_mid_peak_var"),
