@@ -1,0 +1,11 @@
+"""Incremental execution of the batch operators with Structured Streaming.
+
+The reference has no streaming operators. Because every operator here is a
+plain DataFrame function, the per-client price aggregates and the fitted
+scoring pipeline also run on streaming inputs; this package only wires
+sources, output modes and checkpoints.
+"""
+
+from retention.streaming.incremental import price_means_stream, score_stream, start_query
+
+__all__ = ["price_means_stream", "score_stream", "start_query"]

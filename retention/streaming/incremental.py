@@ -1,0 +1,44 @@
+"""Streaming wrappers around the batch operators."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from retention.config import DEFAULT, Params
+from retention.operators import prices as P
+from retention.operators import model as M
+from retention.session import checkpoint_dir
+
+
+def price_means_stream(spark: SparkSession, price_dir: str, schema: T.StructType,
+                       params: Params = DEFAULT, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A1-A3 over a growing folder of price files (Parquet).
+
+    ``window_means`` is one ``groupBy('id')`` of algebraic aggregates, so the
+    state store keeps one small row per client (sums and counts per window)
+    and each micro-batch updates only the clients it touches. Clients with
+    rows in some windows only are kept (emitting them is the caller's choice),
+    because a later batch may fill the missing windows.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return P.window_means(reader.parquet(price_dir), params, keep_all_windows=False)
+
+
+def score_stream(model: PipelineModel, clients: DataFrame, label: str = "churn") -> DataFrame:
+    """M5/M6 on a stream of client feature rows with a fitted pipeline."""
+    return M.score(model, clients, label=label)
+
+
+def start_query(df: DataFrame, name: str, sink: str = "memory", output_mode: str = "update",
+                path: str | None = None):
+    """Start a streaming query with its checkpoint under the shared checkpoint folder."""
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    w = (df.writeStream.queryName(name).outputMode(output_mode)
+         .option("checkpointLocation", f"{base}/stream-{name}"))
+    if sink == "memory":
+        return w.format("memory").start()
+    return w.format(sink).option("path", path).start()

@@ -1,0 +1,35 @@
+"""Streaming run of the window means equals the batch operator."""
+
+import tempfile
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from retention.config import DEFAULT
+from retention.operators import prices as P
+from retention.sources.views import price_view
+from retention.streaming import price_means_stream, start_query
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_equals_batch(spark):
+    price = price_view(spark, SF)
+    d = tempfile.mkdtemp(prefix="retention-stream-")
+    # two arrival batches split by date
+    price.filter(F.col("price_date") < "1999-01-01").write.parquet(d + "/in/part=a")
+    price.filter(F.col("price_date") >= "1999-01-01").write.parquet(d + "/in/part=b")
+    schema = price.schema
+    name = "means_" + uuid.uuid4().hex[:8]
+    stream = price_means_stream(spark, d + "/in/*", schema, DEFAULT, max_files_per_trigger=1)
+    q = start_query(stream, name, output_mode="complete")
+    q.processAllAvailable()
+    q.stop()
+    got = {r["id"]: r for r in spark.sql(f"select * from {name}").collect()}
+    want = {r["id"]: r for r in P.window_means(price, DEFAULT, keep_all_windows=False).collect()}
+    assert set(got) == set(want)
+    for i in want:
+        for k in want[i].asDict():
+            a, b = got[i][k], want[i][k]
+            assert (a is None and b is None) or a == pytest.approx(b), (i, k)
