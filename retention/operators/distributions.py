@@ -97,23 +97,24 @@ def box_stats(df: DataFrame, cols: list[str], by: str | None = "churn", whisker:
               exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Box-plot statistics of each column per class.
 
-    Quartiles per (column, class), then whiskers (the most extreme values
-    inside [q1 - 1.5 iqr, q3 + 1.5 iqr]) and the outlier count by joining the
-    rows back to their group's quartiles. The quartile table has one row per
-    (column, class); AQE broadcasts it at run time when it is small.
+    Pass 1: quartiles per (column, class). Pass 2: the rows are joined to
+    their group's statistics (one row per (column, class); AQE broadcasts it
+    at run time when small) and aggregated once more for the whiskers (the
+    most extreme values inside [q1 - 1.5 iqr, q3 + 1.5 iqr]) and the outlier
+    count; the quartiles ride along, so the statistics are used once.
     """
     keep = [by] if by else []
     long, stats = _quartile_stats(df, cols, by, exact, accuracy)
     iqr = F.col("q3") - F.col("q1")
-    fences = stats.select("column_name", *keep, (F.col("q1") - F.lit(whisker) * iqr).alias("_lo"),
+    fences = stats.select("*", (F.col("q1") - F.lit(whisker) * iqr).alias("_lo"),
                           (F.col("q3") + F.lit(whisker) * iqr).alias("_hi"))
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
-    whiskers = long.join(fences, ["column_name", *keep], "inner").groupBy("column_name", *keep).agg(
+    carried = ["n", "min", "q1", "median", "q3", "max"]
+    return long.join(fences, ["column_name", *keep], "inner").groupBy("column_name", *keep).agg(
+        *[F.first(c).alias(c) for c in carried],
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"))
-    return stats.join(whiskers, ["column_name", *keep], "inner").select(
-        "column_name", *keep, "n", "min", "q1", "median", "q3", "max", "whisker_low", "whisker_high", "n_outliers")
 
 
 def density(df: DataFrame, col: str, max_bins: int = 50, grid: int = 200, cut: float = 3.0,

@@ -33,10 +33,12 @@ PREMODEL_KEEP = [
 ]
 
 
-def churn_data(client: DataFrame, price: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def churn_data(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
+               means: DataFrame | None = None) -> DataFrame:
     """EDA:421-460: client columns, the 27 window means, churn last; only ids
-    with prices in all three windows (the reference's inner joins)."""
-    means = P.window_means(price, params)
+    with prices in all three windows (the reference's inner joins).
+    ``means`` may be passed when the caller already built ``window_means``."""
+    means = means if means is not None else P.window_means(price, params)
     client_cols = [c for c in client.columns if c != "churn"]
     joined = client.join(means, "id", "inner")
     return joined.select(*[F.col(c) for c in client_cols], *[F.col(c) for c in P.window_mean_columns()],
@@ -86,8 +88,9 @@ def premodel(client: DataFrame, price_tb: DataFrame, params: Params = DEFAULT,
     """RF:43-344: narrowed client + AVG_VARIABLE/AVG_FIXED (zero when a client
     has no prices) + dummies + endpoint delta (inner), ``churn`` last, rows
     with a NULL label dropped."""
-    block = P.half_year_block(price_tb, client, params)
-    df = client.join(block, "id", "left")
+    block = P.half_year_block(price_tb, None, params)
+    df = client.join(block, "id", "left").withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0.0)) for c in P.HALF_YEAR_COLUMNS})
     df = select_columns(df, PREMODEL_KEEP)
     origin_levels = origin_levels or fit_one_hot(client, "origin_up", "origin_up")
     channel_levels = channel_levels or fit_one_hot(client, "channel_sales", "channel_sales")

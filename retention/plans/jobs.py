@@ -31,6 +31,7 @@ from retention.operators import prices as P
 from retention.operators import profile as PR
 from retention.operators import relations as R
 from retention.plans import features as FT
+from retention.session import materialize
 from retention.sources import files as S
 from retention.sources.schemas import PRICE_COLUMNS
 from retention.sources.views import PRICE_TIEBREAK, account_view, price_view
@@ -63,13 +64,21 @@ def _write(tables: dict, names: list[str], out_dir: str | None) -> None:
         S.write_table(tables[n], f"{out_dir.rstrip('/')}/{n}")
 
 
+def _cut(client: DataFrame, enabled: bool) -> DataFrame:
+    """The client table (one row per client) feeds a dozen summaries: write it
+    once to the shared checkpoint folder instead of recomputing its plan."""
+    return materialize(client, "client") if enabled else client
+
+
 def exploration_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
-                    out_dir: str | None = None) -> dict[str, DataFrame]:
+                    out_dir: str | None = None, cut_client: bool = True) -> dict[str, DataFrame]:
+    client = _cut(client, cut_client)
     price = price.select("id", "price_date", *PRICE_COLUMNS)
     numeric = PR.numeric_columns(client, exclude=("id",))
-    churn_data = FT.churn_data(client, price, params)
+    means = P.window_means(price, params)
+    churn_data = FT.churn_data(client, price, params, means=means)
     corr_cols = P.window_mean_columns() + ["churn"]
-    price_churn = P.window_means(price, params).join(client.select("id", "churn"), "id", "inner")
+    price_churn = means.join(client.select("id", "churn"), "id", "inner")
     corr = R.correlation(price_churn, corr_cols)
     tables = {
         "info_client": PR.info(client),
@@ -97,7 +106,8 @@ def exploration_job(client: DataFrame, price: DataFrame, params: Params = DEFAUL
 
 
 def feature_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT, out_dir: str | None = None,
-                num_trees: int = 1000) -> dict[str, DataFrame]:
+                num_trees: int = 1000, cut_client: bool = True) -> dict[str, DataFrame]:
+    client = _cut(client, cut_client)
     price = price.select("id", "price_date", *PRICE_COLUMNS)
     ft = FT.feature_table(client, price, params)
     ft_with_dates = FT.add_date_features(client)
@@ -130,7 +140,9 @@ def feature_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT, o
 
 
 def tuned_job(client: DataFrame, price: DataFrame, order_cols: list[str], params: Params = DEFAULT,
-              out_dir: str | None = None, grid: dict | None = None, folds: int = 5) -> dict[str, DataFrame]:
+              out_dir: str | None = None, grid: dict | None = None, folds: int = 5,
+              cut_client: bool = True) -> dict[str, DataFrame]:
+    client = _cut(client, cut_client)
     pm = FT.premodel(client, price.select("id", "price_date", *order_cols, *PRICE_COLUMNS), params)
     if out_dir:
         S.write_table(pm, f"{out_dir.rstrip('/')}/premodel")
