@@ -94,17 +94,45 @@ def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool,
 
 
 def box_stats(df: DataFrame, cols: list[str], by: str | None = "churn", whisker: float = 1.5,
-              exact: bool = True, accuracy: int = 10000) -> DataFrame:
+              exact: bool = True, accuracy: int = 10000, max_inline_groups: int = 10000) -> DataFrame:
     """Box-plot statistics of each column per class.
 
-    Pass 1: quartiles per (column, class). Pass 2: the rows are joined to
-    their group's statistics (one row per (column, class); AQE broadcasts it
-    at run time when small) and aggregated once more for the whiskers (the
-    most extreme values inside [q1 - 1.5 iqr, q3 + 1.5 iqr]) and the outlier
-    count; the quartiles ride along, so the statistics are used once.
+    Pass 1: quartiles per (column, class). Pass 2: whiskers (the most extreme
+    values inside [q1 - 1.5 iqr, q3 + 1.5 iqr]) and the outlier count.
+
+    The pass-1 table has one row per (column, class) -- a handful of keys, so
+    joining the rows to it on that key would send each group to one task.
+    Instead it is collected (after checking it has at most
+    ``max_inline_groups`` rows) and its fences become literal map lookups in
+    pass 2, which then aggregates with map-side partials like any groupBy.
+    Beyond the bound the plain join is used (AQE may still broadcast it).
     """
     keep = [by] if by else []
     long, stats = _quartile_stats(df, cols, by, exact, accuracy)
+    rows = stats.limit(max_inline_groups + 1).collect()
+    if len(rows) > max_inline_groups:
+        return _box_stats_join(long, stats, keep, whisker)
+    key = F.concat_ws("\u0001", F.col("column_name"), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keep])
+
+    def key_of(r):
+        parts = [r["column_name"]] + ["" if r[k] is None else str(r[k]) for k in keep]
+        return "\u0001".join(parts)
+
+    lo = {key_of(r): r["q1"] - whisker * (r["q3"] - r["q1"]) for r in rows}
+    hi = {key_of(r): r["q3"] + whisker * (r["q3"] - r["q1"]) for r in rows}
+    v = F.col("value")
+    inside = (v >= _lookup(lo, key)) & (v <= _lookup(hi, key))
+    whiskers = long.groupBy("column_name", *keep).agg(
+        F.min(F.when(inside, v)).alias("whisker_low"),
+        F.max(F.when(inside, v)).alias("whisker_high"),
+        F.count_if(~inside).alias("n_outliers"))
+    spark = df.sparkSession
+    stat_df = spark.createDataFrame(rows, stats.schema)
+    return stat_df.join(whiskers, ["column_name", *keep], "inner").select(
+        "column_name", *keep, "n", "min", "q1", "median", "q3", "max", "whisker_low", "whisker_high", "n_outliers")
+
+
+def _box_stats_join(long: DataFrame, stats: DataFrame, keep: list[str], whisker: float) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     fences = stats.select("*", (F.col("q1") - F.lit(whisker) * iqr).alias("_lo"),
                           (F.col("q3") + F.lit(whisker) * iqr).alias("_hi"))
