@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retention.functions.scalars import round_half_up
+from retention.operators.quantiles import exact_quantiles, quantile_table
 
 
 def class_share(df: DataFrame, label: str = "churn", key: str = "id") -> DataFrame:
@@ -85,12 +86,16 @@ def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool,
     keep = [by] if by else []
     long = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         keep, cols, "column_name", "value").filter(F.col("value").isNotNull())
-    q = (F.percentile(F.col("value"), [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy))
-    stats = long.groupBy("column_name", *keep).agg(q.alias("_q"), F.count(F.lit(1)).alias("n"),
-                                              F.min("value").alias("min"), F.max("value").alias("max"))
-    return long, stats.select("column_name", *keep, "n", "min", "max", F.col("_q")[0].alias("q1"),
-                              F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    base = [F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max")]
+    if exact:
+        stats = long.groupBy("column_name", *keep).agg(*base)
+        qs = quantile_table(long, ["column_name", *keep], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+        stats = stats.join(qs, ["column_name", *keep], "left")
+    else:
+        q = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
+        stats = long.groupBy("column_name", *keep).agg(q.alias("_q"), *base).select(
+            "*", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    return long, stats.select("column_name", *keep, "n", "min", "max", "q1", "median", "q3")
 
 
 def box_stats(df: DataFrame, cols: list[str], by: str | None = "churn", whisker: float = 1.5,
@@ -156,14 +161,17 @@ def density(df: DataFrame, col: str, max_bins: int = 50, grid: int = 200, cut: f
     map-side partial sums. Work is O(distinct values x grid), spread over tasks.
     """
     v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    q = (F.percentile("v", [0.25, 0.75]) if exact else F.percentile_approx("v", [0.25, 0.75], accuracy))
-    s = v.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-              F.stddev_samp("v").alias("sd"), q.alias("q")).first()
+    aggs = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+            F.stddev_samp("v").alias("sd")]
+    if not exact:
+        aggs.append(F.percentile_approx("v", [0.25, 0.75], accuracy).alias("q"))
+    s = v.agg(*aggs).first()
     n, lo, hi, sd = s["n"], s["lo"], s["hi"], s["sd"]
     if not n:
         empty_h = v.limit(0).select(F.lit(0).alias("bin"))
         return empty_h, empty_h
-    iqr = s["q"][1] - s["q"][0]
+    quart = exact_quantiles(v, [], "v", [0.25, 0.75])[""] if exact else s["q"]
+    iqr = quart[1] - quart[0]
     width_fd = 2.0 * iqr * n ** (-1.0 / 3.0)
     if width_fd > 0 and hi > lo:
         nbins = min(max_bins, max(1, int(math.ceil((hi - lo) / width_fd))))

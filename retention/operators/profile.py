@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retention.operators.quantiles import quantile_table
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -45,28 +47,25 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
 
     The table is unpivoted to (column, value) and grouped by column, so columns
     are spread over tasks and every aggregate is merged from map-side partials.
-    ``exact=True`` interpolates quartiles linearly (pandas' rule) from a value
-    frequency map; ``exact=False`` uses the bounded-memory quantile sketch of
-    ``percentile_approx`` (relative rank error 1/accuracy) for very large tables.
+    ``exact=True`` interpolates quartiles linearly (pandas' rule) with the
+    distributed selection of ``quantiles.exact_quantiles`` (no column is ever
+    held in one task); ``exact=False`` uses the bounded-memory sketch of
+    ``percentile_approx`` (rank error 1/accuracy) in the same single pass.
     """
     cols = cols or numeric_columns(df)
     long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value")
+    base = [F.count("value").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
     if exact:
-        q = F.percentile(F.col("value"), [0.25, 0.5, 0.75])
+        stats = long.groupBy("column_name").agg(*base)
+        qs = quantile_table(long, ["column_name"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+        stats = stats.join(qs, "column_name", "left")
     else:
         q = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
-    stats = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        q.alias("_q"),
-        F.max("value").alias("max"),
-    )
-    return stats.select(
-        "column_name", "count", "mean", "std", "min",
-        F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+        stats = long.groupBy("column_name").agg(*base, q.alias("_q")).select(
+            "*", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"))
+    return stats.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
