@@ -19,6 +19,12 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def r6_sql(x: str) -> str:
+    """Spark SQL text of ``r6`` applied to the SQL expression ``x``."""
+    snapped = f"(CASE WHEN abs({x}) < 1000000.0D THEN floor(({x}) * 1.0E9D + 0.5D) / 1.0E9D ELSE ({x}) END)"
+    return f"(floor({snapped} * 1000000.0D + 0.5D) / 1000000.0D)"
+
+
 def r6(col) -> Column:
     """Round half up to 6 decimals, identically in any IEEE-754 SQL engine.
 
@@ -27,8 +33,11 @@ def r6(col) -> Column:
     is exactly ``d.dddddd5`` is therefore rounded the same way everywhere.
     Step 2 is floor(x*1e6 + 0.5)/1e6. Both steps are plain IEEE arithmetic
     (an SQL oracle applies the same formula); step 2 also folds -0.0 into 0.0.
+    A string argument is taken as an SQL expression (one JVM call).
     """
-    c = _c(col)
+    if isinstance(col, str):
+        return F.expr(r6_sql(col))
+    c = col
     snapped = F.when(F.abs(c) < F.lit(1000000.0),
                      F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
     return F.floor(snapped * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retention.functions.scalars import round_half_up
-from retention.operators.quantiles import exact_quantiles, quantile_table
+from retention.operators.quantiles import SEP, exact_quantiles
 
 
 def class_share(df: DataFrame, label: str = "churn", key: str = "id") -> DataFrame:
@@ -82,72 +82,72 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 50, by: str | None = N
                          (lo + (F.col("bin") + 1) * width).alias("bin_hi"))
 
 
-def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool, accuracy: int) -> DataFrame:
+MAX_GROUPS = 100_000
+
+
+def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool, accuracy: int):
+    """Unpivoted rows and the per-(column, class) statistics as local rows
+    (one row per group: n, min, max, q1, median, q3)."""
     keep = [by] if by else []
     long = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         keep, cols, "column_name", "value").filter(F.col("value").isNotNull())
     base = [F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max")]
+    names = ["column_name", *keep, "n", "min", "max", "q1", "median", "q3"]
     if exact:
-        stats = long.groupBy("column_name", *keep).agg(*base)
-        qs = quantile_table(long, ["column_name", *keep], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-        stats = stats.join(qs, ["column_name", *keep], "left")
-    else:
-        q = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
-        stats = long.groupBy("column_name", *keep).agg(q.alias("_q"), *base).select(
-            "*", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    return long, stats.select("column_name", *keep, "n", "min", "max", "q1", "median", "q3")
+        rows = long.groupBy("column_name", *keep).agg(*base).limit(MAX_GROUPS + 1).collect()
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} (column, class) groups: not a box plot")
+        qs = exact_quantiles(long, ["column_name", *keep], "value", [0.25, 0.5, 0.75],
+                             base=[{**r.asDict(), "_n": r["n"], "_lo": r["min"], "_hi": r["max"]} for r in rows])
+        keys = ["column_name", *keep]
+        out = []
+        for r in rows:
+            q = qs.get(SEP.join("" if r[k] is None else str(r[k]) for k in keys), [None, None, None])
+            out.append({**{k: r[k] for k in keys}, "n": r["n"], "min": r["min"], "max": r["max"],
+                        "q1": q[0], "median": q[1], "q3": q[2]})
+        return long, out
+    q = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
+    stats = long.groupBy("column_name", *keep).agg(q.alias("_q"), *base).select(
+        "*", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    return long, [r.asDict() for r in stats.select(*names).collect()]
 
 
 def box_stats(df: DataFrame, cols: list[str], by: str | None = "churn", whisker: float = 1.5,
-              exact: bool = True, accuracy: int = 10000, max_inline_groups: int = 10000) -> DataFrame:
+              exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Box-plot statistics of each column per class.
 
-    Pass 1: quartiles per (column, class). Pass 2: whiskers (the most extreme
-    values inside [q1 - 1.5 iqr, q3 + 1.5 iqr]) and the outlier count.
+    Pass 1: n, min and max per (column, class); then the exact quartiles
+    (``quantiles.exact_quantiles``, reusing pass 1); pass 2: whiskers (the most
+    extreme values inside [q1 - 1.5 iqr, q3 + 1.5 iqr]) and the outlier count.
 
-    The pass-1 table has one row per (column, class) -- a handful of keys, so
-    joining the rows to it on that key would send each group to one task.
-    Instead it is collected (after checking it has at most
-    ``max_inline_groups`` rows) and its fences become literal map lookups in
-    pass 2, which then aggregates with map-side partials like any groupBy.
-    Beyond the bound the plain join is used (AQE may still broadcast it).
+    The statistics have one row per (column, class) and are held as local rows
+    (their number is checked, ``MAX_GROUPS``), so they are broadcast to the
+    rows: joining on a handful of keys with a shuffle would send each group to
+    one task. Pass 2 then aggregates with map-side partials like any groupBy.
     """
     keep = [by] if by else []
-    long, stats = _quartile_stats(df, cols, by, exact, accuracy)
-    rows = stats.limit(max_inline_groups + 1).collect()
-    if len(rows) > max_inline_groups:
-        return _box_stats_join(long, stats, keep, whisker)
-    key = F.concat_ws("\u0001", F.col("column_name"), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keep])
-
-    def key_of(r):
-        parts = [r["column_name"]] + ["" if r[k] is None else str(r[k]) for k in keep]
-        return "\u0001".join(parts)
-
-    lo = {key_of(r): r["q1"] - whisker * (r["q3"] - r["q1"]) for r in rows}
-    hi = {key_of(r): r["q3"] + whisker * (r["q3"] - r["q1"]) for r in rows}
+    long, rows = _quartile_stats(df, cols, by, exact, accuracy)
+    spark = df.sparkSession
+    by_type = dict(df.dtypes).get(by, "string") if by else None
+    names = ["column_name", *keep, "n", "min", "q1", "median", "q3", "max"]
+    types = ["string"] + ([by_type] if by else []) + ["bigint"] + ["double"] * 5
+    fence_rows = []
+    for r in rows:
+        iqr = None if r["q1"] is None else r["q3"] - r["q1"]
+        fence_rows.append(tuple(r[c] for c in names)
+                          + ((None, None) if iqr is None else (r["q1"] - whisker * iqr, r["q3"] + whisker * iqr)))
+    schema = ", ".join([f"`_s_{n}` {t}" for n, t in zip(names, types)] + ["_lo double", "_hi double"])
+    fences = F.broadcast(spark.createDataFrame(fence_rows, schema))
+    cond = F.col("column_name") == F.col("_s_column_name")
+    for k in keep:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
     v = F.col("value")
-    inside = (v >= _lookup(lo, key)) & (v <= _lookup(hi, key))
-    whiskers = long.groupBy("column_name", *keep).agg(
+    inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
+    return long.join(fences, cond, "inner").groupBy("column_name", *keep).agg(
+        *[F.first(f"_s_{c}").alias(c) for c in ["n", "min", "q1", "median", "q3", "max"]],
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"))
-    spark = df.sparkSession
-    stat_df = spark.createDataFrame(rows, stats.schema)
-    return stat_df.join(whiskers, ["column_name", *keep], "inner").select(
-        "column_name", *keep, "n", "min", "q1", "median", "q3", "max", "whisker_low", "whisker_high", "n_outliers")
-
-
-def _box_stats_join(long: DataFrame, stats: DataFrame, keep: list[str], whisker: float) -> DataFrame:
-    iqr = F.col("q3") - F.col("q1")
-    fences = stats.select("*", (F.col("q1") - F.lit(whisker) * iqr).alias("_lo"),
-                          (F.col("q3") + F.lit(whisker) * iqr).alias("_hi"))
-    inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
-    carried = ["n", "min", "q1", "median", "q3", "max"]
-    return long.join(fences, ["column_name", *keep], "inner").groupBy("column_name", *keep).agg(
-        *[F.first(c).alias(c) for c in carried],
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"))
 
 
 def density(df: DataFrame, col: str, max_bins: int = 50, grid: int = 200, cut: float = 3.0,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retention.operators.quantiles import quantile_table
+from retention.operators.quantiles import exact_quantiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -57,15 +57,25 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
         [], cols, "column_name", "value")
     base = [F.count("value").alias("count"), F.avg("value").alias("mean"),
             F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
+    names = ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     if exact:
-        stats = long.groupBy("column_name").agg(*base)
-        qs = quantile_table(long, ["column_name"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-        stats = stats.join(qs, "column_name", "left")
-    else:
-        q = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
-        stats = long.groupBy("column_name").agg(*base, q.alias("_q")).select(
-            "*", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"))
-    return stats.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+        # one pass for the moments (one row per column, kept on the driver),
+        # one selection pass for the quartiles, which reuses count/min/max
+        rows = long.groupBy("column_name").agg(*base).collect()
+        qs = exact_quantiles(long, ["column_name"], "value", [0.25, 0.5, 0.75],
+                             base=[{"column_name": r["column_name"], "_n": r["count"], "_lo": r["min"],
+                                    "_hi": r["max"]} for r in rows])
+        out = []
+        for r in rows:
+            q = qs.get(r["column_name"], [None, None, None])
+            out.append((r["column_name"], r["count"], r["mean"], r["std"], r["min"], q[0], q[1], q[2], r["max"]))
+        schema = ("column_name string, count bigint, mean double, std double, min double, p25 double, "
+                  "p50 double, p75 double, max double")
+        return df.sparkSession.createDataFrame(out, schema)
+    q = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
+    stats = long.groupBy("column_name").agg(*base, q.alias("_q")).select(
+        "*", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"))
+    return stats.select(*names)
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -1,203 +1,193 @@
 """Exact quantiles (linear interpolation, pandas' rule) without holding a
 group in one task.
 
-For each group and probability p the value at 0-based ranks
-r0 = floor(p (n - 1)) and r1 = min(r0 + 1, n - 1) is needed. The search
+For each group and probability p the values at 0-based ranks
+r0 = floor(p (n - 1)) and r1 = min(r0 + 1, n - 1) are needed. The search
 keeps, per (group, p), a value bracket [lo, hi] known to contain both ranks
 and the exact number of values below it:
 
-1. one aggregation pass over the rows inside the brackets counts them and
-   (only if a bracket is still large) asks ``percentile_approx`` for the
-   bracket's own quantiles around the target, which narrows it; repeat;
-2. once every bracket holds at most ``max_bracket`` rows, the rows inside
-   are grouped to (value, count), ranked with a window partitioned by
-   (group, p) -- a partition is at most one bracket -- and the two target
-   values are read off.
-
-Each pass is a groupBy with map-side partial aggregation; only per-group
-scalars (groups x probabilities) reach the driver.
+1. while a bracket holds more than ``max_bracket`` rows (1M), one pass asks
+   ``percentile_approx`` for the bracket's own quantiles around the targets
+   and a second pass counts exactly how many values fall below / inside the
+   proposed narrower bracket; it is accepted only if both targets stay inside;
+2. the rows inside the final brackets are grouped to (value, count), ranked
+   with a window partitioned by (group, bracket) -- a partition is at most
+   one bracket -- and the rows holding the target ranks are read off.
+
+Brackets live in a small local table (one row per group and bracket, size
+known on the driver) that is broadcast-joined to the rows; every pass is a
+groupBy with map-side partial aggregation, and only per-group scalars
+(groups x probabilities) reach the driver.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SEP = "\u0001"
 
 
-def _key_col(keys: list[str]) -> Column:
-    if not keys:
-        return F.lit("")
-    return F.concat_ws(SEP, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-
-
 def _key_of(row, keys: list[str]) -> str:
     return SEP.join("" if row[k] is None else str(row[k]) for k in keys)
 
 
-def _lookup(mapping: dict, key: Column, dtype: str) -> Column:
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v).cast(dtype)]
-    if not items:
-        return F.lit(None).cast(dtype)
-    return F.element_at(F.create_map(*items), key)
+def _attach(data: DataFrame, keys: list[str], key_types: dict, entries: list[dict], extra: dict) -> DataFrame:
+    """Rows of ``data`` paired with each bracket of their group that holds
+    their value. ``entries`` are dicts with the key values, ``_pi``, ``_blo``,
+    ``_bhi`` and the ``extra`` columns (name -> SQL type)."""
+    spark = data.sparkSession
+    cols = [(f"_k{i}", key_types[k]) for i, k in enumerate(keys)] + [
+        ("_pi", "int"), ("_blo", "double"), ("_bhi", "double")] + list(extra.items())
+    schema = ", ".join(f"{n} {t}" for n, t in cols)
+    rows = [tuple([e["keys"][i] for i in range(len(keys))] + [e["_pi"], e["_blo"], e["_bhi"]]
+                  + [e.get(n) for n in extra]) for e in entries]
+    inside = (F.col("_v") >= F.col("_blo")) & (F.col("_v") <= F.col("_bhi"))
+    if keys:
+        table = spark.createDataFrame(rows, schema)
+        cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+        joined = data.join(F.broadcast(table), cond, "inner")
+    else:
+        # a single group: the brackets are a few literal structs, exploded per row
+        structs = [F.struct(*[F.lit(r[j]).cast(t).alias(n) for j, (n, t) in enumerate(cols)]) for r in rows]
+        joined = data.select("*", F.explode(F.array(*structs)).alias("_b")).select(
+            *data.columns, *[F.col(f"_b.{n}").alias(n) for n, _ in cols])
+    return joined.filter(inside).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    max_bracket: int = 1_000_000, accuracy: int = 10000, max_rounds: int = 8) -> dict:
-    """Return {group key string: [q(p) for p in probs]} (None for empty groups).
+                    max_bracket: int = 1_000_000, accuracy: int = 10000, max_rounds: int = 8,
+                    base: list | None = None) -> dict:
+    """Return {group key string: [q(p) for p in probs]} for non-empty groups.
 
     ``df`` holds ``keys`` and a numeric ``value`` column; NULL values are ignored.
-    Group key strings join the key values with U+0001 (see ``_key_col``).
+    Group key strings join ``str`` of the key values with U+0001.
+    ``base`` may carry per-group rows (mappings with the key columns, ``_n``,
+    ``_lo``, ``_hi``) that the caller already aggregated, saving one pass.
     """
-    v = F.col(value).cast("double")
-    data = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-    gk = _key_col(keys)
-    base = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                                   F.max("_v").alias("_hi")).collect()
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    key_types = {f.name: f.dataType.simpleString() for f in data.schema.fields if f.name in keys}
+    if base is None:
+        base = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
+                                       F.max("_v").alias("_hi")).collect()
     groups = {}
     for r in base:
-        groups[_key_of(r, keys)] = r
-    P = len(probs)
-    # state per (group, prob index)
+        if r["_n"]:
+            groups[_key_of(r, keys)] = (tuple(r[k] for k in keys), r)
     state = {}
-    for g, r in groups.items():
+    for g, (kv, r) in groups.items():
         n = r["_n"]
         for i, p in enumerate(probs):
             pos = p * (n - 1)
             r0 = int(math.floor(pos))
-            r1 = min(r0 + 1, n - 1)
-            state[(g, i)] = {"lo": r["_lo"], "hi": r["_hi"], "below": 0, "r0": r0, "r1": r1,
-                             "frac": pos - r0, "m": n}
+            state[(g, i)] = {"keys": kv, "lo": float(r["_lo"]), "hi": float(r["_hi"]), "below": 0,
+                             "r0": r0, "r1": min(r0 + 1, n - 1), "frac": pos - r0, "m": n}
+    if not state:
+        return {}
     for _ in range(max_rounds):
         open_ = {k: s for k, s in state.items() if s["m"] > max_bracket and not s.get("stuck")}
         if not open_:
             break
-        _narrow(data, keys, gk, open_, accuracy)
-    return _finish(data, keys, gk, state, probs, groups)
-
-
-def _bracket_index(gk: Column, state: dict, P: int) -> Column:
-    """Array of prob indices whose bracket contains the row's value."""
-    lo = {f"{g}{SEP}{i}": s["lo"] for (g, i), s in state.items()}
-    hi = {f"{g}{SEP}{i}": s["hi"] for (g, i), s in state.items()}
-    idx = F.array(*[F.lit(i) for i in range(P)])
+        _narrow(data, keys, key_types, open_, accuracy)
+    return _finish(data, keys, key_types, state, probs)
 
-    def inside(i):
-        k = F.concat_ws(SEP, gk, i.cast("string"))
-        return (F.col("_v") >= _lookup(lo, k, "double")) & (F.col("_v") <= _lookup(hi, k, "double"))
-    return F.filter(idx, inside)
 
-
-def _narrow(data: DataFrame, keys: list[str], gk: Column, open_: dict, accuracy: int) -> None:
-    P = max(i for _, i in open_) + 1
-    rows = data.select(*keys, "_v", F.explode(_bracket_index(gk, open_, P)).alias("_pi"))
-    # relative target positions inside each bracket, with a 3/accuracy margin
-    eps = 3.0 / accuracy
+def _narrow(data: DataFrame, keys: list[str], key_types: dict, open_: dict, accuracy: int) -> None:
+    eps = 3.0 / accuracy  # three times the sketch's rank error
     rel = {}
-    for (g, i), s in open_.items():
-        m = s["m"]
-        a = max(0.0, (s["r0"] - s["below"]) / max(m - 1, 1) - eps)
-        b = min(1.0, (s["r1"] - s["below"]) / max(m - 1, 1) + eps)
-        rel[(g, i)] = (a, b)
-    # percentile_approx needs literal probabilities: ask for a fixed grid fine enough
-    grid = sorted({round(x / accuracy * 3, 12) for x in range(0, accuracy // 3 + 1)} | {1.0})
-    stats = rows.groupBy(*keys, "_pi").agg(F.count(F.lit(1)).alias("_m"),
-                                           F.percentile_approx("_v", grid, accuracy).alias("_q")).collect()
-    for r in stats:
-        key = (_key_of(r, keys), r["_pi"])
-        if key not in open_:
-            continue
-        s = open_[key]
-        a, b = rel[key]
-        q = r["_q"]
-        ia = max(0, int(math.floor(a * (len(grid) - 1))) - 1)
-        ib = min(len(grid) - 1, int(math.ceil(b * (len(grid) - 1))) + 1)
-        new_lo = q[ia] if ia > 0 else s["lo"]
-        new_hi = q[ib] if ib < len(grid) - 1 else s["hi"]
-        s["pending"] = (new_lo, new_hi)
-    # exact counts for the proposed brackets (below and inside)
-    prop = {k: s["pending"] for k, s in open_.items() if "pending" in s}
+    for k, s in open_.items():
+        span = max(s["m"] - 1, 1)
+        rel[k] = (max(0.0, (s["r0"] - s["below"]) / span - eps), min(1.0, (s["r1"] - s["below"]) / span + eps))
+    plist = sorted({x for ab in rel.values() for x in ab})
+    at = {x: j for j, x in enumerate(plist)}
+    entries = [{"keys": s["keys"], "_pi": i, "_blo": s["lo"], "_bhi": s["hi"]} for (g, i), s in open_.items()]
+    rows = _attach(data, keys, key_types, entries, {})
+    sketch = rows.groupBy(*keys, "_pi").agg(F.percentile_approx("_v", plist, accuracy).alias("_q")).collect()
+    prop = {}
+    for r in sketch:
+        k = (_key_of(r, keys), r["_pi"])
+        if k in open_:
+            a, b = rel[k]
+            s = open_[k]
+            prop[k] = (r["_q"][at[a]] if a > 0.0 else s["lo"], r["_q"][at[b]] if b < 1.0 else s["hi"])
     if not prop:
         return
-    P = max(i for _, i in prop) + 1
-    lo_old = {f"{g}{SEP}{i}": open_[(g, i)]["lo"] for (g, i) in prop}
-    hi_old = {f"{g}{SEP}{i}": open_[(g, i)]["hi"] for (g, i) in prop}
-    lo_new = {f"{g}{SEP}{i}": v[0] for (g, i), v in prop.items()}
-    hi_new = {f"{g}{SEP}{i}": v[1] for (g, i), v in prop.items()}
-    exploded = data.select(*keys, "_v", F.explode(F.array(*[F.lit(i) for i in range(P)])).alias("_pi"))
-    k = F.concat_ws(SEP, gk, F.col("_pi").cast("string"))
-    in_old = (F.col("_v") >= _lookup(lo_old, k, "double")) & (F.col("_v") <= _lookup(hi_old, k, "double"))
-    below_new = in_old & (F.col("_v") < _lookup(lo_new, k, "double"))
-    in_new = in_old & (F.col("_v") >= _lookup(lo_new, k, "double")) & (F.col("_v") <= _lookup(hi_new, k, "double"))
-    counts = exploded.groupBy(*keys, "_pi").agg(F.count_if(below_new).alias("_b"),
-                                                F.count_if(in_new).alias("_m")).collect()
+    entries = [{"keys": open_[k]["keys"], "_pi": k[1], "_blo": open_[k]["lo"], "_bhi": open_[k]["hi"],
+                "_nlo": v[0], "_nhi": v[1]} for k, v in prop.items()]
+    rows = _attach(data, keys, key_types, entries, {"_nlo": "double", "_nhi": "double"})
+    counts = rows.groupBy(*keys, "_pi").agg(
+        F.count_if(F.col("_v") < F.col("_nlo")).alias("_b"),
+        F.count_if((F.col("_v") >= F.col("_nlo")) & (F.col("_v") <= F.col("_nhi"))).alias("_m")).collect()
     for r in counts:
-        key = (_key_of(r, keys), r["_pi"])
-        if key not in prop:
+        k = (_key_of(r, keys), r["_pi"])
+        if k not in prop:
             continue
-        s = open_[key]
+        s = open_[k]
         nb = s["below"] + r["_b"]
-        inside = nb <= s["r0"] and s["r1"] < nb + r["_m"]
-        if inside and r["_m"] < s["m"]:  # both targets still inside and the bracket shrank
-            s["lo"], s["hi"] = prop[key]
+        if nb <= s["r0"] and s["r1"] < nb + r["_m"] and r["_m"] < s["m"]:
+            s["lo"], s["hi"] = prop[k]
             s["below"], s["m"] = nb, r["_m"]
-        else:  # no progress (ties, or the sketch missed): keep the exact old bracket
+        else:  # no progress (ties) or the sketch missed: keep the exact old bracket
             s["stuck"] = True
-        s.pop("pending", None)
 
 
-def _finish(data: DataFrame, keys: list[str], gk: Column, state: dict, probs: list[float], groups: dict) -> dict:
-    P = len(probs)
-    rows = data.select(*keys, "_v", F.explode(_bracket_index(gk, state, P)).alias("_pi"))
-    freq = rows.groupBy(*keys, "_pi", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    below = {f"{g}{SEP}{i}": s["below"] for (g, i), s in state.items()}
-    r0 = {f"{g}{SEP}{i}": s["r0"] for (g, i), s in state.items()}
-    r1 = {f"{g}{SEP}{i}": s["r1"] for (g, i), s in state.items()}
-    k = F.concat_ws(SEP, gk, F.col("_pi").cast("string"))
+def _finish(data: DataFrame, keys: list[str], key_types: dict, state: dict, probs: list[float]) -> dict:
+    # identical brackets of one group (e.g. the initial [min, max]) are ranked once
+    bid, sigs = {}, {}
+    for (g, i), s in state.items():
+        sig = (g, s["lo"], s["hi"], s["below"])
+        if sig not in sigs:
+            sigs[sig] = sum(1 for x in sigs if x[0] == g)
+        bid[(g, i)] = sigs[sig]
+    targets = {}
+    for (g, i), s in state.items():
+        targets.setdefault((g, bid[(g, i)]), set()).update({s["r0"], s["r1"]})
+    width = max(len(t) for t in targets.values())
+    keys_of = {g: s["keys"] for (g, _), s in state.items()}
+    entries = []
+    for (g, lo, hi, below), b in sigs.items():
+        ts = sorted(targets[(g, b)])
+        e = {"keys": keys_of[g], "_pi": b, "_blo": lo, "_bhi": hi, "_below": below}
+        for j in range(width):
+            e[f"_t{j}"] = ts[j] if j < len(ts) else None
+        entries.append(e)
+    extra = {"_below": "bigint", **{f"_t{j}": "bigint" for j in range(width)}}
+    rows = _attach(data, keys, key_types, entries, extra)
+    freq = rows.groupBy(*keys, "_pi", "_v", *extra).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys, "_pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = freq.withColumn("_end", _lookup(below, k, "bigint") + F.sum("_c").over(w))
+    ranked = freq.withColumn("_end", F.col("_below") + F.sum("_c").over(w))
     ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
-    t0, t1 = _lookup(r0, k, "bigint"), _lookup(r1, k, "bigint")
-    hit0 = (F.col("_start") <= t0) & (t0 < F.col("_end"))
-    hit1 = (F.col("_start") <= t1) & (t1 < F.col("_end"))
-    picked = ranked.filter(hit0 | hit1).select(*keys, "_pi", "_v", hit0.alias("_h0"), hit1.alias("_h1")).collect()
-    vals = {}
+    hit = reduce(lambda a, b: a | b, [(F.col("_start") <= F.col(f"_t{j}")) & (F.col(f"_t{j}") < F.col("_end"))
+                                      for j in range(width)])
+    picked = ranked.filter(hit).select(*keys, "_pi", "_v", "_start", "_end").collect()
+    found = {}
     for r in picked:
-        key = (_key_of(r, keys), r["_pi"])
-        if r["_h0"]:
-            vals.setdefault(key, {})["v0"] = r["_v"]
-        if r["_h1"]:
-            vals.setdefault(key, {})["v1"] = r["_v"]
+        found.setdefault((_key_of(r, keys), r["_pi"]), []).append((r["_start"], r["_end"], r["_v"]))
+
+    def value_at(g, b, rank):
+        for start, end, v in found.get((g, b), []):
+            if start <= rank < end:
+                return v
+        return None
+
     out = {}
-    for g in groups:
-        qs = []
-        for i in range(P):
-            s = state[(g, i)]
-            got = vals.get((g, i), {})
-            v0, v1 = got.get("v0"), got.get("v1")
-            if v0 is None or v1 is None:
-                qs.append(None)
-            else:
-                qs.append(v0 + (v1 - v0) * s["frac"])
-        out[g] = qs
+    for (g, i), s in state.items():
+        b = bid[(g, i)]
+        v0, v1 = value_at(g, b, s["r0"]), value_at(g, b, s["r1"])
+        out.setdefault(g, [None] * len(probs))[i] = None if v0 is None or v1 is None else v0 + (v1 - v0) * s["frac"]
     return out
 
 
 def quantile_table(df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str],
                    **kw) -> DataFrame:
     """``exact_quantiles`` as a small DataFrame (one row per group)."""
-    res = exact_quantiles(df, keys, value, probs, **kw)
-    spark = df.sparkSession
+    base = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()).groupBy(
+        *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).collect()
+    res = exact_quantiles(df, keys, value, probs, base=base, **kw)
     key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in keys}
-    rows = []
-    for g, qs in res.items():
-        parts = g.split(SEP) if keys else []
-        rows.append(tuple(parts) + tuple(qs))
-    schema = ", ".join([f"`{k}` string" for k in keys] + [f"`{n}` double" for n in names])
-    out = spark.createDataFrame(rows, schema)
-    return out.select(*[F.col(f"`{k}`").cast(key_types[k]).alias(k) for k in keys], *names)
+    rows = [tuple(r[k] for k in keys) + tuple(res[_key_of(r, keys)]) for r in base if r["_n"]]
+    schema = ", ".join([f"`{k}` {key_types[k]}" for k in keys] + [f"`{n}` double" for n in names])
+    return df.sparkSession.createDataFrame(rows, schema)

@@ -34,7 +34,7 @@ def finish(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols.append(r6(F.col(f"`{f.name}`")).alias(f.name))
+            cols.append(r6(f"`{f.name}`").alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
