@@ -16,6 +16,7 @@ from retention.operators import relations as R
 from retention.operators.encode import fit_one_hot
 from retention.plans import features as FT
 from retention.plans.registry import finish, q, r6_sql, register, round_outer
+from retention.session import materialize
 from retention.sources.schemas import PRICE_COLUMNS
 from retention.sources.views import PRICE_TIEBREAK, account_view, price_view, with_views
 
@@ -47,6 +48,13 @@ def _acct(spark, d):
     return account_view(spark, d)
 
 
+def _client_table(spark, d):
+    """The client view written once to the checkpoint folder: operators that
+    make several passes (quantile selection, bounds then counts) re-read a
+    stored table instead of recomputing the order/line aggregates each time."""
+    return materialize(account_view(spark, d), "client")
+
+
 def _price(spark, d):
     return price_view(spark, d)
 
@@ -88,7 +96,7 @@ def _describe_sql(table, cols):
 
 @register("profile_describe_account", lambda: _describe_sql("account", ACCOUNT_NUMERIC))
 def q_describe_account(spark, d):
-    return finish(PR.describe(_acct(spark, d), ACCOUNT_NUMERIC))
+    return finish(PR.describe(_client_table(spark, d), ACCOUNT_NUMERIC))
 
 
 @register("profile_describe_price", lambda: _describe_sql("price", PRICE_COLUMNS))
@@ -247,7 +255,7 @@ def _box_sql(cols):
 
 @register("box_stats", lambda: _box_sql(CONSUMPTION + FORECAST))
 def q_box_stats(spark, d):
-    return finish(D.box_stats(_acct(spark, d), CONSUMPTION + FORECAST, by="churn"))
+    return finish(D.box_stats(_client_table(spark, d), CONSUMPTION + FORECAST, by="churn"))
 
 
 def _hist_sql(table, cols, bins, by=None, where=""):
@@ -269,13 +277,13 @@ def _hist_sql(table, cols, bins, by=None, where=""):
 
 @register("hist_by_churn", lambda: _hist_sql("account", HIST_ALL, DEFAULT.hist_bins, "churn"))
 def q_hist_by_churn(spark, d):
-    return finish(D.histogram(_acct(spark, d), HIST_ALL, DEFAULT.hist_bins, by="churn"))
+    return finish(D.histogram(_client_table(spark, d), HIST_ALL, DEFAULT.hist_bins, by="churn"))
 
 
 @register("hist_gas_by_churn", lambda: _hist_sql("account", ["cons_gas_12m"], DEFAULT.hist_bins, "churn",
                                                   where="WHERE has_gas = 't'"))
 def q_hist_gas(spark, d):
-    a = _acct(spark, d).filter(F.col("has_gas") == "t")
+    a = _client_table(spark, d).filter(F.col("has_gas") == "t")
     return finish(D.histogram(a, ["cons_gas_12m"], DEFAULT.hist_bins, by="churn"))
 
 
@@ -318,7 +326,7 @@ def _density_kde_sql():
 
 
 def _log_cons(spark, d):
-    return _acct(spark, d).select(log10p1(F.col("cons_12m")).alias("cons_12m"))
+    return _client_table(spark, d).select(log10p1(F.col("cons_12m")).alias("cons_12m"))
 
 
 @register("density_hist", _density_hist_sql)
