@@ -34,10 +34,12 @@ def spread(df: DataFrame) -> DataFrame:
     has fewer partitions than ``defaultParallelism`` it is repartitioned; at
     cluster scale (thousands of splits) this is a no-op.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the plan as it is
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def price_view(spark: SparkSession, sf_dir: str, with_tiebreak: bool = False) -> DataFrame:
