@@ -9,6 +9,9 @@ from retention.config import DEFAULT
 from retention.operators import evaluate as EV
 from retention.operators import model as M
 from retention.operators import prices as P
+from retention.operators import profile as PR
+from retention.operators import relations as R
+from retention.session import materialize
 from retention.plans import features as FT
 from retention.plans.price_queries import (
     _endpoint_body,
@@ -23,6 +26,7 @@ from retention.plans.table_queries import (
     CHANNEL_LEVELS,
     ORIGIN_LEVELS,
     TENURE_SQL,
+    _corr_sql,
     _dummy_sql,
     _log_sql,
     _months_sql,
@@ -45,10 +49,11 @@ def q_churn_data(spark, d):
     return finish(FT.churn_data(account_view(spark, d), price_view(spark, d)))
 
 
-def _feature_table_sql():
+def feature_table_sql_parts():
+    """(SQL body, output column names, double columns) of the feature table."""
     dates = set(FT.DATE_COLUMNS)
     drop = set(FT.CORRELATED_DROP)
-    cols = []
+    cols, names = [], []
     for c in CLIENT_NO_CHURN:
         if c in dates or c in drop or c in ("channel_sales", "origin_up"):
             continue
@@ -58,15 +63,24 @@ def _feature_table_sql():
             cols.append("CASE WHEN a.has_gas = 't' THEN 1 WHEN a.has_gas = 'f' THEN 0 END AS has_gas")
         else:
             cols.append(f"a.{c}")
+        names.append(c)
     cols += [f"f.{c}" for c in price_feature_columns()] + ["a.churn"]
+    names += price_feature_columns() + ["churn"]
     cols += [TENURE_SQL.replace("date_", "a.date_") + " AS tenure",
              _months_sql("a.date_activ") + " AS months_activ",
              _months_sql("a.date_end", True) + " AS months_to_end",
              _months_sql("a.date_modif_prod") + " AS months_modif_prod",
              _months_sql("a.date_renewal") + " AS months_renewal"]
+    names += ["tenure", "months_activ", "months_to_end", "months_modif_prod", "months_renewal"]
     cols += _dummy_sql("a.channel_sales", "channel", CHANNEL_LEVELS) + _dummy_sql("a.origin_up", "origin_up", ORIGIN_LEVELS)
+    names += [f"channel_{v}" for v in CHANNEL_LEVELS] + [f"origin_up_{v}" for v in ORIGIN_LEVELS]
     body = f"SELECT {', '.join(cols)} FROM account a JOIN ({price_features_sql_body()}) f ON a.id = f.id"
     doubles = [c for c in ACCOUNT_DOUBLES if c not in drop] + price_feature_columns()
+    return body, names, doubles
+
+
+def _feature_table_sql():
+    body, _, doubles = feature_table_sql_parts()
     return with_views(round_outer(body, doubles))
 
 
@@ -75,6 +89,44 @@ def q_feature_table(spark, d):
     return finish(FT.feature_table(account_view(spark, d), price_view(spark, d)))
 
 
+def _feature_corr_sql():
+    body, names, _ = feature_table_sql_parts()
+    return with_views(_corr_sql(body, [c for c in names if c != "id"]))
+
+
+@register("feature_corr", _feature_corr_sql)
+def q_feature_corr(spark, d):
+    """A15 over the feature job's modelling table (FE:374), long form."""
+    ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
+    return finish(R.correlation(ft, [c for c in ft.columns if c != "id"]))
+
+
+# Columns the feature job calls skewed, after the log step (forecast_cons_year was dropped) -- fixed values.
+SKEWED_AFTER = ["cons_12m", "cons_gas_12m", "cons_last_month", "forecast_cons_12m", "forecast_discount_energy",
+                "forecast_meter_rent_12m", "forecast_price_energy_off_peak", "forecast_price_energy_peak",
+                "forecast_price_pow_off_peak"]
+
+
+def _describe_skewed_sql():
+    body, _, _ = feature_table_sql_parts()
+    parts = []
+    for c in SKEWED_AFTER:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, count({x}) AS count, avg({x}) AS mean, stddev_samp({x}) AS std, "
+            f"min({x}) AS min, quantile_cont({x}, 0.25) AS p25, quantile_cont({x}, 0.5) AS p50, "
+            f"quantile_cont({x}, 0.75) AS p75, max({x}) AS max FROM ft")
+    inner = f"WITH ft AS ({body}) " + " UNION ALL ".join(parts)
+    return with_views(round_outer(inner, ["mean", "std", "min", "p25", "p50", "p75", "max"]))
+
+
+@register("describe_skewed_log", _describe_skewed_sql)
+def q_describe_skewed(spark, d):
+    """P3 on the skewed columns after the log step (FE:347)."""
+    ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
+    return finish(PR.describe(ft, SKEWED_AFTER))
+
+
 PREMODEL_DOUBLES = ["cons_12m", "cons_gas_12m", "cons_last_month", "forecast_discount_energy",
                     "margin_gross_pow_ele", "margin_net_pow_ele", "pow_max", "AVG_VARIABLE", "AVG_FIXED",
                     *P.ENDPOINT_COLUMNS]

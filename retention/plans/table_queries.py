@@ -346,7 +346,7 @@ CORR_COLUMNS = P.window_mean_columns() + ["churn"]
 
 
 def _corr_sql(table_sql, cols):
-    parts = [f"SELECT id, '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM t WHERE {c} IS NOT NULL" for c in cols]
+    parts = [f"SELECT id, '{c}' AS col, CAST({q(c)} AS DOUBLE) AS v FROM t WHERE {q(c)} IS NOT NULL" for c in cols]
     long = " UNION ALL ".join(parts)
     body = (f"WITH t AS ({table_sql}), l AS ({long}) "
             "SELECT a.col AS col_a, b.col AS col_b, "
