@@ -31,3 +31,19 @@ def test_table_keeps_key_types(spark):
     t = quantile_table(df, ["k"], "v", [0.5], ["med"])
     assert dict(t.dtypes)["k"] == "int"
     assert {r["k"]: r["med"] for r in t.collect()} == {1: 2.0, 2: 5.0}
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=60),
+       st.sampled_from([(1_000_000, 10000), (5, 20)]))
+def test_property_matches_numpy(spark, values, cfg):
+    max_bracket, accuracy = cfg
+    df = spark.createDataFrame([(float(v) / 4,) for v in values], "v double")
+    probs = [0.1, 0.25, 0.5, 0.9]
+    got = exact_quantiles(df, [], "v", probs, max_bracket=max_bracket, accuracy=accuracy)[""]
+    want = np.quantile(np.array(values, dtype=float) / 4, probs)
+    assert got == pytest.approx(list(want), rel=1e-12, abs=1e-12)
