@@ -123,7 +123,7 @@ def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300)
     grid = (ParamGridBuilder().addGrid(rf.numTrees, list(num_trees)).addGrid(rf.maxDepth, depths)
             .addGrid(rf.minInstancesPerNode, list(min_leaf)).build())
     evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold",
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold", numFolds=folds,
                         parallelism=parallelism, seed=seed)
     cv_model = cv.fit(data)
     rows = []

@@ -49,6 +49,6 @@ def test_forest_fit_score_importance(toy):
 def test_grid_search_small(toy):
     train, _ = M.split(toy, 0.25, 42)
     cv_model, table = M.grid_search(train, ["a", "b"], num_trees=(5,), max_depth=(3, 5), min_leaf=(1,),
-                                    folds=3, parallelism=2)
+                                    folds=4, parallelism=2)
     rows = table.collect()
     assert len(rows) == 2 and all(0.0 <= r["accuracy"] <= 1.0 for r in rows)
