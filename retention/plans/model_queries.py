@@ -256,3 +256,18 @@ def q_forest_importance(spark, d):
     feats = M.feature_columns(ft)
     model = M.fit_forest(train, feats, M.ForestConfig(num_trees=1000, seed=DEFAULT.seed))
     return M.importances(model, feats)
+
+
+@register("forest_grid")
+def q_forest_grid(spark, d):
+    """M10 + M11 with the blueprint's fixed small grid (100 trees x depth {10, 30}
+    x leaf {1, 4}, 5 hash folds, accuracy) and the refit best model's test
+    accuracy. ``jobs.tuned_job`` runs the reference's full grid (27 Spark
+    settings x 5 folds, ~5 min at sf0.01)."""
+    _, train, test, feats = _rf_data(spark, d)
+    cv, table = M.grid_search(train, feats, num_trees=(100,), max_depth=(10, 30), min_leaf=(1, 4),
+                              folds=5, seed=DEFAULT.seed)
+    best_acc = EV.metrics(M.score(cv.bestModel, test)).first()["accuracy"]
+    top = max(cv.avgMetrics)
+    return table.withColumn("is_best", F.col("accuracy") == F.lit(top)).withColumn(
+        "best_test_accuracy", F.lit(best_acc))

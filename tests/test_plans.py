@@ -9,7 +9,7 @@ from retention.operators import prices as P
 from retention.sources.views import price_view
 
 SF = "/root/testdata/sf0.001"
-SKIP = {"forest_scores", "forest_metrics", "forest_tuned_metrics", "forest_importance"}
+SKIP = {"forest_scores", "forest_metrics", "forest_tuned_metrics", "forest_importance", "forest_grid"}
 
 
 def plan_of(df) -> str:
