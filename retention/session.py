@@ -37,6 +37,32 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Spill-aware sizing for a cluster run over ``input_bytes`` of price data.
+
+    * scan splits of 256 MB (columnar, compressed) keep a task's decoded batch
+      well inside executor memory;
+    * the first shuffle (partial aggregates by (id, date)) gets about one
+      partition per 256 MB of input, never fewer than 2 x cores; AQE then
+      coalesces small post-shuffle partitions and splits skewed ones.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    """Set runtime SQL options (e.g. from ``recommended_conf``) on a session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 

@@ -52,3 +52,11 @@ def test_grid_search_small(toy):
                                     folds=4, parallelism=2)
     rows = table.collect()
     assert len(rows) == 2 and all(0.0 <= r["accuracy"] <= 1.0 for r in rows)
+
+
+def test_recommended_conf_scales_with_input():
+    from retention.session import recommended_conf
+    small = recommended_conf(10 << 20, 8)
+    big = recommended_conf(100 * (1 << 40), 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
