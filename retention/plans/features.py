@@ -35,7 +35,7 @@ PREMODEL_KEEP = [
 
 def churn_data(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
                means: DataFrame | None = None) -> DataFrame:
-    """EDA:421-460: client columns, the 27 window means, churn last; only ids
+    """Exploration output: client columns, the 27 window means, churn last; only ids
     with prices in all three windows (the reference's inner joins).
     ``means`` may be passed when the caller already built ``window_means``."""
     means = means if means is not None else P.window_means(price, params)
@@ -61,7 +61,7 @@ def feature_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
                   channel_levels: OneHotLevels | None = None,
                   origin_levels: OneHotLevels | None = None,
                   drop_channel=(), drop_origin=()) -> DataFrame:
-    """FE:40-401: the modelling table of the feature job.
+    """The modelling table of the feature job.
 
     Encoders may be passed in already fitted (e.g. fitted on a training
     table); otherwise they are fitted on the client table here.
@@ -85,7 +85,7 @@ def feature_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
 def premodel(client: DataFrame, price_tb: DataFrame, params: Params = DEFAULT,
              origin_levels: OneHotLevels | None = None,
              channel_levels: OneHotLevels | None = None) -> DataFrame:
-    """RF:43-344: narrowed client + AVG_VARIABLE/AVG_FIXED (zero when a client
+    """Tuned-model input: narrowed client + AVG_VARIABLE/AVG_FIXED (zero when a client
     has no prices) + dummies + endpoint delta (inner), ``churn`` last, rows
     with a NULL label dropped."""
     block = P.half_year_block(price_tb, None, params)

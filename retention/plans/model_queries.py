@@ -96,7 +96,7 @@ def _feature_corr_sql():
 
 @register("feature_corr", _feature_corr_sql)
 def q_feature_corr(spark, d):
-    """A15 over the feature job's modelling table (FE:374), long form."""
+    """A15 over the feature job's modelling table, long form."""
     ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
     return finish(R.correlation(ft, [c for c in ft.columns if c != "id"]))
 
@@ -122,7 +122,7 @@ def _describe_skewed_sql():
 
 @register("describe_skewed_log", _describe_skewed_sql)
 def q_describe_skewed(spark, d):
-    """P3 on the skewed columns after the log step (FE:347)."""
+    """P3 on the skewed columns after the log step."""
     ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
     return finish(PR.describe(ft, SKEWED_AFTER))
 
