@@ -17,7 +17,8 @@ def rate_by(df: DataFrame, dim: str, label: str = "churn", descending: bool = Tr
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form (col_a, col_b, corr).
 
-    Two passes, each spread over all partitions:
+    Without NULLs the JVM Gramian path is used (``_correlation_dense``).
+    With NULLs, two passes, each spread over all partitions:
 
     1. per-column means, minima and maxima (3k aggregates); means are shifts so the sums below are
        sums of deviations (no cancellation for large-valued columns);
@@ -34,13 +35,17 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     cols = list(cols)
     k = len(cols)
     x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    first = x.agg(*[F.avg(f"c{i}").alias(f"m{i}") for i in range(k)],
+    first = x.agg(F.count(F.lit(1)).alias("n"),
+                  *[F.avg(f"c{i}").alias(f"m{i}") for i in range(k)],
+                  *[F.count(f"c{i}").alias(f"nn{i}") for i in range(k)],
                   *[F.min(f"c{i}").alias(f"lo{i}") for i in range(k)],
                   *[F.max(f"c{i}").alias(f"hi{i}") for i in range(k)]).first()
     shift = [float(first[f"m{i}"]) if first[f"m{i}"] is not None else 0.0 for i in range(k)]
     # a column with a single distinct value has zero variance: its pairs are NULL
     constant = [c for i, c in enumerate(cols) if first[f"lo{i}"] is None or first[f"lo{i}"] == first[f"hi{i}"]]
     names = list(cols)
+    if first["n"] and all(first[f"nn{i}"] == first["n"] for i in range(k)):
+        return _correlation_dense(x, names, constant)
 
     def comoments(batches):
         import numpy as np
@@ -84,6 +89,26 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     return tot.select("col_a", "col_b", corr.alias("corr"))
 
 
+def _correlation_dense(x: DataFrame, names: list[str], constant: list[str]) -> DataFrame:
+    """No NULLs in any column: pairwise masks are not needed, so the JVM
+    path of ``pyspark.ml.stat.Correlation`` applies -- one ``treeAggregate``
+    of the mean-centred Gramian (k*(k+1)/2 sums per task), no Python workers.
+    The k x k result (bounded by the column count) becomes the long table."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    k = len(names)
+    vec = VectorAssembler(inputCols=[f"c{i}" for i in range(k)], outputCol="_f").transform(x).select("_f")
+    mat = Correlation.corr(vec, "_f", "pearson").head()[0].toArray()
+    const = set(constant)
+    rows = []
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            v = float(mat[i][j])
+            rows.append((a, b, None if (a in const or b in const or v != v) else v))
+    return x.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+
+
 def correlated_pairs(corr_long: DataFrame, threshold: float = 0.9) -> DataFrame:
     """D6 helper: pairs (a < b) whose |corr| >= threshold, strongest first --
     the candidates a user drops by eye from the heatmap."""
