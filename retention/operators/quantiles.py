@@ -156,7 +156,9 @@ def _finish(data: DataFrame, keys: list[str], key_types: dict, state: dict, prob
         entries.append(e)
     extra = {"_below": "bigint", **{f"_t{j}": "bigint" for j in range(width)}}
     rows = _attach(data, keys, key_types, entries, extra)
-    freq = rows.groupBy(*keys, "_pi", "_v", *extra).agg(F.count(F.lit(1)).alias("_c"))
+    # bracket columns are constant per (group, bracket): carried, not grouped on
+    freq = rows.groupBy(*keys, "_pi", "_v").agg(F.count(F.lit(1)).alias("_c"),
+                                                *[F.first(e).alias(e) for e in extra])
     w = Window.partitionBy(*keys, "_pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = freq.withColumn("_end", F.col("_below") + F.sum("_c").over(w))
     ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
