@@ -33,3 +33,24 @@ def test_stream_equals_batch(spark):
         for k in want[i].asDict():
             a, b = got[i][k], want[i][k]
             assert (a is None and b is None) or a == pytest.approx(b), (i, k)
+
+
+def test_score_stream_equals_batch(spark):
+    from retention.operators import model as M
+    from retention.streaming import score_stream
+
+    rows = [(i, float(i % 7), float((i * 13) % 11), 1 if (i % 7) >= 4 else 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, churn int")
+    model = M.fit_forest(df, ["a", "b"], M.ForestConfig(num_trees=5, max_depth=4, seed=1))
+    d = tempfile.mkdtemp(prefix="retention-score-")
+    df.write.parquet(d + "/in")
+    stream = spark.readStream.schema(df.schema).parquet(d + "/in")
+    name = "scores_" + uuid.uuid4().hex[:8]
+    q = start_query(score_stream(model, stream), name, output_mode="append")
+    q.processAllAvailable()
+    q.stop()
+    got = {r["id"]: (r["prediction"], r["churn_probability"]) for r in spark.sql(f"select * from {name}").collect()}
+    want = {r["id"]: (r["prediction"], r["churn_probability"]) for r in M.score(model, df).collect()}
+    assert got.keys() == want.keys()
+    for i in want:
+        assert got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1])
