@@ -76,6 +76,12 @@ def q_info_price(spark, d):
     return finish(PR.info(_price(spark, d)))
 
 
+@register("profile_shape_account",
+          lambda: with_views(f"SELECT count(*) AS n_rows, {len(ACCOUNT_DTYPES)} AS n_columns FROM account"))
+def q_shape_account(spark, d):
+    return PR.shape(_acct(spark, d))
+
+
 @register("profile_shape_price",
           lambda: with_views(f"SELECT count(*) AS n_rows, {len(PRICE_DTYPES)} AS n_columns FROM price"))
 def q_shape_price(spark, d):
