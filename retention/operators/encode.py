@@ -52,6 +52,29 @@ def fit_one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_leve
                         drop_levels=tuple(drop_levels) + rare)
 
 
+def fit_one_hot_many(df: DataFrame, specs: list[tuple], min_count: int = 0,
+                     max_levels: int = 10000) -> list[OneHotLevels]:
+    """E1 for several string columns in one aggregation pass.
+
+    ``specs`` are (column, prefix, drop_levels) triples; the result keeps their
+    order. Levels are counted per (column, level) with map-side partials.
+    """
+    cols = [c for c, _, _ in specs]
+    long = (df.select(*[F.col(c) for c in cols]).unpivot([], cols, "_col", "_level")
+            .filter(F.col("_level").isNotNull()))
+    counts = long.groupBy("_col", "_level").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.limit(len(cols) * max_levels + 1).collect()
+    out = []
+    for c, prefix, drop in specs:
+        mine = sorted((r["_level"], r["n"]) for r in rows if r["_col"] == c)
+        if len(mine) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels")
+        rare = tuple(v for v, n in mine if n < min_count)
+        out.append(OneHotLevels(column=c, prefix=prefix, levels=[v for v, _ in mine],
+                                drop_levels=tuple(drop) + rare))
+    return out
+
+
 def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_levels=(), min_count: int = 0) -> DataFrame:
     """``pd.get_dummies(df, columns=[column], prefix=prefix)`` + drop of listed levels."""
     return fit_one_hot(df, column, prefix, drop_levels, min_count).transform(df)

@@ -20,7 +20,7 @@ from retention.config import DEFAULT, Params
 from retention.functions.scalars import log10p1, months_between_ref, recode_flag, tenure_years
 from retention.operators import prices as P
 from retention.operators.columns import drop_columns, move_last, select_columns
-from retention.operators.encode import OneHotLevels, fit_one_hot
+from retention.operators.encode import OneHotLevels, fit_one_hot_many
 
 DATE_COLUMNS = ["date_activ", "date_end", "date_modif_prod", "date_renewal"]
 # Columns dropped by the feature job after the correlation review -- fixed values.
@@ -74,8 +74,9 @@ def feature_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
     df = add_date_features(df, params)
     df = drop_columns(df, DATE_COLUMNS)
     df = df.withColumn("has_gas", recode_flag(F.col("has_gas")))
-    channel_levels = channel_levels or fit_one_hot(client, "channel_sales", "channel", drop_levels=drop_channel)
-    origin_levels = origin_levels or fit_one_hot(client, "origin_up", "origin_up", drop_levels=drop_origin)
+    if channel_levels is None or origin_levels is None:
+        channel_levels, origin_levels = fit_one_hot_many(
+            client, [("channel_sales", "channel", drop_channel), ("origin_up", "origin_up", drop_origin)])
     df = channel_levels.transform(df)
     df = origin_levels.transform(df)
     df = df.withColumns({c: log10p1(F.col(c)) for c in params.log_columns})
@@ -92,8 +93,9 @@ def premodel(client: DataFrame, price_tb: DataFrame, params: Params = DEFAULT,
     df = client.join(block, "id", "left").withColumns(
         {c: F.coalesce(F.col(c), F.lit(0.0)) for c in P.HALF_YEAR_COLUMNS})
     df = select_columns(df, PREMODEL_KEEP)
-    origin_levels = origin_levels or fit_one_hot(client, "origin_up", "origin_up")
-    channel_levels = channel_levels or fit_one_hot(client, "channel_sales", "channel_sales")
+    if origin_levels is None or channel_levels is None:
+        origin_levels, channel_levels = fit_one_hot_many(
+            client, [("origin_up", "origin_up", ()), ("channel_sales", "channel_sales", ())])
     df = origin_levels.transform(df)
     df = channel_levels.transform(df)
     delta = P.endpoint_delta(price_tb.select("id", "price_date", "price_off_peak_var", "price_off_peak_fix"))

@@ -65,3 +65,11 @@ def test_column_edits(spark):
         drop_columns(df, ["absent"])
     with pytest.raises(KeyError):
         select_columns(df, ["absent"])
+
+
+def test_fit_many_equals_single(spark):
+    from retention.operators.encode import fit_one_hot_many
+    df = spark.createDataFrame([("a", "x"), ("b", None), ("a", "y"), (None, "y")], "c1 string, c2 string")
+    many = fit_one_hot_many(df, [("c1", "p1", ()), ("c2", "p2", ("x",))])
+    single = [fit_one_hot(df, "c1", "p1"), fit_one_hot(df, "c2", "p2", drop_levels=("x",))]
+    assert [(m.levels, m.output_columns) for m in many] == [(s.levels, s.output_columns) for s in single]
