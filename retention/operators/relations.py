@@ -18,6 +18,8 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form (col_a, col_b, corr).
 
     Without NULLs the JVM Gramian path is used (``_correlation_dense``).
+    Every path reads ``df`` more than once: pass a stored table (e.g.
+    ``session.materialize``) when ``df`` is expensive to recompute.
     With NULLs, two passes, each spread over all partitions:
 
     1. per-column means, minima and maxima (3k aggregates); means are shifts so the sums below are

@@ -78,7 +78,7 @@ def exploration_job(client: DataFrame, price: DataFrame, params: Params = DEFAUL
     means = P.window_means(price, params)
     churn_data = FT.churn_data(client, price, params, means=means)
     corr_cols = P.window_mean_columns() + ["churn"]
-    price_churn = means.join(client.select("id", "churn"), "id", "inner")
+    price_churn = materialize(means.join(client.select("id", "churn"), "id", "inner"), "price-churn")
     corr = R.correlation(price_churn, corr_cols)
     tables = {
         "info_client": PR.info(client),
@@ -127,7 +127,7 @@ def feature_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT, o
         "describe_skewed_after": PR.describe(ft, [c for c in SKEWED if c in ft.columns]),
         "density_hist": hist,
         "density_kde": kde,
-        "feature_corr": R.correlation(ft, [c for c in ft.columns if c != "id"]),
+        "feature_corr": R.correlation(materialize(ft, "feature-table"), [c for c in ft.columns if c != "id"]),
         "test_labels": EV.label_distribution(scored, "label"),
         "metrics": EV.metrics(scored),
         "importances": M.importances(model, feats),

@@ -373,7 +373,9 @@ def _price_churn(spark, d):
 
 @register("corr_price_churn", lambda: with_views(_corr_sql(_price_churn_sql(), CORR_COLUMNS)))
 def q_corr(spark, d):
-    return finish(R.correlation(_price_churn(spark, d), CORR_COLUMNS))
+    # the per-client input is written once; the correlation passes re-read it
+    # instead of re-aggregating the price history per pass
+    return finish(R.correlation(materialize(_price_churn(spark, d), "price-churn"), CORR_COLUMNS))
 
 
 @register("correlated_pairs", lambda: with_views(
