@@ -160,6 +160,11 @@ def q_preview_price(spark, d):
     return PR.preview(p, ["id", "price_date", *PRICE_TIEBREAK], 5).select("id", "price_date", *PRICE_COLUMNS)
 
 
+@register("preview_account", lambda: with_views("SELECT * FROM account ORDER BY id LIMIT 5"))
+def q_preview_account(spark, d):
+    return PR.preview(_acct(spark, d), ["id"], 5)
+
+
 # ---------------------------------------------------------------- shares and rates
 def _class_share_sql():
     body = ("SELECT churn, companies, share, CASE WHEN lbl <> 0 THEN lbl END AS share_label FROM ("
