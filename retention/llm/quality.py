@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retention.llm.batches import text_slices, utf8, with_columns
 
@@ -224,7 +225,7 @@ def judge_documents(docs: DataFrame, chain: Chain, min_share: float = 0.5, text:
     src = docs if carry else docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     name = text if carry else "text"
     verdict = "__kept"
-    schema = src.schema.add(verdict, "boolean") if carry else f"doc_id long, {RESULT}"
+    schema = T.StructType([*src.schema.fields, T.StructField(verdict, T.BooleanType())]) if carry else f"doc_id long, {RESULT}"
     keep = src.columns if carry else ["doc_id"]
 
     def run(batches):
