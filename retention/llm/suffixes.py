@@ -453,7 +453,8 @@ def without_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 2 <<
     on = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)) == F.col("_digest")
     later = F.coalesce(F.col(key).cast("long"), F.lit(_LAST)) != F.col("_first")
     rows = docs.join(cuts, on).withColumn("_later", later & (F.octet_length(text) >= length))
-    keep = [c for c in docs.columns if c != text]
+    columns = docs.columns
+    keep = [c for c in columns if c != text]
 
     def cut(batches):
         for b in text_slices(batches, text):
@@ -465,6 +466,6 @@ def without_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 2 <<
                     t = cut_spans(t.encode(), _union(s)).decode(errors="ignore")
                 out.append(t)
             done = with_columns(b, keep, **{text: pa.array(out, b.column(text).type)})
-            yield done.select(docs.columns)
+            yield done.select(columns)
 
     return rows.select(*docs.columns, "_spans", "_later").mapInArrow(cut, docs.schema)
