@@ -2,57 +2,101 @@
 
 Equal texts form one atomic group. The groups are laid in a line (by their
 smallest id, then digest); the smallest capacity for which a greedy left-to-right
-walk fits the line into ``n_shards`` pieces is found by searching, and the line
-is cut there. Only DataFrame operations run; the driver holds one list of
-candidate capacities and at most ``n_shards`` cuts.
+walk fits the line into ``n_shards`` pieces is found by binary search, and the
+line is cut there. Only DataFrame operations run; what the driver holds of the
+line is bounded (see ``Line``).
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.llm.common import Scratch, running_totals
 
 
-def greedy_cuts(ends: DataFrame, capacities: list[int], largest: int, n_shards: int) -> list[list[int]]:
-    """Cuts of the greedy walk for each capacity (ascending, each at least ``largest``).
+class Line:
+    """Group ends on the line, known to the driver by ranges: (first end, last end, how many) of each.
 
-    ``ends`` has the line's group ends (``end``). One step moves all the
-    capacities at once: it looks up the last end within reach of each. Every
-    such end lies less than ``largest`` below the reach, so the scan reads
-    only the stored row groups around it.
+    A look-up "last end up to x" is exact unless x falls inside a range of
+    more than two ends; ``refine`` has Spark split such ranges. The driver
+    never holds more than a few times ``limit`` ranges, whatever the table.
     """
-    starts, cuts = [0] * len(capacities), [[] for _ in capacities]
-    for _ in range(n_shards - 1):
-        reach = [s + c for s, c in zip(starts, capacities)]  # ascending, as starts never fall with the capacity
-        at = F.size(F.filter(F.lit(reach), lambda x: x < F.col("end")))
-        found = (ends.where(F.col("end").between(min(reach) - largest, max(reach)))
-                 .groupBy(at.alias("k")).agg(F.max("end").alias("end")).collect())
-        best = {r["k"]: r["end"] for r in found}
-        last = 0
-        for k in range(len(capacities)):
-            last = max(last, best.get(k, 0))
-            starts[k] = max(starts[k], last)
-            cuts[k].append(starts[k])
-    return cuts
-
-
-def smallest_capacity(ends: DataFrame, total: int, largest: int, n_shards: int, width: int = 255) -> tuple[int, list[int]]:
-    """The smallest feasible capacity and its cuts; each round splits the interval ``width + 1`` ways.
+
+    def __init__(self, ends: DataFrame, total: int, limit: int = 20_000):
+        self.ends, self.limit = ends, limit
+        self.ranges: list[tuple[int, int, int]] = []
+        self._split([(1, total)])
+
+    def _split(self, hit: list[tuple[int, int]]) -> None:
+        parts = max(2, self.limit // len(hit))
+        spans: list[list[int]] = []         # the ranges joined where they touch: what the scan has to read
+        for a, b in hit:
+            if spans and a - spans[-1][1] <= 1:
+                spans[-1][1] = b
+            else:
+                spans.append([a, b])
+        end = F.col("end")
+        number = F.size(F.filter(F.lit([a for a, _ in hit]), lambda a: a <= end))
+        rows = (self.ends.where(reduce(or_, [end.between(a, b) for a, b in spans]))
+                .select("end", number.alias("range"))
+                .withColumn("part", F.floor((end - F.element_at(F.lit([a for a, _ in hit]), F.col("range")))
+                                            / F.element_at(F.lit([-(-(b - a + 1) // parts) for a, b in hit]), F.col("range"))))
+                .groupBy("range", "part").agg(F.min("end"), F.max("end"), F.count("*")).collect())
+        gone = set(hit)
+        self.ranges = sorted([r for r in self.ranges if (r[0], r[1]) not in gone] + [(r[2], r[3], r[4]) for r in rows])
+        self.first = [r[0] for r in self.ranges]
+
+    def bounds(self, x: int) -> tuple[int, int]:
+        """Bounds of the last end up to x (0 if there is none); equal if it is known."""
+        i = bisect_right(self.first, x) - 1
+        if i < 0:
+            return 0, 0
+        a, b, n = self.ranges[i]
+        return (b, b) if b <= x else (a, a) if n <= 2 else (a, x)
+
+    def greedy(self, capacity: int, n_shards: int) -> list[tuple[int, int]]:
+        """Bounds of each cut of the greedy walk with this capacity."""
+        low = high = 0
+        out = []
+        for _ in range(n_shards - 1):
+            low, high = self.bounds(low + capacity)[0], self.bounds(high + capacity)[1]
+            out.append((low, high))
+        return out
+
+    def refine(self, spans: list[tuple[int, int]]) -> bool:
+        """Splits the ranges that overlap a span and are not fully known; False if there are none."""
+        hit = [(r[0], r[1]) for r in self.ranges if r[2] > 2 and any(r[0] <= b and a <= r[1] for a, b in spans)]
+        if hit:
+            self._split(hit)
+        return bool(hit)
+
+
+def smallest_capacity(ends: DataFrame, total: int, largest: int, n_shards: int, limit: int = 20_000) -> tuple[int, list[int]]:
+    """The smallest feasible capacity by binary search, and the cuts of its greedy walk.
 
     ``ceil(total / n) + largest`` is always feasible and nothing below
-    ``max(ceil(total / n), largest)`` is.
+    ``max(ceil(total / n), largest)`` is. While some capacities are neither
+    surely feasible nor surely not, the ranges that their walks meet are refined.
     """
-    low = max(-(-total // n_shards), largest)       # smallest value not ruled out
-    high = -(-total // n_shards) + largest          # feasible
-    while low < high:
-        tried = sorted({low + (high - low) * i // (width + 1) for i in range(width + 1)} - {high})
-        ok = [cap for cap, cut in zip(tried, greedy_cuts(ends, tried, largest, n_shards))
-              if (cut[-1] if cut else 0) + cap >= total]
-        high = min(ok, default=high)
-        low = max([t + 1 for t in tried if t < high], default=low)
-    return low, greedy_cuts(ends, [low], largest, n_shards)[0]
+    line = Line(ends, total, limit)
+    low, high = max(-(-total // n_shards), largest), -(-total // n_shards) + largest
+
+    def last(capacity: int) -> tuple[int, int]:
+        return line.greedy(capacity, n_shards)[-1] if n_shards > 1 else (0, 0)
+
+    while True:
+        every = range(low, high + 1)
+        surely = low + bisect_left(every, True, key=lambda c: last(c)[0] + c >= total)
+        maybe = low + bisect_left(every, True, key=lambda c: last(c)[1] + c >= total)
+        low, high = maybe, min(high, surely)
+        walk = list(zip(line.greedy(low, n_shards), line.greedy(high, n_shards)))
+        if not line.refine([(a[0], b[1] + 1) for a, b in walk if low < high or a[0] < b[1]]):
+            return high, [a for a, _ in line.greedy(high, n_shards)]
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 16, text: str = "text", key: str = "doc_id") -> DataFrame:
