@@ -1,18 +1,19 @@
 """BPE encoding and decoding through a minimal acyclic transducer lexicon.
 
-The most frequent chunks (runs without ASCII white space) of the corpus are
-counted by Spark, encoded once and compiled into a minimal acyclic automaton:
-states with equal futures are shared, and the numbers on the edges add up to
-a chunk's ordinal, which points at its ids. The compiled arrays lie in one
-file that Spark ships to the executors, where tasks memory-map it. Chunks that
-the lexicon lacks are split and merged exactly by rank. A text's ids are those
-of its chunks in a row, as neither the normalizer nor the pre-tokenizer of the
-vocabulary joins anything across white space.
+Spark counts the chunks (runs without ASCII white space) of the corpus. The
+words of the most frequent ones are encoded once and compiled into a minimal
+acyclic automaton: states with equal futures are shared, and the numbers on
+the edges add up to a word's ordinal, which points at its ids. The compiled
+arrays lie in one file that Spark ships to the executors, where tasks
+memory-map it. Words that the lexicon lacks are merged exactly by rank. A
+text's ids are those of its chunks in a row, as neither the normalizer nor the
+pre-tokenizer of the vocabulary joins anything across white space.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import os
 import tempfile
@@ -27,8 +28,12 @@ from pyspark.sql import functions as F
 from retention.llm.batches import text_slices, utf8, with_columns
 
 
+_SHIFT = 20
+_NONE = 1 << 62
+
+
 class WordMerger:
-    """Exact BPE of single chunks: the vocabulary file's own normalizer and splitter, merges by rank."""
+    """Exact BPE of words: the vocabulary file's own normalizer and splitter, then merges by rank."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -36,68 +41,82 @@ class WordMerger:
         self.vocab = data["model"]["vocab"]
         self.suffix = data["model"].get("end_of_word_suffix") or ""
         pairs = [m.split(" ") if isinstance(m, str) else m for m in data["model"]["merges"]]
-        self.rank = {(a, b): i for i, (a, b) in enumerate(pairs)}
+        # pair of ids -> rank and joined id, both in one number that sorts by rank
+        self.joined = {self.vocab[a] << _SHIFT | self.vocab[b]: i << _SHIFT | self.vocab[a + b]
+                       for i, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"] if t["special"] and not t["normalized"]}
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         lib = Tokenizer.from_str(spec)
         self.normalizer, self.splitter = lib.normalizer, lib.pre_tokenizer
 
-    def merge(self, piece: str) -> list[int]:
-        """Ids of one pre-token: the adjacent pair of lowest rank is joined, leftmost first, until none is left."""
-        parts = list(piece)
-        if not parts:
-            return []
-        parts[-1] += self.suffix
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.rank.get((parts[i], parts[i + 1]), 1 << 60))
-            if (parts[best], parts[best + 1]) not in self.rank:
-                break
-            parts[best:best + 2] = [parts[best] + parts[best + 1]]
-        return [self.vocab[p] for p in parts if p in self.vocab]
-
-    def plain(self, text: str) -> list[int]:
-        if not text:
-            return []
-        pieces = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))
-        return [i for piece, _ in pieces for i in self.merge_long(piece)]
-
-    def merge_long(self, piece: str) -> list[int]:
-        return self.merge(piece) if len(piece) <= 256 else self.merge_heap(piece)
-
-    def merge_heap(self, piece: str) -> list[int]:
-        """The same merges for very long pieces, with a heap of candidate pairs over a linked list."""
-        import heapq
-        parts = list(piece)
-        parts[-1] += self.suffix
-        n = len(parts)
-        nxt, prv = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(self.rank[p], i, p) for i, p in enumerate(zip(parts, parts[1:])) if p in self.rank]
+    def letters(self, word: str) -> list[int]:
+        """Ids of the single letters, the last one with the word-end mark; letters the vocabulary lacks are left out."""
+        names = [*word[:-1], word[-1] + self.suffix]
+        return [self.vocab[c] for c in names if c in self.vocab]
+
+    def merge(self, word: str) -> list[int]:
+        """Ids of a pre-token: the adjacent pair of lowest rank is joined, leftmost first, until none is left."""
+        if len(word) > 200:
+            return self.merge_long(word)
+        ids, get = self.letters(word), self.joined.get
+        ranks = [get(a << _SHIFT | b, _NONE) for a, b in zip(ids, ids[1:])]
+        while ranks and (low := min(ranks)) != _NONE:
+            i = ranks.index(low)
+            ids[i:i + 2] = [new] = [low & (1 << _SHIFT) - 1]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << _SHIFT | new, _NONE)
+            if i < len(ranks):
+                ranks[i] = get(new << _SHIFT | ids[i + 1], _NONE)
+        return ids
+
+    def merge_long(self, word: str) -> list[int]:
+        """The same merges with a heap of pairs over a linked list, for words of any length."""
+        ids, get = self.letters(word), self.joined.get
+        n = len(ids)
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := get(a << _SHIFT | b, _NONE)) != _NONE]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
-            j = nxt[i] if parts[i] is not None else -1
-            if j < 0 or (parts[i], parts[j]) != pair:
+            rank, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            parts[i], parts[j] = parts[i] + parts[j], None
-            nxt[i] = nxt[j]
-            if nxt[i] >= 0:
-                prv[nxt[i]] = i
-            for k in (prv[i], i):
-                if k >= 0 and nxt[k] >= 0 and (new := (parts[k], parts[nxt[k]])) in self.rank:
-                    heapq.heappush(heap, (self.rank[new], k, new))
-        return [self.vocab[p] for p in parts if p is not None and p in self.vocab]
-
-    def encode(self, chunk: str) -> list[int]:
-        """Ids of a chunk; special tokens are cut out of the raw text first, leftmost first."""
-        ids: list[int] = []
-        while chunk:
-            found = min(((chunk.find(s), s) for s in self.special if s in chunk), default=None)
-            if found is None:
-                return ids + self.plain(chunk)
+            ids[i], ids[j] = rank & (1 << _SHIFT) - 1, -1
+            after[i] = after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] >= 0:
+                    pair = ids[k], ids[after[k]]
+                    if (r := get(pair[0] << _SHIFT | pair[1], _NONE)) != _NONE:
+                        heapq.heappush(heap, (r, k, *pair))
+        return [i for i in ids if i >= 0]
+
+    def words(self, text: str) -> list[str]:
+        return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))] if text else []
+
+    def words_of(self, chunks: list[str]) -> list[list[str]]:
+        """Words of many chunks by one call of the splitter."""
+        whole = self.normalizer.normalize_str(" ".join(chunks))
+        spaces = np.flatnonzero(np.frombuffer(whole.encode("utf-32-le"), dtype="<u4") == 32)
+        if len(spaces) != len(chunks) - 1:      # a chunk holds white space beyond ASCII, or a neighbour of it
+            return [self.words(c) for c in chunks]
+        found = self.splitter.pre_tokenize_str(whole)
+        owner = np.searchsorted(spaces, np.fromiter((at[0] for _, at in found), dtype=np.int64, count=len(found)))
+        out: list[list[str]] = [[] for _ in chunks]
+        for (word, _), k in zip(found, owner.tolist()):
+            out[k].append(word)
+        return out
+
+    def parts(self, chunk: str) -> list[str | int]:
+        """Words of a chunk and ids of the special tokens in it, which are cut out of the raw text, leftmost first."""
+        out: list[str | int] = []
+        while found := min(((chunk.find(s), s) for s in self.special if s in chunk), default=None):
             at, s = found
-            ids += self.plain(chunk[:at]) + [self.special[s]]
+            out += [*self.words(chunk[:at]), self.special[s]]
             chunk = chunk[at + len(s):]
-        return ids
+        return out + self.words(chunk)
 
 
 class Lexicon:
@@ -227,26 +246,56 @@ def frequent_chunks(docs: DataFrame, top: int, text: str = "text") -> list[bytes
 
 
 class Encoder:
-    """Lexicon, exact merger and a bounded memory of the chunks met last, for one task."""
+    """Lexicon, exact merger and a bounded memory of the chunks and words met last, for one task."""
 
-    def __init__(self, spec: str, lexicon: Lexicon, remember: int = 300_000):
+    def __init__(self, spec: str, lexicon: Lexicon, remember: int = 400_000):
         self.merger, self.lexicon, self.remember = WordMerger(spec), lexicon, remember
-        self.known: dict[bytes, tuple[int, bytes, bytes]] = {}
+        self.chunks: dict[bytes, bytes] = {}        # chunk -> its ids as decimal text
+        self.old: dict[bytes, bytes] = {}
+        self.known: dict[str | int, bytes] = {}     # word -> the same
+        self.name = {b"%d" % i: t.encode() for i, t in self.merger.tokens.items()}
 
     def learn(self, chunks: set[bytes]) -> None:
-        """Puts (count, ids as text, tokens as text) of the chunks into ``known``."""
-        if len(self.known) + len(chunks) > self.remember:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
+        """Makes every chunk known to ``chunks``; what was met longest ago is forgotten."""
+        if len(self.chunks) + len(chunks) > self.remember:
+            self.chunks, self.old = {}, self.chunks
+        new = []
+        for c in chunks:
+            if c not in self.chunks:
+                if (ids := self.old.get(c)) is not None:
+                    self.chunks[c] = ids
+                else:
+                    new.append(c)
         if not new:
             return
-        token = self.merger.tokens
-        for chunk, at in zip(new, self.lexicon.find(new).tolist()):
-            ids = self.lexicon.ids_of(at) if at >= 0 else self.merger.encode(chunk.decode())
-            self.known[chunk] = (len(ids), " ".join(map(str, ids)).encode(), " ".join(token[i] for i in ids).encode())
+        marks = [s.encode() for s in self.merger.special]
+        whole = b" ".join(new)
+        marked = [c for c in new if any(m in c for m in marks)] if any(m in whole for m in marks) else []
+        if marked:
+            new = list(set(new) - set(marked))
+            whole = b" ".join(new)
+        parts = self.merger.words_of(whole.decode().split(" ")) if new else []
+        new += marked
+        parts += [self.merger.parts(c.decode()) for c in marked]
+        if len(self.known) > self.remember:
+            self.known.clear()
+        missing = list({w for p in parts for w in p if w not in self.known})
+        words = [w for w in missing if isinstance(w, str)]
+        for w, at in zip(words, self.lexicon.find([w.encode() for w in words]).tolist()):
+            ids = self.lexicon.ids_of(at) if at >= 0 else self.merger.merge(w)
+            self.known[w] = " ".join(map(str, ids)).encode()
+        self.known.update((i, b"%d" % i) for i in missing if isinstance(i, int))
+        for c, p in zip(new, parts):
+            self.chunks[c] = self.known[p[0]] if len(p) == 1 else b" ".join(filter(None, map(self.known.__getitem__, p)))
+
+    def encode(self, chunks: list[bytes]) -> bytes:
+        return b" ".join(filter(None, map(self.chunks.__getitem__, chunks)))
+
+    def decode(self, ids: bytes) -> bytes:
+        return b" ".join(map(self.name.__getitem__, ids.split()))
 
 
-def encode_documents(docs: DataFrame, spec_path: str, top: int = 50_000, text: str = "text", key: str = "doc_id",
+def encode_documents(docs: DataFrame, spec_path: str, top: int = 200_000, text: str = "text", key: str = "doc_id",
                      with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, ``decoded`` with ``with_ids``), a row per document.
 
@@ -263,7 +312,8 @@ def encode_documents(docs: DataFrame, spec_path: str, top: int = 50_000, text: s
     if json.loads(spec).get("decoder") is not None:
         raise ValueError("only vocabularies without a decoder of their own are supported")
     merger = WordMerger(spec)
-    words = {c: merger.encode(c.decode()) for c in frequent_chunks(docs, top, text)}
+    frequent = [p for c in frequent_chunks(docs, top, text) for p in merger.parts(c.decode()) if isinstance(p, str)]
+    words = {w.encode(): merger.merge(w) for w in frequent}
     # a driver-side file of bounded size that Spark itself hands to every executor
     name = f"lexicon-{hashlib.sha256(repr(sorted(words)).encode() + spec.encode()).hexdigest()[:16]}.bin"
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
@@ -280,13 +330,10 @@ def encode_documents(docs: DataFrame, spec_path: str, top: int = 50_000, text: s
         for b in text_slices(batches, "text", 2 << 20):
             split = [t.split() for t in utf8(b.column("text"))]
             enc.learn(set().union(*split))
-            n, ids, decoded = [], [], []
-            for chunks in split:
-                got = [enc.known[c] for c in chunks]
-                n.append(sum(g[0] for g in got))
-                ids.append(b" ".join([g[1] for g in got if g[0]]))
-                decoded.append(b" ".join([g[2] for g in got if g[0]]))
-            new = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
+            ids = [enc.encode(chunks) for chunks in split]
+            decoded = [enc.decode(i) for i in ids]
+            new = {"n_tokens": pa.array([i.count(b" ") + (i != b"") for i in ids], pa.int64()),
+                   "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
                    "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in decoded]}
             if with_ids:
                 new |= {"ids": pa.array([[int(i) for i in x.split()] for x in ids], pa.list_(pa.int32())),
