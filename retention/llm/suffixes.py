@@ -37,7 +37,8 @@ GRAM = 32
 _LAST = (1 << 63) - 1
 _MULTIPLIERS = tuple(np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
-_POSITION_BITS = 23     # slices of at most 8 MB are joined; a longer single text takes the bits it needs
+_POSITION_BITS = 23     # a single text over 8 MB takes the bits it needs
+_SLICE = 1 << 18        # texts handled together, in bytes: what fits a core's cache
 
 
 def packed_words(buf: np.ndarray, n: int, big: bool) -> np.ndarray:
@@ -191,28 +192,20 @@ def repeated_starts(pieces: list[bytes], places: np.ndarray, length: int) -> tup
     sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
     text = b"\0".join(pieces)
     begin = np.cumsum(sizes + 1) - sizes - 1
+    owner = np.repeat(np.arange(len(pieces)), sizes + 1)
     sa, _ = suffix_array(text)
-    lcp = common_prefixes(text, sa, length)
-    run = np.cumsum(lcp < length) - 1
-    piece = np.searchsorted(begin, sa, side="right") - 1
+    run = np.cumsum(common_prefixes(text, sa, length) < length)
+    piece = owner[sa]
     offset = sa - begin[piece]
     valid = offset + length <= sizes[piece]
     run, piece, offset = run[valid], piece[valid], offset[valid]
-    order = np.lexsort((offset, places[piece], run))
-    run, piece, offset = run[order], piece[order], offset[order]
-    first = np.ones(len(run), dtype=bool)
-    first[1:] = run[1:] != run[:-1]
+    place = places[piece] * (int(sizes.max()) + 1) + offset
+    head = np.flatnonzero(np.append(True, run[1:] != run[:-1])) if len(run) else run
+    least = np.repeat(np.minimum.reduceat(place, head), np.diff(np.append(head, len(run)))) if len(run) else run
+    first = place == least
     return piece[~first], offset[~first], piece[first], offset[first]
 
 
-def _spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Union of [s, s + length) over sorted distinct starts, as (begin, end)."""
-    if not len(starts):
-        return starts, starts
-    cut = np.flatnonzero(np.diff(starts) > length)
-    return starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])] + length
-
-
 def _by_owner(owner: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Spans per owner: (owner, begin, end)."""
     order = np.lexsort((start, owner))
@@ -229,7 +222,7 @@ def _by_owner(owner: np.ndarray, start: np.ndarray, length: int) -> tuple[np.nda
 class Repeats:
     """The job over one table; ``spans`` is its outcome by (``ord``, ``dg``), ``firsts`` the first of each text."""
 
-    def __init__(self, docs: DataFrame, length: int = 100, shard_bytes: int = 2 << 20, text: str = "text", key: str = "doc_id"):
+    def __init__(self, docs: DataFrame, length: int = 100, shard_bytes: int = 1 << 19, text: str = "text", key: str = "doc_id"):
         if length < GRAM + 1:
             raise ValueError(f"strings under {GRAM + 1} bytes have no anchors")
         self.length, self.shard_bytes = length, shard_bytes
@@ -257,22 +250,15 @@ class Repeats:
         length = self.length
 
         def find(batches):
-            for b in text_slices(batches, "text"):
+            for b in text_slices(batches, "text", _SLICE):
                 doc, h, s, e, many = segments(utf8(b.column("text")), length)
                 take = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("ord").take(take), b.column("dg").take(take), pa.array(h.view(np.int64)),
                      pa.array((s << 31 | e) * 2 + many)], names=["ord", "dg", "h", "place"])
 
-        def count(batches):
-            for b in find(batches):
-                yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(1 + (np.asarray(b.column("place")) & 1))],
-                                                 names=["h", "n"])
-
-        twice = self.scratch.store(
-            self.texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-            .select(F.col("h").alias("hh")), "anchors")
-        found = self.texts.mapInArrow(find, "ord long, dg long, h long, place long")
+        found = self.scratch.store(self.texts.mapInArrow(find, "ord long, dg long, h long, place long"), "anchors")
+        twice = found.groupBy("h").agg(F.sum(1 + F.col("place") % 2).alias("n")).where("n > 1").select(F.col("h").alias("hh"))
         segs = self.scratch.store(found.join(twice, F.col("h") == F.col("hh")).drop("hh"), "segments")
         self.scratch.drop("anchors")
         by_doc = segs.groupBy(F.col("ord").alias("o"), F.col("dg").alias("d")).agg(
@@ -395,7 +381,7 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 2 << 20, text: str = "text",
+def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 1 << 19, text: str = "text",
                    key: str = "doc_id") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, one row per input row.
 
@@ -435,7 +421,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 2 << 2
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept", F.lower(F.hex("digest")))).alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 2 << 20, text: str = "text",
+def without_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 1 << 19, text: str = "text",
                     key: str = "doc_id") -> DataFrame:
     """``docs`` with repeated bytes cut out of its texts; every row and every other column stays.
 
