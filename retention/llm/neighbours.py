@@ -29,18 +29,26 @@ from retention.llm.common import Scratch
 class Params:
     sample: int = 20_000        # rows that centroids are fitted on, at most
     list_rows: int = 128        # aimed list length; the centroid count grows with the rows
-    max_lists: int = 16_384     # centroids held in memory, at most (64 dimensions: 8 MB)
-    degree: int = 24            # links of a centroid in the graph
-    beam: int = 96              # centroids kept while walking the graph
+    max_lists: int = 16_384     # centroids held in memory, at most (64 dimensions: 4 MB)
+    degree: int = 16            # links of a centroid in the graph
+    store_beam: int = 16        # centroids kept while a vector looks for its lists
+    search_beam: int = 64       # centroids kept while a query looks for its lists, at least
+    search_share: float = 0.15  # and as a share of all lists: data without clusters needs a share
     replicas: int = 4           # lists of one vector, at most
-    replica_ratio: float = 1.1  # a further list's distance against the nearest one's
+    replica_ratio: float = 1.2  # a further list's distance against the nearest one's
     probe_ratio: float = 1.35   # a searched list's distance against the nearest one's
     block_rows: int = 1024      # vectors of a stored block, about
     query_rows: int = 256       # queries of a block, about
+    merge_rows: int = 500_000   # finds a task gathers before it keeps the best of each query
 
 
 def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, penalty: float = 0.3) -> np.ndarray:
-    """k-means in which a full list looks farther away; the start is an even walk through the sample."""
+    """k-means in which a full list looks farther away; the start is an even walk through the sample.
+
+    The sample lies on a sphere, and the centroids are put back on it: else
+    they would lie nearer to each other than vectors to them, and no list
+    would be told apart from its neighbours.
+    """
     n_lists = min(n_lists, len(sample))
     centre = sample[np.linspace(0, len(sample) - 1, n_lists).astype(int)].copy()
     load = np.zeros(n_lists)
@@ -59,7 +67,9 @@ def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, penalty: f
         np.add.at(total, own, sample)
         filled = load > 0
         centre[filled] = total[filled] / load[filled, None]
-    return centre
+    length = np.sqrt((centre * centre).sum(1, keepdims=True))
+    radius = np.sqrt((sample * sample).sum(1).max())
+    return np.where(length > 1e-12, centre / np.maximum(length, 1e-12) * radius, centre).astype(np.float32)
 
 
 class CentroidGraph:
@@ -78,20 +88,20 @@ class CentroidGraph:
         self.entry = np.linspace(0, n - 1, min(n, max(16, int(n ** 0.5)))).astype(np.int64)
 
     def far(self, x: np.ndarray) -> np.ndarray:
-        return (x * x).sum(1)[:, None] - 2 * x @ self.centre.T + self.norm
+        return (x * x).sum(1)[:, None] - 2 * x @ self.centre.T + self.norm      # float32, as the centroids are
 
     def _far_to(self, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
         return (x * x).sum(1)[:, None] - 2 * np.einsum("qd,qkd->qk", x, self.centre[ids]) + self.norm[ids]
 
     def search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, squared distances) of about the nearest ``beam`` centroids of each point, nearest first."""
-        k = self.beam
+        k, x = self.beam, x.astype(np.float32)
         ids = np.broadcast_to(self.entry, (len(x), len(self.entry)))
         far = self._far_to(x, ids)
         opened = np.zeros(ids.shape, dtype=bool)
         rows = np.arange(len(x))[:, None]
         while True:
-            width = min(8, ids.shape[1])
+            width = min(4, ids.shape[1])
             pick = np.argsort(np.where(opened, np.inf, far), axis=1, kind="stable")[:, :width]
             fresh = ~opened[rows, pick] & np.isfinite(far[rows, pick])
             if not fresh.any():
@@ -143,21 +153,32 @@ def probe_lists(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray, k: int,
 
 
 def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, vec_ids: np.ndarray, k: int):
-    """The ``k`` best of a block for each query. Products are added up in one fixed order, so equal vectors tie exactly."""
-    score = np.zeros((len(queries), len(vectors)))
-    part = np.empty_like(score)
-    for d in range(queries.shape[1]):
-        np.multiply(queries[:, d, None], vectors[None, :, d], out=part)
-        score += part
-    score[query_ids[:, None] == vec_ids[None, :]] = -np.inf
-    order = np.argsort(vec_ids, kind="stable")
-    score, vec_ids = score[:, order], vec_ids[order]
-    top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-    row = np.repeat(np.arange(len(queries)), top.shape[1])
-    col = top.ravel()
-    value = score[row, col]
-    ok = value > -np.inf
-    return query_ids[row[ok]], vec_ids[col[ok]], value[ok]
+    """The ``k`` best of a block for each query, and all that tie with the last of them.
+
+    A matrix product finds who may be among them; their scores are then added
+    up one by one in one order, so that equal vectors tie exactly.
+    """
+    rough = queries @ vectors.T
+    rough[query_ids[:, None] == vec_ids[None, :]] = -np.inf
+    n = rough.shape[1]
+    slack = 1e-9 * np.sqrt((queries * queries).sum(1).max() * (vectors * vectors).sum(1).max())
+    least = np.partition(rough, n - k, axis=1)[:, n - k] - slack if n > k else np.full(len(queries), -np.inf)
+    row, col = np.nonzero((rough >= least[:, None]) & (rough > -np.inf))
+    return query_ids[row], vec_ids[col], np.einsum("rd,rd->r", queries[row], vectors[col])
+
+
+def best_of_all(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int):
+    """The ``k`` best finds of each query, a vector found in several lists once."""
+    order = np.lexsort((vec, -score, query))
+    query, vec, score = query[order], vec[order], score[order]
+    new = np.ones(len(query), dtype=bool)
+    new[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
+    query, vec, score = query[new], vec[new], score[new]
+    head = np.ones(len(query), dtype=bool)
+    head[1:] = query[1:] != query[:-1]
+    start = np.flatnonzero(head)
+    keep = np.arange(len(query)) - start[np.cumsum(head) - 1] < k if len(query) else head
+    return query[keep], vec[keep], score[keep]
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -200,7 +221,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
     p, top = params, float(most)
 
     def post(batches):
-        graph = CentroidGraph(shared.value, p.degree, p.beam)
+        graph = CentroidGraph(shared.value, p.degree, p.store_beam)
         for b in batches:
             for a in range(0, b.num_rows, 1024):
                 part = b.slice(a, 1024)
@@ -227,7 +248,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
     scratch.drop("posted", "counts")
 
     def probe(batches):
-        graph = CentroidGraph(shared.value, p.degree, p.beam)
+        graph = CentroidGraph(shared.value, p.degree, max(p.search_beam, int(np.ceil(p.search_share * len(shared.value)))))
         for b in batches:
             for a in range(0, b.num_rows, 1024):
                 part = b.slice(a, 1024)
@@ -246,16 +267,24 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
     asked = asked.select(F.col("list").alias("ql"), F.col("q.vec_id").alias("query_ids"), F.flatten("q.vec").alias("query_flat"))
 
     def search(batches):
+        got, held = [], 0
+
+        def best():
+            q, v, s = best_of_all(*(np.concatenate(x) for x in zip(*got)), k)
+            return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
+                                              names=["query_id", "vec_id", "score"])
+
         for b in batches:
-            got = []
             for i in range(b.num_rows):
-                one = lambda c: np.asarray(b.column(c)[i].values)
+                one = lambda c: np.asarray(b.column(c)[i].values)  # noqa: E731, B023
                 got.append(best_of_block(one("query_flat").reshape(-1, dim), one("query_ids"),
                                          one("flat").reshape(-1, dim), one("ids"), k))
-            if got:
-                q, v, s = (np.concatenate(x) for x in zip(*got))
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
-                                                 names=["query_id", "vec_id", "score"])
+                held += len(got[-1][0])
+                if held > p.merge_rows:
+                    yield best()
+                    got, held = [], 0
+        if got:
+            yield best()
 
     found = asked.join(blocks, F.col("ql") == F.col("list")).select("query_ids", "query_flat", "ids", "flat")
     found = found.mapInArrow(search, "query_id long, vec_id long, score double").distinct()   # replicas score alike
