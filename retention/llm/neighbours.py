@@ -32,7 +32,7 @@ class Params:
     max_lists: int = 16_384     # centroids held in memory, at most (64 dimensions: 4 MB)
     degree: int = 16            # links of a centroid in the graph
     store_beam: int = 16        # centroids kept while a vector looks for its lists
-    search_beam: int = 64       # centroids kept while a query looks for its lists, at least
+    search_beam: int = 24       # centroids kept while a query looks for its lists, at least
     search_share: float = 0.15  # and as a share of all lists: data without clusters needs a share
     replicas: int = 4           # lists of one vector, at most
     replica_ratio: float = 1.2  # a further list's distance against the nearest one's
