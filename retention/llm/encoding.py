@@ -24,8 +24,10 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from retention.llm.batches import text_slices, utf8, with_columns
+from retention.llm.common import Scratch
 
 
 _SHIFT = 20
@@ -96,18 +98,16 @@ class WordMerger:
     def words(self, text: str) -> list[str]:
         return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))] if text else []
 
-    def words_of(self, chunks: list[str]) -> list[list[str]]:
-        """Words of many chunks by one call of the splitter."""
+    def words_of(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        """All words of many chunks by one call of the splitter, and how many each chunk has."""
         whole = self.normalizer.normalize_str(" ".join(chunks))
         spaces = np.flatnonzero(np.frombuffer(whole.encode("utf-32-le"), dtype="<u4") == 32)
         if len(spaces) != len(chunks) - 1:      # a chunk holds white space beyond ASCII, or a neighbour of it
-            return [self.words(c) for c in chunks]
+            each = [self.words(c) for c in chunks]
+            return [w for e in each for w in e], np.array([len(e) for e in each], dtype=np.int64)
         found = self.splitter.pre_tokenize_str(whole)
         owner = np.searchsorted(spaces, np.fromiter((at[0] for _, at in found), dtype=np.int64, count=len(found)))
-        out: list[list[str]] = [[] for _ in chunks]
-        for (word, _), k in zip(found, owner.tolist()):
-            out[k].append(word)
-        return out
+        return [w for w, _ in found], np.bincount(owner, minlength=len(chunks))
 
     def parts(self, chunk: str) -> list[str | int]:
         """Words of a chunk and ids of the special tokens in it, which are cut out of the raw text, leftmost first."""
@@ -226,7 +226,7 @@ class Lexicon:
 
 
 def frequent_chunks(docs: DataFrame, top: int, text: str = "text") -> list[bytes]:
-    """The ``top`` chunks of the whole corpus by count (ties by bytes); a top-k report, so bounded."""
+    """At most ``top`` chunks: all of the corpus above some count. Chunks that tie on it are all in or all out."""
     def count(batches):
         total: Counter = Counter()
         for b in text_slices(batches, "text"):
@@ -239,10 +239,17 @@ def frequent_chunks(docs: DataFrame, top: int, text: str = "text") -> list[bytes
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())],
                                          names=["chunk", "n"])
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "chunk binary, n long")
-    best = (counted.where(F.octet_length("chunk") <= 64).groupBy("chunk").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "chunk").limit(top).collect())
-    return [bytes(r["chunk"]) for r in best]
+    counted = (docs.select(F.col(text).alias("text")).mapInArrow(count, "chunk binary, n long")
+               .where(F.octet_length("chunk") <= 64).groupBy("chunk").agg(F.sum("n").alias("n")).where("n > 1"))
+    scratch = Scratch(docs.sparkSession, "chunks")
+    counted = scratch.store(counted, "counted")
+    # the least count that no more than top chunks reach, from how many chunks have each count
+    above = F.sum("chunks").over(Window.orderBy(F.desc("n")))
+    least = (counted.groupBy("n").agg(F.count("*").alias("chunks")).withColumn("above", above)
+             .where(F.col("above") <= top).agg(F.min("n")).first()[0])
+    best = counted.where(F.col("n") >= least).select("chunk").toArrow().column("chunk").to_pylist() if least else []
+    scratch.drop("counted")
+    return best
 
 
 class Encoder:
@@ -252,41 +259,44 @@ class Encoder:
         self.merger, self.lexicon, self.remember = WordMerger(spec), lexicon, remember
         self.chunks: dict[bytes, bytes] = {}        # chunk -> its ids as decimal text
         self.old: dict[bytes, bytes] = {}
-        self.known: dict[str | int, bytes] = {}     # word -> the same
+        self.known: dict[str, bytes] = {}           # word -> the same
+        self.number = {i: b"%d" % i for i in self.merger.tokens}
         self.name = {b"%d" % i: t.encode() for i, t in self.merger.tokens.items()}
 
     def learn(self, chunks: set[bytes]) -> None:
         """Makes every chunk known to ``chunks``; what was met longest ago is forgotten."""
         if len(self.chunks) + len(chunks) > self.remember:
             self.chunks, self.old = {}, self.chunks
-        new = []
-        for c in chunks:
-            if c not in self.chunks:
-                if (ids := self.old.get(c)) is not None:
-                    self.chunks[c] = ids
-                else:
-                    new.append(c)
-        if not new:
-            return
-        marks = [s.encode() for s in self.merger.special]
-        whole = b" ".join(new)
-        marked = [c for c in new if any(m in c for m in marks)] if any(m in whole for m in marks) else []
-        if marked:
-            new = list(set(new) - set(marked))
-            whole = b" ".join(new)
-        parts = self.merger.words_of(whole.decode().split(" ")) if new else []
-        new += marked
-        parts += [self.merger.parts(c.decode()) for c in marked]
+        missing = chunks.difference(self.chunks)
+        self.chunks.update((c, self.old[c]) for c in missing if c in self.old)
+        new = list(missing.difference(self.chunks))
         if len(self.known) > self.remember:
             self.known.clear()
-        missing = list({w for p in parts for w in p if w not in self.known})
-        words = [w for w in missing if isinstance(w, str)]
-        for w, at in zip(words, self.lexicon.find([w.encode() for w in words]).tolist()):
-            ids = self.lexicon.ids_of(at) if at >= 0 else self.merger.merge(w)
-            self.known[w] = " ".join(map(str, ids)).encode()
-        self.known.update((i, b"%d" % i) for i in missing if isinstance(i, int))
-        for c, p in zip(new, parts):
-            self.chunks[c] = self.known[p[0]] if len(p) == 1 else b" ".join(filter(None, map(self.known.__getitem__, p)))
+        whole = b" ".join(new)
+        marks = [s.encode() for s in self.merger.special]
+        if any(m in whole for m in marks):
+            marked = [c for c in new if any(m in c for m in marks)]
+            new = list(set(new).difference(marked))
+            whole = b" ".join(new)
+            for c in marked:
+                parts = self.merger.parts(c.decode())
+                self._learn_words({p for p in parts if isinstance(p, str)})
+                ids = [self.known[p] if isinstance(p, str) else b"%d" % p for p in parts]
+                self.chunks[c] = b" ".join(filter(None, ids))
+        if new:
+            words, count = self.merger.words_of(whole.decode().split(" "))
+            self._learn_words(set(words))
+            ids = list(map(self.known.__getitem__, words))
+            ends = np.cumsum(count)
+            for c, a, b in zip(new, (ends - count).tolist(), ends.tolist()):
+                self.chunks[c] = ids[a] if b - a == 1 else b" ".join(filter(None, ids[a:b]))
+
+    def _learn_words(self, words: set[str]) -> None:
+        fresh = list(words.difference(self.known))
+        merge, number = self.merger.merge, self.number
+        for w, at in zip(fresh, self.lexicon.find([w.encode() for w in fresh]).tolist()):
+            ids = self.lexicon.ids_of(at) if at >= 0 else merge(w)
+            self.known[w] = b" ".join([number[i] for i in ids])
 
     def encode(self, chunks: list[bytes]) -> bytes:
         return b" ".join(filter(None, map(self.chunks.__getitem__, chunks)))
@@ -295,7 +305,7 @@ class Encoder:
         return b" ".join(map(self.name.__getitem__, ids.split()))
 
 
-def encode_documents(docs: DataFrame, spec_path: str, top: int = 200_000, text: str = "text", key: str = "doc_id",
+def encode_documents(docs: DataFrame, spec_path: str, top: int = 100_000, text: str = "text", key: str = "doc_id",
                      with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, ``decoded`` with ``with_ids``), a row per document.
 
