@@ -168,9 +168,8 @@ def one_of_each(docs: DataFrame, size: int = 3, radius: int = 3, text: str = "te
     text's hash, and of rows equal in both one stays.
     """
     found = near_duplicates(docs, size, radius, text, key)
-    # a component without any id is named by its members' smallest fingerprint, so by its own
-    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("root")))
-    stay = found.groupBy(group.alias("g")).agg(F.min(F.struct(
+    # by root: components may share a smallest id where texts share an id, or have none
+    stay = found.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("s")).select(
         F.coalesce("s.doc_id", F.lit(0)).alias("_s_id"), F.col("s.none").alias("_s_none"), F.col("s.tie").alias("_s_tie"))
     rows = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("_id"),
