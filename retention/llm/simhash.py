@@ -17,6 +17,8 @@ leaves it, so no step emits all pairs of a group.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -93,7 +95,8 @@ def close_links(fps: DataFrame, radius: int, scratch: Scratch, bucket: int = 128
     while True:
         families = [covering_masks(f, radius) for f in free]
         width = max(map(len, families))
-        table = F.lit([[_signed(m) for m in fam] for fam in families])
+        # one literal, however many masks: Spark folds the parsed text into a constant
+        table = F.from_json(F.lit(json.dumps([[_signed(m) for m in fam] for fam in families])), "array<array<bigint>>")
         rows = (level.withColumn("masks", F.element_at(table, F.col("path") + 1))
                 .select("fp", "path", F.posexplode("masks").alias("v", "mask"))
                 .select("fp", (F.col("path") * width + F.col("v")).alias("path"),
