@@ -19,10 +19,22 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def floor_sql(x: str) -> str:
+    """Spark SQL text of floor in double. Spark's own ``floor(double)`` is a BIGINT and stops at 9.2e18."""
+    return f"(rint({x}) - CASE WHEN rint({x}) > ({x}) THEN 1.0D ELSE 0.0D END + 0.0D)"
+
+
 def r6_sql(x: str) -> str:
     """Spark SQL text of ``r6`` applied to the SQL expression ``x``."""
-    snapped = f"(CASE WHEN abs({x}) < 1000000.0D THEN floor(({x}) * 1.0E9D + 0.5D) / 1.0E9D ELSE ({x}) END)"
-    return f"(floor({snapped} * 1000000.0D + 0.5D) / 1000000.0D)"
+    fine = floor_sql(f"({x}) * 1.0E9D + 0.5D")
+    snapped = f"(CASE WHEN abs({x}) < 1000000.0D THEN {fine} / 1.0E9D ELSE ({x}) END)"
+    return f"({floor_sql(f'{snapped} * 1000000.0D + 0.5D')} / 1000000.0D)"
+
+
+def floor_double(c: Column) -> Column:
+    """floor in double, for values of any size."""
+    whole = F.rint(c)
+    return whole - F.when(whole > c, F.lit(1.0)).otherwise(F.lit(0.0)) + F.lit(0.0)
 
 
 def r6(col) -> Column:
@@ -31,16 +43,16 @@ def r6(col) -> Column:
     Step 1 snaps |x| < 1e6 onto a 1e-9 grid, so two values that differ only
     by summation-order noise (a few ulps) become the same double; a mean that
     is exactly ``d.dddddd5`` is therefore rounded the same way everywhere.
-    Step 2 is floor(x*1e6 + 0.5)/1e6. Both steps are plain IEEE arithmetic
-    (an SQL oracle applies the same formula); step 2 also folds -0.0 into 0.0.
-    A string argument is taken as an SQL expression (one JVM call).
+    Step 2 is floor(x*1e6 + 0.5)/1e6. Both steps are plain IEEE arithmetic in
+    double, so no value is too large for them (an SQL oracle applies the same
+    formula). A string argument is taken as an SQL expression (one JVM call).
     """
     if isinstance(col, str):
         return F.expr(r6_sql(col))
     c = col
     snapped = F.when(F.abs(c) < F.lit(1000000.0),
-                     F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
-    return F.floor(snapped * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
+                     floor_double(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
+    return floor_double(snapped * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
 
 
 def round_half_up(col, digits: int) -> Column:
@@ -48,8 +60,8 @@ def round_half_up(col, digits: int) -> Column:
     c = _c(col)
     scale = float(10 ** digits)
     snapped = F.when(F.abs(c) < F.lit(1000000.0),
-                     F.floor(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
-    return F.floor(snapped * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+                     floor_double(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
+    return floor_double(snapped * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
 def nan_to_null(col) -> Column:

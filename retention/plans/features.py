@@ -85,11 +85,12 @@ def feature_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
 
 def premodel(client: DataFrame, price_tb: DataFrame, params: Params = DEFAULT,
              origin_levels: OneHotLevels | None = None,
-             channel_levels: OneHotLevels | None = None) -> DataFrame:
+             channel_levels: OneHotLevels | None = None,
+             order_cols: list[str] | None = None) -> DataFrame:
     """Tuned-model input: narrowed client + AVG_VARIABLE/AVG_FIXED (zero when a client
     has no prices) + dummies + endpoint delta (inner), ``churn`` last, rows
     with a NULL label dropped."""
-    block = P.half_year_block(price_tb, None, params)
+    block = P.half_year_block(price_tb, order_cols, params)
     df = client.join(block, "id", "left").withColumns(
         {c: F.coalesce(F.col(c), F.lit(0.0)) for c in P.HALF_YEAR_COLUMNS})
     df = select_columns(df, PREMODEL_KEEP)

@@ -143,7 +143,7 @@ def tuned_job(client: DataFrame, price: DataFrame, order_cols: list[str], params
               out_dir: str | None = None, grid: dict | None = None, folds: int = 5,
               cut_client: bool = True) -> dict[str, DataFrame]:
     client = _cut(client, cut_client)
-    pm = FT.premodel(client, price.select("id", "price_date", *order_cols, *PRICE_COLUMNS), params)
+    pm = FT.premodel(client, price.select("id", "price_date", *order_cols, *PRICE_COLUMNS), params, order_cols=order_cols)
     if out_dir:
         S.write_table(pm, f"{out_dir.rstrip('/')}/premodel")
         pm = pm.sparkSession.read.parquet(f"{out_dir.rstrip('/')}/premodel")

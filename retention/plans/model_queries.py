@@ -3,6 +3,9 @@ rule-score evaluation and forest queries."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from retention.config import DEFAULT
@@ -268,6 +271,7 @@ def q_forest_grid(spark, d):
     cv, table = M.grid_search(train, feats, num_trees=(100,), max_depth=(10, 30), min_leaf=(1, 4),
                               folds=5, seed=DEFAULT.seed)
     best_acc = EV.metrics(M.score(cv.bestModel, test)).first()["accuracy"]
-    top = max(cv.avgMetrics)
-    return table.withColumn("is_best", F.col("accuracy") == F.lit(top)).withColumn(
+    best = table.collect()[max(range(len(cv.avgMetrics)), key=cv.avgMetrics.__getitem__)]     # the first on ties, as bestModel
+    same = [F.col(c) == F.lit(best[c]) for c in table.columns]
+    return table.withColumn("is_best", reduce(and_, same)).withColumn(
         "best_test_accuracy", F.lit(best_acc))

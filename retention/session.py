@@ -66,8 +66,9 @@ def apply_conf(spark: SparkSession, conf: dict) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set. Only when it is unset
-    (local tests) a scratch folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir`` when set. Only in local mode a
+    scratch folder is created and registered where it is unset: on a cluster
+    other machines could not read it.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -76,6 +77,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local_dir = tempfile.mkdtemp(prefix="retention-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local_dir)
     spark.sparkContext.setCheckpointDir(local_dir)

@@ -42,15 +42,25 @@ def parse_dates(df: DataFrame, cols: list[str], fmt: str | None = "yyyy-MM-dd")
     return df.withColumns({c: parse(c) for c in cols})
 
 
-def date_rejects(raw: DataFrame, parsed: DataFrame, cols: list[str], key: str = "id") -> DataFrame:
-    """Count of non-null strings that failed to parse, per date column."""
-    j = raw.select(key, *[F.col(c).alias(f"_raw_{c}") for c in cols]).join(parsed.select(key, *cols), key)
-    return j.agg(*[F.count_if(F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull()).alias(c) for c in cols])
+def date_rejects(raw: DataFrame, cols: list[str], fmt: str | None = "yyyy-MM-dd") -> DataFrame:
+    """Count of non-null strings that fail to parse, per date column, in one pass over the raw table."""
+    parsed = {c: F.try_to_date(F.col(c), fmt) if fmt else F.try_to_date(F.col(c)) for c in cols}
+    return raw.agg(*[F.count_if(F.col(c).isNotNull() & p.isNull()).alias(c) for c, p in parsed.items()])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with an explicit schema."""
-    return clean_nulls(spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path))
+    """Header CSV, columns taken by name and cast to the schema's types.
+
+    Columns may stand in any order; others pass through as strings after the
+    schema's own; a missing one raises.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    names = [f.name for f in schema.fields]
+    if lacking := [n for n in names if n not in raw.columns]:
+        raise ValueError(f"{path} lacks the columns {lacking}")
+    typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+                       *[F.col(f"`{c}`") for c in raw.columns if c not in names])
+    return clean_nulls(typed)
 
 
 def read_client_csv(spark: SparkSession, path: str) -> DataFrame:

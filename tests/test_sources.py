@@ -4,8 +4,10 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from retention.functions.scalars import r6
 from retention.sources import files as S
 
 
@@ -24,7 +26,8 @@ def test_price_csv_tokens_and_dates(spark):
     assert rows["a"]["price_mid_peak_fix"] is None  # NaN -> NULL
     assert rows["MISSING"]["price_date"] is None  # bad date -> NULL, counted below
     raw = S.read_csv(spark, path, S.PRICE_SCHEMA)
-    assert S.date_rejects(raw, df, ["price_date"]).first()["price_date"] == 1
+    assert S.date_rejects(raw.unionByName(raw.where("id = 'MISSING'").withColumn("price_date", F.lit("2015-02-01"))),
+                          ["price_date"]).first()["price_date"] == 1
     out = os.path.join(d, "out")
     S.write_csv(df, out)
     back = spark.read.option("header", True).csv(out)
@@ -37,3 +40,25 @@ def test_write_table_roundtrip(spark):
     S.write_table(df, d + "/t", partition_by=["price_date"])
     back = spark.read.parquet(d + "/t")
     assert back.schema["v"].dataType.typeName() == "double" and back.count() == 1
+
+
+def test_csv_columns_by_name(spark):
+    d = tempfile.mkdtemp(prefix="retention-csv-")
+    path = os.path.join(d, "price.csv")
+    names = ["note", "price_peak_fix", "price_date", "id", "price_off_peak_var", "price_peak_var", "price_mid_peak_var",
+             "price_off_peak_fix", "price_mid_peak_fix"]
+    with open(path, "w") as f:
+        f.write(",".join(names) + "\n" + "x,5.5,2015-01-01,a,0.1,0.2,0.3,0.4,0.5\n")
+    row = S.read_price_csv(spark, path).first()
+    assert (row["id"], row["price_peak_fix"], row["price_off_peak_var"], row["note"]) == ("a", 5.5, 0.1, "x")
+    with open(path, "w") as f:
+        f.write("id,price_date\na,2015-01-01\n")
+    with pytest.raises(ValueError):
+        S.read_price_csv(spark, path)
+
+
+def test_rounding_of_large_values(spark):
+    df = spark.createDataFrame([(1e13,), (9.3e15,), (-2.5e20,), (-0.0000005,), (0.0,), (2.0000005,)], "x double")
+    got = [(r.a, r.b) for r in df.select(r6("x").alias("a"), r6(F.col("x")).alias("b")).collect()]
+    assert got[:3] == [(1e13, 1e13), (9.3e15, 9.3e15), (-2.5e20, -2.5e20)] and got[4] == (0.0, 0.0)
+    assert all(a == b for a, b in got)
