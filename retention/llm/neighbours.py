@@ -47,8 +47,11 @@ def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, penalty: f
 
     The sample lies on a sphere, and the centroids are put back on it: else
     they would lie nearer to each other than vectors to them, and no list
-    would be told apart from its neighbours.
+    would be told apart from its neighbours. Copies of a vector count once, so
+    that a very common one doesn't become many centroids.
     """
+    sample = np.unique(sample, axis=0)
+    sample = sample[np.random.RandomState(0).permutation(len(sample))]
     n_lists = min(n_lists, len(sample))
     centre = sample[np.linspace(0, len(sample) - 1, n_lists).astype(int)].copy()
     load = np.zeros(n_lists)
@@ -69,7 +72,7 @@ def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, penalty: f
         centre[filled] = total[filled] / load[filled, None]
     length = np.sqrt((centre * centre).sum(1, keepdims=True))
     radius = np.sqrt((sample * sample).sum(1).max())
-    return np.where(length > 1e-12, centre / np.maximum(length, 1e-12) * radius, centre).astype(np.float32)
+    return np.unique(np.where(length > 1e-12, centre / np.maximum(length, 1e-12) * radius, centre).astype(np.float32), axis=0)
 
 
 class CentroidGraph:
