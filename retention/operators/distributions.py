@@ -155,12 +155,12 @@ def density(df: DataFrame, col: str, max_bins: int = 50, grid: int = 200, cut: f
     """Density histogram (Freedman-Diaconis bin count, capped) and a
     Gaussian kernel density estimate (Scott's bandwidth) on a fixed grid.
 
-    Returns (hist, kde). The KDE is exact: values are first grouped to
-    (distinct value, weight), each distinct value contributes to the ``grid``
-    evaluation points, and contributions are summed per grid point with
-    map-side partial sums. Work is O(distinct values x grid), spread over tasks.
+    Returns (hist, kde). The KDE is exact: each value contributes to the
+    ``grid`` evaluation points and contributions are summed per point within
+    the task that reads them, so a task shuffles ``grid`` rows. Work is
+    O(values x grid), spread over tasks. Both are empty without values.
     """
-    v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     aggs = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
             F.stddev_samp("v").alias("sd")]
     if not exact:
@@ -168,8 +168,9 @@ def density(df: DataFrame, col: str, max_bins: int = 50, grid: int = 200, cut: f
     s = v.agg(*aggs).first()
     n, lo, hi, sd = s["n"], s["lo"], s["hi"], s["sd"]
     if not n:
-        empty_h = v.limit(0).select(F.lit(0).alias("bin"))
-        return empty_h, empty_h
+        spark = df.sparkSession
+        return (spark.createDataFrame([], "bin int, count bigint, density double, bin_lo double, bin_hi double"),
+                spark.createDataFrame([], "point int, x double, density double"))
     quart = exact_quantiles(v, [], "v", [0.25, 0.75])[""] if exact else s["q"]
     iqr = quart[1] - quart[0]
     width_fd = 2.0 * iqr * n ** (-1.0 / 3.0)
@@ -192,11 +193,10 @@ def density(df: DataFrame, col: str, max_bins: int = 50, grid: int = 200, cut: f
         return hist, kde
     g_lo, g_hi = lo - cut * bw, hi + cut * bw
     step = (g_hi - g_lo) / (grid - 1)
-    weights = v.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    pts = weights.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    pts = v.select("v", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
     x = F.lit(g_lo) + F.col("point") * F.lit(step)
     u = (x - F.col("v")) / F.lit(bw)
-    contrib = F.col("w") * F.exp(F.lit(-0.5) * u * u)
+    contrib = F.exp(F.lit(-0.5) * u * u)
     norm = 1.0 / (n * bw * math.sqrt(2.0 * math.pi))
     kde = (pts.groupBy("point").agg(F.sum(contrib).alias("_s"))
            .select("point", (F.lit(g_lo) + F.col("point") * F.lit(step)).alias("x"),

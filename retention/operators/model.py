@@ -63,6 +63,14 @@ class ForestConfig:
     max_memory_mb: int = 1024
 
 
+def in_fixed_order(df: DataFrame, key: str = "id") -> DataFrame:
+    """Rows by hash of the id, sorted inside each partition: bootstrap samples
+    are drawn per partition and row, so one seed then gives one forest however
+    the input was partitioned (for a given ``spark.sql.shuffle.partitions``)."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key).sortWithinPartitions(key)
+
+
 def forest_pipeline(features: list[str], cfg: ForestConfig) -> Pipeline:
     """M2-M4 estimator: assembler + random forest (gini, bootstrap, sqrt features)."""
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
@@ -80,7 +88,7 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     data = with_label(train, label)
     checkpoint_dir(data.sparkSession)  # node-id cache checkpoints need a shared folder
     if cut_lineage:
-        data = materialize(data.select("id", "label", *features), "forest-train")
+        data = materialize(in_fixed_order(data.select("id", "label", *features)), "forest-train")
     return forest_pipeline(features, cfg).fit(data)
 
 
@@ -115,8 +123,8 @@ def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300)
     depth "None" collapses onto 30 (duplicates are removed).
     Returns (cv_model, table of (num_trees, max_depth, min_leaf, accuracy)).
     """
-    data = materialize(with_folds(with_label(train, label), folds, seed).select(
-        "id", "label", "fold", *features), "forest-cv")
+    data = materialize(in_fixed_order(with_folds(with_label(train, label), folds, seed).select(
+        "id", "label", "fold", *features)), "forest-cv")
     pipe = forest_pipeline(features, ForestConfig(seed=seed))
     rf = pipe.getStages()[-1]
     depths = sorted({min(d, MAX_DEPTH) for d in max_depth})

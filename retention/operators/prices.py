@@ -89,6 +89,13 @@ def window_means(price: DataFrame, params: Params = DEFAULT, keep_all_windows: b
     return out.select(*cols)
 
 
+def ids_in_all_windows(price: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """Ids with at least one row in each window: those that ``window_means`` keeps."""
+    return price.groupBy("id").agg(
+        F.max("price_date").alias("_last")).filter(
+        F.col("_last") > F.lit(max(params.cut_6m, params.cut_3m)).cast("date")).select("id")
+
+
 def window_mean_columns() -> list[str]:
     cols = []
     for w in WINDOWS:

@@ -57,14 +57,25 @@ def add_date_features(df: DataFrame, params: Params = DEFAULT) -> DataFrame:
     })
 
 
-def feature_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
-                  channel_levels: OneHotLevels | None = None,
-                  origin_levels: OneHotLevels | None = None,
-                  drop_channel=(), drop_origin=()) -> DataFrame:
-    """The modelling table of the feature job.
+def merged_clients(client: DataFrame, price: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """The clients of the merged table (prices in all three windows), client columns only.
+
+    The feature job's summaries describe these clients. One narrow aggregate
+    of the price history (id and date), no price column is read.
+    """
+    return client.join(P.ids_in_all_windows(price, params), "id", "left_semi")
+
+
+def engineered_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
+                     channel_levels: OneHotLevels | None = None,
+                     origin_levels: OneHotLevels | None = None,
+                     drop_channel=(), drop_origin=(), min_count: int = 0) -> DataFrame:
+    """The feature job's table before the correlation review drops columns.
 
     Encoders may be passed in already fitted (e.g. fitted on a training
     table); otherwise they are fitted on the client table here.
+    ``drop_channel`` and ``drop_origin`` name levels without a dummy column,
+    ``min_count`` leaves out the dummies of rarer levels.
     """
     feats = P.price_features(price, params)
     client_cols = [c for c in client.columns if c != "churn"]
@@ -76,11 +87,16 @@ def feature_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
     df = df.withColumn("has_gas", recode_flag(F.col("has_gas")))
     if channel_levels is None or origin_levels is None:
         channel_levels, origin_levels = fit_one_hot_many(
-            client, [("channel_sales", "channel", drop_channel), ("origin_up", "origin_up", drop_origin)])
+            client, [("channel_sales", "channel", drop_channel), ("origin_up", "origin_up", drop_origin)],
+            min_count=min_count)
     df = channel_levels.transform(df)
     df = origin_levels.transform(df)
-    df = df.withColumns({c: log10p1(F.col(c)) for c in params.log_columns})
-    return drop_columns(df, CORRELATED_DROP)
+    return df.withColumns({c: log10p1(F.col(c)) for c in params.log_columns})
+
+
+def feature_table(client: DataFrame, price: DataFrame, params: Params = DEFAULT, **encoders) -> DataFrame:
+    """The modelling table of the feature job: ``engineered_table`` without the columns dropped on review."""
+    return drop_columns(engineered_table(client, price, params, **encoders), CORRELATED_DROP)
 
 
 def premodel(client: DataFrame, price_tb: DataFrame, params: Params = DEFAULT,

@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import functions as F
 
 from retention.config import DEFAULT
+from retention.functions.scalars import log10p1
 from retention.operators import evaluate as EV
 from retention.operators import model as M
 from retention.operators import prices as P
@@ -27,7 +28,9 @@ from retention.plans.registry import finish, q, register, round_outer
 from retention.plans.table_queries import (
     ACCOUNT_DTYPES,
     CHANNEL_LEVELS,
+    MERGED_SQL,
     ORIGIN_LEVELS,
+    SKEWED,
     TENURE_SQL,
     _corr_sql,
     _dummy_sql,
@@ -52,10 +55,10 @@ def q_churn_data(spark, d):
     return finish(FT.churn_data(account_view(spark, d), price_view(spark, d)))
 
 
-def feature_table_sql_parts():
-    """(SQL body, output column names, double columns) of the feature table."""
+def feature_table_sql_parts(dropped=FT.CORRELATED_DROP):
+    """(SQL body, output column names, double columns) of the feature table without the columns ``dropped``."""
     dates = set(FT.DATE_COLUMNS)
-    drop = set(FT.CORRELATED_DROP)
+    drop = set(dropped)
     cols, names = [], []
     for c in CLIENT_NO_CHURN:
         if c in dates or c in drop or c in ("channel_sales", "origin_up"):
@@ -93,27 +96,20 @@ def q_feature_table(spark, d):
 
 
 def _feature_corr_sql():
-    body, names, _ = feature_table_sql_parts()
+    body, names, _ = feature_table_sql_parts(dropped=())
     return with_views(_corr_sql(body, [c for c in names if c != "id"]))
 
 
 @register("feature_corr", _feature_corr_sql)
 def q_feature_corr(spark, d):
-    """A15 over the feature job's modelling table, long form."""
-    ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
+    """A15 over the feature job's table, long form, before the review of this result drops columns."""
+    ft = materialize(FT.engineered_table(account_view(spark, d), price_view(spark, d)), "engineered")
     return finish(R.correlation(ft, [c for c in ft.columns if c != "id"]))
 
 
-# Columns the feature job calls skewed, after the log step (forecast_cons_year was dropped) -- fixed values.
-SKEWED_AFTER = ["cons_12m", "cons_gas_12m", "cons_last_month", "forecast_cons_12m", "forecast_discount_energy",
-                "forecast_meter_rent_12m", "forecast_price_energy_off_peak", "forecast_price_energy_peak",
-                "forecast_price_pow_off_peak"]
-
-
-def _describe_skewed_sql():
-    body, _, _ = feature_table_sql_parts()
+def _describe_skewed_sql(body):
     parts = []
-    for c in SKEWED_AFTER:
+    for c in SKEWED:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
             f"SELECT '{c}' AS column_name, count({x}) AS count, avg({x}) AS mean, stddev_samp({x}) AS std, "
@@ -123,11 +119,19 @@ def _describe_skewed_sql():
     return with_views(round_outer(inner, ["mean", "std", "min", "p25", "p50", "p75", "max"]))
 
 
-@register("describe_skewed_log", _describe_skewed_sql)
+@register("describe_skewed_log", lambda: _describe_skewed_sql(feature_table_sql_parts(dropped=())[0]))
 def q_describe_skewed(spark, d):
-    """P3 on the skewed columns after the log step."""
-    ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
-    return finish(PR.describe(ft, SKEWED_AFTER))
+    """P3 on the skewed columns of the merged table after the log step."""
+    merged = FT.merged_clients(account_view(spark, d), price_view(spark, d))
+    logs = [log10p1(F.col(c)).alias(c) if c in DEFAULT.log_columns else F.col(c) for c in SKEWED]
+    return finish(PR.describe(materialize(merged.select(*logs), "skewed-log"), SKEWED))
+
+
+@register("describe_skewed_raw", lambda: _describe_skewed_sql(f"SELECT * FROM {MERGED_SQL} m"))
+def q_describe_skewed_raw(spark, d):
+    """P3 on the skewed columns of the merged table before the log step."""
+    merged = FT.merged_clients(account_view(spark, d), price_view(spark, d))
+    return finish(PR.describe(materialize(merged.select(*SKEWED), "skewed-raw"), SKEWED))
 
 
 PREMODEL_DOUBLES = ["cons_12m", "cons_gas_12m", "cons_last_month", "forecast_discount_energy",
@@ -150,7 +154,9 @@ def q_premodel(spark, d):
 
 
 def _premodel(spark, d):
-    return FT.premodel(account_view(spark, d), price_view(spark, d, with_tiebreak=True))
+    # the joined price rows feed the half-year block and the endpoint delta: join them once
+    price = materialize(price_view(spark, d, with_tiebreak=True), "price-rows")
+    return FT.premodel(account_view(spark, d), price)
 
 
 # ---------------------------------------------------------------- split and rule score
@@ -165,6 +171,15 @@ def q_hash_split(spark, d):
     return M.with_split(account_view(spark, d).select("id"), DEFAULT.test_share_rf, DEFAULT.seed)
 
 
+@register("hash_split_fe", lambda: with_views(
+    f"SELECT id, CASE WHEN {_bucket_sql('id', DEFAULT.seed)} < {int(round(DEFAULT.test_share_fe * 10000))} "
+    f"THEN 'test' ELSE 'train' END AS split FROM {MERGED_SQL} m"))
+def q_hash_split_fe(spark, d):
+    """M1: the feature job's 75/25 split of the merged clients."""
+    merged = FT.merged_clients(account_view(spark, d), price_view(spark, d))
+    return M.with_split(merged.select("id"), DEFAULT.test_share_fe, DEFAULT.seed)
+
+
 # Deterministic rule used to test the evaluation operators without a model.
 RULE_SQL = "CAST(CASE WHEN nb_prod_act < 10 THEN 1.0 ELSE 0.0 END AS DOUBLE)"
 
@@ -223,7 +238,7 @@ def q_test_labels(spark, d):
 
 # ---------------------------------------------------------------- forests (rows-only checks)
 def _rf_data(spark, d):
-    pm = _premodel(spark, d)
+    pm = materialize(_premodel(spark, d), "premodel")
     train, test = M.split(pm, DEFAULT.test_share_rf, DEFAULT.seed)
     return pm, train, test, M.feature_columns(pm)
 
@@ -254,22 +269,82 @@ def q_forest_tuned(spark, d):
 @register("forest_importance")
 def q_forest_importance(spark, d):
     """M9 on the feature job's table: 1000 trees, 75/25 split."""
-    ft = FT.feature_table(account_view(spark, d), price_view(spark, d))
-    train, _ = M.split(ft, DEFAULT.test_share_fe, DEFAULT.seed)
-    feats = M.feature_columns(ft)
-    model = M.fit_forest(train, feats, M.ForestConfig(num_trees=1000, seed=DEFAULT.seed))
+    model, _, feats = _fe_forest(spark, d)
     return M.importances(model, feats)
 
 
+def _fe_forest(spark, d):
+    """M2: 1000 trees on the feature job's table, 75/25 split; (model, test rows, features)."""
+    ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
+    train, test = M.split(ft, DEFAULT.test_share_fe, DEFAULT.seed)
+    feats = M.feature_columns(ft)
+    return M.fit_forest(train, feats, M.ForestConfig(num_trees=1000, seed=DEFAULT.seed)), test, feats
+
+
+@register("forest_fe_metrics")
+def q_forest_fe_metrics(spark, d):
+    """M2 + M7 + M8: metrics of the 1000-tree forest on its 25 % test rows."""
+    model, test, _ = _fe_forest(spark, d)
+    return EV.metrics(M.score(model, test))
+
+
+# What must hold of any fitted forest, with an SQL twin for the rows it must hold of.
+def _test_rows_sql(body: str, share: float) -> str:
+    return (f"SELECT id, CAST(churn AS DOUBLE) AS label FROM ({body}) t "
+            f"WHERE {_bucket_sql('id', DEFAULT.seed)} < {int(round(share * 10000))}")
+
+
+@register("forest_scores_check", lambda: with_views(
+    "SELECT id, label, true AS is_class, true AS is_probability, true AS follows_probability "
+    f"FROM ({_test_rows_sql(premodel_sql_body(), DEFAULT.test_share_rf)}) s"))
+def q_forest_scores_check(spark, d):
+    """M3 + M5 + M6: exactly the split's test rows are scored, with a class that follows the probability."""
+    p, yes = F.col("prediction"), F.col("churn_probability")
+    return q_forest_scores(spark, d).select(
+        "id", "label", p.isin(0.0, 1.0).alias("is_class"), yes.between(0.0, 1.0).alias("is_probability"),
+        ((p == 1.0) == (yes > 0.5)).alias("follows_probability"))
+
+
+def _metrics_check(metrics):
+    n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    return metrics.select(n.alias("n_rows"), (F.col("fn") + F.col("tp")).alias("n_positive"),
+                          (F.abs(F.col("accuracy") * n - F.col("tp") - F.col("tn")) < 1e-6).alias("accuracy_holds"))
+
+
+def _metrics_check_sql(body: str, share: float) -> str:
+    return with_views("SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_positive, true AS accuracy_holds "
+                      f"FROM ({_test_rows_sql(body, share)}) s")
+
+
+@register("forest_tuned_check", lambda: _metrics_check_sql(premodel_sql_body(), DEFAULT.test_share_rf))
+def q_forest_tuned_check(spark, d):
+    """M4 + M7 + M8: the tuned forest's confusion counts cover the test rows and their labels."""
+    return _metrics_check(q_forest_tuned(spark, d))
+
+
+@register("forest_fe_check", lambda: _metrics_check_sql(feature_table_sql_parts()[0], DEFAULT.test_share_fe))
+def q_forest_fe_check(spark, d):
+    """M2 + M7 + M8: the same for the 1000-tree forest."""
+    return _metrics_check(q_forest_fe_metrics(spark, d))
+
+
+@register("forest_importance_check", lambda: "SELECT unnest([" + ", ".join(
+    f"'{c}'" for c in feature_table_sql_parts()[1] if c not in ("id", "churn")) + "]) AS features, "
+    "true AS in_range, true AS sum_is_one")
+def q_forest_importance_check(spark, d):
+    """M9 + E6 + D7: one importance in [0, 1] for each feature column, one in sum."""
+    imp = q_forest_importance(spark, d)
+    total = imp.agg(F.sum("importance")).first()[0]
+    return imp.select("features", F.col("importance").between(0.0, 1.0).alias("in_range"),
+                      F.lit(abs(total - 1.0) < 1e-9).alias("sum_is_one"))
+
+
 @register("forest_grid")
 def q_forest_grid(spark, d):
-    """M10 + M11 with the blueprint's fixed small grid (100 trees x depth {10, 30}
-    x leaf {1, 4}, 5 hash folds, accuracy) and the refit best model's test
-    accuracy. ``jobs.tuned_job`` runs the reference's full grid (27 Spark
-    settings x 5 folds, ~5 min at sf0.01)."""
+    """M10 + M11: the full grid (27 settings x 5 hash folds, accuracy), the
+    best setting and the refit best model's test accuracy."""
     _, train, test, feats = _rf_data(spark, d)
-    cv, table = M.grid_search(train, feats, num_trees=(100,), max_depth=(10, 30), min_leaf=(1, 4),
-                              folds=5, seed=DEFAULT.seed)
+    cv, table = M.grid_search(train, feats, folds=5, seed=DEFAULT.seed)
     best_acc = EV.metrics(M.score(cv.bestModel, test)).first()["accuracy"]
     best = table.collect()[max(range(len(cv.avgMetrics)), key=cv.avgMetrics.__getitem__)]     # the first on ties, as bestModel
     same = [F.col(c) == F.lit(best[c]) for c in table.columns]

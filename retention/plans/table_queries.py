@@ -4,7 +4,9 @@ queries with their SQL oracles (DuckDB dialect)."""
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.config import DEFAULT
@@ -38,6 +40,10 @@ ACCOUNT_NUMERIC = [c for c, t in ACCOUNT_DTYPES if t in ("double", "bigint", "in
 CONSUMPTION = ["cons_12m", "cons_gas_12m", "cons_last_month", "imp_cons"]
 FORECAST = ["forecast_cons_12m", "forecast_cons_year", "forecast_discount_energy", "forecast_meter_rent_12m",
             "forecast_price_energy_off_peak", "forecast_price_energy_peak", "forecast_price_pow_off_peak"]
+# Columns the feature job calls skewed (described before and after the log step) -- fixed values.
+SKEWED = ["cons_12m", "cons_gas_12m", "cons_last_month", "forecast_cons_12m", "forecast_cons_year",
+          "forecast_discount_energy", "forecast_meter_rent_12m", "forecast_price_energy_off_peak",
+          "forecast_price_energy_peak", "forecast_price_pow_off_peak"]
 HIST_ALL = ["cons_12m", "cons_last_month", "imp_cons"] + FORECAST
 # Category levels of the mapped test data (TPC-H segments and regions) -- fixed values.
 CHANNEL_LEVELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -48,11 +54,29 @@ def _acct(spark, d):
     return account_view(spark, d)
 
 
-def _client_table(spark, d):
-    """The client view written once to the checkpoint folder: operators that
-    make several passes (quantile selection, bounds then counts) re-read a
-    stored table instead of recomputing the order/line aggregates each time."""
-    return materialize(account_view(spark, d), "client")
+def _client_table(spark, d, cols, where=None):
+    """The needed columns and rows of the client view, written once to the
+    checkpoint folder: operators that make several passes (quantile selection,
+    bounds then counts) re-read a stored table instead of recomputing the
+    order/line aggregates each time."""
+    a = account_view(spark, d)
+    return materialize((a if where is None else a.filter(where)).select(*cols), "client")
+
+
+def _price_table(spark, d):
+    """The six price columns written once, for operators that make several passes."""
+    return materialize(price_view(spark, d).select(*PRICE_COLUMNS), "price")
+
+
+def _merged(spark, d):
+    """Clients of the feature job's merged table (prices in all three windows)."""
+    return FT.merged_clients(account_view(spark, d), price_view(spark, d))
+
+
+# The same clients in SQL.
+MERGED_SQL = ("(SELECT * FROM account WHERE id IN (SELECT id FROM price GROUP BY id "
+              f"HAVING count(*) FILTER (WHERE price_date > DATE '{DEFAULT.cut_6m}') > 0 "
+              f"AND count(*) FILTER (WHERE price_date > DATE '{DEFAULT.cut_3m}') > 0))")
 
 
 def _price(spark, d):
@@ -102,12 +126,12 @@ def _describe_sql(table, cols):
 
 @register("profile_describe_account", lambda: _describe_sql("account", ACCOUNT_NUMERIC))
 def q_describe_account(spark, d):
-    return finish(PR.describe(_client_table(spark, d), ACCOUNT_NUMERIC))
+    return finish(PR.describe(_client_table(spark, d, ACCOUNT_NUMERIC), ACCOUNT_NUMERIC))
 
 
 @register("profile_describe_price", lambda: _describe_sql("price", PRICE_COLUMNS))
 def q_describe_price(spark, d):
-    return finish(PR.describe(_price(spark, d), PRICE_COLUMNS))
+    return finish(PR.describe(_price_table(spark, d), PRICE_COLUMNS))
 
 
 def _nulls_sql(table, dtypes):
@@ -128,15 +152,15 @@ def q_nulls_price(spark, d):
 
 
 @register("value_counts_channel", lambda: with_views(
-    "SELECT channel_sales, count(*) AS count FROM account WHERE channel_sales IS NOT NULL GROUP BY channel_sales"))
+    f"SELECT channel_sales, count(*) AS count FROM {MERGED_SQL} m WHERE channel_sales IS NOT NULL GROUP BY channel_sales"))
 def q_vc_channel(spark, d):
-    return PR.value_counts(_acct(spark, d), "channel_sales")
+    return PR.value_counts(_merged(spark, d), "channel_sales")
 
 
 @register("value_counts_origin", lambda: with_views(
-    "SELECT origin_up, count(*) AS count FROM account WHERE origin_up IS NOT NULL GROUP BY origin_up"))
+    f"SELECT origin_up, count(*) AS count FROM {MERGED_SQL} m WHERE origin_up IS NOT NULL GROUP BY origin_up"))
 def q_vc_origin(spark, d):
-    return PR.value_counts(_acct(spark, d), "origin_up")
+    return PR.value_counts(_merged(spark, d), "origin_up")
 
 
 @register("value_counts_price_date", lambda: with_views(
@@ -162,7 +186,8 @@ def q_preview_price(spark, d):
 
 @register("preview_account", lambda: with_views("SELECT * FROM account ORDER BY id LIMIT 5"))
 def q_preview_account(spark, d):
-    return PR.preview(_acct(spark, d), ["id"], 5)
+    # the five clients first, so that only their orders and lines are aggregated
+    return PR.preview(account_view(spark, d, first_clients=5), ["id"], 5)
 
 
 # ---------------------------------------------------------------- shares and rates
@@ -197,18 +222,18 @@ def _months_sql(col, negate=False):
 
 
 @register("churn_by_tenure", lambda: with_views(round_outer(
-    f"SELECT tenure, avg(CAST(churn AS DOUBLE)) AS churn FROM (SELECT {TENURE_SQL} AS tenure, churn FROM account) t "
+    f"SELECT tenure, avg(CAST(churn AS DOUBLE)) AS churn FROM (SELECT {TENURE_SQL} AS tenure, churn FROM {MERGED_SQL} m) t "
     "GROUP BY tenure", ["churn"])))
 def q_churn_by_tenure(spark, d):
-    a = _acct(spark, d).withColumn("tenure", tenure_years(F.col("date_end"), F.col("date_activ")))
+    a = _merged(spark, d).withColumn("tenure", tenure_years(F.col("date_end"), F.col("date_activ")))
     return finish(R.rate_by(a, "tenure"))
 
 
 @register("churn_by_gas", lambda: with_views(round_outer(
     "SELECT has_gas, avg(CAST(churn AS DOUBLE)) AS churn FROM (SELECT CASE WHEN has_gas = 't' THEN 1 "
-    "WHEN has_gas = 'f' THEN 0 END AS has_gas, churn FROM account) t GROUP BY has_gas", ["churn"])))
+    f"WHEN has_gas = 'f' THEN 0 END AS has_gas, churn FROM {MERGED_SQL} m) t GROUP BY has_gas", ["churn"])))
 def q_churn_by_gas(spark, d):
-    a = _acct(spark, d).withColumn("has_gas", recode_flag(F.col("has_gas")))
+    a = _merged(spark, d).withColumn("has_gas", recode_flag(F.col("has_gas")))
     return finish(R.rate_by(a, "has_gas"))
 
 
@@ -246,6 +271,19 @@ def q_one_hot(spark, d):
     return fit_one_hot(a, "origin_up", "origin_up").transform(a)
 
 
+# Levels without a dummy column, and the count below which a level gets none -- fixed values.
+DROPPED_CHANNELS = ["FURNITURE"]
+
+
+@register("one_hot_dropped", lambda: with_views(
+    "SELECT id, " + ", ".join(_dummy_sql("channel_sales", "channel", [v for v in CHANNEL_LEVELS if v not in DROPPED_CHANNELS]))
+    + " FROM account"))
+def q_one_hot_dropped(spark, d):
+    """Chosen dummies left out."""
+    a = _acct(spark, d).select("id", "channel_sales")
+    return fit_one_hot(a, "channel_sales", "channel", drop_levels=DROPPED_CHANNELS).transform(a)
+
+
 # ---------------------------------------------------------------- distributions
 def _box_sql(cols):
     parts = []
@@ -266,7 +304,8 @@ def _box_sql(cols):
 
 @register("box_stats", lambda: _box_sql(CONSUMPTION + FORECAST))
 def q_box_stats(spark, d):
-    return finish(D.box_stats(_client_table(spark, d), CONSUMPTION + FORECAST, by="churn"))
+    cols = CONSUMPTION + FORECAST
+    return finish(D.box_stats(_client_table(spark, d, ["churn", *cols]), cols, by="churn"))
 
 
 def _hist_sql(table, cols, bins, by=None, where=""):
@@ -288,23 +327,23 @@ def _hist_sql(table, cols, bins, by=None, where=""):
 
 @register("hist_by_churn", lambda: _hist_sql("account", HIST_ALL, DEFAULT.hist_bins, "churn"))
 def q_hist_by_churn(spark, d):
-    return finish(D.histogram(_client_table(spark, d), HIST_ALL, DEFAULT.hist_bins, by="churn"))
+    return finish(D.histogram(_client_table(spark, d, ["churn", *HIST_ALL]), HIST_ALL, DEFAULT.hist_bins, by="churn"))
 
 
 @register("hist_gas_by_churn", lambda: _hist_sql("account", ["cons_gas_12m"], DEFAULT.hist_bins, "churn",
                                                   where="WHERE has_gas = 't'"))
 def q_hist_gas(spark, d):
-    a = _client_table(spark, d).filter(F.col("has_gas") == "t")
+    a = _client_table(spark, d, ["churn", "cons_gas_12m"], F.col("has_gas") == "t")
     return finish(D.histogram(a, ["cons_gas_12m"], DEFAULT.hist_bins, by="churn"))
 
 
 @register("hist_price", lambda: _hist_sql("price", PRICE_COLUMNS, DEFAULT.price_bins))
 def q_hist_price(spark, d):
-    return finish(D.histogram(_price(spark, d), PRICE_COLUMNS, DEFAULT.price_bins))
+    return finish(D.histogram(_price_table(spark, d), PRICE_COLUMNS, DEFAULT.price_bins))
 
 
-def _density_stats_sql(expr):
-    v = f"SELECT {expr} AS v FROM account WHERE {expr} IS NOT NULL"
+def _density_stats_sql(expr, where):
+    v = f"SELECT {expr} AS v FROM {MERGED_SQL} m WHERE {expr} IS NOT NULL AND {where}"
     return (f"WITH v AS ({v}), s AS (SELECT count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) AS sd, "
             "quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM v), "
             "k AS (SELECT n, lo, hi, sd, CASE WHEN 2.0 * (q3 - q1) * pow(n, -1.0 / 3.0) > 0 AND hi > lo "
@@ -312,44 +351,51 @@ def _density_stats_sql(expr):
             "ELSE 1 END AS nb, sd * pow(n, -0.2) AS bw FROM s)")
 
 
-DENSITY_EXPR = _log_sql("cons_12m")
+# Columns of the density plots (after the log step) with the rows they take -- fixed values.
+DENSITIES = [("cons_12m", "true"), ("cons_gas_12m", "has_gas = 't'"), ("cons_last_month", "true")]
+
+
+def _density_union_sql(one, doubles):
+    parts = [f"SELECT '{c}' AS column_name, * FROM ({one(_density_stats_sql(_log_sql(c), where))}) d" for c, where in DENSITIES]
+    return with_views(round_outer(" UNION ALL ".join(parts), doubles))
 
 
 def _density_hist_sql():
-    body = (_density_stats_sql(DENSITY_EXPR) + " SELECT bin, count(*) AS count, "
+    return _density_union_sql(lambda stats: (
+            stats + " SELECT bin, count(*) AS count, "
             "count(*) / (max(k.n) * ((max(k.hi) - max(k.lo)) / max(k.nb))) AS density, "
             "max(k.lo) + bin * ((max(k.hi) - max(k.lo)) / max(k.nb)) AS bin_lo, "
             "max(k.lo) + (bin + 1) * ((max(k.hi) - max(k.lo)) / max(k.nb)) AS bin_hi FROM ("
             "SELECT CAST(least(k.nb - 1, floor((v.v - k.lo) * CAST(k.nb AS DOUBLE) / (k.hi - k.lo))) AS INTEGER) AS bin "
-            "FROM v, k) b, k GROUP BY bin")
-    return with_views(round_outer(body, ["density", "bin_lo", "bin_hi"]))
+            "FROM v, k) b, k GROUP BY bin"), ["density", "bin_lo", "bin_hi"])
 
 
 def _density_kde_sql():
-    body = (_density_stats_sql(DENSITY_EXPR) + ", g AS (SELECT range AS point FROM range(200)), "
+    return _density_union_sql(lambda stats: (
+            stats + ", g AS (SELECT range AS point FROM range(200)), "
             "w AS (SELECT v, count(*) AS w FROM v GROUP BY v) "
             "SELECT g.point, (k.lo - 3.0 * k.bw) + g.point * (((k.hi + 3.0 * k.bw) - (k.lo - 3.0 * k.bw)) / 199) AS x, "
             "sum(w.w * exp(-0.5 * (((k.lo - 3.0 * k.bw) + g.point * (((k.hi + 3.0 * k.bw) - (k.lo - 3.0 * k.bw)) / 199) - w.v) / k.bw) "
             "* (((k.lo - 3.0 * k.bw) + g.point * (((k.hi + 3.0 * k.bw) - (k.lo - 3.0 * k.bw)) / 199) - w.v) / k.bw))) "
             f"* (1.0 / (k.n * k.bw * {math.sqrt(2.0 * math.pi)!r})) AS density "
-            "FROM g, w, k GROUP BY g.point, k.lo, k.hi, k.bw, k.n")
-    return with_views(round_outer(body, ["x", "density"]))
+            "FROM g, w, k GROUP BY g.point, k.lo, k.hi, k.bw, k.n"), ["x", "density"])
 
 
-def _log_cons(spark, d):
-    return _client_table(spark, d).select(log10p1(F.col("cons_12m")).alias("cons_12m"))
+def _densities(spark, d, which):
+    logs = [log10p1(F.col(c)).alias(c) for c, _ in DENSITIES]
+    stored = materialize(_merged(spark, d).select("has_gas", *logs), "density")
+    parts = [D.density(stored.filter(where), c)[which].select(F.lit(c).alias("column_name"), "*") for c, where in DENSITIES]
+    return finish(reduce(DataFrame.unionByName, parts))
 
 
 @register("density_hist", _density_hist_sql)
 def q_density_hist(spark, d):
-    hist, _ = D.density(_log_cons(spark, d), "cons_12m")
-    return finish(hist)
+    return _densities(spark, d, 0)
 
 
 @register("density_kde", _density_kde_sql)
 def q_density_kde(spark, d):
-    _, kde = D.density(_log_cons(spark, d), "cons_12m")
-    return finish(kde)
+    return _densities(spark, d, 1)
 
 
 # ---------------------------------------------------------------- correlation

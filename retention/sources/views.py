@@ -26,27 +26,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | No
     return df.select(*cols) if cols else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-partitioned scan over the available cores.
-
-    A Parquet file with a single row group is read by one task, and every
-    operator before the first exchange would run in that task. When the scan
-    has fewer partitions than ``defaultParallelism`` it is repartitioned; at
-    cluster scale (thousands of splits) this is a no-op.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the plan as it is
-        return df
-    return df.repartition(target) if parts < target else df
-
-
 def price_view(spark: SparkSession, sf_dir: str, with_tiebreak: bool = False) -> DataFrame:
     """Price history: id, price_date + six prices (+ tie-break columns)."""
-    li = spread(read_table(spark, sf_dir, "lineitem",
-                           ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                            "l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+    li = read_table(spark, sf_dir, "lineitem",
+                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
     cols = [
@@ -64,20 +48,28 @@ def price_view(spark: SparkSession, sf_dir: str, with_tiebreak: bool = False) ->
     return joined.select(*cols)
 
 
-def account_view(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> DataFrame:
+def account_view(spark: SparkSession, sf_dir: str, params: Params = DEFAULT,
+                 first_clients: int | None = None) -> DataFrame:
     """Client table: one row per customer, 25 logical columns.
 
     Line items are pre-aggregated per order before the join to orders (the
     per-order aggregate and the orders scan share the order-key exchange),
     then orders are aggregated per customer, so no count-distinct is needed.
     Doubles are rounded with ``r6`` so both engines see identical inputs.
+    ``first_clients`` keeps only that many clients, those of the smallest ids
+    (a preview), before anything is aggregated.
     """
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
-    li = spread(read_table(spark, sf_dir, "lineitem",
-                           ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]))
+    if first_clients is not None:
+        cust = cust.orderBy("c_custkey").limit(first_clients)
+        orders = orders.join(cust.select("c_custkey"), orders.o_custkey == cust.c_custkey, "left_semi")
+    li = read_table(spark, sf_dir, "lineitem",
+                    ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"])
+    if first_clients is not None:
+        li = li.join(orders.select("o_orderkey"), li.l_orderkey == orders.o_orderkey, "left_semi")
 
     per_order = li.groupBy("l_orderkey").agg(
         F.sum("l_extendedprice").alias("ext"),
