@@ -82,10 +82,7 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 50, by: str | None = N
                          (lo + (F.col("bin") + 1) * width).alias("bin_hi"))
 
 
-MAX_GROUPS = 100_000
-
-
-def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool, accuracy: int):
+def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool, accuracy: int, max_groups: int):
     """Unpivoted rows and the per-(column, class) statistics as local rows
     (one row per group: n, min, max, q1, median, q3)."""
     keep = [by] if by else []
@@ -93,10 +90,15 @@ def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool,
         keep, cols, "column_name", "value").filter(F.col("value").isNotNull())
     base = [F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max")]
     names = ["column_name", *keep, "n", "min", "max", "q1", "median", "q3"]
+
+    def collected(groups):
+        rows = groups.limit(max_groups + 1).collect()
+        if len(rows) > max_groups:
+            raise ValueError(f"more than {max_groups} (column, class) groups: not a box plot")
+        return rows
+
     if exact:
-        rows = long.groupBy("column_name", *keep).agg(*base).limit(MAX_GROUPS + 1).collect()
-        if len(rows) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} (column, class) groups: not a box plot")
+        rows = collected(long.groupBy("column_name", *keep).agg(*base))
         qs = exact_quantiles(long, ["column_name", *keep], "value", [0.25, 0.5, 0.75],
                              base=[{**r.asDict(), "_n": r["n"], "_lo": r["min"], "_hi": r["max"]} for r in rows])
         keys = ["column_name", *keep]
@@ -109,11 +111,11 @@ def _quartile_stats(df: DataFrame, cols: list[str], by: str | None, exact: bool,
     q = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
     stats = long.groupBy("column_name", *keep).agg(q.alias("_q"), *base).select(
         "*", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    return long, [r.asDict() for r in stats.select(*names).collect()]
+    return long, [r.asDict() for r in collected(stats.select(*names))]
 
 
 def box_stats(df: DataFrame, cols: list[str], by: str | None = "churn", whisker: float = 1.5,
-              exact: bool = True, accuracy: int = 10000) -> DataFrame:
+              exact: bool = True, accuracy: int = 10000, max_groups: int = 100_000) -> DataFrame:
     """Box-plot statistics of each column per class.
 
     Pass 1: n, min and max per (column, class); then the exact quartiles
@@ -121,12 +123,12 @@ def box_stats(df: DataFrame, cols: list[str], by: str | None = "churn", whisker:
     extreme values inside [q1 - 1.5 iqr, q3 + 1.5 iqr]) and the outlier count.
 
     The statistics have one row per (column, class) and are held as local rows
-    (their number is checked, ``MAX_GROUPS``), so they are broadcast to the
+    (more than ``max_groups`` raise), so they are broadcast to the
     rows: joining on a handful of keys with a shuffle would send each group to
     one task. Pass 2 then aggregates with map-side partials like any groupBy.
     """
     keep = [by] if by else []
-    long, rows = _quartile_stats(df, cols, by, exact, accuracy)
+    long, rows = _quartile_stats(df, cols, by, exact, accuracy, max_groups)
     spark = df.sparkSession
     by_type = dict(df.dtypes).get(by, "string") if by else None
     names = ["column_name", *keep, "n", "min", "q1", "median", "q3", "max"]

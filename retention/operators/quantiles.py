@@ -3,26 +3,31 @@ group in one task.
 
 For each group and probability p the values at 0-based ranks
 r0 = floor(p (n - 1)) and r1 = min(r0 + 1, n - 1) are needed. The search
-keeps, per (group, p), a value bracket [lo, hi] known to contain both ranks
-and the exact number of values below it:
-
-1. while a bracket holds more than ``max_bracket`` rows (1M), one pass asks
-   ``percentile_approx`` for the bracket's own quantiles around the targets
-   and a second pass counts exactly how many values fall below / inside the
-   proposed narrower bracket; it is accepted only if both targets stay inside;
-2. the rows inside the final brackets are grouped to (value, count), ranked
-   with a window partitioned by (group, bracket) -- a partition is at most
-   one bracket -- and the rows holding the target ranks are read off.
-
-Brackets live in a small local table (one row per group and bracket, size
-known on the driver) that is broadcast-joined to the rows; every pass is a
-groupBy with map-side partial aggregation, and only per-group scalars
-(groups x probabilities) reach the driver.
+keeps, per (group, rank), a value bracket [lo, hi] that holds the rank and the
+exact number of values below it:
+
+1. while a bracket has lo < hi and holds more than ``max_bracket`` rows, a
+   narrower one inside it is proposed and one pass counts exactly how many of
+   its rows lie below, inside and above the proposal; the part that holds the
+   rank becomes the new bracket. Proposals come from ``percentile_approx``
+   around the rank; where the last one took away less than half of the rows
+   (heavy ties, a sketch that missed) the lower half of the bracket's doubles
+   is proposed instead. Each round shrinks every open bracket, so the search
+   ends: at the latest when lo = hi, a value that needs no ranking;
+2. the rows inside the final brackets with lo < hi are grouped to (value,
+   count), ranked with a window partitioned by (group, bracket) -- a partition
+   is at most ``max_bracket`` rows -- and the rows holding the ranks are read off.
+
+Brackets live in a small local table (one row per group and rank, at most
+``max_groups`` groups, a larger number raises) that is broadcast-joined to the
+rows; every pass is a groupBy with map-side partial aggregation, and only
+per-group scalars reach the driver.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -58,136 +63,144 @@ def _attach(data: DataFrame, keys: list[str], key_types: dict, entries: list[dic
     return joined.filter(inside).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
+def group_bounds(data: DataFrame, keys: list[str], max_groups: int) -> list:
+    """Count, minimum and maximum of ``_v`` per group, as local rows; raises on more than ``max_groups``."""
+    rows = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
+                                   F.max("_v").alias("_hi")).limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups: use an approximate quantile per group")
+    return rows
+
+
+def _values(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    v = F.col(value).cast("double")
+    return df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    max_bracket: int = 1_000_000, accuracy: int = 10000, max_rounds: int = 8,
+                    max_bracket: int = 1_000_000, accuracy: int = 10000, max_groups: int = 100_000,
                     base: list | None = None) -> dict:
     """Return {group key string: [q(p) for p in probs]} for non-empty groups.
 
-    ``df`` holds ``keys`` and a numeric ``value`` column; NULL values are ignored.
+    ``df`` holds ``keys`` and a numeric ``value`` column; NULL and NaN are ignored.
     Group key strings join ``str`` of the key values with U+0001.
     ``base`` may carry per-group rows (mappings with the key columns, ``_n``,
     ``_lo``, ``_hi``) that the caller already aggregated, saving one pass.
     """
-    data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    data = _values(df, keys, value)
     key_types = {f.name: f.dataType.simpleString() for f in data.schema.fields if f.name in keys}
     if base is None:
-        base = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                                       F.max("_v").alias("_hi")).collect()
-    groups = {}
+        base = group_bounds(data, keys, max_groups)
+    places, state = {}, {}
     for r in base:
-        if r["_n"]:
-            groups[_key_of(r, keys)] = (tuple(r[k] for k in keys), r)
-    state = {}
-    for g, (kv, r) in groups.items():
         n = r["_n"]
-        for i, p in enumerate(probs):
-            pos = p * (n - 1)
-            r0 = int(math.floor(pos))
-            state[(g, i)] = {"keys": kv, "lo": float(r["_lo"]), "hi": float(r["_hi"]), "below": 0,
-                             "r0": r0, "r1": min(r0 + 1, n - 1), "frac": pos - r0, "m": n}
-    if not state:
-        return {}
-    for _ in range(max_rounds):
-        open_ = {k: s for k, s in state.items() if s["m"] > max_bracket and not s.get("stuck")}
-        if not open_:
-            break
+        if not n:
+            continue
+        g = _key_of(r, keys)
+        for p in probs:
+            at = p * (n - 1)
+            r0 = int(math.floor(at))
+            r1 = min(r0 + 1, n - 1)
+            places.setdefault(g, []).append((r0, r1, at - r0))
+            for rank in (r0, r1):
+                state[(g, rank)] = {"keys": tuple(r[k] for k in keys), "lo": float(r["_lo"]), "hi": float(r["_hi"]),
+                                    "below": 0, "m": n, "halve": False}
+    while open_ := {k: s for k, s in state.items() if s["m"] > max_bracket and s["lo"] < s["hi"]}:
         _narrow(data, keys, key_types, open_, accuracy)
-    return _finish(data, keys, key_types, state, probs)
+    found = _rank(data, keys, key_types, state)
+    return {g: [found[(g, r0)] + (found[(g, r1)] - found[(g, r0)]) * frac if frac else found[(g, r0)]
+                for r0, r1, frac in triples] for g, triples in places.items()}
+
+
+def _ordinal(x: float) -> int:
+    """Integers in the order of the doubles."""
+    bits = struct.unpack("<q", struct.pack("<d", x + 0.0))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
+
+
+def _double(i: int) -> float:
+    x = struct.unpack("<d", struct.pack("<q", abs(i)))[0]
+    return x if i >= 0 else -x
+
+
+def _numbered(states: dict) -> tuple[dict, dict]:
+    """A number per different bracket of a group, and {(group, number): ranks}."""
+    number, ranks = {}, {}
+    for (g, rank), s in states.items():
+        of_group = number.setdefault(g, {})
+        i = of_group.setdefault((s["lo"], s["hi"]), len(of_group))
+        ranks.setdefault((g, i), []).append(rank)
+    return number, ranks
 
 
 def _narrow(data: DataFrame, keys: list[str], key_types: dict, open_: dict, accuracy: int) -> None:
+    """One round: every open bracket becomes strictly narrower and keeps its rank."""
     eps = 3.0 / accuracy  # three times the sketch's rank error
-    rel = {}
-    for k, s in open_.items():
-        span = max(s["m"] - 1, 1)
-        rel[k] = (max(0.0, (s["r0"] - s["below"]) / span - eps), min(1.0, (s["r1"] - s["below"]) / span + eps))
-    plist = sorted({x for ab in rel.values() for x in ab})
-    at = {x: j for j, x in enumerate(plist)}
-    entries = [{"keys": s["keys"], "_pi": i, "_blo": s["lo"], "_bhi": s["hi"]} for (g, i), s in open_.items()]
-    rows = _attach(data, keys, key_types, entries, {})
-    sketch = rows.groupBy(*keys, "_pi").agg(F.percentile_approx("_v", plist, accuracy).alias("_q")).collect()
-    prop = {}
-    for r in sketch:
-        k = (_key_of(r, keys), r["_pi"])
-        if k in open_:
-            a, b = rel[k]
-            s = open_[k]
-            prop[k] = (r["_q"][at[a]] if a > 0.0 else s["lo"], r["_q"][at[b]] if b < 1.0 else s["hi"])
-    if not prop:
-        return
-    entries = [{"keys": open_[k]["keys"], "_pi": k[1], "_blo": open_[k]["lo"], "_bhi": open_[k]["hi"],
-                "_nlo": v[0], "_nhi": v[1]} for k, v in prop.items()]
+    proposal = {k: (s["lo"], _double((_ordinal(s["lo"]) + _ordinal(s["hi"])) // 2)) for k, s in open_.items()}
+    sketched = {k: s for k, s in open_.items() if not s["halve"]}
+    if sketched:
+        around = {k: ((k[1] - s["below"]) / (s["m"] - 1) - eps, (k[1] - s["below"]) / (s["m"] - 1) + eps)
+                  for k, s in sketched.items()}
+        probs = sorted({min(1.0, max(0.0, x)) for ab in around.values() for x in ab})
+        _, ranks = _numbered(sketched)
+        entries = [{"keys": sketched[(g, of[0])]["keys"], "_pi": i, "_blo": sketched[(g, of[0])]["lo"],
+                    "_bhi": sketched[(g, of[0])]["hi"]} for (g, i), of in ranks.items()]
+        rows = _attach(data, keys, key_types, entries, {})
+        for r in rows.groupBy(*keys, "_pi").agg(F.percentile_approx("_v", probs, accuracy).alias("_q")).collect():
+            g = _key_of(r, keys)
+            for rank in ranks[(g, r["_pi"])]:
+                s, (a, b) = sketched[(g, rank)], around[(g, rank)]
+                lo = r["_q"][probs.index(a)] if a > 0.0 else s["lo"]
+                hi = r["_q"][probs.index(b)] if b < 1.0 else s["hi"]
+                if (lo, hi) != (s["lo"], s["hi"]):
+                    proposal[(g, rank)] = (lo, hi)
+    order = list(open_)
+    entries = [{"keys": open_[k]["keys"], "_pi": i, "_blo": open_[k]["lo"], "_bhi": open_[k]["hi"],
+                "_nlo": proposal[k][0], "_nhi": proposal[k][1]} for i, k in enumerate(order)]
     rows = _attach(data, keys, key_types, entries, {"_nlo": "double", "_nhi": "double"})
     counts = rows.groupBy(*keys, "_pi").agg(
         F.count_if(F.col("_v") < F.col("_nlo")).alias("_b"),
         F.count_if((F.col("_v") >= F.col("_nlo")) & (F.col("_v") <= F.col("_nhi"))).alias("_m")).collect()
     for r in counts:
-        k = (_key_of(r, keys), r["_pi"])
-        if k not in prop:
-            continue
-        s = open_[k]
-        nb = s["below"] + r["_b"]
-        if nb <= s["r0"] and s["r1"] < nb + r["_m"] and r["_m"] < s["m"]:
-            s["lo"], s["hi"] = prop[k]
-            s["below"], s["m"] = nb, r["_m"]
-        else:  # no progress (ties) or the sketch missed: keep the exact old bracket
-            s["stuck"] = True
-
-
-def _finish(data: DataFrame, keys: list[str], key_types: dict, state: dict, probs: list[float]) -> dict:
-    # identical brackets of one group (e.g. the initial [min, max]) are ranked once
-    bid, sigs = {}, {}
-    for (g, i), s in state.items():
-        sig = (g, s["lo"], s["hi"], s["below"])
-        if sig not in sigs:
-            sigs[sig] = sum(1 for x in sigs if x[0] == g)
-        bid[(g, i)] = sigs[sig]
-    targets = {}
-    for (g, i), s in state.items():
-        targets.setdefault((g, bid[(g, i)]), set()).update({s["r0"], s["r1"]})
-    width = max(len(t) for t in targets.values())
-    keys_of = {g: s["keys"] for (g, _), s in state.items()}
-    entries = []
-    for (g, lo, hi, below), b in sigs.items():
-        ts = sorted(targets[(g, b)])
-        e = {"keys": keys_of[g], "_pi": b, "_blo": lo, "_bhi": hi, "_below": below}
-        for j in range(width):
-            e[f"_t{j}"] = ts[j] if j < len(ts) else None
-        entries.append(e)
-    extra = {"_below": "bigint", **{f"_t{j}": "bigint" for j in range(width)}}
+        k = order[r["_pi"]]
+        s, (lo, hi) = open_[k], proposal[k]
+        before, rank = s["m"], k[1] - s["below"]
+        if rank < r["_b"]:
+            s["hi"], s["m"] = math.nextafter(lo, -math.inf), r["_b"]
+        elif rank < r["_b"] + r["_m"]:
+            s["lo"], s["hi"], s["below"], s["m"] = lo, hi, s["below"] + r["_b"], r["_m"]
+        else:
+            s["lo"], s["below"], s["m"] = math.nextafter(hi, math.inf), s["below"] + r["_b"] + r["_m"], before - r["_b"] - r["_m"]
+        s["halve"] = not s["halve"] and 2 * s["m"] > before
+
+
+def _rank(data: DataFrame, keys: list[str], key_types: dict, state: dict) -> dict:
+    """{(group, rank): value}; a bracket with lo = hi is its value, the others' rows are ranked."""
+    out = {k: s["lo"] for k, s in state.items() if s["lo"] == s["hi"]}
+    rest = {k: s for k, s in state.items() if s["lo"] < s["hi"]}
+    if not rest:
+        return out
+    _, ranks = _numbered(rest)
+    entries = [{"keys": rest[(g, of[0])]["keys"], "_pi": i, "_blo": rest[(g, of[0])]["lo"],
+                "_bhi": rest[(g, of[0])]["hi"], "_below": rest[(g, of[0])]["below"], "_ranks": sorted(of)}
+               for (g, i), of in ranks.items()]
+    extra = {"_below": "bigint", "_ranks": "array<bigint>"}
     rows = _attach(data, keys, key_types, entries, extra)
     # bracket columns are constant per (group, bracket): carried, not grouped on
     freq = rows.groupBy(*keys, "_pi", "_v").agg(F.count(F.lit(1)).alias("_c"),
                                                 *[F.first(e).alias(e) for e in extra])
     w = Window.partitionBy(*keys, "_pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = freq.withColumn("_end", F.col("_below") + F.sum("_c").over(w))
-    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
-    hit = reduce(lambda a, b: a | b, [(F.col("_start") <= F.col(f"_t{j}")) & (F.col(f"_t{j}") < F.col("_end"))
-                                      for j in range(width)])
-    picked = ranked.filter(hit).select(*keys, "_pi", "_v", "_start", "_end").collect()
-    found = {}
-    for r in picked:
-        found.setdefault((_key_of(r, keys), r["_pi"]), []).append((r["_start"], r["_end"], r["_v"]))
-
-    def value_at(g, b, rank):
-        for start, end, v in found.get((g, b), []):
-            if start <= rank < end:
-                return v
-        return None
-
-    out = {}
-    for (g, i), s in state.items():
-        b = bid[(g, i)]
-        v0, v1 = value_at(g, b, s["r0"]), value_at(g, b, s["r1"])
-        out.setdefault(g, [None] * len(probs))[i] = None if v0 is None or v1 is None else v0 + (v1 - v0) * s["frac"]
+    hit = F.filter("_ranks", lambda rank: (rank >= F.col("_end") - F.col("_c")) & (rank < F.col("_end")))
+    for r in ranked.select(*keys, "_v", F.explode(hit).alias("_rank")).collect():
+        out[(_key_of(r, keys), r["_rank"])] = r["_v"]
     return out
 
 
 def quantile_table(df: DataFrame, keys: list[str], value: str, probs: list[float], names: list[str],
-                   **kw) -> DataFrame:
+                   max_groups: int = 100_000, **kw) -> DataFrame:
     """``exact_quantiles`` as a small DataFrame (one row per group)."""
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()).groupBy(
-        *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).collect()
+    base = group_bounds(_values(df, keys, value), keys, max_groups)
     res = exact_quantiles(df, keys, value, probs, base=base, **kw)
     key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name in keys}
     rows = [tuple(r[k] for k in keys) + tuple(res[_key_of(r, keys)]) for r in base if r["_n"]]

@@ -25,18 +25,20 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     1. per-column means, minima and maxima (3k aggregates); means are shifts so the sums below are
        sums of deviations (no cancellation for large-valued columns);
     2. ``mapInPandas``: every partition turns its rows into a (rows x k)
-       matrix and emits, per column pair, the count of rows where both are
-       non-null, the masked sums of each side, the masked sums of squares and
-       the sum of products -- k*k small rows per partition. Spark sums them
-       per pair (map-side partial sums, one exchange of k*k rows per task).
-
-    corr = cov / sqrt(var_a * var_b) over the pair's common rows; a pair with
-    zero variance gives NULL (pandas NaN). Both orders and the diagonal are
-    emitted. No pair of input rows is ever formed.
+       matrix and emits, per column pair a <= b (two small integers), the count
+       of rows where both are non-null, the masked sums, minima and maxima of
+       each side, the masked sums of squares and the sum of products --
+       k*(k+1)/2 small rows per partition. Spark merges them per pair
+       (map-side partials, one exchange of that many rows per task).
+
+    corr = cov / sqrt(var_a * var_b) over the pair's common rows; a pair with a
+    side that is constant on the common rows gives NULL (pandas NaN). NaN
+    counts as NULL. Both orders and the diagonal are returned. No pair of
+    input rows is ever formed.
     """
     cols = list(cols)
     k = len(cols)
-    x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    x = df.select(*[F.nullif(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))).alias(f"c{i}") for i, c in enumerate(cols)])
     first = x.agg(F.count(F.lit(1)).alias("n"),
                   *[F.avg(f"c{i}").alias(f"m{i}") for i in range(k)],
                   *[F.count(f"c{i}").alias(f"nn{i}") for i in range(k)],
@@ -52,43 +54,42 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     def comoments(batches):
         import numpy as np
         import pandas as pd
-        n = np.zeros((k, k))
-        s = np.zeros((k, k))
-        ss = np.zeros((k, k))
-        p = np.zeros((k, k))
-        seen = False
+        n, sa, saa, sab = (np.zeros((k, k)) for _ in range(4))       # [i, j]: column i on the rows where j is there too
+        lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
         for pdf in batches:
             a = pdf.to_numpy(dtype="float64", na_value=np.nan) - np.asarray(shift)
-            m = (~np.isnan(a)).astype("float64")
-            a0 = np.where(m > 0, a, 0.0)
+            there = ~np.isnan(a)
+            m = there.astype("float64")
+            a0 = np.where(there, a, 0.0)
             n += m.T @ m
-            s += a0.T @ m
-            ss += (a0 * a0).T @ m
-            p += a0.T @ a0
-            seen = True
-        if not seen:
-            return
-        ia, ib = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
+            sa += a0.T @ m
+            saa += (a0 * a0).T @ m
+            sab += a0.T @ a0
+            for j in range(k):
+                rows = a[there[:, j]]
+                lo[:, j] = np.fmin(lo[:, j], np.fmin.reduce(rows, axis=0, initial=np.inf))
+                hi[:, j] = np.fmax(hi[:, j], np.fmax.reduce(rows, axis=0, initial=-np.inf))
+        i, j = np.nonzero(np.triu(n > 0))
         yield pd.DataFrame({
-            "col_a": np.asarray(names, dtype=object)[ia.ravel()],
-            "col_b": np.asarray(names, dtype=object)[ib.ravel()],
-            "n": n.ravel(), "sa": s.ravel(), "sb": s.T.ravel(),
-            "saa": ss.ravel(), "sbb": ss.T.ravel(), "sab": p.ravel(),
+            "a": i.astype("int32"), "b": j.astype("int32"), "n": n[i, j], "sab": sab[i, j],
+            "sa": sa[i, j], "saa": saa[i, j], "loa": lo[i, j], "hia": hi[i, j],
+            "sb": sa[j, i], "sbb": saa[j, i], "lob": lo[j, i], "hib": hi[j, i],
         })
 
-    schema = "col_a string, col_b string, n double, sa double, sb double, saa double, sbb double, sab double"
-    parts = x.mapInPandas(comoments, schema)
-    tot = parts.groupBy("col_a", "col_b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    sums, lows, highs = ("n", "sab", "sa", "saa", "sb", "sbb"), ("loa", "lob"), ("hia", "hib")
+    schema = "a int, b int, n double, sab double, sa double, saa double, loa double, hia double, sb double, sbb double, lob double, hib double"
+    tot = x.mapInPandas(comoments, schema).groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.min(c).alias(c) for c in lows], *[F.max(c).alias(c) for c in highs])
     n = F.col("n")
     ma, mb = F.col("sa") / n, F.col("sb") / n
-    cov = F.col("sab") / n - ma * mb
-    var_a = F.col("saa") / n - ma * ma
-    var_b = F.col("sbb") / n - mb * mb
-    prod = var_a * var_b
-    corr = F.when((n > 0) & (prod > 0), cov / F.sqrt(prod))
-    if constant:
-        corr = F.when(~(F.col("col_a").isin(constant) | F.col("col_b").isin(constant)), corr)
-    return tot.select("col_a", "col_b", corr.alias("corr"))
+    prod = (F.col("saa") / n - ma * ma) * (F.col("sbb") / n - mb * mb)
+    varies = (F.col("loa") < F.col("hia")) & (F.col("lob") < F.col("hib"))
+    tot = tot.select("a", "b", F.when(varies & (prod > 0), (F.col("sab") / n - ma * mb) / F.sqrt(prod)).alias("corr"))
+    # every pair of columns, k * k rows known from the schema; pairs without a common row have no correlation
+    pairs = x.sparkSession.createDataFrame(
+        [(p, q, min(i, j), max(i, j)) for i, p in enumerate(names) for j, q in enumerate(names)],
+        "col_a string, col_b string, a int, b int")
+    return pairs.join(tot, ["a", "b"], "left").select("col_a", "col_b", "corr")
 
 
 def _correlation_dense(x: DataFrame, names: list[str], constant: list[str]) -> DataFrame:

@@ -429,6 +429,24 @@ def q_corr(spark, d):
     return finish(R.correlation(materialize(_price_churn(spark, d), "price-churn"), CORR_COLUMNS))
 
 
+def _corr_gaps_sql():
+    parts = []
+    for a in PRICE_COLUMNS:
+        for b in PRICE_COLUMNS:
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CASE WHEN min(x) < max(x) AND min(y) < max(y) "
+                         "THEN covar_pop(x, y) / sqrt(var_pop(x) * var_pop(y)) END AS corr "
+                         f"FROM (SELECT {a} AS x, {b} AS y FROM p WHERE {a} IS NOT NULL AND {b} IS NOT NULL) t")
+    gaps = ", ".join(f"nullif({c}, 0.0) AS {c}" for c in PRICE_COLUMNS)
+    return with_views(round_outer(f"WITH p AS (SELECT {gaps} FROM price) " + " UNION ALL ".join(parts), ["corr"]))
+
+
+@register("corr_price_gaps", _corr_gaps_sql)
+def q_corr_gaps(spark, d):
+    """A15 with NULLs: the price columns of all price rows, a zero price being no price."""
+    gaps = _price(spark, d).select(*[F.nullif(F.col(c), F.lit(0.0)).alias(c) for c in PRICE_COLUMNS])
+    return finish(R.correlation(materialize(gaps, "price-gaps"), PRICE_COLUMNS))
+
+
 @register("correlated_pairs", lambda: with_views(
     f"SELECT * FROM ({_corr_sql(_price_churn_sql(), CORR_COLUMNS)}) c "
     "WHERE col_a < col_b AND abs(corr) >= 0.9"))

@@ -60,3 +60,12 @@ def test_recommended_conf_scales_with_input():
     big = recommended_conf(100 * (1 << 40), 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
+
+
+def test_same_seed_same_forest_however_partitioned(toy):
+    cfg = M.ForestConfig(num_trees=5, max_depth=4, seed=7)
+    scores = []
+    for part in (toy, toy.repartition(7), toy.orderBy(F.desc("id")).coalesce(2)):
+        model = M.fit_forest(part, ["a", "b"], cfg)
+        scores.append([tuple(r) for r in M.score(model, toy).orderBy("id").collect()])
+    assert scores[0] == scores[1] == scores[2]

@@ -47,3 +47,29 @@ def test_property_matches_numpy(spark, values, cfg):
     got = exact_quantiles(df, [], "v", probs, max_bracket=max_bracket, accuracy=accuracy)[""]
     want = np.quantile(np.array(values, dtype=float) / 4, probs)
     assert got == pytest.approx(list(want), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("accuracy", [2, 30])
+def test_never_ranks_more_than_a_bracket(spark, monkeypatch, accuracy):
+    """Heavy ties, zeros of both signs and far-out values: only brackets of the allowed size are ranked."""
+    from retention.operators import quantiles
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([np.full(700, 5.0), np.full(200, -0.0), np.full(50, 0.0), rng.normal(5, 1e-9, 400), [1e300, -1e300]])
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,), (float("nan"),)], "v double").repartition(3)
+    ranked = []
+
+    def spy(data, keys, key_types, state, inner=quantiles._rank):
+        ranked.extend(s["m"] for s in state.values() if s["lo"] < s["hi"])
+        return inner(data, keys, key_types, state)
+
+    monkeypatch.setattr(quantiles, "_rank", spy)
+    probs = [0.0, 0.1, 0.15, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, [], "v", probs, max_bracket=3, accuracy=accuracy)[""]
+    assert got == pytest.approx(list(np.quantile(vals, probs)), rel=1e-12)
+    assert all(m <= 3 for m in ranked)
+
+
+def test_too_many_groups_raise(spark):
+    df = spark.createDataFrame([(i, 1.0) for i in range(5)], "k int, v double")
+    with pytest.raises(ValueError):
+        exact_quantiles(df, ["k"], "v", [0.5], max_groups=4)

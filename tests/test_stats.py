@@ -99,3 +99,17 @@ def test_value_counts_and_freq(spark):
     assert [(r["c"], r["count"]) for r in PR.value_counts(df, "c").collect()] == [("a", 2), ("b", 1)]
     assert {(r["n_rows"], r["n_keys"]) for r in PR.freq_of_freq(df).collect()} == {(2, 1), (1, 2)}
     assert [r["id"] for r in PR.preview(df, ["id", "c"], 2).collect()] == [1, 1]
+
+
+def test_correlation_of_pairs_with_gaps(spark):
+    """NaN is a gap; a column that is constant on a pair's common rows has no correlation there."""
+    import pandas as pd
+    nan = float("nan")
+    rows = [(1.1, 5.3, 2.0, None), (1.1, 7.7, nan, None), (9.9, None, 4.0, None), (3.3, None, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in R.correlation(df, ["a", "b", "c", "d"]).collect()}
+    want = pd.DataFrame(rows, columns=list("abcd"), dtype=float).corr(min_periods=2)
+    assert len(got) == 16
+    assert got["a", "b"] is None and got["b", "a"] is None and got["d", "d"] is None and got["b", "d"] is None
+    for p, q in [("a", "a"), ("a", "c"), ("c", "a"), ("b", "b")]:
+        assert got[p, q] == pytest.approx(want.loc[p, q])
