@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retention.functions.scalars import hash_bucket
 from retention.session import checkpoint_dir, materialize
@@ -42,8 +43,10 @@ def split(df: DataFrame, test_share: float, seed: int = 42, key: str = "id") ->
 
 
 def feature_columns(df: DataFrame, label: str = "churn", exclude=("id",)) -> list[str]:
-    """Every column but the label and the excluded ones (the id)."""
-    return [c for c in df.columns if c != label and c not in exclude and c != "split"]
+    """Every column but the label, the excluded ones (the id) and text, date or other
+    columns without a number (such as a file's further columns)."""
+    return [f.name for f in df.schema.fields if f.name != label and f.name not in exclude and f.name != "split"
+            and isinstance(f.dataType, (T.NumericType, T.BooleanType))]
 
 
 def with_label(df: DataFrame, label: str = "churn") -> DataFrame:
@@ -92,10 +95,10 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     return forest_pipeline(features, cfg).fit(data)
 
 
-def score(model: PipelineModel, df: DataFrame, label: str = "churn", key: str = "id") -> DataFrame:
-    """M5 + M6 + S5 rows: id, label, prediction, probability of class 1."""
+def score(model: PipelineModel, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
+    """M5 + M6 + S5 rows: id, the columns ``keep``, label, prediction, probability of class 1."""
     out = model.transform(with_label(df, label))
-    return out.select(F.col(key), F.col("label"), F.col("prediction"),
+    return out.select(F.col(key), *[F.col(f"`{c}`") for c in keep], F.col("label"), F.col("prediction"),
                       vector_to_array(F.col("probability"))[1].alias("churn_probability"))
 
 

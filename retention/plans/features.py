@@ -106,7 +106,7 @@ def premodel(client: DataFrame, price_tb: DataFrame, params: Params = DEFAULT,
     """Tuned-model input: narrowed client + AVG_VARIABLE/AVG_FIXED (zero when a client
     has no prices) + dummies + endpoint delta (inner), ``churn`` last, rows
     with a NULL label dropped."""
-    block = P.half_year_block(price_tb, order_cols, params)
+    block = P.half_year_block(price_tb, None, params, order_cols=order_cols)
     df = client.join(block, "id", "left").withColumns(
         {c: F.coalesce(F.col(c), F.lit(0.0)) for c in P.HALF_YEAR_COLUMNS})
     df = select_columns(df, PREMODEL_KEEP)

@@ -9,16 +9,19 @@
 
 Each returns a dict of result DataFrames (lazy where possible); with
 ``out_dir`` the tables that the reference wrote to disk are written as
-Parquet (typed stage boundaries) and CSV.
+Parquet (``<name>``, typed stage boundaries) and CSV (``<name>_csv``).
 
-Command line (test views)::
+Command line (test views, or CSV files with their own dates)::
 
     python -m retention.plans.jobs exploration --sf-dir /root/testdata/sf0.01 --out /shared/out
+    python -m retention.plans.jobs features --client-csv c.csv --price-csv p.csv --out /shared/out \\
+        --cut-6m 2015-06-01 --cut-3m 2015-10-01 --reference-date 2016-01-01
 """
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,19 +33,17 @@ from retention.operators import model as M
 from retention.operators import prices as P
 from retention.operators import profile as PR
 from retention.operators import relations as R
+from retention.operators.columns import drop_columns
 from retention.plans import features as FT
 from retention.session import materialize
 from retention.sources import files as S
-from retention.sources.schemas import PRICE_COLUMNS
+from retention.plans.table_queries import CONSUMPTION, FORECAST, HIST_ALL, SKEWED
+from retention.sources.schemas import CLIENT_DATE_COLUMNS, CLIENT_SCHEMA, PRICE_COLUMNS, PRICE_SCHEMA
 from retention.sources.views import PRICE_TIEBREAK, account_view, price_view
 
-CONSUMPTION = ["cons_12m", "cons_gas_12m", "cons_last_month", "imp_cons"]
-# Columns the feature job calls skewed (described before and after the log step) -- fixed values.
-SKEWED = ["cons_12m", "cons_gas_12m", "cons_last_month", "forecast_cons_12m", "forecast_cons_year",
-          "forecast_discount_energy", "forecast_meter_rent_12m", "forecast_price_energy_off_peak",
-          "forecast_price_energy_peak", "forecast_price_pow_off_peak"]
-FORECAST = ["forecast_cons_12m", "forecast_cons_year", "forecast_discount_energy", "forecast_meter_rent_12m",
-            "forecast_price_energy_off_peak", "forecast_price_energy_peak", "forecast_price_pow_off_peak"]
+
+# Columns of the density plots and the rows they take, once flags are 0 and 1 -- fixed values.
+DENSITY_ROWS = {"cons_12m": "true", "cons_gas_12m": "has_gas = 1", "cons_last_month": "true"}
 
 
 def load_test_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -53,8 +54,16 @@ def load_test_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 def load_csv_inputs(spark: SparkSession, client_path: str, price_path: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Client and price CSV files; price rows keep their file order as ``row_order``."""
-    price = S.read_price_csv(spark, price_path).withColumn("row_order", F.monotonically_increasing_id())
-    return S.read_client_csv(spark, client_path), price, ["row_order"]
+    return S.read_client_csv(spark, client_path), S.read_price_csv(spark, price_path, "row_order"), ["row_order"]
+
+
+def csv_rejects(spark: SparkSession, client_path: str, price_path: str) -> DataFrame:
+    """(column, rejected): values of the date and flag columns that are read as NULL."""
+    client = S.read_csv(spark, client_path, CLIENT_SCHEMA)
+    counts = [S.date_rejects(client, CLIENT_DATE_COLUMNS), S.flag_rejects(client, "has_gas"),
+              S.date_rejects(S.read_csv(spark, price_path, PRICE_SCHEMA), ["price_date"])]
+    rows = [item for c in counts for item in c.first().asDict().items()]
+    return spark.createDataFrame(rows, "column string, rejected bigint")
 
 
 def _write(tables: dict, names: list[str], out_dir: str | None) -> None:
@@ -62,18 +71,23 @@ def _write(tables: dict, names: list[str], out_dir: str | None) -> None:
         return
     for n in names:
         S.write_table(tables[n], f"{out_dir.rstrip('/')}/{n}")
+        S.write_csv(tables[n], f"{out_dir.rstrip('/')}/{n}_csv")
 
 
 def _cut(client: DataFrame, enabled: bool) -> DataFrame:
     """The client table (one row per client) feeds a dozen summaries: write it
-    once to the shared checkpoint folder instead of recomputing its plan."""
-    return materialize(client, "client") if enabled else client
+    once to the shared checkpoint folder instead of recomputing its plan.
+    Joins on ``id`` need it to be unique: a repeated one raises."""
+    client = materialize(client, "client") if enabled else client
+    if twice := client.groupBy("id").count().filter("count > 1").select("id").head(3):
+        raise ValueError(f"client ids that occur more than once, such as {[r['id'] for r in twice]}")
+    return client
 
 
 def exploration_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT,
                     out_dir: str | None = None, cut_client: bool = True) -> dict[str, DataFrame]:
     client = _cut(client, cut_client)
-    price = price.select("id", "price_date", *PRICE_COLUMNS)
+    price = materialize(price.select("id", "price_date", *PRICE_COLUMNS), "price")
     numeric = PR.numeric_columns(client, exclude=("id",))
     means = P.window_means(price, params)
     churn_data = FT.churn_data(client, price, params, means=means)
@@ -91,8 +105,7 @@ def exploration_job(client: DataFrame, price: DataFrame, params: Params = DEFAUL
         "nulls_price": PR.null_counts(price),
         "class_share": D.class_share(client),
         "box_stats": D.box_stats(client, CONSUMPTION + FORECAST, by="churn"),
-        "hist_by_churn": D.histogram(client, ["cons_12m", "cons_last_month", "imp_cons"] + FORECAST,
-                                     params.hist_bins, by="churn"),
+        "hist_by_churn": D.histogram(client, HIST_ALL, params.hist_bins, by="churn"),
         "hist_gas_by_churn": D.histogram(client.filter(F.col("has_gas") == "t"), ["cons_gas_12m"],
                                          params.hist_bins, by="churn"),
         "freq_of_freq_price": PR.freq_of_freq(price, "id"),
@@ -109,25 +122,25 @@ def feature_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT, o
                 num_trees: int = 1000, cut_client: bool = True) -> dict[str, DataFrame]:
     client = _cut(client, cut_client)
     price = price.select("id", "price_date", *PRICE_COLUMNS)
-    ft = FT.feature_table(client, price, params)
-    ft_with_dates = FT.add_date_features(client)
+    engineered = materialize(FT.engineered_table(client, price, params), "engineered")
+    ft = drop_columns(engineered, FT.CORRELATED_DROP)
+    merged = client.join(engineered.select("id"), "id", "left_semi")      # ids are unique: the clients of the merged table
     train, test = M.split(ft, params.test_share_fe, params.seed)
     feats = M.feature_columns(ft)
     model = M.fit_forest(train, feats, M.ForestConfig(num_trees=num_trees, seed=params.seed))
-    scored = M.score(model, test)
-    hist, kde = D.density(ft.select("cons_12m"), "cons_12m")
+    scored = materialize(M.score(model, test, keep=feats), "scored")
+    densities = {f"density_{kind}_{c}": t for c, rows in DENSITY_ROWS.items()
+                 for kind, t in zip(("hist", "kde"), D.density(engineered.filter(rows), c))}
     tables = {
         "feature_table": ft,
-        "churn_by_tenure": R.rate_by(ft_with_dates, "tenure"),
-        "churn_by_gas": R.rate_by(client.withColumn("has_gas", F.when(F.col("has_gas") == "t", 1)
-                                                    .when(F.col("has_gas") == "f", 0)), "has_gas"),
-        "value_counts_channel": PR.value_counts(client, "channel_sales"),
-        "value_counts_origin": PR.value_counts(client, "origin_up"),
-        "describe_skewed_before": PR.describe(client, SKEWED),
-        "describe_skewed_after": PR.describe(ft, [c for c in SKEWED if c in ft.columns]),
-        "density_hist": hist,
-        "density_kde": kde,
-        "feature_corr": R.correlation(materialize(ft, "feature-table"), [c for c in ft.columns if c != "id"]),
+        "churn_by_tenure": R.rate_by(engineered, "tenure"),
+        "churn_by_gas": R.rate_by(engineered, "has_gas"),
+        "value_counts_channel": PR.value_counts(merged, "channel_sales"),
+        "value_counts_origin": PR.value_counts(merged, "origin_up"),
+        "describe_skewed_before": PR.describe(merged, SKEWED),
+        "describe_skewed_after": PR.describe(engineered, SKEWED),
+        **densities,
+        "feature_corr": R.correlation(engineered, PR.numeric_columns(engineered, exclude=("id",))),
         "test_labels": EV.label_distribution(scored, "label"),
         "metrics": EV.metrics(scored),
         "importances": M.importances(model, feats),
@@ -135,6 +148,7 @@ def feature_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT, o
     }
     if out_dir:
         S.write_scored(scored, f"{out_dir.rstrip('/')}/scored")
+        S.write_csv(scored.sparkSession.read.parquet(f"{out_dir.rstrip('/')}/scored"), f"{out_dir.rstrip('/')}/scored_csv")
         _write(tables, ["feature_table", "importances", "metrics"], out_dir)
     return tables
 
@@ -143,10 +157,8 @@ def tuned_job(client: DataFrame, price: DataFrame, order_cols: list[str], params
               out_dir: str | None = None, grid: dict | None = None, folds: int = 5,
               cut_client: bool = True) -> dict[str, DataFrame]:
     client = _cut(client, cut_client)
-    pm = FT.premodel(client, price.select("id", "price_date", *order_cols, *PRICE_COLUMNS), params, order_cols=order_cols)
-    if out_dir:
-        S.write_table(pm, f"{out_dir.rstrip('/')}/premodel")
-        pm = pm.sparkSession.read.parquet(f"{out_dir.rstrip('/')}/premodel")
+    price = materialize(price.select("id", "price_date", *order_cols, *PRICE_COLUMNS), "price-rows")
+    pm = materialize(FT.premodel(client, price, params, order_cols=order_cols), "premodel")
     train, test = M.split(pm, params.test_share_rf, params.seed)
     feats = M.feature_columns(pm)
     base = M.fit_forest(train, feats, M.ForestConfig(num_trees=100, seed=params.seed))
@@ -162,7 +174,7 @@ def tuned_job(client: DataFrame, price: DataFrame, order_cols: list[str], params
         "grid_best_metrics": EV.metrics(M.score(best, test)),
         "tuned_metrics": EV.metrics(M.score(tuned, test)),
     }
-    _write(tables, ["baseline_metrics", "grid", "tuned_metrics"], out_dir)
+    _write(tables, ["premodel", "baseline_metrics", "grid", "tuned_metrics"], out_dir)
     return tables
 
 
@@ -173,19 +185,24 @@ def main(argv=None) -> None:
     ap.add_argument("--client-csv")
     ap.add_argument("--price-csv")
     ap.add_argument("--out", required=True)
+    ap.add_argument("--cut-6m", default=DEFAULT.cut_6m, help="the 6-month window takes prices after this date")
+    ap.add_argument("--cut-3m", default=DEFAULT.cut_3m, help="the 3-month window takes prices after this date")
+    ap.add_argument("--reference-date", default=DEFAULT.reference_date, help="months are counted up to this date")
     args = ap.parse_args(argv)
+    params = replace(DEFAULT, cut_6m=args.cut_6m, cut_3m=args.cut_3m, reference_date=args.reference_date)
     from retention.session import build_session
     spark = SparkSession.getActiveSession() or build_session()
     if args.sf_dir:
         client, price, order = load_test_inputs(spark, args.sf_dir)
     else:
         client, price, order = load_csv_inputs(spark, args.client_csv, args.price_csv)
+        _write({"rejects": csv_rejects(spark, args.client_csv, args.price_csv)}, ["rejects"], args.out)
     if args.job == "exploration":
-        exploration_job(client, price, out_dir=args.out)
+        exploration_job(client, price, params, out_dir=args.out)
     elif args.job == "features":
-        feature_job(client, price, out_dir=args.out)
+        feature_job(client, price, params, out_dir=args.out)
     else:
-        tuned_job(client, price, order, out_dir=args.out)
+        tuned_job(client, price, order, params, out_dir=args.out)
 
 
 if __name__ == "__main__":

@@ -48,18 +48,28 @@ def date_rejects(raw: DataFrame, cols: list[str], fmt: str | None = "yyyy-MM-dd"
     return raw.agg(*[F.count_if(F.col(c).isNotNull() & p.isNull()).alias(c) for c, p in parsed.items()])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def flag_rejects(raw: DataFrame, col: str, allowed=("t", "f")) -> DataFrame:
+    """Count of non-null flags other than ``allowed`` (``recode_flag`` makes them NULL)."""
+    return raw.agg(F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(*allowed)).alias(col))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, row_order: str | None = None) -> DataFrame:
     """Header CSV, columns taken by name and cast to the schema's types.
 
     Columns may stand in any order; others pass through as strings after the
-    schema's own; a missing one raises.
+    schema's own; a missing one raises. ``row_order`` names a column to add
+    that sorts as the rows stand in the files: path, offset of the block in
+    the file, place within the block (Spark reads blocks in any order).
     """
     raw = spark.read.option("header", True).csv(path)
     names = [f.name for f in schema.fields]
     if lacking := [n for n in names if n not in raw.columns]:
         raise ValueError(f"{path} lacks the columns {lacking}")
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start",
+                     F.monotonically_increasing_id().alias("line"))
     typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
-                       *[F.col(f"`{c}`") for c in raw.columns if c not in names])
+                       *[F.col(f"`{c}`") for c in raw.columns if c not in names],
+                       *([place.alias(row_order)] if row_order else []))
     return clean_nulls(typed)
 
 
@@ -67,8 +77,8 @@ def read_client_csv(spark: SparkSession, path: str) -> DataFrame:
     return parse_dates(read_csv(spark, path, CLIENT_SCHEMA), CLIENT_DATE_COLUMNS)
 
 
-def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
-    return parse_dates(read_csv(spark, path, PRICE_SCHEMA), ["price_date"])
+def read_price_csv(spark: SparkSession, path: str, row_order: str | None = None) -> DataFrame:
+    return parse_dates(read_csv(spark, path, PRICE_SCHEMA, row_order), ["price_date"])
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -85,6 +95,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def write_scored(scored: DataFrame, path: str) -> None:
-    """Id, churn (label), prediction and class-1 probability."""
-    scored.select("id", F.col("label").cast("int").alias("churn"), F.col("prediction").cast("int").alias("prediction"),
-                  "churn_probability").write.mode("overwrite").parquet(path)
+    """Id, the feature columns that ``scored`` carries, churn (label), prediction and class-1 probability."""
+    own = ("id", "label", "prediction", "churn_probability")
+    write_table(scored.select(
+        "id", *[F.col(f"`{c}`") for c in scored.columns if c not in own], F.col("label").cast("int").alias("churn"),
+        F.col("prediction").cast("int").alias("prediction"), "churn_probability"), path)

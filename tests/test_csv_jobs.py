@@ -44,3 +44,46 @@ def test_csv_roundtrip_features(spark):
     for i in h_pq:
         assert h_csv[i]["AVG_FIXED"] == pytest.approx(h_pq[i]["AVG_FIXED"])
         assert h_csv[i]["VARIABLE_price_off_peak"] == pytest.approx(h_pq[i]["VARIABLE_price_off_peak"])
+
+
+def test_all_jobs_from_csv_files_with_other_columns(spark):
+    """Shuffled and extra columns, prices over several files; the dates come from the command line."""
+    d = tempfile.mkdtemp(prefix="retention-csvall-")
+    client, price, tiebreak = J.load_test_inputs(spark, SF)
+    names = [f.name for f in S.CLIENT_SCHEMA.fields]
+    text = [F.col(c).cast("string").alias(c) for c in reversed(names)]
+    client.select(F.lit("x").alias("note"), *text).coalesce(1).write.option("header", True).csv(d + "/client")
+    files = price.orderBy("id", "price_date", *tiebreak).drop(*tiebreak).coalesce(1)
+    files.select(*reversed(files.columns)).write.option("header", True).option("maxRecordsPerFile", 700).csv(d + "/price")
+    dates = ["--cut-6m", "2001-01-01", "--cut-3m", "2001-05-01", "--reference-date", "2001-08-01"]
+    csv = ["--client-csv", d + "/client", "--price-csv", d + "/price"]
+    J.main(["exploration", *csv, *dates, "--out", d + "/out"])
+    assert {r["rejected"] for r in spark.read.parquet(d + "/out/rejects").collect()} == {0}
+    got = {r["id"]: r for r in spark.read.parquet(d + "/out/churn_data").collect()}
+    want = {str(r["id"]): r for r in J.exploration_job(client, price)["churn_data"].collect()}
+    assert set(got) == set(want) and all(r["note"] == "x" for r in got.values())
+    for i, r in want.items():
+        assert got[i]["mean_3m_price_off_peak_fix"] == pytest.approx(r["mean_3m_price_off_peak_fix"])
+    assert spark.read.option("header", True).csv(d + "/out/churn_data_csv").count() == len(want)
+    c, p, order = J.load_csv_inputs(spark, d + "/client", d + "/price")
+    small = dict(num_trees=(3,), max_depth=(3,), min_leaf=(1,))
+    got = {r["id"]: r for r in J.tuned_job(c, p, order, grid=small, folds=2)["premodel"].collect()}
+    want = {str(r["id"]): r for r in J.tuned_job(client, price, tiebreak, grid=small, folds=2)["premodel"].collect()}
+    assert set(got) == set(want)
+    for i, r in want.items():
+        assert got[i]["AVG_FIXED"] == pytest.approx(r["AVG_FIXED"])
+    tables = J.feature_job(c, p, num_trees=5)
+    assert tables["feature_table"].count() == 43 and tables["scored"].count() > 0
+
+
+def test_rejected_dates_and_flags_are_counted(spark):
+    d = tempfile.mkdtemp(prefix="retention-csvbad-")
+    names = [f.name for f in S.CLIENT_SCHEMA.fields]
+    rows = [{"id": "a", "date_activ": "2010-13-45", "has_gas": "x"}, {"id": "a", "date_activ": "2010-01-02", "has_gas": "t"}]
+    spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], ", ".join(f"{c} string" for c in names)).coalesce(
+        1).write.option("header", True).csv(d + "/client")
+    prices = [f.name for f in S.PRICE_SCHEMA.fields]
+    spark.createDataFrame([("a", "soon") + (None,) * 6], ", ".join(f"{c} string" for c in prices)).write.option(
+        "header", True).csv(d + "/price")
+    got = {r["column"]: r["rejected"] for r in J.csv_rejects(spark, d + "/client", d + "/price").collect()}
+    assert got == {"date_activ": 1, "date_end": 0, "date_modif_prod": 0, "date_renewal": 0, "has_gas": 1, "price_date": 1}

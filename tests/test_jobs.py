@@ -2,6 +2,8 @@
 
 import tempfile
 
+import pytest
+
 from retention.plans import jobs as J
 
 SF = "/root/testdata/sf0.001"
@@ -23,7 +25,20 @@ def test_feature_job(spark):
     m = tables["metrics"].first()
     assert m["tn"] + m["fp"] + m["fn"] + m["tp"] == tables["scored"].count()
     scored = spark.read.parquet(out + "/scored")
-    assert set(scored.columns) == {"id", "churn", "prediction", "churn_probability"}
+    assert {"id", "churn", "prediction", "churn_probability", "cons_12m", "tenure"} <= set(scored.columns)
+    as_csv = spark.read.option("header", True).csv(out + "/scored_csv")
+    assert as_csv.columns == scored.columns and as_csv.count() == scored.count()
+    corr = {r["col_a"] for r in tables["feature_corr"].collect()}
+    assert {"num_years_antig", "forecast_cons_year"} <= corr
+    assert tables["describe_skewed_after"].count() == 10
+    assert tables["density_kde_cons_gas_12m"].count() == 200
+    assert sum(r["count"] for r in tables["value_counts_channel"].collect()) == tables["feature_table"].count()
+
+
+def test_repeated_client_id_raises(spark):
+    client, price, _ = J.load_test_inputs(spark, SF)
+    with pytest.raises(ValueError, match="more than once"):
+        J.exploration_job(client.unionByName(client.limit(1)), price)
 
 
 def test_tuned_job_small_grid(spark):
