@@ -1,22 +1 @@
 """Scalar column expressions (all JVM-side, no Python UDFs)."""
-
-from retention.functions.scalars import (
-    r6,
-    round_half_up,
-    nan_to_null,
-    tenure_years,
-    months_between_ref,
-    log10p1,
-    recode_flag,
-    bool_to_int,
-    share_label,
-    nonzero_mean,
-    hash_bucket,
-    safe_div,
-)
-
-__all__ = [
-    "r6", "round_half_up", "nan_to_null", "tenure_years", "months_between_ref", "log10p1",
-    "recode_flag", "bool_to_int", "share_label", "nonzero_mean", "hash_bucket",
-    "safe_div",
-]

@@ -64,17 +64,6 @@ def round_half_up(col, digits: int) -> Column:
     return floor_double(snapped * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def nan_to_null(col) -> Column:
-    """NaN -> NULL, so avg/max/first skip it as pandas does."""
-    c = _c(col)
-    return F.when(~F.isnan(c), c)
-
-
-def safe_div(num, den) -> Column:
-    """Division that yields NULL on a zero denominator (ANSI mode safe)."""
-    return F.try_divide(_c(num), _c(den))
-
-
 def tenure_years(end, start) -> Column:
     """Whole years between two dates, truncated toward zero."""
     days = F.datediff(_c(end), _c(start))
@@ -101,16 +90,6 @@ def recode_flag(col, true_value: str = "t", false_value: str = "f") -> Column:
         F.lit(None).cast("int"))
 
 
-def bool_to_int(col) -> Column:
-    return _c(col).cast("int")
-
-
-def share_label(col) -> Column:
-    """Bar label value: the share rounded to one decimal; NULL when it rounds to 0."""
-    rounded = F.round(_c(col), 1)
-    return F.when(rounded != 0, rounded)
-
-
 def nonzero_mean(*cols) -> Column:
     """Unweighted mean of the non-zero, non-null inputs; 0.0 when there are none."""
     cs = [_c(c) for c in cols]

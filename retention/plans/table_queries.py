@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from retention.config import DEFAULT
 from retention.functions.scalars import log10p1, months_between_ref, recode_flag, tenure_years
+from retention.operators import columns as C
 from retention.operators import distributions as D
 from retention.operators import prices as P
 from retention.operators import profile as PR
@@ -284,6 +285,18 @@ def q_one_hot_dropped(spark, d):
     return fit_one_hot(a, "channel_sales", "channel", drop_levels=DROPPED_CHANNELS).transform(a)
 
 
+@register("column_edits", lambda: with_views(
+    "SELECT id AS client, CAST(has_gas = 't' AS INTEGER) AS gas, CAST(churn = 1 AS INTEGER) AS gone, 0.0::DOUBLE AS spent "
+    "FROM account"))
+def q_column_edits(spark, d):
+    """Flags found by type and made numbers, a constant column, names by map and by place."""
+    a = _acct(spark, d).select("id", "has_gas", "churn")
+    a = C.apply_to_columns(a, ["has_gas"], lambda c: c == "t")
+    a = C.set_constant(C.apply_to_columns(a, ["churn"], lambda c: c == 1), ["spent"], 0.0)
+    a = C.apply_to_columns(a, C.columns_of_type(a), lambda c: c.cast("int"))
+    return C.rename_positional(C.rename(a, {"churn": "gone"}), ["client", "gas", "gone", "spent"])
+
+
 # ---------------------------------------------------------------- distributions
 def _box_sql(cols):
     parts = []

@@ -57,12 +57,6 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
     }
 
 
-def apply_conf(spark: SparkSession, conf: dict) -> None:
-    """Set runtime SQL options (e.g. from ``recommended_conf``) on a session."""
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Column names and types of the two inputs -- fixed values.
 PRICE_COLUMNS = [
     "price_off_peak_var", "price_peak_var", "price_mid_peak_var",
     "price_off_peak_fix", "price_peak_fix", "price_mid_peak_fix",
@@ -9,14 +10,6 @@ PRICE_COLUMNS = [
 
 CLIENT_DATE_COLUMNS = ["date_activ", "date_end", "date_modif_prod", "date_renewal"]
 
-CLIENT_NUMERIC_COLUMNS = [
-    "cons_12m", "cons_gas_12m", "cons_last_month", "forecast_cons_12m",
-    "forecast_cons_year", "forecast_discount_energy", "forecast_meter_rent_12m",
-    "forecast_price_energy_off_peak", "forecast_price_energy_peak",
-    "forecast_price_pow_off_peak", "imp_cons", "margin_gross_pow_ele",
-    "margin_net_pow_ele", "nb_prod_act", "pow_max",
-]
-
 CLIENT_SCHEMA = T.StructType(
     [T.StructField("id", T.StringType(), True),
      T.StructField("channel_sales", T.StringType(), True)]
