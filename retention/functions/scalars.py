@@ -26,8 +26,7 @@ def floor_sql(x: str) -> str:
 
 def r6_sql(x: str) -> str:
     """Spark SQL text of ``r6`` applied to the SQL expression ``x``."""
-    fine = floor_sql(f"({x}) * 1.0E9D + 0.5D")
-    snapped = f"(CASE WHEN abs({x}) < 1000000.0D THEN {fine} / 1.0E9D ELSE ({x}) END)"
+    snapped = f"({floor_sql(f'({x}) * 1.0E9D + 0.5D')} / 1.0E9D)"
     return f"({floor_sql(f'{snapped} * 1000000.0D + 0.5D')} / 1000000.0D)"
 
 
@@ -37,31 +36,30 @@ def floor_double(c: Column) -> Column:
     return whole - F.when(whole > c, F.lit(1.0)).otherwise(F.lit(0.0)) + F.lit(0.0)
 
 
+def _snap(c: Column) -> Column:
+    return floor_double(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)
+
+
 def r6(col) -> Column:
     """Round half up to 6 decimals, identically in any IEEE-754 SQL engine.
 
-    Step 1 snaps |x| < 1e6 onto a 1e-9 grid, so two values that differ only
+    Step 1 snaps x onto a 1e-9 grid, so two values that differ only
     by summation-order noise (a few ulps) become the same double; a mean that
     is exactly ``d.dddddd5`` is therefore rounded the same way everywhere.
     Step 2 is floor(x*1e6 + 0.5)/1e6. Both steps are plain IEEE arithmetic in
-    double, so no value is too large for them (an SQL oracle applies the same
+    double and the same for every size of x: where the grid is finer than a
+    double they leave x as it is, to an ulp (an SQL oracle applies the same
     formula). A string argument is taken as an SQL expression (one JVM call).
     """
     if isinstance(col, str):
         return F.expr(r6_sql(col))
-    c = col
-    snapped = F.when(F.abs(c) < F.lit(1000000.0),
-                     floor_double(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
-    return floor_double(snapped * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
+    return floor_double(_snap(col) * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
 
 
 def round_half_up(col, digits: int) -> Column:
     """Round half up to ``digits`` decimals with the same snapping as ``r6``."""
-    c = _c(col)
     scale = float(10 ** digits)
-    snapped = F.when(F.abs(c) < F.lit(1000000.0),
-                     floor_double(c * F.lit(1e9) + F.lit(0.5)) / F.lit(1e9)).otherwise(c)
-    return floor_double(snapped * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return floor_double(_snap(_c(col)) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
 def tenure_years(end, start) -> Column:

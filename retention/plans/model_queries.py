@@ -26,6 +26,7 @@ from retention.plans.price_queries import (
 )
 from retention.plans.registry import finish, q, register, round_outer
 from retention.plans.table_queries import (
+    ACCOUNT_DOUBLES,
     ACCOUNT_DTYPES,
     CHANNEL_LEVELS,
     MERGED_SQL,
@@ -40,7 +41,6 @@ from retention.plans.table_queries import (
 from retention.sources.views import account_view, price_view, with_views
 
 CLIENT_NO_CHURN = [c for c, _ in ACCOUNT_DTYPES if c != "churn"]
-ACCOUNT_DOUBLES = [c for c, t in ACCOUNT_DTYPES if t == "double"]
 
 
 # ---------------------------------------------------------------- composed tables

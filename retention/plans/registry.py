@@ -41,8 +41,7 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 def r6_sql(x: str) -> str:
-    snapped = f"(CASE WHEN abs({x}) < 1000000.0 THEN floor(({x}) * 1e9 + 0.5) / 1e9 ELSE ({x}) END)"
-    return f"(floor({snapped} * 1000000.0 + 0.5) / 1000000.0)"
+    return f"(floor((floor(({x}) * 1e9 + 0.5) / 1e9) * 1000000.0 + 0.5) / 1000000.0)"
 
 
 def q(name: str) -> str:

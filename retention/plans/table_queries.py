@@ -36,6 +36,7 @@ ACCOUNT_DTYPES = [
     ("origin_up", "string"), ("pow_max", "double"), ("churn", "int"),
 ]
 PRICE_DTYPES = [("id", "bigint"), ("price_date", "date")] + [(c, "double") for c in PRICE_COLUMNS]
+ACCOUNT_DOUBLES = [c for c, t in ACCOUNT_DTYPES if t == "double"]
 ACCOUNT_NUMERIC = [c for c, t in ACCOUNT_DTYPES if t in ("double", "bigint", "int") and c != "id"]
 # Measures plotted by class in the exploration job -- fixed values.
 CONSUMPTION = ["cons_12m", "cons_gas_12m", "cons_last_month", "imp_cons"]
@@ -185,17 +186,17 @@ def q_preview_price(spark, d):
     return PR.preview(p, ["id", "price_date", *PRICE_TIEBREAK], 5).select("id", "price_date", *PRICE_COLUMNS)
 
 
-@register("preview_account", lambda: with_views("SELECT * FROM account ORDER BY id LIMIT 5"))
+@register("preview_account", lambda: with_views(round_outer("SELECT * FROM account ORDER BY id LIMIT 5", ACCOUNT_DOUBLES)))
 def q_preview_account(spark, d):
     # the five clients first, so that only their orders and lines are aggregated
-    return PR.preview(account_view(spark, d, first_clients=5), ["id"], 5)
+    return finish(PR.preview(account_view(spark, d, first_clients=5), ["id"], 5))
 
 
 # ---------------------------------------------------------------- shares and rates
 def _class_share_sql():
     body = ("SELECT churn, companies, share, CASE WHEN lbl <> 0 THEN lbl END AS share_label FROM ("
             "SELECT churn, companies, share, "
-            f"floor((CASE WHEN abs(share) < 1000000.0 THEN floor(share * 1e9 + 0.5) / 1e9 ELSE share END) * 10.0 + 0.5) / 10.0 AS lbl "
+            "floor(floor(share * 1e9 + 0.5) / 1e9 * 10.0 + 0.5) / 10.0 AS lbl "
             "FROM (SELECT churn, companies, companies * 100.0 / sum(companies) OVER () AS share FROM ("
             "SELECT churn, count(id) AS companies FROM account GROUP BY churn) c) s) t")
     return with_views(round_outer(body, ["share", "share_label"]))

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retention.config import DEFAULT, Params
-from retention.functions.scalars import r6
 
 # Tie-break columns giving a total order of price rows inside one id and date.
 PRICE_TIEBREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -55,7 +54,6 @@ def account_view(spark: SparkSession, sf_dir: str, params: Params = DEFAULT,
     Line items are pre-aggregated per order before the join to orders (the
     per-order aggregate and the orders scan share the order-key exchange),
     then orders are aggregated per customer, so no count-distinct is needed.
-    Doubles are rounded with ``r6`` so both engines see identical inputs.
     ``first_clients`` keeps only that many clients, those of the smallest ids
     (a preview), before anything is aggregated.
     """
@@ -116,7 +114,7 @@ def account_view(spark: SparkSession, sf_dir: str, params: Params = DEFAULT,
     acct = base.join(per_cust, base.c_custkey == per_cust.o_custkey, "left")
 
     def z(c: str):
-        return r6(f"coalesce({c}, 0.0D)")
+        return F.expr(f"coalesce({c}, 0.0D)")
 
     return acct.select(
         F.col("c_custkey").alias("id"),
@@ -151,11 +149,6 @@ def account_view(spark: SparkSession, sf_dir: str, params: Params = DEFAULT,
 # SQL twins for the oracle (DuckDB dialect, tables registered as views).
 # --------------------------------------------------------------------------
 
-def _r6_sql(x: str) -> str:
-    snapped = f"(CASE WHEN abs({x}) < 1000000.0 THEN floor(({x}) * 1e9 + 0.5) / 1e9 ELSE ({x}) END)"
-    return f"(floor({snapped} * 1000000.0 + 0.5) / 1000000.0)"
-
-
 PRICE_SQL = """
 SELECT o.o_custkey AS id,
        CAST(date_trunc('month', o.o_orderdate) AS DATE) AS price_date,
@@ -171,7 +164,7 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 
 
 def account_sql(params: Params = DEFAULT) -> str:
-    z = lambda x: _r6_sql(f"coalesce({x}, 0.0)")
+    z = lambda x: f"coalesce({x}, 0.0)"
     lm = f"o.o_orderdate >= TIMESTAMP '{params.last_month_from}'"
     yr = f"o.o_orderdate >= TIMESTAMP '{params.year_from}'"
     return f"""
