@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from retention.llm.common import Scratch
 
 CRLF = "\r\n"
-HEADER = r"(?m)^{}: ([^\r\n]*)\r?$"
+#: (?d): a line ends at LF alone, not at the further line ends of Unicode, which an url may hold
+HEADER = r"(?md)^{}: ([^\r\n]*)\r?$"
 
 
 def _header_safe(c: Column) -> Column:
