@@ -96,12 +96,13 @@ class TemplateIndex:
         return out
 
 
-def phrase_places(words: list[bytes], joined: bytes, phrase: bytes) -> list[int]:
+def phrase_places(joined: bytes, phrase: bytes) -> list[int]:
     """Word numbers at which the phrase's words stand in a row. ``joined`` is the words with a space around each."""
-    out, at = [], joined.find(phrase)
+    out, number, last, at = [], 0, 0, joined.find(phrase)
     while at >= 0:
-        out.append(joined.count(b" ", 0, at))
-        at = joined.find(phrase, at + 1)
+        number += joined.count(b" ", last, at)      # on from the place before: one pass, however many places
+        out.append(number)
+        last, at = at, joined.find(phrase, at + 1)
     return out
 
 
@@ -133,7 +134,7 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.85, templates=TEMPLATES,
         if any(have.issuperset(p.split()) for p, _ in wanted):
             joined = b" " + b" ".join(words) + b" "
             for p, label in wanted:
-                if at := phrase_places(words, joined, p):
+                if at := phrase_places(joined, p):
                     places += at
                     base.add(label)
         if index.prefix & have:
