@@ -46,6 +46,8 @@ class WordMerger:
         # pair of ids -> rank and joined id, both in one number that sorts by rank
         self.joined = {self.vocab[a] << _SHIFT | self.vocab[b]: i << _SHIFT | self.vocab[a + b]
                        for i, (a, b) in enumerate(pairs)}
+        self.pairs = np.array(sorted(self.joined), dtype=np.int64)
+        self.ranks = np.array([self.joined[p] for p in self.pairs.tolist()], dtype=np.int64)
         self.special = {t["content"]: t["id"] for t in data["added_tokens"] if t["special"] and not t["normalized"]}
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         lib = Tokenizer.from_str(spec)
@@ -56,24 +58,62 @@ class WordMerger:
         names = [*word[:-1], word[-1] + self.suffix]
         return [self.vocab[c] for c in names if c in self.vocab]
 
-    def merge(self, word: str) -> list[int]:
-        """Ids of a pre-token: the adjacent pair of lowest rank is joined, leftmost first, until none is left."""
-        if len(word) > 200:
-            return self.merge_long(word)
-        ids, get = self.letters(word), self.joined.get
-        ranks = [get(a << _SHIFT | b, _NONE) for a, b in zip(ids, ids[1:])]
-        while ranks and (low := min(ranks)) != _NONE:
-            i = ranks.index(low)
-            ids[i:i + 2] = [new] = [low & (1 << _SHIFT) - 1]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = get(ids[i - 1] << _SHIFT | new, _NONE)
-            if i < len(ranks):
-                ranks[i] = get(new << _SHIFT | ids[i + 1], _NONE)
-        return ids
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens: the adjacent pair of lowest rank is joined, leftmost first, until none is left.
+
+        Words of one number of letters advance together, a join of each at a time.
+        """
+        out: list[list[int]] = [[] for _ in words]
+        at = np.array([i for i, w in enumerate(words) if 0 < len(w) <= 200], dtype=np.int64)
+        for i, w in enumerate(words):
+            if len(w) > 200:
+                out[i] = self.merge_long(w)
+        if not len(at):
+            return out
+        size = np.array([len(words[i]) for i in at.tolist()], dtype=np.int64)
+        codes, where = np.unique(np.frombuffer("".join([words[i] for i in at.tolist()]).encode("utf-32-le"), dtype="<u4"),
+                                 return_inverse=True)
+        inner, final = (np.array([self.vocab.get(chr(c) + end, -1) for c in codes.tolist()], dtype=np.int64)
+                        for end in ("", self.suffix))
+        ends = np.cumsum(size)
+        letters = inner[where]
+        letters[ends - 1] = final[where[ends - 1]]
+        owner = np.repeat(np.arange(len(at)), size)[letters >= 0]     # letters the vocabulary lacks are left out
+        letters = letters[letters >= 0]
+        size = np.bincount(owner, minlength=len(at))
+        begin = np.cumsum(size) - size
+        for n in np.unique(size[size > 0]).tolist():
+            own = np.flatnonzero(size == n)
+            ids = letters[begin[own][:, None] + np.arange(n)]
+            rank = self._rank(ids[:, :-1], ids[:, 1:])
+            own = at[own]
+            while True:
+                pick = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(ids), dtype=np.int64)
+                low = rank[np.arange(len(ids)), pick] if rank.shape[1] else np.full(len(ids), _NONE)
+                live = low != _NONE
+                for i, row in zip(own[~live].tolist(), ids[~live].tolist()):
+                    out[i] = row
+                ids, rank, own, pick, low = ids[live], rank[live], own[live], pick[live], low[live]
+                if not len(ids):
+                    break
+                row = np.arange(len(ids))
+                ids[row, pick] = low & (1 << _SHIFT) - 1
+                ids = ids[np.arange(ids.shape[1]) != pick[:, None] + 1].reshape(len(ids), -1)
+                rank = rank[np.arange(rank.shape[1]) != pick[:, None]].reshape(len(ids), -1)
+                for k, ok in ((pick - 1, pick > 0), (pick, pick < rank.shape[1])):
+                    r, k = row[ok], k[ok]
+                    rank[r, k] = self._rank(ids[r, k], ids[r, k + 1])
+        return out
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.pairs):
+            return np.full(left.shape, _NONE)
+        pair = left << _SHIFT | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.ranks[at], _NONE)
 
     def merge_long(self, word: str) -> list[int]:
-        """The same merges with a heap of pairs over a linked list, for words of any length."""
+        """The same joins of one word with a heap of pairs over a linked list, for words of any length."""
         ids, get = self.letters(word), self.joined.get
         n = len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
@@ -293,9 +333,11 @@ class Encoder:
 
     def _learn_words(self, words: set[str]) -> None:
         fresh = list(words.difference(self.known))
-        merge, number = self.merger.merge, self.number
-        for w, at in zip(fresh, self.lexicon.find([w.encode() for w in fresh]).tolist()):
-            ids = self.lexicon.ids_of(at) if at >= 0 else merge(w)
+        number = self.number
+        found = self.lexicon.find([w.encode() for w in fresh]).tolist()
+        unseen = [w for w, at in zip(fresh, found) if at < 0]
+        for w, ids in [*zip(unseen, self.merger.merge_all(unseen)),
+                       *((w, self.lexicon.ids_of(at)) for w, at in zip(fresh, found) if at >= 0)]:
             self.known[w] = b" ".join([number[i] for i in ids])
 
     def encode(self, chunks: list[bytes]) -> bytes:
@@ -322,8 +364,8 @@ def encode_documents(docs: DataFrame, spec_path: str, top: int = 100_000, text:
     if json.loads(spec).get("decoder") is not None:
         raise ValueError("only vocabularies without a decoder of their own are supported")
     merger = WordMerger(spec)
-    frequent = [p for c in frequent_chunks(docs, top, text) for p in merger.parts(c.decode()) if isinstance(p, str)]
-    words = {w.encode(): merger.merge(w) for w in frequent}
+    frequent = sorted({p for c in frequent_chunks(docs, top, text) for p in merger.parts(c.decode()) if isinstance(p, str)})
+    words = dict(zip((w.encode() for w in frequent), merger.merge_all(frequent)))
     # a driver-side file of bounded size that Spark itself hands to every executor
     name = f"lexicon-{hashlib.sha256(repr(sorted(words)).encode() + spec.encode()).hexdigest()[:16]}.bin"
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)

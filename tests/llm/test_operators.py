@@ -241,7 +241,7 @@ def test_warc(spark, tmp_path):
     big, same = "x" * 1200, "é" * 700
     rows = [(1, "http://a", big, 1), (5, None, big, 2), (3, "", big, 3), (7, "http://b\r\nX: 1%0D", "small", 4), (8, "u", "small", 5),
             (9, "u", None, 6), (10, "u", "", 7), (None, "u", big, 8), (11, "u", same, 9), (12, "u", same, 9), (12, "u", same, 9),
-            (13, "u", "WARC/1.1\r\n\r\n" * 200, 1), (None, "v", "only null" * 200, 1)]
+            (14, "u\u2028WARC-Payload-Digest: sha1:0\x85Content-Length: 9", "other", 1), (13, "u", "WARC/1.1\r\n\r\n" * 200, 1), (None, "v", "only null" * 200, 1)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, address int")
     got = warc.archive_pages(df).collect()
     want = []
@@ -291,13 +291,13 @@ def test_lexicon(tmp_path):
     assert len(lex.start) - 1 < len(set(w[:i] for w in words for i in range(len(w) + 1)))   # fewer states than a trie
 
 
-def test_merger_long_words():
+def test_merger_words_together():
     merger = encoding.WordMerger(open(SPEC, encoding="utf-8").read())
     rnd = random.Random(4)
-    for n in (1, 2, 7, 60, 199):
-        for _ in range(20):
-            word = "".join(rnd.choice("aeinrst") for _ in range(n))
-            assert merger.merge(word) == merger.merge_long(word)
+    words = ["".join(rnd.choice("aeinrst") for _ in range(n)) for n in (1, 2, 3, 7, 60, 199, 200, 201, 900) for _ in range(20)]
+    words += ["", "\u0007", "a\u0007b", "\u0007a", *words[:30]]     # letters that the vocabulary lacks; repeated words
+    assert merger.merge_all(words) == [merger.merge_long(w) if w else [] for w in words]
+    assert merger.merge_all([]) == []
 
 
 def test_licenses(spark, docs):
@@ -324,6 +324,13 @@ def test_licenses(spark, docs):
     assert Counter(tuple(r) for r in licenses.scan_licenses(docs).collect()) == Counter(want)
 
 
+def test_phrase_places():
+    words = ["a", "b", "a", "a", "b", "a", "b", "c"]
+    joined = (" " + " ".join(words) + " ").encode()
+    assert licenses.phrase_places(joined, b" a b ") == [0, 3, 5] and licenses.phrase_places(joined, b" a ") == [0, 2, 3, 5]
+    assert licenses.phrase_places(joined, b" c ") == [7] and licenses.phrase_places(joined, b" d ") == []
+
+
 def brute_neighbours(rows, k, step):
     items = {}
     for i, v in rows:
