@@ -9,16 +9,16 @@ that differ in at most ``radius`` bits agree under at least one of the
 before the tables are built.
 
 A bucket (mask, kept bits) that holds more than ``bucket`` fingerprints is cut
-by a covering family of its own over the bits its mask left out, and so on;
-since these bits run out, every bucket becomes small, without a cap. Inside a
-small bucket fingerprints are compared and only a spanning set of links
-leaves it, so no step emits all pairs of a group.
+by a covering family of its own over the bits its mask left out, and so on.
+The bits a bucket has fixed stay in the key of all buckets cut from it, and
+every further mask fixes one bit more at least: since the bits run out, every
+bucket becomes small, without a cap. Inside a small bucket fingerprints are
+compared and only a spanning set of links leaves it, so no step emits all
+pairs of a group.
 """
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -51,14 +51,22 @@ def fingerprint(text: bytes, size: int = 3) -> int:
 
 
 def covering_masks(bits: list[int], radius: int) -> list[int]:
-    """The masks over the given bit numbers; with no more bits than the radius, the one mask that keeps none."""
-    if len(bits) <= radius:
-        return [0]
+    """The masks over the given bit numbers, of which there are more than ``radius``.
+
+    The unit vectors are dealt first: they span all vectors, so each mask keeps
+    one bit at least, however few there are, and no two masks are equal.
+    """
     n = (1 << (radius + 1)) - 1
-    vector = {b: i % n + 1 for i, b in enumerate(bits)}
+    vectors = sorted(range(1, n + 1), key=lambda v: (v.bit_count() > 1, v))
+    vector = {b: vectors[i % n] for i, b in enumerate(bits)}
     return [sum(1 << b for b in bits if (vector[b] & v).bit_count() % 2) for v in range(1, n + 1)]
 
 
+def finer_masks(fixed: int, radius: int) -> list[int]:
+    """The masks that cut a bucket whose ``fixed`` bits agree: these bits and those of a covering family over the others."""
+    return [fixed | m for m in covering_masks([b for b in range(_BITS) if not fixed >> b & 1], radius)]
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -87,42 +95,42 @@ def close_links(fps: DataFrame, radius: int, scratch: Scratch, bucket: int = 128
 
     ``fps`` has distinct fingerprints ``fp`` (long). See the module text for buckets.
     """
-    spark = fps.sparkSession
-    paths = [(tuple(range(_BITS)),)]      # left-out bits of each path of masks taken so far
-    free = [list(range(_BITS))]
-    level = fps.select("fp", F.lit(0).alias("path"))
+    def cut(batches):
+        families: dict[int, np.ndarray] = {}
+        for b in batches:
+            fp, fixed = (np.asarray(b.column(c)) for c in ("fp", "fixed"))
+            for f in np.unique(fixed).tolist():
+                if f not in families:
+                    families[f] = np.array([_signed(m) for m in finer_masks(f & (1 << _BITS) - 1, radius)], dtype=np.int64)
+                own, masks = fp[fixed == f], families[f]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, len(masks))), pa.array(np.tile(masks, len(own)))],
+                                                 names=["fp", "fixed"])
+
+    def span(batches):
+        for b in batches:
+            groups = [np.asarray(g, dtype=np.int64).view(np.uint64) for g in b.column("members").to_pylist()]
+            left, right = _spanning_links(groups, radius)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    first = F.array(*[F.lit(_signed(m)) for m in finer_masks(0, radius)])
+    rows = fps.select("fp", F.explode(first).alias("fixed"))
+    # with radius free bits or fewer all members are close, and 2**radius at most
+    hot = (F.col("n") > bucket) & (F.bit_count("fixed") < _BITS - radius)
     links, depth = [], 0
     while True:
-        families = [covering_masks(f, radius) for f in free]
-        width = max(map(len, families))
-        # one literal, however many masks: Spark folds the parsed text into a constant
-        table = F.from_json(F.lit(json.dumps([[_signed(m) for m in fam] for fam in families])), "array<array<bigint>>")
-        rows = (level.withColumn("masks", F.element_at(table, F.col("path") + 1))
-                .select("fp", "path", F.posexplode("masks").alias("v", "mask"))
-                .select("fp", (F.col("path") * width + F.col("v")).alias("path"),
-                        F.col("fp").bitwiseAND(F.col("mask")).alias("kept")))
-        free = [[b for b in f if not fam[v] >> b & 1] if v < len(fam) else []
-                for f, fam in zip(free, families) for v in range(width)]
-        rows = scratch.store(rows, f"table{depth}")
-        sizes = rows.groupBy("path", "kept").agg(F.count("*").alias("n")).where("n > 1").select(
-            F.col("path").alias("p"), F.col("kept").alias("k"), "n")
-        shared = scratch.store(rows.join(sizes, (F.col("path") == F.col("p")) & (F.col("kept") == F.col("k")))
-                               .select("fp", "path", "kept", "n"), f"shared{depth}")
+        rows = scratch.store(rows.withColumn("kept", F.col("fp").bitwiseAND(F.col("fixed"))), f"table{depth}")
+        sizes = rows.groupBy("fixed", "kept").agg(F.count("*").alias("n")).where("n > 1").select(
+            F.col("fixed").alias("m"), F.col("kept").alias("k"), "n")
+        shared = scratch.store(rows.join(sizes, (F.col("fixed") == F.col("m")) & (F.col("kept") == F.col("k")))
+                               .select("fp", "fixed", "kept", "n"), f"shared{depth}")
         scratch.drop(f"table{depth}")
-
-        def span(batches):
-            for b in batches:
-                groups = [np.asarray(g, dtype=np.int64).view(np.uint64) for g in b.column("members").to_pylist()]
-                left, right = _spanning_links(groups, radius)
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
-
-        last = all(len(f) <= radius for f in free)
-        small = shared if last else shared.where(F.col("n") <= bucket)   # at the last level at most 2**radius rows
-        links.append(scratch.store(small.groupBy("path", "kept").agg(F.collect_list("fp").alias("members"))
+        links.append(scratch.store(shared.where(~hot).groupBy("fixed", "kept").agg(F.collect_list("fp").alias("members"))
                                    .select("members").mapInArrow(span, "a long, b long").distinct(), f"links{depth}"))
-        level = shared.where(F.col("n") > bucket).select("fp", "path").distinct() if not last else None
-        if last or level.isEmpty():
+        level = shared.where(hot).select("fp", "fixed")
+        if level.isEmpty():
             break
+        # two masks may be made the same by different further ones
+        rows = level.mapInArrow(cut, "fp long, fixed long").distinct()
         depth += 1
     out = links[0]
     for more in links[1:]:

@@ -84,6 +84,42 @@ def test_simhash_hot_buckets(spark):
     assert [root.get(int(x), int(x)) for x in a.view(np.int64)] == label.tolist()
 
 
+def components_of(fps):
+    a = np.array(fps, dtype=np.uint64)
+    near = np.bitwise_count(a[:, None] ^ a[None]) <= 3
+    label = a.view(np.int64).copy()
+    while True:
+        new = np.where(near, label[None], np.iinfo(np.int64).max).min(1)
+        if (new == label).all():
+            return dict(zip(a.view(np.int64).tolist(), label.tolist()))
+        label = new
+
+
+@pytest.mark.parametrize("copies, bucket", [(500, 4), (4000, 128)])     # nearly every bucket is cut again; a large group of near copies
+def test_simhash_cut_again(spark, copies, bucket):
+    rnd = random.Random(3)
+    fps = {rnd.getrandbits(64) for _ in range(40)}
+    base = rnd.getrandbits(64)
+    fps |= {base ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 6))) for _ in range(copies)}
+    df = spark.createDataFrame([(simhash._signed(f),) for f in sorted(fps)], "fp long")
+    scratch = Scratch(spark, "t")
+    links = simhash.close_links(df, 3, scratch, bucket=bucket)
+    root = {r.node: r.root for r in connected_components(links, scratch).collect()}
+    want = components_of(sorted(fps))
+    assert {f: root.get(f, f) for f in want} == want
+
+
+@pytest.mark.parametrize("free", [4, 5, 7, 8, 14, 64])
+def test_simhash_masks(free):
+    import itertools
+    fixed = (1 << 64) - (1 << free)
+    masks = simhash.finer_masks(fixed, 3)
+    assert len(set(masks)) == 15 and all(m & fixed == fixed and m != fixed for m in masks)     # each fixes a bit more
+    if free <= 14:
+        for bits in itertools.combinations(range(free), 3):
+            assert any(not m & sum(1 << b for b in bits) for m in masks)
+
+
 def test_mixing(spark, docs):
     rows = mixing.mix_documents(docs, block_bytes=400, period=50).toPandas()
     assert rows.copies.sum() == docs.count()
