@@ -16,6 +16,7 @@ import hashlib
 import heapq
 import json
 import os
+import re
 import tempfile
 from collections import Counter
 
@@ -30,6 +31,8 @@ from retention.llm.batches import text_slices, utf8, with_columns
 from retention.llm.common import Scratch
 
 
+#: white space beyond the six ASCII characters that cut chunks, to the normalizer or to Python (more does no harm)
+_WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _SHIFT = 20
 _NONE = 1 << 62
 
@@ -139,10 +142,23 @@ class WordMerger:
         return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))] if text else []
 
     def words_of(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
-        """All words of many chunks by one call of the splitter, and how many each chunk has."""
+        """All words of many chunks by one call of the splitter, and how many each chunk has.
+
+        A chunk with white space beyond ASCII adds blanks or loses one beside
+        it: these chunks are cut one by one, before the call.
+        """
+        if _WIDE_SPACE.search("".join(chunks)):
+            wide = {i: self.words(c) for i, c in enumerate(chunks) if _WIDE_SPACE.search(c)}
+            words, count = self.words_of([c for i, c in enumerate(chunks) if i not in wide])
+            ends = np.cumsum(count).tolist()
+            plain = iter(words[a:b] for a, b in zip([0, *ends], ends))
+            each = [wide[i] if i in wide else next(plain) for i in range(len(chunks))]
+            return [w for e in each for w in e], np.array([len(e) for e in each], dtype=np.int64)
+        if not chunks:
+            return [], np.zeros(0, dtype=np.int64)
         whole = self.normalizer.normalize_str(" ".join(chunks))
         spaces = np.flatnonzero(np.frombuffer(whole.encode("utf-32-le"), dtype="<u4") == 32)
-        if len(spaces) != len(chunks) - 1:      # a chunk holds white space beyond ASCII, or a neighbour of it
+        if len(spaces) != len(chunks) - 1:      # a normalizer that makes blanks of other characters
             each = [self.words(c) for c in chunks]
             return [w for e in each for w in e], np.array([len(e) for e in each], dtype=np.int64)
         found = self.splitter.pre_tokenize_str(whole)

@@ -336,6 +336,21 @@ def test_merger_words_together():
     assert merger.merge_all([]) == []
 
 
+def test_bpe_wide_spaces(spark):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(SPEC)
+    merger = encoding.WordMerger(open(SPEC, encoding="utf-8").read())
+    for chunks in (["10\u00a0km", "the", "cat", "\u00a0", "dog"], ["\u3000", "a\u2028b", "x"], ["\u00a0"], ["\x1f", "a\x85", "b"], ["a", "b"], []):
+        words, count = merger.words_of(chunks)
+        each = [merger.words(c) for c in chunks]
+        assert words == [w for e in each for w in e] and count.tolist() == [len(e) for e in each]
+    texts = ["10\u00a0km the cat \u00a0 dog", "the cat and the dog \u3000 10\u3000km\u2028on", "the cat, the dog; \u00a0\u00a0 a\u00a0b\u00a0c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for top in (0, 40):
+        got = {r.doc_id: r.ids for r in encoding.encode_documents(df, SPEC, top=top, with_ids=True).collect()}
+        assert got == {i: lib.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+
+
 def test_licenses(spark, docs):
     import re
     rows = docs.select("doc_id", "text").collect()
