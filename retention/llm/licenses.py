@@ -1,18 +1,22 @@
 """License scan: base phrases, and an exact set-similarity join of text blocks with notice templates.
 
-A block is a line. A template matches a block if the block's word set holds at
-least ``threshold`` of the template's word set. The join is exact: the words
-of each template are ordered by their frequency in the whole corpus, rarest
-first, and a block is compared only if it has a word of the template's prefix
-(a match must share one), has enough words (length filter), and, from the
-place of its first shared prefix word on, can still reach the threshold
-(positional filter). The templates are a fixed small table that every task
-holds with its inverted index of prefix words.
+A block is a line, or a window of the whole text's words, across line ends: a
+run as long as the template's text, at every place. A template matches a block
+if the block's word set holds at least ``threshold`` of the template's word
+set. The join is exact: the words of each template are ordered by their
+frequency in the whole corpus, rarest first, and a block is compared only if it has a word of the template's prefix (a match must share
+one), has enough words (length filter), and, from the place of its first
+shared prefix word on, can still reach the threshold (positional filter); a
+text's windows are walked only for templates that the whole text's words meet.
+The templates are a fixed small table that every task holds with its inverted
+index of prefix words.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -96,6 +100,35 @@ class TemplateIndex:
         return out
 
 
+def notice_places(words: list[bytes], template: frozenset[bytes], need: int, length: int) -> list[tuple[int, int, int]]:
+    """(first, last, shared) of the windows of ``length`` words that share ``need`` words or more with the template.
+
+    First and last are the shared words' own places. Of windows that overlap
+    the one that shares most counts, of these the shortest. One pass: a left
+    word that stands again further on adds nothing to any later window.
+    """
+    at = [i for i, w in enumerate(words) if w in template]
+    inside: Counter = Counter()
+    found, left = [], 0
+    for right, last in enumerate(at):
+        inside[words[last]] += 1
+        while inside[words[at[left]]] > 1 or last - at[left] >= length:
+            inside[words[at[left]]] -= 1
+            if not inside[words[at[left]]]:
+                del inside[words[at[left]]]
+            left += 1
+        if len(inside) >= need:
+            found.append((-len(inside), last - at[left], at[left], last))
+    firsts: list[int] = []
+    out: list[tuple[int, int, int]] = []
+    for shared, _, first, last in sorted(found):
+        i = bisect_right(firsts, last)      # places lie apart: the one before decides
+        if not i or out[i - 1][1] < first:
+            firsts.insert(i, first)
+            out.insert(i, (first, last, -shared))
+    return out
+
+
 def phrase_places(joined: bytes, phrase: bytes) -> list[int]:
     """Word numbers at which the phrase's words stand in a row. ``joined`` is the words with a space around each."""
     out, number, last, at = [], 0, 0, joined.find(phrase)
@@ -114,16 +147,18 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.85, templates=TEMPLATES,
                   text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id`` and ``RESULT``.
 
-    ``n_blocks`` counts all pairs of a block and a template that match; a
-    block gives the label of the templates it holds best, as notices of one
-    family differ in a word. ``score`` is the largest containment that met the
-    threshold (0 without one). A
+    ``n_blocks`` counts all pairs of a line and a template that match, and the
+    matching windows over line ends that touch no matching line, each place
+    once. Every match gives its template's label, but for one that stands at
+    the same words as a better match, as notices of one family differ in a word. ``score`` is the
+    largest containment that met the threshold (0 without one). A
     null text counts as empty (no words, empty labels, null places); repeated
     rows and null ids keep their rows; other columns are ignored; an empty
-    table gives no rows. Every whole text is read, line by line.
+    table gives no rows. Every whole text is read.
     """
     sets = template_words(templates)
     index = TemplateIndex(sets, word_frequencies(docs, set().union(*(s for _, s in sets)), text), threshold)
+    lengths = [len(text.encode().translate(_TABLE).split()) for _, text in templates]
     wanted = [(b" " + b" ".join(p.encode().translate(_TABLE).split()) + b" ", label) for p, label in phrases]
 
     def scan(t: bytes) -> tuple:
@@ -137,13 +172,42 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.85, templates=TEMPLATES,
                 if at := phrase_places(joined, p):
                     places += at
                     base.add(label)
-        if index.prefix & have:
-            for line in low.split(b"\n"):
-                block = set(line.split())
-                matches = index.match(block)
-                best = max((part for _, part in matches), default=0.0)
-                found.update(sets[k][0] for k, part in matches if part == best)
-                score, blocks = max(score, best), blocks + len(matches)
+        if index.prefix & have and (candidates := index.match(have)):
+            lines = [line.split() for line in low.split(b"\n")]
+            starts, at = [], 0
+            for line in lines:
+                starts.append(at)
+                at += len(line)
+            notices = {k: notice_places(words, sets[k][1], index.need[k], lengths[k]) for k, _ in candidates}
+            matches: dict[int, list[tuple[int, int, float]]] = {k: [] for k in notices}     # first word, last word, containment
+            hit: set[tuple[int, int]] = set()
+            for n, line in enumerate(lines):
+                for k, part in index.match(set(line)) if line else ():
+                    hit.add((n, k))
+                    blocks += 1
+                    matches[k].append((starts[n], starts[n] + len(line) - 1, part))
+            for k, at_places in notices.items():
+                whole, matches[k] = matches[k], []
+                for first, last, shared in at_places:
+                    matches[k].append((first, last, shared / len(sets[k][1])))
+                    over = range(bisect_right(starts, first) - 1, bisect_right(starts, last))
+                    blocks += not any((n, k) in hit for n in over)
+                firsts, lasts = [p[0] for p in at_places], [p[1] for p in at_places]
+                for first, last, part in whole:     # a line counts as a whole where no window stands in it or holds it
+                    near = at_places[bisect_left(lasts, first):bisect_right(firsts, last)]
+                    if not any(first <= f and l <= last or f <= first and last <= l for f, l, _ in near):
+                        matches[k].append((first, last, part))
+                matches[k].sort()       # by first word, and so by last word too
+            bounds = {k: ([m[0] for m in own], [m[1] for m in own]) for k, own in matches.items()}
+
+            def beaten(k: int, first: int, last: int, part: float) -> bool:
+                return any(p > part for j in matches if j != k
+                           for _, _, p in matches[j][bisect_left(bounds[j][1], first):bisect_right(bounds[j][0], last)])
+
+            for k, own in matches.items():
+                score = max([score, *(part for _, _, part in own)])
+                if any(not beaten(k, *m) for m in own):
+                    found.add(sets[k][0])
         return (len(words), len(places), min(places, default=None), max(places, default=None),
                 ",".join(sorted(base)), ",".join(sorted(base | found)), score, blocks)
 

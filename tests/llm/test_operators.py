@@ -375,6 +375,36 @@ def test_licenses(spark, docs):
     assert Counter(tuple(r) for r in licenses.scan_licenses(docs).collect()) == Counter(want)
 
 
+def test_license_windows(spark):
+    full = dict(licenses.TEMPLATES[::-1])       # the first notice of each label
+    mit = licenses.TEMPLATES[1][1]
+    bsd, mpl, gpl2, gpl3 = full["bsd"], full["mpl-2"], full["gpl-2"], full["gpl-3"]
+    wrap = lambda t, n: "\n * ".join(" ".join(t.split()[i:i + n]) for i in range(0, len(t.split()), n))
+    changed = bsd.replace("permitted", "allowed")
+    filler = "some other words of a readme file\n"
+    cases = [(mit, "mit", 1.0, 1), (wrap(mit, 13), "mit", 1.0, 1), (wrap(bsd, 10), "bsd", 1.0, 1), (wrap(mpl, 3), "mpl-2", 1.0, 1),
+             (wrap(full["isc"], 12), "isc", 1.0, 1), (wrap(bsd, 1), "bsd", 1.0, 1), (filler + wrap(bsd, 4) + "\n" + filler + wrap(mit, 9), "bsd,mit", 1.0, 2),
+             (wrap(bsd, 6) + "\n" + filler * 4 + wrap(bsd, 5), "bsd", 1.0, 2), (mit + ". " + changed, "bsd,mit", 1.0, 2), (changed, "bsd", 12 / 13, 1),
+             (gpl3, "gpl-3", 1.0, 4), (gpl2, "gpl-2", 1.0, 2), (wrap(gpl3, 5), "gpl-3", 1.0, 4), (gpl2 + " " + filler.strip() + " " + gpl3, "gpl-2,gpl-3", 1.0, 4),
+             (gpl2 + "\n" + gpl3, "gpl-2,gpl-3", 1.0, 6), (bsd.replace(" ", "\n" + "far away words stand between\n" * 3), "", 0.0, 0)]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, round(r.score, 9), r.n_blocks) for r in licenses.scan_licenses(df).collect()}
+    assert got == {i: (labels, round(score, 9), n) for i, (_, labels, score, n) in enumerate(cases)}
+
+
+def test_notice_places():
+    rnd = random.Random(6)
+    for _ in range(300):
+        words = [rnd.choice([b"a", b"b", b"c", b"x", b"y"]) for _ in range(rnd.randint(0, 40))]
+        length, need = rnd.randint(3, 6), rnd.randint(2, 3)
+        got = licenses.notice_places(words, frozenset([b"a", b"b", b"c"]), need, length)
+        shares = [len({b"a", b"b", b"c"}.intersection(words[i:i + length])) for i in range(len(words))]
+        assert bool(got) == any(n >= need for n in shares)                      # no window is missed
+        assert max((n for *_, n in got), default=0) == max((n for n in shares if n >= need), default=0)
+        assert all(len({b"a", b"b", b"c"}.intersection(words[f:l + 1])) == n >= need and l - f < length for f, l, n in got)
+        assert all(a[1] < b[0] for a, b in zip(got, got[1:]))
+
+
 def test_phrase_places():
     words = ["a", "b", "a", "a", "b", "a", "b", "c"]
     joined = (" " + " ".join(words) + " ").encode()
