@@ -82,6 +82,9 @@ class TemplateIndex:
             for place, w in enumerate(ordered[:len(words) - need + 1]):
                 self.index.setdefault(w, []).append((k, place))
         self.prefix = set(self.index)
+        #: templates whose threshold the words of another template meet: held less, they are that other notice
+        self.shadow = [{j for j, (_, other) in enumerate(templates) if j != k and len(words & other) >= self.need[k]}
+                       for k, (_, words) in enumerate(templates)]
 
     def match(self, block: set[bytes]) -> list[tuple[int, float]]:
         """(template, containment) of every template that the block meets."""
@@ -150,7 +153,8 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.85, templates=TEMPLATES,
     ``n_blocks`` counts all pairs of a line and a template that match, and the
     matching windows over line ends that touch no matching line, each place
     once. Every match gives its template's label, but for one that stands at
-    the same words as a better match, as notices of one family differ in a word. ``score`` is the
+    the same words as a better match of a template whose own words would meet
+    its threshold (notices of one family differ in a word). ``score`` is the
     largest containment that met the threshold (0 without one). A
     null text counts as empty (no words, empty labels, null places); repeated
     rows and null ids keep their rows; other columns are ignored; an empty
@@ -201,7 +205,7 @@ def scan_licenses(docs: DataFrame, threshold: float = 0.85, templates=TEMPLATES,
             bounds = {k: ([m[0] for m in own], [m[1] for m in own]) for k, own in matches.items()}
 
             def beaten(k: int, first: int, last: int, part: float) -> bool:
-                return any(p > part for j in matches if j != k
+                return any(p > part for j in index.shadow[k].intersection(matches)
                            for _, _, p in matches[j][bisect_left(bounds[j][1], first):bisect_right(bounds[j][0], last)])
 
             for k, own in matches.items():

@@ -392,6 +392,16 @@ def test_license_windows(spark):
     assert got == {i: (labels, round(score, 9), n) for i, (_, labels, score, n) in enumerate(cases)}
 
 
+def test_license_second_label(spark):
+    bsd, mit = dict(licenses.TEMPLATES)["bsd"], licenses.TEMPLATES[1][1]
+    df = spark.createDataFrame([(1, mit + " " + bsd.replace("permitted", "allowed"))], "doc_id long, text string")
+    assert licenses.scan_licenses(df).first().labels == "bsd,mit"
+    # two notices that share a word: neither is the other's family
+    templates = (("x", "alpha beta gamma delta"), ("y", "delta epsilon zeta eta theta iota kappa"))
+    df = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota lambda")], "doc_id long, text string")
+    assert licenses.scan_licenses(df, templates=templates).first().labels == "x,y"
+
+
 def test_notice_places():
     rnd = random.Random(6)
     for _ in range(300):
