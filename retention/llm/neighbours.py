@@ -9,7 +9,10 @@ distance is within a ratio of the nearest. Lists are stored in blocks of
 bounded size, so a hot list is many blocks; queries meet blocks in blocks.
 
 Largest inner product becomes smallest distance by one more coordinate,
-sqrt(max norm^2 - norm^2), on the candidates and 0 on the queries.
+sqrt(max norm^2 - norm^2), on the candidates and 0 on the queries. Where norms
+are uneven, that coordinate would outweigh all others; so the vectors of
+largest norm, a fixed share, are kept out of the lists and searched by every
+query, and the maximum is that of the others.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ class Params:
     search_share: float = 0.15  # and as a share of all lists: data without clusters needs a share
     replicas: int = 4           # lists of one vector, at most
     replica_ratio: float = 1.2  # a further list's distance against the nearest one's
+    head_share: float = 0.05    # vectors of largest norm that every query searches
     probe_ratio: float = 1.35   # a searched list's distance against the nearest one's
     block_rows: int = 1024      # vectors of a stored block, about
     query_rows: int = 256       # queries of a block, about
@@ -214,8 +218,10 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
     norm = F.aggregate("vec", F.lit(0.0), lambda s, v: s + v * v)
     rows = scratch.store(rows.where(F.size("vec") == dim).groupBy("vec_id").agg(F.min("vec").alias("vec"))
                          .withColumn("norm", norm), "vectors")
-    n, most = rows.agg(F.count("*"), F.max("norm")).first()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(params.sample).select("vec", "norm").toArrow()
+    most = rows.agg(F.percentile_approx("norm", 1 - params.head_share, 10_000)).first()[0]
+    in_head = F.col("norm") > F.lit(most)
+    n, n_head = rows.agg(F.count_if(~in_head), F.count_if(in_head)).first()
+    sample = rows.where(~in_head).orderBy(F.xxhash64("vec_id"), "vec_id").limit(params.sample).select("vec", "norm").toArrow()
     vec = _matrix(sample.column("vec").combine_chunks(), dim)
     extra = np.sqrt(np.maximum(most - np.asarray(sample.column("norm")), 0))
     n_lists = int(min(params.max_lists, len(vec), max(1, -(-n // params.list_rows))))
@@ -236,11 +242,17 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
                                                   part.column("vec").take(take), pa.array(primary)],
                                                  names=["list", "vec_id", "vec", "primary"])
 
-    posted = scratch.store(rows.mapInArrow(post, "list int, vec_id long, vec array<double>, primary boolean"), "posted")
+    posted = rows.where(~in_head).mapInArrow(post, "list int, vec_id long, vec array<double>, primary boolean")
+    n_lists = len(centre)
+    head_lists = -(-n_head // p.block_rows)     # the head in lists of about a block, numbered after the others
+    if head_lists:
+        dealt = (n_lists + F.pmod(F.xxhash64("vec_id"), F.lit(head_lists))).cast("int")
+        posted = posted.unionByName(rows.where(in_head).select(dealt.alias("list"), "vec_id", "vec", F.lit(False).alias("primary")))
+    posted = scratch.store(posted, "posted")
     counts = scratch.store(posted.groupBy("list").agg(
         F.count("*").alias("n"), F.sum(F.col("primary").cast("long")).alias("own")), "counts")
-    sizes = np.zeros(len(centre), dtype=np.int64)
-    for r in counts.collect():      # one row per centroid
+    sizes = np.zeros(n_lists, dtype=np.int64)
+    for r in counts.where(F.col("list") < n_lists).collect():      # one row per centroid
         sizes[r["list"]] = r["own"]
     parts = counts.select(F.col("list").alias("l"), F.ceil(F.col("n") / p.block_rows).cast("int").alias("parts"))
     blocks = (posted.join(F.broadcast(parts), F.col("list") == F.col("l"))
@@ -257,6 +269,8 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
                 part = b.slice(a, 1024)
                 v = _matrix(part.column("vec"), dim)
                 row, lists = probe_lists(graph, np.column_stack([v, np.zeros(len(v))]), sizes, k, p)
+                row = np.concatenate([row, np.repeat(np.arange(len(v)), head_lists)])
+                lists = np.concatenate([lists, np.tile(np.arange(n_lists, n_lists + head_lists), len(v))])
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), part.column("vec_id").take(take),
                                                   part.column("vec").take(take)], names=["list", "vec_id", "vec"])

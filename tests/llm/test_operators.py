@@ -454,6 +454,32 @@ def test_neighbours_hot_list(spark):
     assert len(got) == len(want) and len(set(got) & set(want)) >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize("table", ["hot", "hot third", "heavy norms", "lognormal norms"])
+def test_neighbours_recall_skewed(spark, table):
+    rnd = np.random.RandomState(3)
+    if table == "hot":      # the hot-list table at the production share and ratio
+        v, p = [[1.0, 2.0, 3.0] if i % 3 else rnd.randn(3).round(6).tolist() for i in range(900)], neighbours.Params(
+            list_rows=16, block_rows=32, query_rows=8, merge_rows=100)
+    else:
+        x, p = rnd.randn(6000, 16), neighbours.Params()
+        scale = {"hot third": np.ones(6000), "heavy norms": rnd.pareto(2, 6000) + 0.1, "lognormal norms": np.exp(rnd.randn(6000))}[table]
+        x *= scale[:, None]
+        if table == "hot third":
+            x[::3] = x[1]
+        v = x.tolist()
+    df = spark.createDataFrame(list(enumerate(v)), "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in neighbours.nearest_neighbours(df, params=p).collect()}
+    a = np.array(v)
+    want = set()
+    for q in range(0, len(a), 20):
+        score = np.einsum("d,rd->r", a[q], a)
+        score[q] = -np.inf
+        want |= {(q, int(i)) for i in np.lexsort((np.arange(len(a)), -score))[:20]}
+    recall = len(got & want) / len(want)
+    print(f"recall {table}: {recall:.3f}")
+    assert recall >= 0.9
+
+
 def test_neighbours_recall(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.op9_neighbours(spark, sf).toPandas()
