@@ -19,6 +19,7 @@ import os
 import re
 import tempfile
 from collections import Counter
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -364,9 +365,11 @@ class Encoder:
 
 
 def encode_documents(docs: DataFrame, spec_path: str, top: int = 100_000, text: str = "text", key: str = "doc_id",
-                     with_ids: bool = False) -> DataFrame:
+                     with_ids: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, ``decoded`` with ``with_ids``), a row per document.
 
+    The columns named by ``carry`` are handed on.
+
     ``ids`` is the list of ids, ``decoded`` their tokens joined as the
     vocabulary's decoder does (tokens of this vocabulary are joined by one
     space, specials stay). A null text counts as empty: no ids, both digests
@@ -406,8 +409,9 @@ def encode_documents(docs: DataFrame, spec_path: str, top: int = 100_000, text:
             if with_ids:
                 new |= {"ids": pa.array([[int(i) for i in x.split()] for x in ids], pa.list_(pa.int32())),
                         "decoded": pa.array([x.decode() for x in decoded], pa.string())}
-            yield with_columns(b, ["doc_id"], **new)
+            yield with_columns(b, ["doc_id", *carry], **new)
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+    kinds = [f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry]
+    schema = "doc_id long" + "".join(kinds) + ", n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *carry).mapInArrow(
         run, schema + (", ids array<int>, decoded string" if with_ids else ""))

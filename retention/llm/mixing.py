@@ -15,6 +15,8 @@ others go on in proportion to their weights. No row is dropped or repeated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -113,3 +115,20 @@ def in_mixed_order(docs: DataFrame, mixed: DataFrame, text: str = "text", key: s
           & (F.coalesce(F.xxhash64(text), F.lit(0)) == F.col("_m_tie")))
     return (docs.join(place, on).repartitionByRange(shuffle_partitions(docs.sparkSession), "_m_position")
             .sortWithinPartitions("_m_position").select(*[docs[c] for c in docs.columns]))
+
+
+def with_position(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step``'s rows with ``position``, the place (gapless from 0) of each row in the written order of ``docs``.
+
+    ``docs`` is a table read from files as ``in_mixed_order`` wrote it: part
+    files are in the order of their numbers, rows in that of the file, however
+    Spark packs files into tasks. ``step`` hands ``_file`` and ``_row`` on.
+    """
+    rows = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    part = F.regexp_extract("_file", r"part-(\d+)[^/]*$", 1).cast("long")
+    before = Window.partitionBy(F.lit(0)).orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count("*").alias("n"))      # one row per part file
+    files = files.select(F.col("_file").alias("_f"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    done = step(rows).join(F.broadcast(files), F.col("_file") == F.col("_f"))
+    position = (F.col("_before") + F.col("_row")).alias("position")
+    return done.select(*[c for c in done.columns if c not in ("_file", "_row", "_f", "_before")], position)

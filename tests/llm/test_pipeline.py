@@ -1,7 +1,7 @@
 """The stages one after another, against their operators' own results."""
 
 import corpus_pipeline
-from retention.llm import quality, simhash
+from retention.llm import mixing, quality, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,6 +23,33 @@ def test_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() == cut.count()
 
 
+def test_mixed_order_is_kept(spark, tmp_path):
+    sources = {"a": 700, "b": 200, "c": 100}
+    rows = [(i, f"{s} {i} " + "x" * 300, s) for s, n in sources.items() for i in range(n)]
+    rows = [(k, *r[1:]) for k, r in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = {"a": 0.5, "b": 0.3, "c": 0.2}
+    mixed = mixing.mix_documents(docs, weights, block_bytes=1, period=100)      # a document a block
+    place = {r.doc_id: r.position for r in mixed.collect()}
+    mixing.in_mixed_order(docs, mixed).write.parquet(str(tmp_path / "mixed"))
+    got = sorted(corpus_pipeline.bpe(spark, spark.read.parquet(str(tmp_path / "mixed")), SF).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(1000)) and {r.doc_id: r.position for r in got} == place
+    # the final order keeps every source within one block of its weight while none has run out
+    mixed = mixing.mix_documents(docs, weights, block_bytes=310, period=100).toPandas().set_index("doc_id")
+    mixing.in_mixed_order(docs, mixing.mix_documents(docs, weights, block_bytes=310, period=100)).write.parquet(str(tmp_path / "again"))
+    got = sorted(corpus_pipeline.bpe(spark, spark.read.parquet(str(tmp_path / "again")), SF).collect(), key=lambda r: r.position)
+    size, served = mixed["size"].to_dict(), dict.fromkeys(weights, 0)
+    for r in got[:480]:
+        served[rows[r.doc_id][2]] += size[r.doc_id]
+        total = sum(served.values())
+        assert all(abs(served[s] - w * total) <= 2 * 310 + 0.02 * total for s, w in weights.items())    # parts are rounded
+
+
+def test_run_has_positions(spark):
+    got = corpus_pipeline.run(spark, SF).select("position").collect()
+    assert sorted(r.position for r in got) == list(range(len(got)))
+
+
 def test_empty(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
