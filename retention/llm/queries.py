@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retention.llm import (encoding, licenses, mixing, neighbours, postings, quality, sharding, simhash, suffixes, token_counts, warc)
+from retention.llm import (alignment, conversations, encoding, licenses, mixing, neighbours, postings, quality, sharding, simhash, suffixes, token_counts, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,10 +54,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=100)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).drop("spans", "items")
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_mixing, op3_sharding, op4_token_counts, op5_quality, op6_warc, op7_bpe,
-                                   op8_licenses, op9_neighbours, op10_suffix_dedup, op13_postings)}
+                                   op8_licenses, op9_neighbours, op10_suffix_dedup, op11_conversations, op12_alignment, op13_postings)}
 ORACLES: dict[str, str] = {}
