@@ -105,3 +105,9 @@ def hash_bucket(col, salt: int, buckets: int = 10000) -> Column:
     key = F.concat(_c(col).cast("string"), F.lit(str(salt)))
     hexpart = F.substring(F.md5(key), 1, 8)
     return F.pmod(F.conv(hexpart, 16, 10).cast("bigint"), F.lit(buckets))
+
+
+def hash_long(col, salt: int) -> Column:
+    """Stable hash in [0, 2**60) from md5(id || salt): its first 15 hex digits."""
+    key = F.concat(_c(col).cast("string"), F.lit(str(salt)))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")

@@ -1,28 +1,33 @@
 """Model selection, training and scoring with ``pyspark.ml``.
 
-* The split is a stable md5 bucket of the id (``randomSplit`` depends on
-  partitioning; this one does not and has an SQL twin).
-* Folds for cross validation are hash buckets too (a ``foldCol``), so no
-  global window over the label is needed.
+* The split takes the rows of smallest md5 hash of the id, exactly as many as
+  the share asks for (``randomSplit`` depends on partitioning; this one does
+  not and has an SQL twin). A cheaper split by hash bucket is there too.
+* Folds for cross validation are dealt within each label by row number;
+  numbers come from ranges, so no window sees a whole label.
 * The input is written to the checkpoint folder before iterative fitting,
   cutting the lineage back to the raw price history.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from fractions import Fraction
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retention.functions.scalars import hash_bucket
+from retention.functions.scalars import hash_bucket, hash_long
+from retention.operators.forests import CutForest
+from retention.operators.ranks import numbered, smallest_bound
 from retention.session import checkpoint_dir, materialize
 
 # Spark caps tree depth at 30; an unbounded depth request maps onto it.
@@ -36,8 +41,26 @@ def with_split(df: DataFrame, test_share: float, seed: int = 42, key: str = "id"
                          .otherwise(F.lit("train")))
 
 
+def with_exact_split(df: DataFrame, test_share: float, seed: int = 42, key: str = "id") -> DataFrame:
+    """M1: add ``split``: 'test' for the ceil(test_share * rows) rows of smallest hash of the id, ties by id, else 'train'.
+
+    Ids are unique and not null. The bound is found by counting hash ranges (two
+    or three aggregations of the id column); the split itself is one
+    comparison per row, so it goes with any plan.
+    """
+    rows = df.select(key)
+    # the share as written: 0.07 * 100 is a little above 7 in binary
+    bound = smallest_bound(rows, math.ceil(Fraction(str(test_share)) * rows.count()), key, seed)
+    if bound is None:
+        return df.withColumn("split", F.lit("train"))
+    h = hash_long(key, seed)
+    inside = (h < F.lit(bound[0])) | ((h == F.lit(bound[0])) & (F.col(key) <= F.lit(bound[1])))
+    return df.withColumn("split", F.when(inside, F.lit("test")).otherwise(F.lit("train")))
+
+
 def split(df: DataFrame, test_share: float, seed: int = 42, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    s = with_split(df, test_share, seed, key)
+    """(train, test) by ``with_exact_split``."""
+    s = with_exact_split(df, test_share, seed, key)
     return (s.filter(F.col("split") == "train").drop("split"),
             s.filter(F.col("split") == "test").drop("split"))
 
@@ -74,16 +97,20 @@ def in_fixed_order(df: DataFrame, key: str = "id") -> DataFrame:
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 
-def forest_pipeline(features: list[str], cfg: ForestConfig) -> Pipeline:
-    """M2-M4 estimator: assembler + random forest (gini, bootstrap, sqrt features)."""
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    rf = RandomForestClassifier(
+def forest(cfg: ForestConfig) -> RandomForestClassifier:
+    """M2-M4 estimator: random forest (gini, bootstrap, sqrt features)."""
+    return RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=cfg.num_trees,
         maxDepth=min(cfg.max_depth, MAX_DEPTH), minInstancesPerNode=cfg.min_instances_per_node,
         featureSubsetStrategy=cfg.feature_subset, maxBins=cfg.max_bins, seed=cfg.seed,
         impurity="gini", bootstrap=True, cacheNodeIds=True, checkpointInterval=10,
         maxMemoryInMB=cfg.max_memory_mb)
-    return Pipeline(stages=[assembler, rf])
+
+
+def forest_pipeline(features: list[str], cfg: ForestConfig) -> Pipeline:
+    """The assembler of the feature columns and the forest."""
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+    return Pipeline(stages=[assembler, forest(cfg)])
 
 
 def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = ForestConfig(),
@@ -112,35 +139,74 @@ def importances(model: PipelineModel, features: list[str]) -> DataFrame:
     return session.createDataFrame(rows, "features string, importance double").orderBy("importance", "features")
 
 
-def with_folds(df: DataFrame, k: int = 5, seed: int = 42, key: str = "id") -> DataFrame:
-    """Fold column for cross validation: a stable hash bucket of the id."""
-    return df.withColumn("fold", F.pmod(hash_bucket(F.col(key), seed + 1, 1000003), F.lit(k)).cast("int"))
+def parameters(model: PipelineModel) -> DataFrame:
+    """The parameters that the fitted forest holds, one row."""
+    rf = model.stages[-1]
+    return SparkSession.getActiveSession().createDataFrame(
+        [(rf.getNumTrees, rf.getOrDefault("maxDepth"), rf.getOrDefault("minInstancesPerNode"), rf.getOrDefault("seed"),
+          rf.getOrDefault("featureSubsetStrategy"), rf.getOrDefault("impurity"), rf.getOrDefault("bootstrap"), rf.numFeatures)],
+        "num_trees int, max_depth int, min_leaf int, seed long, feature_subset string, impurity string, bootstrap boolean, n_features int")
+
+
+def with_folds(df: DataFrame, k: int = 5, label: str = "churn", key: str = "id") -> DataFrame:
+    """``fold`` for cross validation, dealt within each label by id: fold sizes per label differ by one at most."""
+    rows = numbered(df, [key], [label], "_number")
+    return rows.withColumn("fold", F.pmod("_number", F.lit(k)).cast("int")).drop("_number")
+
+
+@dataclass
+class GridResult:
+    """M10 + M11: the fitted best model, its setting and the table of all settings."""
+
+    model: PipelineModel
+    best: dict
+    table: DataFrame
 
 
 def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300), max_depth=(MAX_DEPTH, 10, 20, 30),
-                min_leaf=(1, 2, 4), folds: int = 5, seed: int = 42, parallelism: int = 4,
-                label: str = "churn"):
-    """M10 + M11: grid over trees x depth x leaf size, k folds, accuracy.
+                min_leaf=(1, 2, 4), folds: int = 5, seed: int = 42, parallelism: int | None = None,
+                label: str = "churn", cfg: ForestConfig = ForestConfig()) -> GridResult:
+    """M10 + M11: grid over trees x depth x leaf size, stratified folds, accuracy; the best setting fitted on all rows.
+
+    One forest per fold and leaf size is grown, with the most trees and the
+    greatest depth. The first n of its trees are a forest of n trees, and its
+    trees cut at a depth are trees grown to that depth (``forests.CutForest``),
+    so all settings of the other two parameters are scored from it in one
+    pass over the fold. Ties go to the setting that comes first.
 
     sklearn's ``min_samples_split`` has no Spark parameter and is left out;
     depth "None" collapses onto 30 (duplicates are removed).
-    Returns (cv_model, table of (num_trees, max_depth, min_leaf, accuracy)).
     """
-    data = materialize(in_fixed_order(with_folds(with_label(train, label), folds, seed).select(
-        "id", "label", "fold", *features)), "forest-cv")
-    pipe = forest_pipeline(features, ForestConfig(seed=seed))
-    rf = pipe.getStages()[-1]
+    spark = train.sparkSession
+    checkpoint_dir(spark)   # node-id cache checkpoints need a shared folder
+    folded = with_folds(with_label(train.select("id", label, *features), label), folds, label)
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+    # one table of vectors for all fits, with the rows of a seed's bootstrap in a fixed order
+    data = materialize(in_fixed_order(assembler.transform(folded).select("id", "label", "fold", "features")), "forest-cv")
     depths = sorted({min(d, MAX_DEPTH) for d in max_depth})
-    grid = (ParamGridBuilder().addGrid(rf.numTrees, list(num_trees)).addGrid(rf.maxDepth, depths)
-            .addGrid(rf.minInstancesPerNode, list(min_leaf)).build())
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold", numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    cv_model = cv.fit(data)
-    rows = []
-    for pm, acc in zip(grid, cv_model.avgMetrics):
-        vals = {p.name: v for p, v in pm.items()}
-        rows.append((int(vals["numTrees"]), int(vals["maxDepth"]), int(vals["minInstancesPerNode"]), float(acc)))
-    table = data.sparkSession.createDataFrame(
-        rows, "num_trees int, max_depth int, min_leaf int, accuracy double")
-    return cv_model, table
+    trees, leaves = sorted(set(num_trees)), sorted(set(min_leaf))
+
+    def accuracies(job: tuple[int, int]) -> list[tuple]:
+        leaf, fold = job
+        grown = forest(ForestConfig(max(trees), max(depths), leaf, seed, cfg.feature_subset, cfg.max_bins, cfg.max_memory_mb)).fit(
+            data.where(F.col("fold") != fold))
+        return [(n, d, leaf, acc) for (n, d), acc in CutForest.of(grown, spark).accuracies(data.where(F.col("fold") == fold), trees, depths).items()]
+
+    jobs = [(leaf, fold) for leaf in leaves for fold in range(folds)]
+    pool = ThreadPool(min(len(jobs), parallelism or max(1, spark.sparkContext.defaultParallelism // 2)))
+    try:
+        found = pool.map(inheritable_thread_target(spark)(accuracies), jobs)
+    finally:
+        pool.close()
+    total: dict[tuple, float] = {}
+    for rows in found:
+        for n, d, leaf, acc in rows:
+            total[n, d, leaf] = total.get((n, d, leaf), 0.0) + acc
+    settings = [(n, d, leaf, total[n, d, leaf] / folds) for n in trees for d in depths for leaf in leaves]
+    best = max(settings, key=lambda s: s[3])
+    n, d, leaf, _ = best
+    model = Pipeline(stages=[assembler, forest(ForestConfig(n, d, leaf, seed, cfg.feature_subset, cfg.max_bins, cfg.max_memory_mb))]).fit(
+        materialize(in_fixed_order(with_label(train, label).select("id", "label", *features)), "forest-train"))
+    table = spark.createDataFrame([(*s, s is best) for s in settings],
+                                  "num_trees int, max_depth int, min_leaf int, accuracy double, is_best boolean")
+    return GridResult(model, {"num_trees": n, "max_depth": d, "min_leaf": leaf, "accuracy": best[3]}, table)

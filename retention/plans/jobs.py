@@ -163,15 +163,14 @@ def tuned_job(client: DataFrame, price: DataFrame, order_cols: list[str], params
     feats = M.feature_columns(pm)
     base = M.fit_forest(train, feats, M.ForestConfig(num_trees=100, seed=params.seed))
     grid = grid or {}
-    cv_model, cv_table = M.grid_search(train, feats, seed=params.seed, folds=folds, **grid)
-    best = cv_model.bestModel
+    found = M.grid_search(train, feats, seed=params.seed, folds=folds, **grid)
     tuned = M.fit_forest(train, feats, M.ForestConfig(num_trees=200, max_depth=30, min_instances_per_node=1,
                                                       seed=params.seed))
     tables = {
         "premodel": pm,
         "baseline_metrics": EV.metrics(M.score(base, test)),
-        "grid": cv_table,
-        "grid_best_metrics": EV.metrics(M.score(best, test)),
+        "grid": found.table,
+        "grid_best_metrics": EV.metrics(M.score(found.model, test)),
         "tuned_metrics": EV.metrics(M.score(tuned, test)),
     }
     _write(tables, ["premodel", "baseline_metrics", "grid", "tuned_metrics"], out_dir)

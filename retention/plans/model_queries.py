@@ -3,9 +3,6 @@ rule-score evaluation and forest queries."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import functions as F
 
 from retention.config import DEFAULT
@@ -15,7 +12,7 @@ from retention.operators import model as M
 from retention.operators import prices as P
 from retention.operators import profile as PR
 from retention.operators import relations as R
-from retention.session import materialize
+from retention.session import materialize, stored_path
 from retention.plans import features as FT
 from retention.plans.price_queries import (
     _endpoint_body,
@@ -180,12 +177,43 @@ def q_hash_split_fe(spark, d):
     return M.with_split(merged.select("id"), DEFAULT.test_share_fe, DEFAULT.seed)
 
 
+def exact_test_ids_sql(body: str, share: float) -> str:
+    """SQL for the ids of the exact split's test rows: the ceil(share * n) of smallest hash, ties by id."""
+    h = f"('0x' || substr(md5(CAST(id AS VARCHAR) || '{DEFAULT.seed}'), 1, 15))::BIGINT"
+    return (f"SELECT id FROM (SELECT id, row_number() OVER (ORDER BY {h}, id) AS k, count(*) OVER () AS n FROM ({body}) b) r "
+            f"WHERE k <= ceil({share} * n)")
+
+
+def _exact_split_sql(body: str, share: float) -> str:
+    return with_views(f"SELECT id, CASE WHEN id IN ({exact_test_ids_sql(body, share)}) THEN 'test' ELSE 'train' END AS split FROM ({body}) t")
+
+
+@register("exact_split", lambda: _exact_split_sql("SELECT id FROM account", DEFAULT.test_share_rf))
+def q_exact_split(spark, d):
+    """M1: the tuned job's 80/20 split, exactly ceil(0.2 n) test rows."""
+    return M.with_exact_split(account_view(spark, d).select("id"), DEFAULT.test_share_rf, DEFAULT.seed)
+
+
+@register("exact_split_fe", lambda: _exact_split_sql(f"SELECT id FROM {MERGED_SQL} m", DEFAULT.test_share_fe))
+def q_exact_split_fe(spark, d):
+    """M1: the feature job's 75/25 split of the merged clients, exactly ceil(0.25 n) test rows."""
+    merged = materialize(FT.merged_clients(account_view(spark, d), price_view(spark, d)).select("id"), "merged-ids")
+    return M.with_exact_split(merged, DEFAULT.test_share_fe, DEFAULT.seed)
+
+
+@register("stratified_folds", lambda: with_views(
+    "SELECT id, churn, CAST((row_number() OVER (PARTITION BY churn ORDER BY id) - 1) % 5 AS INTEGER) AS fold FROM account"))
+def q_stratified_folds(spark, d):
+    """Five folds dealt within each label by id."""
+    return M.with_folds(account_view(spark, d).select("id", "churn"), 5)
+
+
 # Deterministic rule used to test the evaluation operators without a model.
 RULE_SQL = "CAST(CASE WHEN nb_prod_act < 10 THEN 1.0 ELSE 0.0 END AS DOUBLE)"
 
 
 def _rule_scored(spark, d):
-    a = account_view(spark, d)
+    a = materialize(account_view(spark, d).select("id", "churn", "nb_prod_act"), "rule-rows")
     _, test = M.split(a, DEFAULT.test_share_rf, DEFAULT.seed)
     return test.select(F.col("churn").cast("double").alias("label"),
                        F.when(F.col("nb_prod_act") < 10, F.lit(1.0)).otherwise(F.lit(0.0)).alias("prediction"))
@@ -193,7 +221,7 @@ def _rule_scored(spark, d):
 
 def _rule_test_sql():
     return (f"SELECT CAST(churn AS DOUBLE) AS label, {RULE_SQL} AS prediction FROM account "
-            f"WHERE {_bucket_sql('id', DEFAULT.seed)} < {int(round(DEFAULT.test_share_rf * 10000))}")
+            f"WHERE id IN ({exact_test_ids_sql('SELECT id FROM account', DEFAULT.test_share_rf)})")
 
 
 def _confusion_sql():
@@ -236,19 +264,54 @@ def q_test_labels(spark, d):
     return EV.label_distribution(_rule_scored(spark, d), "label")
 
 
-# ---------------------------------------------------------------- forests (rows-only checks)
-def _rf_data(spark, d):
-    pm = materialize(_premodel(spark, d), "premodel")
-    train, test = M.split(pm, DEFAULT.test_share_rf, DEFAULT.seed)
-    return pm, train, test, M.feature_columns(pm)
+# ---------------------------------------------------------------- forests
+_STORED: dict[tuple, dict[str, str]] = {}
+
+
+def _stored(spark, d: str, name: str, build) -> dict:
+    """The tables that ``build`` returns, stored once per session and input folder: several views read one forest."""
+    key = (spark.sparkContext.applicationId, spark.sparkContext.startTime, d, name)
+    if key not in _STORED:
+        paths = {}
+        for n, df in build().items():
+            paths[n] = stored_path(spark, f"{name}-{n}")
+            df.write.parquet(paths[n])
+        _STORED[key] = paths
+    return {n: spark.read.parquet(p) for n, p in _STORED[key].items()}
+
+
+def _forest(spark, d: str, name: str, table, share: float, cfg: M.ForestConfig) -> dict:
+    """M2-M6, M9: a fitted forest's scored test rows, importances, and parameters as the fitted model holds them."""
+    def build():
+        rows = materialize(table(spark, d), name)
+        train, test = M.split(rows, share, DEFAULT.seed)
+        feats = M.feature_columns(rows)
+        model = M.fit_forest(train, feats, cfg)
+        return {"scored": M.score(model, test), "importances": M.importances(model, feats), "parameters": M.parameters(model)}
+    return _stored(spark, d, name, build)
+
+
+def _base_forest(spark, d):
+    """M3: 100 trees on the tuned job's table, seed 42, 80/20 split."""
+    return _forest(spark, d, "forest-base", _premodel, DEFAULT.test_share_rf, M.ForestConfig(num_trees=100, seed=DEFAULT.seed))
+
+
+def _tuned_forest(spark, d):
+    """M4: 200 trees, depth 30, leaf 1, seed 42."""
+    return _forest(spark, d, "forest-tuned", _premodel, DEFAULT.test_share_rf,
+                   M.ForestConfig(num_trees=200, max_depth=30, min_instances_per_node=1, seed=DEFAULT.seed))
+
+
+def _fe_forest(spark, d):
+    """M2: 1000 trees on the feature job's table, 75/25 split."""
+    return _forest(spark, d, "forest-fe", lambda s, p: FT.feature_table(account_view(s, p), price_view(s, p)), DEFAULT.test_share_fe,
+                   M.ForestConfig(num_trees=1000, seed=DEFAULT.seed))
 
 
 @register("forest_scores")
 def q_forest_scores(spark, d):
-    """M3 + M5 + M6: 100 trees, seed 42, 80/20 split; scored test rows."""
-    _, train, test, feats = _rf_data(spark, d)
-    model = M.fit_forest(train, feats, M.ForestConfig(num_trees=100, seed=DEFAULT.seed))
-    return M.score(model, test)
+    """M3 + M5 + M6: scored test rows of the 100-tree forest."""
+    return _base_forest(spark, d)["scored"]
 
 
 @register("forest_metrics")
@@ -259,39 +322,25 @@ def q_forest_metrics(spark, d):
 
 @register("forest_tuned_metrics")
 def q_forest_tuned(spark, d):
-    """M4: 200 trees, depth 30, leaf 1, seed 42."""
-    _, train, test, feats = _rf_data(spark, d)
-    model = M.fit_forest(train, feats, M.ForestConfig(num_trees=200, max_depth=30, min_instances_per_node=1,
-                                                      seed=DEFAULT.seed))
-    return EV.metrics(M.score(model, test))
+    """M4 + M7 + M8: metrics of the tuned forest."""
+    return EV.metrics(_tuned_forest(spark, d)["scored"])
 
 
 @register("forest_importance")
 def q_forest_importance(spark, d):
-    """M9 on the feature job's table: 1000 trees, 75/25 split."""
-    model, _, feats = _fe_forest(spark, d)
-    return M.importances(model, feats)
-
-
-def _fe_forest(spark, d):
-    """M2: 1000 trees on the feature job's table, 75/25 split; (model, test rows, features)."""
-    ft = materialize(FT.feature_table(account_view(spark, d), price_view(spark, d)), "feature-table")
-    train, test = M.split(ft, DEFAULT.test_share_fe, DEFAULT.seed)
-    feats = M.feature_columns(ft)
-    return M.fit_forest(train, feats, M.ForestConfig(num_trees=1000, seed=DEFAULT.seed)), test, feats
+    """M9 + O2: importances of the 1000-tree forest, ascending."""
+    return _fe_forest(spark, d)["importances"].orderBy("importance", "features")
 
 
 @register("forest_fe_metrics")
 def q_forest_fe_metrics(spark, d):
     """M2 + M7 + M8: metrics of the 1000-tree forest on its 25 % test rows."""
-    model, test, _ = _fe_forest(spark, d)
-    return EV.metrics(M.score(model, test))
+    return EV.metrics(_fe_forest(spark, d)["scored"])
 
 
 # What must hold of any fitted forest, with an SQL twin for the rows it must hold of.
 def _test_rows_sql(body: str, share: float) -> str:
-    return (f"SELECT id, CAST(churn AS DOUBLE) AS label FROM ({body}) t "
-            f"WHERE {_bucket_sql('id', DEFAULT.seed)} < {int(round(share * 10000))}")
+    return f"SELECT id, CAST(churn AS DOUBLE) AS label FROM ({body}) t WHERE id IN ({exact_test_ids_sql(body, share)})"
 
 
 @register("forest_scores_check", lambda: with_views(
@@ -305,27 +354,51 @@ def q_forest_scores_check(spark, d):
         ((p == 1.0) == (yes > 0.5)).alias("follows_probability"))
 
 
-def _metrics_check(metrics):
+def _forest_check(forest: dict):
+    """Counts and accuracy of the metrics against the scored rows themselves, and the parameters that arrived in the model.
+
+    ``above_floor``: the accuracy is at most 0.02 under the share of the larger class.
+    """
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    rows = forest["scored"].agg(F.count("*").alias("rows"), right.alias("right"), F.avg("label").alias("yes"))
+    m = EV.metrics(forest["scored"])
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
-    return metrics.select(n.alias("n_rows"), (F.col("fn") + F.col("tp")).alias("n_positive"),
-                          (F.abs(F.col("accuracy") * n - F.col("tp") - F.col("tn")) < 1e-6).alias("accuracy_holds"))
+    return m.crossJoin(rows).crossJoin(forest["parameters"]).select(      # one row each
+        n.alias("n_rows"), (F.col("fn") + F.col("tp")).alias("n_positive"),
+        ((F.abs(F.col("accuracy") - F.col("right")) < 1e-9) & (n == F.col("rows"))).alias("accuracy_holds"),
+        (F.col("accuracy") >= F.greatest("yes", 1 - F.col("yes")) - 0.02).alias("above_floor"),
+        "num_trees", "max_depth", "min_leaf", "seed", "feature_subset", "impurity", "bootstrap", "n_features")
+
+
+def _forest_check_sql(body: str, names: list[str], share: float, cfg: M.ForestConfig) -> str:
+    n_features = len([c for c in names if c not in ("id", "churn")])
+    return with_views(
+        "SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_positive, true AS accuracy_holds, true AS above_floor, "
+        f"{cfg.num_trees} AS num_trees, {cfg.max_depth} AS max_depth, {cfg.min_instances_per_node} AS min_leaf, "
+        f"CAST({cfg.seed} AS BIGINT) AS seed, '{cfg.feature_subset}' AS feature_subset, 'gini' AS impurity, true AS bootstrap, "
+        f"{n_features} AS n_features FROM ({_test_rows_sql(body, share)}) s")
 
 
-def _metrics_check_sql(body: str, share: float) -> str:
-    return with_views("SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS n_positive, true AS accuracy_holds "
-                      f"FROM ({_test_rows_sql(body, share)}) s")
+PREMODEL_NAMES = ([c for c in FT.PREMODEL_KEEP if c not in ("channel_sales", "origin_up")] + list(P.ENDPOINT_COLUMNS)
+                  + [f"channel_sales_{v}" for v in CHANNEL_LEVELS] + [f"origin_up_{v}" for v in ORIGIN_LEVELS])
 
 
-@register("forest_tuned_check", lambda: _metrics_check_sql(premodel_sql_body(), DEFAULT.test_share_rf))
+@register("forest_base_check", lambda: _forest_check_sql(premodel_sql_body(), PREMODEL_NAMES, DEFAULT.test_share_rf, M.ForestConfig(100)))
+def q_forest_base_check(spark, d):
+    """M3 + M7 + M8: the 100-tree forest."""
+    return _forest_check(_base_forest(spark, d))
+
+
+@register("forest_tuned_check", lambda: _forest_check_sql(premodel_sql_body(), PREMODEL_NAMES, DEFAULT.test_share_rf, M.ForestConfig(200)))
 def q_forest_tuned_check(spark, d):
-    """M4 + M7 + M8: the tuned forest's confusion counts cover the test rows and their labels."""
-    return _metrics_check(q_forest_tuned(spark, d))
+    """M4 + M7 + M8: the tuned forest."""
+    return _forest_check(_tuned_forest(spark, d))
 
 
-@register("forest_fe_check", lambda: _metrics_check_sql(feature_table_sql_parts()[0], DEFAULT.test_share_fe))
+@register("forest_fe_check", lambda: _forest_check_sql(*feature_table_sql_parts()[:2], DEFAULT.test_share_fe, M.ForestConfig(1000)))
 def q_forest_fe_check(spark, d):
-    """M2 + M7 + M8: the same for the 1000-tree forest."""
-    return _metrics_check(q_forest_fe_metrics(spark, d))
+    """M2 + M7 + M8: the 1000-tree forest."""
+    return _forest_check(_fe_forest(spark, d))
 
 
 @register("forest_importance_check", lambda: "SELECT unnest([" + ", ".join(
@@ -339,14 +412,41 @@ def q_forest_importance_check(spark, d):
                       F.lit(abs(total - 1.0) < 1e-9).alias("sum_is_one"))
 
 
+def _grid(spark, d):
+    def build():
+        pm = materialize(_premodel(spark, d), "premodel")
+        train, test = M.split(pm, DEFAULT.test_share_rf, DEFAULT.seed)
+        found = M.grid_search(train, M.feature_columns(pm), folds=5, seed=DEFAULT.seed)
+        accuracy = EV.metrics(M.score(found.model, test)).first()["accuracy"]
+        return {"grid": found.table.withColumn("best_test_accuracy", F.lit(accuracy)), "parameters": M.parameters(found.model)}
+    return _stored(spark, d, "forest-grid", build)
+
+
 @register("forest_grid")
 def q_forest_grid(spark, d):
-    """M10 + M11: the full grid (27 settings x 5 hash folds, accuracy), the
+    """M10 + M11: the full grid (27 settings x 5 stratified folds, accuracy), the
     best setting and the refit best model's test accuracy."""
-    _, train, test, feats = _rf_data(spark, d)
-    cv, table = M.grid_search(train, feats, folds=5, seed=DEFAULT.seed)
-    best_acc = EV.metrics(M.score(cv.bestModel, test)).first()["accuracy"]
-    best = table.collect()[max(range(len(cv.avgMetrics)), key=cv.avgMetrics.__getitem__)]     # the first on ties, as bestModel
-    same = [F.col(c) == F.lit(best[c]) for c in table.columns]
-    return table.withColumn("is_best", reduce(and_, same)).withColumn(
-        "best_test_accuracy", F.lit(best_acc))
+    return _grid(spark, d)["grid"]
+
+
+@register("forest_grid_check", lambda: (
+    "SELECT n AS num_trees, d AS max_depth, l AS min_leaf, true AS in_range, true AS above_floor, 1 AS n_best, true AS best_is_highest, "
+    "true AS refit_is_best, true AS folds_even FROM unnest([100, 200, 300]) t(n), unnest([10, 20, 30]) u(d), unnest([1, 2, 4]) v(l)"))
+def q_forest_grid_check(spark, d):
+    """M10 + M11: all 27 settings, accuracies in [0, 1] and at most 0.02 under the larger class, one best setting, the
+    highest, which the refit model has, and folds that differ by at most one row per label."""
+    parts = _grid(spark, d)
+    grid, p = parts["grid"], parts["parameters"].first()
+    pm = materialize(_premodel(spark, d).select("id", "churn"), "premodel-labels")
+    train, _ = M.split(pm, DEFAULT.test_share_rf, DEFAULT.seed)
+    even = M.with_folds(train, 5).groupBy("churn", "fold").count().groupBy("churn").agg(
+        (F.max("count") - F.min("count") <= 1).alias("even"), F.sum("count").alias("n")).collect()     # one row per label
+    floor = max(r["n"] for r in even) / sum(r["n"] for r in even) - 0.02
+    best = grid.agg(F.sum(F.col("is_best").cast("int")).alias("n_best"), F.max("accuracy").alias("top"),
+                    F.max(F.when(F.col("is_best"), F.col("accuracy"))).alias("chosen"))
+    same = ((F.col("num_trees") == p["num_trees"]) & (F.col("max_depth") == p["max_depth"]) & (F.col("min_leaf") == p["min_leaf"]))
+    return grid.crossJoin(best).select(      # one row of sums
+        "num_trees", "max_depth", "min_leaf", F.col("accuracy").between(0.0, 1.0).alias("in_range"),
+        (F.col("accuracy") >= floor).alias("above_floor"), F.col("n_best").cast("int").alias("n_best"),
+        (F.col("top") == F.col("chosen")).alias("best_is_highest"), (same == F.col("is_best")).alias("refit_is_best"),
+        F.lit(all(r["even"] for r in even)).alias("folds_even"))

@@ -79,6 +79,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or local_dir
 
 
+def stored_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
@@ -87,7 +92,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     from the raw price history.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = stored_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

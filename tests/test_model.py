@@ -1,10 +1,20 @@
 """Split invariants and forest behaviour on a separable toy set."""
 
+import hashlib
+import math
+from fractions import Fraction
+
+import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from retention.operators import evaluate as EV
 from retention.operators import model as M
+from retention.operators import ranks
+from retention.operators.forests import CutForest
 
 
 @pytest.fixture(scope="module")
@@ -19,15 +29,82 @@ def test_split_disjoint_and_complete(toy):
     ids_te = {r["id"] for r in test.select("id").collect()}
     assert not ids_tr & ids_te
     assert len(ids_tr | ids_te) == 400
-    assert 40 <= len(ids_te) <= 120  # about 20 %
+    assert len(ids_te) == 80
     # stable under repartitioning
     again = {r["id"] for r in M.split(toy.repartition(7), 0.2, 42)[1].select("id").collect()}
     assert again == ids_te
 
 
-def test_folds_cover_all(toy):
-    folds = {r["fold"] for r in M.with_folds(toy, 5).select("fold").distinct().collect()}
-    assert folds == {0, 1, 2, 3, 4}
+@pytest.mark.parametrize("n, share", [(0, 0.2), (1, 0.2), (7, 0.25), (400, 0.07), (400, 1.0), (9000, 0.25), (9000, 0.0)])
+def test_exact_split_sizes(spark, n, share):
+    """ceil(share * n) rows, the same ones however the input is partitioned; by brute force over the hashes."""
+    df = spark.range(n).withColumnRenamed("id", "key")
+    want = {k for _, k in sorted((int(hashlib.md5(f"{k}42".encode()).hexdigest()[:15], 16), k) for k in range(n))[:math.ceil(Fraction(str(share)) * n)]}
+    for rows in (df, df.repartition(5), df.orderBy(F.desc("key"))):
+        split = M.with_exact_split(rows, share, 42, "key")
+        assert {r["key"] for r in split.filter("split = 'test'").collect()} == want and split.count() == n
+
+
+def test_exact_split_narrows_and_breaks_ties(spark, monkeypatch):
+    """Few rows a range, and hashes that all agree: the id decides."""
+    monkeypatch.setattr(ranks, "hash_long", lambda key, seed: F.expr(f"cast({key} % 3 as bigint) * 7"))
+    df = spark.range(1000)
+    assert ranks.smallest_bound(df, 350, "id", 1, bits=3, at_most=5) == (7, 46)    # 334 rows at 0, then the 16th of 1, 4, 7, ...
+    assert ranks.smallest_bound(df, 334, "id", 1, bits=3, at_most=5) == (0, 999)
+
+
+def test_numbers_without_gaps(spark):
+    rows = [(i, i % 3 if i % 10 else None, i * 7919 % 1000) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, g int, v long").repartition(6)
+    got = {r["id"]: r["k"] for r in ranks.numbered(df, ["v"], ["g"], "k").collect()}
+    for g in (None, 0, 1, 2):
+        own = sorted((v, i) for i, gg, v in rows if gg == g)
+        assert [got[i] for _, i in own] == list(range(len(own)))
+    assert sorted(r["k"] for r in ranks.numbered(df, ["v"], name="k").collect()) == list(range(1000))
+    assert ranks.numbered(df.limit(0), ["v"], ["g"]).count() == 0
+
+
+def test_folds_are_stratified(toy):
+    sizes = {}
+    for r in M.with_folds(toy, 5).groupBy("churn", "fold").count().collect():
+        sizes.setdefault(r["churn"], []).append(r["count"])
+    assert len(sizes) == 2 and all(len(s) == 5 and max(s) - min(s) <= 1 for s in sizes.values())
+    assert sum(map(sum, sizes.values())) == 400
+
+
+def _vectors(df):
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(M.with_label(df))
+
+
+def test_all_trees_score_as_the_model(spark, toy):
+    noisy = toy.withColumn("churn", F.when(F.col("id") % 5 == 0, 1 - F.col("churn")).otherwise(F.col("churn"))).withColumn(
+        "b", F.col("b") + F.col("id") % 13 / 10)
+    data = M.materialize(_vectors(noisy), "toy")
+    model = M.forest(M.ForestConfig(num_trees=12, max_depth=9, seed=5)).fit(data)
+    cut = CutForest.of(model, spark)
+    assert len(cut.root) == 12 and len(cut.left) == model.totalNumNodes
+    rows = model.transform(data).select("features", vector_to_array("probability").alias("p"), "prediction", "label").collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    p = cut.probabilities(x, [12], 30)[12]
+    assert np.abs(p - np.array([r["p"] for r in rows])).max() < 1e-12
+    assert cut.accuracies(data, [3, 12], [4, 30])[12, 30] == pytest.approx(np.mean([r["prediction"] == r["label"] for r in rows]))
+    # the first trees are those of the model's own list
+    first = [t.transform(data.select("features")).select(vector_to_array("probability").alias("p")).collect() for t in model.trees[:3]]
+    want = np.mean([[r["p"] for r in t] for t in first], axis=0)
+    assert np.abs(cut.probabilities(x, [3], 30)[3] - want).max() < 1e-12
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 3, 5, 8])
+def test_a_cut_tree_is_a_tree_of_that_depth(spark, toy, depth):
+    """Without random draws the forest of a smaller depth is the deep one cut, leaf for leaf."""
+    noisy = toy.withColumn("churn", F.pmod(F.hash("id"), F.lit(3)) % 2).withColumn("b", F.col("b") + F.col("id") / 500)
+    data = M.materialize(_vectors(noisy), "toy")
+    cfg = dict(numTrees=1, featureSubsetStrategy="all", bootstrap=False, seed=1, featuresCol="features", labelCol="label")
+    deep = CutForest.of(RandomForestClassifier(maxDepth=12, **cfg).fit(data), spark)
+    small = RandomForestClassifier(maxDepth=depth, **cfg).fit(data)
+    rows = small.transform(data).select("features", vector_to_array("probability").alias("p")).collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    assert np.abs(deep.probabilities(x, [1], depth)[1] - np.array([r["p"] for r in rows])).max() < 1e-12
 
 
 def test_forest_fit_score_importance(toy):
@@ -46,12 +123,21 @@ def test_forest_fit_score_importance(toy):
     assert max(imp, key=lambda r: r["importance"])["features"] == "a"
 
 
-def test_grid_search_small(toy):
+def test_importances_are_sorted(toy):
+    model = M.fit_forest(toy, ["b", "a"], M.ForestConfig(num_trees=3, max_depth=3))
+    assert [r["features"] for r in M.importances(model, ["b", "a"]).collect()] == ["b", "a"]
+
+
+def test_grid_search(toy):
     train, _ = M.split(toy, 0.25, 42)
-    cv_model, table = M.grid_search(train, ["a", "b"], num_trees=(5,), max_depth=(3, 5), min_leaf=(1,),
-                                    folds=4, parallelism=2)
-    rows = table.collect()
-    assert len(rows) == 2 and all(0.0 <= r["accuracy"] <= 1.0 for r in rows)
+    found = M.grid_search(train, ["a", "b"], num_trees=(4, 2), max_depth=(3, 1, 3), min_leaf=(1, 300), folds=4)
+    rows = [tuple(r) for r in found.table.collect()]
+    assert [r[:3] for r in rows] == [(n, d, leaf) for n in (2, 4) for d in (1, 3) for leaf in (1, 300)]
+    assert all(0.0 <= r[3] <= 1.0 for r in rows) and sum(r[4] for r in rows) == 1
+    best = max(rows, key=lambda r: r[3])
+    assert best[4] and best[3] > 0.9 and min(r[3] for r in rows if r[2] == 300) < 0.7     # no split leaves 300 rows on both sides
+    p = M.parameters(found.model).first()
+    assert (p["num_trees"], p["max_depth"], p["min_leaf"]) == best[:3] and p["n_features"] == 2
 
 
 def test_recommended_conf_scales_with_input():
