@@ -123,10 +123,11 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
 
 
 def score(model: PipelineModel, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
-    """M5 + M6 + S5 rows: id, the columns ``keep``, label, prediction, probability of class 1."""
+    """M5 + M6 + S5 rows: id, the columns ``keep``, label, prediction, probability of class 1
+    (0 where the training rows held class 0 alone)."""
     out = model.transform(with_label(df, label))
     return out.select(F.col(key), *[F.col(f"`{c}`") for c in keep], F.col("label"), F.col("prediction"),
-                      vector_to_array(F.col("probability"))[1].alias("churn_probability"))
+                      F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("churn_probability"))
 
 
 def importances(model: PipelineModel, features: list[str]) -> DataFrame:
@@ -144,8 +145,9 @@ def parameters(model: PipelineModel) -> DataFrame:
     rf = model.stages[-1]
     return SparkSession.getActiveSession().createDataFrame(
         [(rf.getNumTrees, rf.getOrDefault("maxDepth"), rf.getOrDefault("minInstancesPerNode"), rf.getOrDefault("seed"),
-          rf.getOrDefault("featureSubsetStrategy"), rf.getOrDefault("impurity"), rf.getOrDefault("bootstrap"), rf.numFeatures)],
-        "num_trees int, max_depth int, min_leaf int, seed long, feature_subset string, impurity string, bootstrap boolean, n_features int")
+          rf.getOrDefault("featureSubsetStrategy"), rf.getOrDefault("impurity"), rf.getOrDefault("bootstrap"), rf.numFeatures, rf.totalNumNodes)],
+        "num_trees int, max_depth int, min_leaf int, seed long, feature_subset string, impurity string, bootstrap boolean, n_features int, "
+        "n_nodes long")
 
 
 def with_folds(df: DataFrame, k: int = 5, label: str = "churn", key: str = "id") -> DataFrame:
