@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,10 @@ from retention.operators import profile as PR
 from retention.operators import relations as R
 from retention.operators.columns import drop_columns
 from retention.plans import features as FT
-from retention.session import materialize
+from retention.session import bucketed, materialize, stored_scope
 from retention.sources import files as S
 from retention.plans.table_queries import CONSUMPTION, FORECAST, HIST_ALL, SKEWED
-from retention.sources.schemas import CLIENT_DATE_COLUMNS, CLIENT_SCHEMA, PRICE_COLUMNS, PRICE_SCHEMA
+from retention.sources.schemas import PRICE_COLUMNS
 from retention.sources.views import PRICE_TIEBREAK, account_view, price_view
 
 
@@ -54,16 +55,17 @@ def load_test_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 def load_csv_inputs(spark: SparkSession, client_path: str, price_path: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Client and price CSV files; price rows keep their file order as ``row_order``."""
-    return S.read_client_csv(spark, client_path), S.read_price_csv(spark, price_path, "row_order"), ["row_order"]
+    client, price = S.load_client_csv(spark, client_path), S.load_price_csv(spark, price_path, "row_order")
+    return client.rows, price.rows, ["row_order"]
 
 
-def csv_rejects(spark: SparkSession, client_path: str, price_path: str) -> DataFrame:
-    """(column, rejected): values of the date and flag columns that are read as NULL."""
-    client = S.read_csv(spark, client_path, CLIENT_SCHEMA)
-    counts = [S.date_rejects(client, CLIENT_DATE_COLUMNS), S.flag_rejects(client, "has_gas"),
-              S.date_rejects(S.read_csv(spark, price_path, PRICE_SCHEMA), ["price_date"])]
-    rows = [item for c in counts for item in c.first().asDict().items()]
-    return spark.createDataFrame(rows, "column string, rejected bigint")
+def csv_rejects(*loaded: S.LoadedCsv) -> dict[str, DataFrame]:
+    """``rejects`` (column, rejected), the counts of the loading reads, and ``reject_rows``
+    (file, line, column, value)."""
+    spark = loaded[0].rows.sparkSession
+    rows = [item for x in loaded for item in x.rejected.items()]
+    listed = reduce(DataFrame.unionByName, (x.rejects for x in loaded))
+    return {"rejects": spark.createDataFrame(rows, "column string, rejected bigint"), "reject_rows": listed}
 
 
 def _write(tables: dict, names: list[str], out_dir: str | None) -> None:
@@ -76,9 +78,9 @@ def _write(tables: dict, names: list[str], out_dir: str | None) -> None:
 
 def _cut(client: DataFrame, enabled: bool) -> DataFrame:
     """The client table (one row per client) feeds a dozen summaries: write it
-    once to the shared checkpoint folder instead of recomputing its plan.
+    once, bucketed by id, instead of recomputing its plan and shuffling it for each join.
     Joins on ``id`` need it to be unique: a repeated one raises."""
-    client = materialize(client, "client") if enabled else client
+    client = bucketed(client, "client") if enabled else client
     if twice := client.groupBy("id").count().filter("count > 1").select("id").head(3):
         raise ValueError(f"client ids that occur more than once, such as {[r['id'] for r in twice]}")
     return client
@@ -89,7 +91,7 @@ def exploration_job(client: DataFrame, price: DataFrame, params: Params = DEFAUL
     client = _cut(client, cut_client)
     price = materialize(price.select("id", "price_date", *PRICE_COLUMNS), "price")
     numeric = PR.numeric_columns(client, exclude=("id",))
-    means = P.window_means(price, params)
+    means = bucketed(P.window_means(price, params), "window-means")
     churn_data = FT.churn_data(client, price, params, means=means)
     corr_cols = P.window_mean_columns() + ["churn"]
     price_churn = materialize(means.join(client.select("id", "churn"), "id", "inner"), "price-churn")
@@ -122,7 +124,7 @@ def feature_job(client: DataFrame, price: DataFrame, params: Params = DEFAULT, o
                 num_trees: int = 1000, cut_client: bool = True) -> dict[str, DataFrame]:
     client = _cut(client, cut_client)
     price = price.select("id", "price_date", *PRICE_COLUMNS)
-    engineered = materialize(FT.engineered_table(client, price, params), "engineered")
+    engineered = bucketed(FT.engineered_table(client, price, params), "engineered")
     ft = drop_columns(engineered, FT.CORRELATED_DROP)
     merged = client.join(engineered.select("id"), "id", "left_semi")      # ids are unique: the clients of the merged table
     train, test = M.split(ft, params.test_share_fe, params.seed)
@@ -158,7 +160,7 @@ def tuned_job(client: DataFrame, price: DataFrame, order_cols: list[str], params
               cut_client: bool = True) -> dict[str, DataFrame]:
     client = _cut(client, cut_client)
     price = materialize(price.select("id", "price_date", *order_cols, *PRICE_COLUMNS), "price-rows")
-    pm = materialize(FT.premodel(client, price, params, order_cols=order_cols), "premodel")
+    pm = bucketed(FT.premodel(client, price, params, order_cols=order_cols), "premodel")
     train, test = M.split(pm, params.test_share_rf, params.seed)
     feats = M.feature_columns(pm)
     base = M.fit_forest(train, feats, M.ForestConfig(num_trees=100, seed=params.seed))
@@ -191,17 +193,19 @@ def main(argv=None) -> None:
     params = replace(DEFAULT, cut_6m=args.cut_6m, cut_3m=args.cut_3m, reference_date=args.reference_date)
     from retention.session import build_session
     spark = SparkSession.getActiveSession() or build_session()
-    if args.sf_dir:
-        client, price, order = load_test_inputs(spark, args.sf_dir)
-    else:
-        client, price, order = load_csv_inputs(spark, args.client_csv, args.price_csv)
-        _write({"rejects": csv_rejects(spark, args.client_csv, args.price_csv)}, ["rejects"], args.out)
-    if args.job == "exploration":
-        exploration_job(client, price, params, out_dir=args.out)
-    elif args.job == "features":
-        feature_job(client, price, params, out_dir=args.out)
-    else:
-        tuned_job(client, price, order, params, out_dir=args.out)
+    with stored_scope(spark):       # results are written inside; stage tables go at the end
+        if args.sf_dir:
+            client, price, order = load_test_inputs(spark, args.sf_dir)
+        else:
+            loaded = S.load_client_csv(spark, args.client_csv), S.load_price_csv(spark, args.price_csv, "row_order")
+            _write(csv_rejects(*loaded), ["rejects", "reject_rows"], args.out)
+            client, price, order = loaded[0].rows, loaded[1].rows, ["row_order"]
+        if args.job == "exploration":
+            exploration_job(client, price, params, out_dir=args.out)
+        elif args.job == "features":
+            feature_job(client, price, params, out_dir=args.out)
+        else:
+            tuned_job(client, price, order, params, out_dir=args.out)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,10 +66,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     other machines could not read it.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    sc_dir = spark.sparkContext.getCheckpointDir()
     if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        if f"{conf_dir.rstrip('/')}/" not in (sc_dir or ""):      # each call makes a folder of its own
+            spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
-    sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
     if not spark.sparkContext.master.startswith("local["):
@@ -79,9 +81,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or local_dir
 
 
+_SCOPES: list[tuple[list[str], list[str]]] = []
+
+
 def stored_path(spark: SparkSession, name: str) -> str:
-    """A new path in the checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the checkpoint folder; it goes with the innermost ``stored_scope``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    for paths, _ in _SCOPES[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def stored_scope(spark: SparkSession):
+    """What is stored inside (``materialize``, ``bucketed``, ``stored_path``) is dropped at its end.
+
+    For jobs that write their results: nothing that is returned from inside
+    may be read after it.
+    """
+    paths: list[str] = []
+    tables: list[str] = []
+    _SCOPES.append((paths, tables))
+    try:
+        yield
+    finally:
+        _SCOPES.remove((paths, tables))
+        for t in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -95,3 +124,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = stored_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, key: str = "id") -> DataFrame:
+    """Store ``df`` as a table bucketed and sorted by ``key``, which must be (nearly) unique.
+
+    There are as many buckets as shuffle partitions, by the hash that an
+    exchange uses, so a join or aggregate by ``key`` of such tables, or
+    of one with the result of an aggregate by ``key``, shuffles none of them again. A
+    table where one key holds many rows stays unbucketed: a bucket is one
+    task, while partial sums before an exchange spread a hot key.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = stored_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    for _, tables in _SCOPES[-1:]:
+        tables.append(table)
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)

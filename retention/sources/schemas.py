@@ -10,6 +10,9 @@ PRICE_COLUMNS = [
 
 CLIENT_DATE_COLUMNS = ["date_activ", "date_end", "date_modif_prod", "date_renewal"]
 
+# Values of a flag column -- fixed values.
+FLAGS = ("t", "f")
+
 CLIENT_SCHEMA = T.StructType(
     [T.StructField("id", T.StringType(), True),
      T.StructField("channel_sales", T.StringType(), True)]

@@ -76,14 +76,45 @@ def test_all_jobs_from_csv_files_with_other_columns(spark):
     assert tables["feature_table"].count() == 43 and tables["scored"].count() > 0
 
 
-def test_rejected_dates_and_flags_are_counted(spark):
+def test_rejected_values_are_counted(spark):
     d = tempfile.mkdtemp(prefix="retention-csvbad-")
     names = [f.name for f in S.CLIENT_SCHEMA.fields]
-    rows = [{"id": "a", "date_activ": "2010-13-45", "has_gas": "x"}, {"id": "a", "date_activ": "2010-01-02", "has_gas": "t"}]
+    rows = [{"id": "a", "date_activ": "2010-13-45", "has_gas": "x", "churn": "1.0"}, {"id": "a", "date_activ": "2010-01-02", "has_gas": "t", "churn": "0.5"}]
     spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], ", ".join(f"{c} string" for c in names)).coalesce(
         1).write.option("header", True).csv(d + "/client")
     prices = [f.name for f in S.PRICE_SCHEMA.fields]
     spark.createDataFrame([("a", "soon") + (None,) * 6], ", ".join(f"{c} string" for c in prices)).write.option(
         "header", True).csv(d + "/price")
-    got = {r["column"]: r["rejected"] for r in J.csv_rejects(spark, d + "/client", d + "/price").collect()}
-    assert got == {"date_activ": 1, "date_end": 0, "date_modif_prod": 0, "date_renewal": 0, "has_gas": 1, "price_date": 1}
+    client, price = S.load_client_csv(spark, d + "/client"), S.load_price_csv(spark, d + "/price")
+    assert sorted(r["churn"] is None for r in client.rows.collect()) == [False, True]
+    found = J.csv_rejects(client, price)
+    got = {r["column"]: r["rejected"] for r in found["rejects"].collect() if r["rejected"]}
+    assert got == {"date_activ": 1, "has_gas": 1, "churn": 1, "price_date": 1}
+    assert sorted((r["line"], r["column"], r["value"]) for r in found["reject_rows"].collect()) == [
+        (2, "date_activ", "2010-13-45"), (2, "has_gas", "x"), (2, "price_date", "soon"), (3, "churn", "0.5")]
+
+
+def test_jobs_leave_no_stored_tables(spark):
+    import os
+    d = tempfile.mkdtemp(prefix="retention-scope-")
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))), {t.name for t in spark.catalog.listTables()}
+    J.main(["exploration", "--sf-dir", SF, "--out", d])
+    after = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))), {t.name for t in spark.catalog.listTables()}
+    assert after == before and spark.read.parquet(d + "/churn_data").count() > 0
+
+
+def test_further_numeric_columns_reach_the_summaries(spark):
+    d = tempfile.mkdtemp(prefix="retention-csvmore-")
+    client = account_view(spark, SF)
+    cols = [f.name for f in S.CLIENT_SCHEMA.fields]
+    client.select(*[F.col(c).cast("string").alias(c) for c in cols if c != "churn"], F.col("churn").cast("double").cast("string").alias("churn"),
+                  (F.col("id") % 7).cast("string").alias("score"), F.lit("word").alias("word")).coalesce(1).write.option("header", True).csv(d + "/client")
+    price_view(spark, SF).select(*[F.col(f.name).cast("string").alias(f.name) for f in S.PRICE_SCHEMA.fields]).write.option(
+        "header", True).csv(d + "/price")
+    c, p, _ = J.load_csv_inputs(spark, d + "/client", d + "/price")
+    assert dict(c.dtypes)["score"] == "bigint" and c.where("churn is null").count() == 0       # labels written as 1.0
+    tables = J.exploration_job(c, p)
+    described = {r["column_name"]: r for r in tables["describe_client"].collect()}
+    assert described["score"]["max"] == 6.0 and "word" not in described
+    ft = J.feature_job(c, p, num_trees=3)
+    assert {r["col_a"] for r in ft["feature_corr"].collect()} >= {"score"} and "score" in {r["features"] for r in ft["importances"].collect()}
