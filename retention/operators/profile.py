@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retention.operators.quantiles import exact_quantiles
+from retention.operators.quantiles import exact_quantiles, sketch
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -59,12 +59,9 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
             F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
     names = ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     if exact:
-        # one pass for the moments (one row per column, kept on the driver),
-        # one selection pass for the quartiles, which reuses count/min/max
-        rows = long.groupBy("column_name").agg(*base).collect()
-        qs = exact_quantiles(long, ["column_name"], "value", [0.25, 0.5, 0.75],
-                             base=[{"column_name": r["column_name"], "_n": r["count"], "_lo": r["min"],
-                                    "_hi": r["max"]} for r in rows])
+        # one scan for the moments and the rank sketch (one row per column, kept on the driver), one for the quartiles
+        rows = long.groupBy("column_name").agg(*base, *sketch("value", [0.25, 0.5, 0.75], accuracy)).collect()
+        qs = exact_quantiles(long, ["column_name"], "value", [0.25, 0.5, 0.75], accuracy=accuracy, base=rows)
         out = []
         for r in rows:
             q = qs.get(r["column_name"], [None, None, None])

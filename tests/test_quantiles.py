@@ -73,3 +73,28 @@ def test_too_many_groups_raise(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(5)], "k int, v double")
     with pytest.raises(ValueError):
         exact_quantiles(df, ["k"], "v", [0.5], max_groups=4)
+
+
+@pytest.mark.parametrize("ties", [0.0, 0.5, 0.999])
+def test_two_scans(spark, monkeypatch, ties):
+    """However many rows tie: one scan sketches, one counts and stores a small part; the rest works on that part."""
+    from retention.operators import quantiles
+    rng = np.random.default_rng(11)
+    vals = np.where(rng.random(40_000) < ties, 3.25, rng.normal(3, 2, 40_000))
+    df = spark.createDataFrame([("g" if i % 3 else "h", float(v)) for i, v in enumerate(vals)], "g string, v double").repartition(4)
+    scans, stored = [], []
+    monkeypatch.setattr(quantiles, "_select", lambda *a, inner=quantiles._select: scans.append(1) or inner(*a))
+    monkeypatch.setattr(quantiles, "materialize", lambda x, name, inner=quantiles.materialize: stored.append(inner(x, name)) or stored[-1])
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    got = exact_quantiles(df, ["g"], "v", probs, accuracy=1000, max_bracket=20)
+    for name, want in (("g", [v for i, v in enumerate(vals) if i % 3]), ("h", [v for i, v in enumerate(vals) if not i % 3])):
+        assert got[name] == pytest.approx(list(np.quantile(want, probs)), rel=1e-12)
+    assert len(scans) == 1 and len(stored) == 1
+    assert stored[0].where("_v is not null").count() <= 40_000 * 5 * 8 / 1000      # within the brackets: at most 2 x 4 errors of the sketch
+
+
+def test_a_sketch_that_misses_is_put_right(spark):
+    """A bracket that does not hold its rank, as a base row says it does."""
+    df = spark.createDataFrame([(float(v),) for v in range(100)], "v double")
+    base = [{"_n": 100, "_lo": 0.0, "_hi": 99.0, "_q": [5.0, 6.0]}]
+    assert exact_quantiles(df, [], "v", [0.5], base=base)[""] == [49.5]

@@ -3,6 +3,7 @@
 import math
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,20 @@ def test_correlation_of_pairs_with_gaps(spark):
     assert got["a", "b"] is None and got["b", "a"] is None and got["d", "d"] is None and got["b", "d"] is None
     for p, q in [("a", "a"), ("a", "c"), ("c", "a"), ("b", "b")]:
         assert got[p, q] == pytest.approx(want.loc[p, q])
+
+
+@pytest.mark.parametrize("shape", ["normal", "heavy tail", "ties", "two far apart"])
+def test_density_equals_the_plain_sum(spark, shape):
+    """Cells and their moments against the kernel summed value by value."""
+    rng = np.random.default_rng(2)
+    v = {"normal": rng.normal(10, 3, 3000), "heavy tail": rng.pareto(1.1, 3000), "ties": np.repeat([1.0, 1.5, 9.0], [2000, 5, 900]),
+         "two far apart": np.array([0.0, 1000.0])}[shape]
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,), (float("nan"),)], "v double").repartition(3)
+    _, kde = D.density(df, "v")
+    rows = kde.orderBy("point").collect()
+    h = v.std(ddof=1) * len(v) ** -0.2
+    x = np.array([r["x"] for r in rows])
+    want = np.exp(-0.5 * ((x[:, None] - v[None]) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
+    assert len(rows) == 200 and np.abs(np.array([r["density"] for r in rows]) - want).max() < 1e-9 * want.max()
+    plan = kde._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan[plan.rindex("Aggregate"):]      # below the sums by cell no row is multiplied
