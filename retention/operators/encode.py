@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,32 @@ class OneHotLevels:
         return df.select(*rest, *dummies)
 
 
+@dataclass
+class SparseLevels:
+    """The same encoding as one sparse vector column, for columns of many levels.
+
+    ``prefix`` names the vector; its entries carry the names of the 0/1
+    columns (``{prefix}_{level}`` once assembled), in the same order. A forest
+    takes it as a feature like any other column.
+    """
+
+    levels: OneHotLevels
+
+    def transform(self, df: DataFrame, keep_source: bool = False) -> DataFrame:
+        """A vector with a one at the row's level; NULL, unseen and dropped levels give all zeros."""
+        column, prefix = self.levels.column, self.levels.prefix
+        kept = [v for v in self.levels.levels if v not in self.levels.drop_levels]
+        if not kept:
+            raise ValueError(f"{column} has no level to encode")
+        # what is no label is indexed behind the last one, and that category is the one that the encoder drops
+        indexer = StringIndexerModel.from_labels(kept, inputCol=column, outputCol="_index", handleInvalid="keep")
+        encoder = OneHotEncoder(inputCols=["_index"], outputCols=["_vector"], dropLast=True)
+        indexed = indexer.transform(df)
+        rows = encoder.fit(indexed).transform(indexed)      # the number of categories is in the index's metadata: nothing is read
+        rest = [F.col(f"`{c}`") for c in df.columns if keep_source or c != column]
+        return rows.select(*rest, F.col("_vector").alias(prefix, metadata=rows.schema["_vector"].metadata))
+
+
 def fit_one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_levels=(),
                 min_count: int = 0, max_levels: int = 10000) -> OneHotLevels:
     """E1 + E3: sorted non-null levels of ``column``; levels listed in
@@ -80,6 +107,13 @@ def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_levels=(
     return fit_one_hot(df, column, prefix, drop_levels, min_count).transform(df)
 
 
+def fit_sparse(df: DataFrame, column: str, prefix: str | None = None, drop_levels=(), min_count: int = 0,
+               max_levels: int = 1_000_000) -> SparseLevels:
+    """``fit_one_hot`` for levels in the thousands: the level list is held by the driver (bounded by ``max_levels``), the
+    schema keeps one column."""
+    return SparseLevels(fit_one_hot(df, column, prefix, drop_levels, min_count, max_levels))
+
+
 def bool_columns_to_int(df: DataFrame) -> DataFrame:
     """C8 + X9: every boolean column cast to int, others untouched."""
     from pyspark.sql import types as T

@@ -19,7 +19,7 @@ from retention.session import stored_path
 
 
 class CutForest:
-    """A forest's nodes as arrays, as the model's own saved table gives them (continuous features)."""
+    """A forest's nodes as arrays, as the model's own saved table gives them."""
 
     def __init__(self, tree, left, right, feature, threshold, prediction, stats):
         self.root = np.flatnonzero(np.append(True, tree[1:] != tree[:-1]))
@@ -50,8 +50,13 @@ class CutForest:
             node["prediction"].alias("prediction"), node["impurityStats"].alias("stats"), node["split"]["featureIndex"].alias("feature"),
             node["split"]["numCategories"].alias("categories"), F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold")).toArrow()
         col = {n: np.asarray(rows.column(n).combine_chunks()) for n in rows.column_names if n != "stats"}
-        if (col["categories"] >= 0).any():
-            raise ValueError("splits by category are not supported")
+        if (col["categories"] > 2).any():
+            raise ValueError("splits by more than two categories are not supported")
+        # of two categories: 0 lies to the left of 1/2, and where 1 goes left the children change places
+        two = col["categories"] >= 0
+        swap = two & (col["threshold"] == 1.0)
+        col["left"], col["right"] = np.where(swap, col["right"], col["left"]), np.where(swap, col["left"], col["right"])
+        col["threshold"] = np.where(two, 0.5, col["threshold"])
         stats = np.array(rows.column("stats").to_pylist(), dtype=float)
         order = np.lexsort((col["id"], col["treeID"]))
         return cls(*(col[n][order] for n in ("treeID", "left", "right", "feature", "threshold", "prediction")), stats[order])

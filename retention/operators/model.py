@@ -21,6 +21,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,9 +68,22 @@ def split(df: DataFrame, test_share: float, seed: int = 42, key: str = "id") ->
 
 def feature_columns(df: DataFrame, label: str = "churn", exclude=("id",)) -> list[str]:
     """Every column but the label, the excluded ones (the id) and text, date or other
-    columns without a number (such as a file's further columns)."""
+    columns without a number (such as a file's further columns). Vectors (sparse encodings) count."""
     return [f.name for f in df.schema.fields if f.name != label and f.name not in exclude and f.name != "split"
-            and isinstance(f.dataType, (T.NumericType, T.BooleanType))]
+            and isinstance(f.dataType, (T.NumericType, T.BooleanType, VectorUDT))]
+
+
+def feature_names(df: DataFrame, features: list[str]) -> list[str]:
+    """The names of the assembled entries: a vector column has one per entry, from its metadata."""
+    out = []
+    for c in features:
+        field = df.schema[c]
+        if isinstance(field.dataType, VectorUDT):
+            entries = sorted((a["idx"], a["name"]) for of in field.metadata["ml_attr"]["attrs"].values() for a in of)
+            out += [f"{c}_{name}" for _, name in entries]
+        else:
+            out.append(c)
+    return out
 
 
 def with_label(df: DataFrame, label: str = "churn") -> DataFrame:
@@ -132,7 +146,7 @@ def score(model: PipelineModel, df: DataFrame, label: str = "churn", key: str =
 
 def importances(model: PipelineModel, features: list[str]) -> DataFrame:
     """M9 (+ O2): (features, importance) sorted ascending, impurity based, sums to 1.
-    The table has one row per feature, built from the fitted model's vector."""
+    The table has one row per feature (``feature_names``), built from the fitted model's vector."""
     rf = model.stages[-1]
     values = rf.featureImportances.toArray().tolist()
     session = SparkSession.getActiveSession()

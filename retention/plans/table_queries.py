@@ -6,6 +6,8 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,12 @@ from retention.operators import distributions as D
 from retention.operators import prices as P
 from retention.operators import profile as PR
 from retention.operators import relations as R
-from retention.operators.encode import fit_one_hot
+from retention.operators.encode import fit_one_hot, fit_sparse
 from retention.plans import features as FT
-from retention.plans.registry import finish, q, r6_sql, register, round_outer
+from retention.plans.registry import ORACLES, finish, q, r6_sql, register, round_outer
 from retention.session import materialize
 from retention.sources.schemas import PRICE_COLUMNS
-from retention.sources.views import PRICE_TIEBREAK, account_view, price_view, with_views
+from retention.sources.views import PRICE_TIEBREAK, account_view, price_view, read_table, with_views
 
 # Spark dtypes of the mapped views (used to write the oracle of ``info``) -- fixed values.
 ACCOUNT_DTYPES = [
@@ -277,6 +279,30 @@ def q_one_hot(spark, d):
 DROPPED_CHANNELS = ["FURNITURE"]
 
 
+@register("one_hot_sparse", ORACLES["one_hot_account"])
+def q_one_hot_sparse(spark, d):
+    """The same columns, read from the entries of sparse vectors."""
+    a = account_view(spark, d).select("id", "channel_sales", "origin_up")
+    named = {}
+    for column, prefix in (("channel_sales", "channel"), ("origin_up", "origin_up")):
+        levels = fit_sparse(a, column, prefix)
+        a = levels.transform(a).withColumn(prefix, vector_to_array(prefix))
+        named |= {c: F.get(F.col(prefix), F.lit(i)).cast("int") for i, c in enumerate(levels.levels.output_columns)}
+    return a.select("id", *[v.alias(c) for c, v in named.items()])
+
+
+@register("one_hot_sparse_wide", lambda: (
+    "SELECT CAST(l_partkey AS VARCHAR) AS level, count(*) AS n_rows FROM lineitem GROUP BY 1 HAVING count(*) >= 20"))
+def q_one_hot_sparse_wide(spark, d):
+    """A column of thousands of levels as sparse vectors, rare levels without an entry; their sum by entry."""
+    rows = read_table(spark, d, "lineitem", ["l_partkey"]).select(F.col("l_partkey").cast("string").alias("part"))
+    levels = fit_sparse(rows, "part", min_count=20)
+    total = levels.transform(rows).select(Summarizer.sum(F.col("part")).alias("s")).select(
+        F.posexplode(vector_to_array("s")).alias("entry", "n"))
+    names = spark.createDataFrame(list(enumerate(c.removeprefix("part_") for c in levels.levels.output_columns)), "i int, level string")
+    return total.join(names, F.col("entry") == F.col("i")).select("level", F.col("n").cast("bigint").alias("n_rows"))
+
+
 @register("one_hot_dropped", lambda: with_views(
     "SELECT id, " + ", ".join(_dummy_sql("channel_sales", "channel", [v for v in CHANNEL_LEVELS if v not in DROPPED_CHANNELS]))
     + " FROM account"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from retention.functions.scalars import (log10p1, months_between_ref, nonzero_mean, r6, recode_flag,
                                          round_half_up, tenure_years)
-from retention.operators.encode import bool_columns_to_int, fit_one_hot
+from retention.operators import model as M
+from retention.operators.forests import CutForest
+from retention.operators.encode import bool_columns_to_int, fit_one_hot, fit_sparse
 from retention.operators.columns import drop_columns, move_last, rename, select_columns
 
 
@@ -73,3 +75,34 @@ def test_fit_many_equals_single(spark):
     many = fit_one_hot_many(df, [("c1", "p1", ()), ("c2", "p2", ("x",))])
     single = [fit_one_hot(df, "c1", "p1"), fit_one_hot(df, "c2", "p2", drop_levels=("x",))]
     assert [(m.levels, m.output_columns) for m in many] == [(s.levels, s.output_columns) for s in single]
+
+
+def test_sparse_levels_equal_named_columns(spark):
+    df = spark.createDataFrame([(i, ["b", "a", None, "MISSING", "a", "rare", "b"][i % 7] if i < 70 else None) for i in range(72)], "id int, c string")
+    named, sparse = fit_one_hot(df, "c", "ch", ("MISSING",), 3), fit_sparse(df, "c", "ch", ("MISSING",), 3)
+    unseen = df.unionByName(spark.createDataFrame([(99, "new")], "id int, c string"))
+    a = {r["id"]: [r[c] for c in named.output_columns] for r in named.transform(unseen).collect()}
+    rows = sparse.transform(unseen)
+    assert rows.columns == ["id", "ch"] and M.feature_names(rows, ["id", "ch"]) == ["id", *named.output_columns]
+    b = {r["id"]: r["ch"].toArray().astype(int).tolist() for r in rows.collect()}
+    assert a == b and a[99] == a[2] == [0] * len(named.output_columns)
+    assert sparse.transform(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        fit_sparse(df.where("c is null"), "c").transform(df)
+
+
+def test_a_forest_trains_on_sparse_levels(spark):
+    """The scores of named columns and of the vector are the same, and so are the importances by name."""
+    df = spark.createDataFrame([(i, float(i % 11), f"level{i % 23}", int(i % 23 < 9)) for i in range(600)], "id long, a double, c string, churn int")
+    cfg = M.ForestConfig(num_trees=5, max_depth=6, seed=3, feature_subset="all")
+    out = []
+    for enc in (fit_one_hot(df, "c"), fit_sparse(df, "c")):
+        rows = enc.transform(df)
+        feats = M.feature_columns(rows)
+        model = M.fit_forest(rows, feats, cfg)
+        out.append((sorted((r["id"], r["prediction"], round(r["churn_probability"], 9)) for r in M.score(model, rows).collect()),
+                    [(r["features"], round(r["importance"], 9)) for r in M.importances(model, M.feature_names(rows, feats)).collect()]))
+    assert out[0] == out[1] and len(out[0][1]) == 24 and sum(v for _, v in out[0][1]) == pytest.approx(1.0, abs=1e-6)
+    cut = CutForest.of(model.stages[-1], spark)     # splits by the two categories of an entry
+    data = model.stages[0].transform(M.with_label(rows))
+    assert cut.accuracies(data, [5], [30])[5, 30] == pytest.approx(sum(p == (i % 23 < 9) for i, p, _ in out[1][0]) / 600)
