@@ -5,18 +5,24 @@ lists, and linked to their nearest centroids in a graph. Every vector goes to
 its nearest list, and a boundary vector also to further lists that are nearly
 as near, unless a list already chosen lies nearer to that list than the
 vector does. A query walks the centroid graph, and searches the lists whose
-distance is within a ratio of the nearest. Lists are stored in blocks of
-bounded size, so a hot list is many blocks; queries meet blocks in blocks.
+distance is within a ratio of the nearest, nearest first, until they own a
+number of vectors. Both bounds are fixed and do not grow with the rows; they
+are widened only where a sample of queries, searched against all rows, shows that
+they would miss more than ``target`` allows (vectors without any clusters).
+Lists are stored in blocks of bounded size, so a hot list is many blocks;
+queries meet blocks in blocks.
 
 Largest inner product becomes smallest distance by one more coordinate,
 sqrt(max norm^2 - norm^2), on the candidates and 0 on the queries. Where norms
 are uneven, that coordinate would outweigh all others; so the vectors of
-largest norm, a fixed share, are kept out of the lists and searched by every
-query, and the maximum is that of the others.
+largest norm are kept out of the lists then, and the maximum is that of the
+others. They lie in lists by norm, and a query searches such a list only if
+the list's largest norm times its own reaches its k-th score so far.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,11 +42,14 @@ class Params:
     degree: int = 16            # links of a centroid in the graph
     store_beam: int = 16        # centroids kept while a vector looks for its lists
     search_beam: int = 24       # centroids kept while a query looks for its lists, at least
-    search_share: float = 0.15  # and as a share of all lists: data without clusters needs a share
     replicas: int = 4           # lists of one vector, at most
     replica_ratio: float = 1.2  # a further list's distance against the nearest one's
-    head_share: float = 0.05    # vectors of largest norm that every query searches
+    head_share: float = 0.05    # vectors of largest norm kept out of the lists, where norms are uneven
+    head_ratio: float = 1.5     # uneven: the largest squared norm against that of the others
     probe_ratio: float = 1.35   # a searched list's distance against the nearest one's
+    probe_rows: int = 8192      # vectors that the lists searched by a query own, about
+    tried: int = 64             # queries searched against all rows to measure what the lists would miss
+    target: float = 0.95        # their true neighbours that either bound alone must let through
     block_rows: int = 1024      # vectors of a stored block, about
     query_rows: int = 256       # queries of a block, about
     merge_rows: int = 500_000   # finds a task gathers before it keeps the best of each query
@@ -82,15 +91,16 @@ def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 12, penalty: f
 class CentroidGraph:
     """Centroids linked to their nearest ones; searched by a beam from spread-out entries, many points at once."""
 
-    def __init__(self, centre: np.ndarray, degree: int, beam: int):
-        self.centre, self.norm, self.beam = centre, (centre * centre).sum(1), min(beam, len(centre))
+    def __init__(self, centre: np.ndarray, degree: int):
+        self.centre, self.norm = centre, (centre * centre).sum(1)
         n = len(centre)
         self.links = np.empty((n, min(degree, max(1, n - 1))), dtype=np.int64)
         for a in range(0, n, 1024):
             far = self.far(centre[a:a + 1024])
             far[np.arange(len(far)), np.arange(a, a + len(far))] = -1      # itself first
             k = self.links.shape[1]
-            near = np.argsort(far, axis=1, kind="stable")[:, :k + 1]
+            near = np.argpartition(far, min(k, n - 1), axis=1)[:, :k + 1]
+            near = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1)
             self.links[a:a + 1024] = near[:, 1:] if near.shape[1] > k else near[:, :k]
         self.entry = np.linspace(0, n - 1, min(n, max(16, int(n ** 0.5)))).astype(np.int64)
 
@@ -100,9 +110,9 @@ class CentroidGraph:
     def _far_to(self, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
         return (x * x).sum(1)[:, None] - 2 * np.einsum("qd,qkd->qk", x, self.centre[ids]) + self.norm[ids]
 
-    def search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, squared distances) of about the nearest ``beam`` centroids of each point, nearest first."""
-        k, x = self.beam, x.astype(np.float32)
+        k, x = min(beam, len(self.centre)), x.astype(np.float32)
         ids = np.broadcast_to(self.entry, (len(x), len(self.entry)))
         far = self._far_to(x, ids)
         opened = np.zeros(ids.shape, dtype=bool)
@@ -130,7 +140,7 @@ class CentroidGraph:
 
 def choose_lists(graph: CentroidGraph, x: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, list, primary) of the lists each vector is stored in."""
-    ids, far = graph.search(x)
+    ids, far = graph.search(x, p.store_beam)
     rows, lists, primary = [np.arange(len(x))], [ids[:, 0]], [np.ones(len(x), dtype=bool)]
     chosen = ids[:, :1]
     for k in range(1, min(ids.shape[1], 4 * p.replicas)):
@@ -146,12 +156,21 @@ def choose_lists(graph: CentroidGraph, x: np.ndarray, p: Params) -> tuple[np.nda
     return np.concatenate(rows), np.concatenate(lists), np.concatenate(primary)
 
 
-def probe_lists(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray, k: int, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """(row, list) of the lists each query searches: within the distance ratio, and on until they own over ``k`` vectors."""
-    ids, far = graph.search(x)
+@dataclass(frozen=True)
+class Bounds:
+    """Which lists a query searches: up to ``ratio`` times the nearest one's distance, until they own ``rows`` vectors."""
+
+    ratio: float
+    rows: int
+    beam: int
+
+
+def probe_lists(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray, k: int, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list) of the lists each query searches: within the bounds, and on until they own over ``k`` vectors."""
+    ids, far = graph.search(x, bounds.beam)
     held = np.cumsum(np.where(np.isfinite(far), sizes[ids], 0), axis=1)
     before = np.concatenate([np.zeros((len(x), 1)), held[:, :-1]], axis=1)
-    take = np.isfinite(far) & ((far <= p.probe_ratio ** 2 * far[:, :1]) | (before <= k))
+    take = np.isfinite(far) & ((far <= bounds.ratio ** 2 * far[:, :1]) & (before < bounds.rows) | (before <= k))
     short = held[:, -1] <= k        # the beam owns too few: every list, nearest or not
     row, col = np.nonzero(take & ~short[:, None])
     rest = np.flatnonzero(short)
@@ -159,6 +178,26 @@ def probe_lists(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray, k: int,
             np.concatenate([ids[row, col], np.tile(np.arange(len(sizes)), len(rest))]))
 
 
+def needed(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray, lists: list[list[list[int]]], p: Params) -> Bounds:
+    """Bounds that let through ``target`` of true neighbours; ``lists`` has, per query, the lists of each of them."""
+    far = np.maximum(graph.far(x.astype(np.float32)), 0)
+    order = np.argsort(far, axis=1, kind="stable")
+    ratios, rows = [], []
+    for q, of in enumerate(lists):
+        place = np.empty(len(sizes), dtype=np.int64)
+        place[order[q]] = np.arange(len(sizes))
+        held = np.cumsum(sizes[order[q]])
+        nearest = max(float(far[q, order[q, 0]]), 1e-30)
+        for own in of:
+            ratios.append(min(float(far[q, i]) / nearest for i in own) ** 0.5)
+            rows.append(min(int(held[place[i]]) for i in own))
+    def reach(values, least):
+        return max(least, float(np.quantile(values, p.target, method="higher"))) if values else least
+    bound_rows = int(reach(rows, p.probe_rows))
+    beam = max(p.search_beam, int(np.ceil(1.25 * bound_rows / max(1.0, float(np.median(sizes[sizes > 0])))))) if len(sizes) else p.search_beam
+    return Bounds(reach(ratios, p.probe_ratio) * (1 + 1e-6), bound_rows, beam)
+
+
 def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, vec_ids: np.ndarray, k: int):
     """The ``k`` best of a block for each query, and all that tie with the last of them.
 
@@ -216,21 +255,28 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
         return spark.createDataFrame([], out_schema)
     dim = common["d"]
     norm = F.aggregate("vec", F.lit(0.0), lambda s, v: s + v * v)
-    rows = scratch.store(rows.where(F.size("vec") == dim).groupBy("vec_id").agg(F.min("vec").alias("vec"))
-                         .withColumn("norm", norm), "vectors")
-    most = rows.agg(F.percentile_approx("norm", 1 - params.head_share, 10_000)).first()[0]
-    in_head = F.col("norm") > F.lit(most)
-    n, n_head = rows.agg(F.count_if(~in_head), F.count_if(in_head)).first()
+    rows = rows.where(F.size("vec") == dim).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    # a power of two that keeps squares finite: no bit of a product changes, and huge scores get their sign
+    largest = rows.agg(F.max(F.array_max(F.transform("vec", F.abs)))).first()[0]
+    scale = 2.0 ** math.frexp(largest)[1] if not 2.0 ** -400 < largest < 2.0 ** 400 else 1.0
+    if scale != 1.0:
+        rows = rows.withColumn("vec", F.transform("vec", lambda v: v / F.lit(scale)))
+    rows = scratch.store(rows.withColumn("norm", norm), "vectors")
+    low, most, n = rows.agg(F.percentile_approx("norm", 1 - params.head_share, 10_000), F.max("norm"), F.count("*")).first()
+    uneven = most > params.head_ratio * low
+    in_head = F.col("norm") > F.lit(low) if uneven else F.lit(False)
+    most = low if uneven else most
+    n_head = rows.where(in_head).count() if uneven else 0
     sample = rows.where(~in_head).orderBy(F.xxhash64("vec_id"), "vec_id").limit(params.sample).select("vec", "norm").toArrow()
     vec = _matrix(sample.column("vec").combine_chunks(), dim)
     extra = np.sqrt(np.maximum(most - np.asarray(sample.column("norm")), 0))
-    n_lists = int(min(params.max_lists, len(vec), max(1, -(-n // params.list_rows))))
-    centre = fit_centroids(np.column_stack([vec, extra]), n_lists)
-    shared = spark.sparkContext.broadcast(centre)     # at most max_lists rows
-    p, top = params, float(most)
+    n_lists = int(min(params.max_lists, len(vec), max(1, -(-(n - n_head) // params.list_rows))))
+    graph = CentroidGraph(fit_centroids(np.column_stack([vec, extra]), n_lists), params.degree)
+    shared = spark.sparkContext.broadcast(graph)     # at most max_lists centroids and their links
+    p, top, n_lists = params, float(most), len(graph.centre)
 
     def post(batches):
-        graph = CentroidGraph(shared.value, p.degree, p.store_beam)
+        graph = shared.value
         for b in batches:
             for a in range(0, b.num_rows, 1024):
                 part = b.slice(a, 1024)
@@ -243,45 +289,35 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
                                                  names=["list", "vec_id", "vec", "primary"])
 
     posted = rows.where(~in_head).mapInArrow(post, "list int, vec_id long, vec array<double>, primary boolean")
-    n_lists = len(centre)
-    head_lists = -(-n_head // p.block_rows)     # the head in lists of about a block, numbered after the others
-    if head_lists:
-        dealt = (n_lists + F.pmod(F.xxhash64("vec_id"), F.lit(head_lists))).cast("int")
-        posted = posted.unionByName(rows.where(in_head).select(dealt.alias("list"), "vec_id", "vec", F.lit(False).alias("primary")))
     posted = scratch.store(posted, "posted")
     counts = scratch.store(posted.groupBy("list").agg(
         F.count("*").alias("n"), F.sum(F.col("primary").cast("long")).alias("own")), "counts")
     sizes = np.zeros(n_lists, dtype=np.int64)
-    for r in counts.where(F.col("list") < n_lists).collect():      # one row per centroid
+    for r in counts.collect():      # one row per centroid
         sizes[r["list"]] = r["own"]
     parts = counts.select(F.col("list").alias("l"), F.ceil(F.col("n") / p.block_rows).cast("int").alias("parts"))
-    blocks = (posted.join(F.broadcast(parts), F.col("list") == F.col("l"))
-              .groupBy("list", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("block"))
-              .agg(F.collect_list(F.struct("vec_id", "vec")).alias("held")))
-    blocks = scratch.store(blocks.select("list", "block", F.col("held.vec_id").alias("ids"),
-                                         F.flatten("held.vec").alias("flat")), "blocks")
+    blocks = _blocks(posted.join(F.broadcast(parts), F.col("list") == F.col("l")), F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+    queries = rows.where(F.col("vec_id") % query_step == 0)
+    bounds = _measured(rows.where(~in_head), queries, posted, graph, sizes, k, dim, p)
+    blocks = scratch.store(blocks, "blocks")
     scratch.drop("posted", "counts")
 
     def probe(batches):
-        graph = CentroidGraph(shared.value, p.degree, max(p.search_beam, int(np.ceil(p.search_share * len(shared.value)))))
         for b in batches:
             for a in range(0, b.num_rows, 1024):
                 part = b.slice(a, 1024)
                 v = _matrix(part.column("vec"), dim)
-                row, lists = probe_lists(graph, np.column_stack([v, np.zeros(len(v))]), sizes, k, p)
-                row = np.concatenate([row, np.repeat(np.arange(len(v)), head_lists)])
-                lists = np.concatenate([lists, np.tile(np.arange(n_lists, n_lists + head_lists), len(v))])
+                row, lists = probe_lists(shared.value, np.column_stack([v, np.zeros(len(v))]), sizes, k, bounds)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), part.column("vec_id").take(take),
                                                   part.column("vec").take(take)], names=["list", "vec_id", "vec"])
 
-    queries = rows.where(F.col("vec_id") % query_step == 0)
-    n_queries = queries.count()
-    groups = max(1, -(-n_queries // p.query_rows))
-    asked = (queries.mapInArrow(probe, "list int, vec_id long, vec array<double>")
-             .groupBy("list", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).alias("g"))
-             .agg(F.collect_list(F.struct("vec_id", "vec")).alias("q")))
-    asked = asked.select(F.col("list").alias("ql"), F.col("q.vec_id").alias("query_ids"), F.flatten("q.vec").alias("query_flat"))
+    groups = max(1, -(-queries.count() // p.query_rows))
+
+    def asked(pairs):
+        grouped = pairs.groupBy("list", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).alias("g")).agg(
+            F.collect_list(F.struct("vec_id", "vec")).alias("q"))
+        return grouped.select(F.col("list").alias("ql"), F.col("q.vec_id").alias("query_ids"), F.flatten("q.vec").alias("query_flat"))
 
     def search(batches):
         got, held = [], 0
@@ -303,7 +339,84 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
         if got:
             yield best()
 
-    found = asked.join(blocks, F.col("ql") == F.col("list")).select("query_ids", "query_flat", "ids", "flat")
-    found = found.mapInArrow(search, "query_id long, vec_id long, score double").distinct()   # replicas score alike
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def searched(pairs, blocks):
+        met = asked(pairs).join(blocks, F.col("ql") == F.col("list")).select("query_ids", "query_flat", "ids", "flat")
+        return met.mapInArrow(search, "query_id long, vec_id long, score double")
+
+    def best_k(found):
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k)      # replicas score alike
+
+    found = best_k(searched(queries.mapInArrow(probe, "list int, vec_id long, vec array<double>"), blocks))
+    if n_head:
+        found = scratch.store(found, "found")
+        found = best_k(found.drop("rank").unionByName(searched(*_head(rows.where(in_head), queries, found, n_head, k, scratch, p))))
+    return found.select("query_id", "rank", "vec_id", (F.col("score") * F.lit(scale) * F.lit(scale)).alias("score"))
+
+
+def _blocks(listed: DataFrame, block) -> DataFrame:
+    """Vectors (``list``, ``vec_id``, ``vec``) as blocks of a list: ``list``, ``ids``, ``flat``."""
+    grouped = listed.groupBy("list", block.alias("block")).agg(F.collect_list(F.struct("vec_id", "vec")).alias("held"))
+    return grouped.select("list", "block", F.col("held.vec_id").alias("ids"), F.flatten("held.vec").alias("flat"))
+
+
+def _measured(rows: DataFrame, queries: DataFrame, posted: DataFrame, graph: CentroidGraph, sizes: np.ndarray, k: int, dim: int,
+              p: Params) -> Bounds:
+    """The bounds of the search: ``tried`` queries are searched against all listed rows, and the lists of what they find are looked up."""
+    tried = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(p.tried).select("vec_id", "vec").toArrow()
+    ids, x = np.asarray(tried.column("vec_id")), _matrix(tried.column("vec").combine_chunks(), dim)
+    if not len(ids):
+        return Bounds(p.probe_ratio, p.probe_rows, p.search_beam)
+    shared = rows.sparkSession.sparkContext.broadcast((ids, x))     # at most ``tried`` rows
+
+    def exact(batches):
+        ids, x = shared.value
+        got = None
+        for b in batches:
+            for a in range(0, b.num_rows, p.block_rows):
+                part = b.slice(a, p.block_rows)
+                new = best_of_block(x, ids, _matrix(part.column("vec"), dim), np.asarray(part.column("vec_id")), k)
+                got = best_of_all(*(np.concatenate(c) for c in zip(*([got] if got else []), new)), k)
+        if got:
+            yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()), pa.array(got[2], pa.float64())],
+                                             names=["query_id", "near", "score"])
+
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "near"))
+    near = rows.select("vec_id", "vec").mapInArrow(exact, "query_id long, near long, score double").withColumn("r", rank).where(F.col("r") <= k)
+    lists: dict[tuple, list[int]] = {}
+    for r in posted.select("list", "vec_id").join(F.broadcast(near), F.col("near") == F.col("vec_id")).collect():   # tried x k x replicas
+        lists.setdefault((r["query_id"], r["near"]), []).append(r["list"])
+    of = [[own for (q, _), own in lists.items() if q == i] for i in ids.tolist()]
+    return needed(graph, np.column_stack([x, np.zeros(len(x))]), sizes, of, p)
+
+
+def _head(head: DataFrame, queries: DataFrame, found: DataFrame, n_head: int, k: int, scratch: Scratch, p: Params):
+    """(query, list) pairs and blocks of the vectors of largest norm, in lists by norm.
+
+    A list takes part only where its largest norm times the query's reaches
+    the query's k-th score so far: by the Cauchy-Schwarz inequality no vector
+    of another list can be among the k best.
+    """
+    n_lists = max(1, -(-n_head // p.block_rows))
+    placed = scratch.store(head.repartitionByRange(n_lists, F.desc("norm"), "vec_id").withColumn("list", F.spark_partition_id()), "head")
+    # a list of ties may be longer than a block: it is cut as any other
+    counts = placed.groupBy("list").agg(F.count("*").alias("n"), F.max("norm").alias("top")).orderBy("list").collect()   # one row per list
+    numbers, tops = np.array([r["list"] for r in counts], dtype=np.int32), np.sqrt([r["top"] for r in counts])
+    parts = head.sparkSession.createDataFrame([(r["list"], -(-r["n"] // p.block_rows)) for r in counts], "l int, parts int")
+    blocks = scratch.store(_blocks(placed.join(F.broadcast(parts), F.col("list") == F.col("l")), F.pmod(F.xxhash64("vec_id"), F.col("parts"))),
+                           "head-blocks")
+    least = found.groupBy(F.col("query_id").alias("q")).agg(F.min("score").alias("kth"), F.count("*").alias("n_found"))
+    asked = queries.join(least, F.col("vec_id") == F.col("q"), "left").select(
+        "vec_id", "vec", "norm", F.when(F.col("n_found") == k, F.col("kth")).otherwise(F.lit(float("-inf"))).alias("kth"))
+
+    def reach(batches):
+        for b in batches:
+            norm, kth = np.sqrt(np.asarray(b.column("norm"))), np.asarray(b.column("kth"))
+            # lists come by falling norm: a query takes the first few; the slack is more than rounding can add
+            upto = np.array([np.searchsorted(-tops * x * (1 + 1e-9), -y, side="right") for x, y in zip(norm, kth)], dtype=np.int64)
+            row = pa.array(np.repeat(np.arange(b.num_rows), upto))
+            lists = np.concatenate([numbers[:m] for m in upto.tolist()]) if b.num_rows else numbers[:0]
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), b.column("vec_id").take(row), b.column("vec").take(row)],
+                                             names=["list", "vec_id", "vec"])
+
+    return asked.mapInArrow(reach, "list int, vec_id long, vec array<double>"), blocks

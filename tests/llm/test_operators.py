@@ -448,7 +448,7 @@ def test_neighbours_hot_list(spark):
     rows = [(i, [1.0, 2.0, 3.0] if i % 3 else rnd.randn(3).round(6).tolist()) for i in range(900)]     # two thirds are one vector
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     # every list is searched: this is about split lists and ties (recall at the default share is tested below)
-    p = neighbours.Params(list_rows=16, block_rows=32, query_rows=8, merge_rows=100, search_share=1.0, probe_ratio=100.0)
+    p = neighbours.Params(list_rows=16, block_rows=32, query_rows=8, merge_rows=100, probe_rows=10**9, probe_ratio=1e9)
     got = [(r.query_id, r["rank"], r.vec_id) for r in neighbours.nearest_neighbours(df, params=p).collect()]
     want = brute_neighbours(rows, 20, 20)
     assert len(got) == len(want) and len(set(got) & set(want)) >= 0.95 * len(want)
@@ -480,8 +480,47 @@ def test_neighbours_recall_skewed(spark, table):
     assert recall >= 0.9
 
 
-def test_neighbours_recall(spark):
-    sf = "/root/testdata/sf0.1"
+def test_neighbours_of_huge_and_tiny_vectors(spark):
+    """Squares that overflow or vanish: the order is right, and a score too large for a double is infinite with its sign."""
+    for size in (1e160, 1e-200):
+        rnd = np.random.RandomState(5)
+        v = (rnd.randn(200, 4) * size)
+        df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>")
+        got = neighbours.nearest_neighbours(df, k=5).orderBy("query_id", "rank").collect()
+        unit = v / size
+        for q in range(0, 200, 20):
+            score = unit @ unit[q]
+            score[q] = -np.inf
+            assert [r.vec_id for r in got if r.query_id == q] == np.argsort(-score)[:5].tolist()
+        assert {r.score for r in got if r.score} <= ({np.inf, -np.inf} if size > 1 else set())
+
+
+def test_neighbours_measured_bounds(spark):
+    """The fixed bounds stay where they are wide enough; where they would miss too much, the sample widens them."""
+    rnd = np.random.RandomState(2)
+    flat = rnd.randn(4000, 32)
+    near = np.repeat(rnd.randn(100, 32) * 10, 40, axis=0) + rnd.randn(4000, 32) * 0.1
+    p = neighbours.Params(probe_rows=256, list_rows=32)
+    seen = []
+    inner = neighbours.needed
+    neighbours.needed = lambda *a: seen.append(inner(*a)) or seen[-1]
+    try:
+        for v in (near, flat):
+            df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>")
+            got = {(r.query_id, r.vec_id) for r in neighbours.nearest_neighbours(df, params=p).collect()}
+            want = set()
+            for q in range(0, 4000, 20):
+                score = v @ v[q]
+                score[q] = -np.inf
+                want |= {(q, int(i)) for i in np.argsort(-score)[:20]}
+            assert len(got & want) >= 0.9 * len(want)
+    finally:
+        neighbours.needed = inner
+    assert seen[0].rows < seen[1].rows and seen[1].rows > 256
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_neighbours_recall(spark, sf):
     got = queries.op9_neighbours(spark, sf).toPandas()
     table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas().sort_values("vec_id")
     v, ids = np.stack(table.embedding).astype(float), table.vec_id.to_numpy()
