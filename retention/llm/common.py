@@ -88,6 +88,22 @@ def running_totals(df: DataFrame, order: Sequence[str], totals: dict[str, str],
         (F.col(f"_local_{v}") + F.col(f"_before_{v}")).cast("long").alias(out) for v, out in totals.items()])
 
 
+def with_groups(df: DataFrame, keys: Sequence[str], aggs: Sequence, scratch: Scratch, name: str, where: str | None = None) -> DataFrame:
+    """The rows of a stored table with aggregates of their group (those of groups that meet ``where``).
+
+    The aggregate is stored before the join. Both sides of the join then are
+    plain exchanges, and Spark splits a partition that a hot key made large
+    over several tasks; an aggregate that ends between exchange and sort
+    would keep all rows of the key in one.
+    """
+    groups = df.groupBy(*keys).agg(*aggs)
+    groups = scratch.store((groups.where(where) if where else groups).withColumnsRenamed({k: f"_of_{k}" for k in keys}), name)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return df.join(groups, on).drop(*(f"_of_{k}" for k in keys))
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
     """Smallest node reachable for every node of ``edges`` (long columns ``a``, ``b``): (``node``, ``root``).
 
@@ -97,14 +113,15 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
     stored table ends each round, and the rounds grow with the logarithm of
     the number of nodes. Raises if ``max_rounds`` does not settle it.
     """
-    def step(e: DataFrame, large: bool) -> DataFrame:
+    def step(e: DataFrame, large: bool, name: str) -> DataFrame:
         # e: distinct pairs with a > b
         if large:
             side = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         else:
             side = e
-        low = side.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("n"), F.least("a", "m").alias("m") if large else F.col("m"))
+        # stored: a node with very many neighbours is then split over tasks by the join
+        low = scratch.store(side.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("n"), F.least("a", "m").alias("m") if large else F.col("m")), name)
         if large:   # every larger neighbour of n moves to the smallest neighbour of n
             moved = side.join(low, side["a"] == low["n"]).where(F.col("b") > F.col("n")).select(
                 F.col("b").alias("a"), F.col("m").alias("b"))
@@ -121,8 +138,9 @@ def connected_components(edges: DataFrame, scratch: Scratch, max_rounds: int = 6
                         .where("a > b").distinct(), "cc0")
     seen, last = digest(cur), "cc0"
     for i in range(1, max_rounds + 1):
-        cur = scratch.store(step(step(cur, True), False), f"cc{i}")
-        scratch.drop(last)
+        half = scratch.store(step(cur, True, "low-large"), f"cc{i}-large")
+        cur = scratch.store(step(half, False, "low-small"), f"cc{i}")
+        scratch.drop(last, f"cc{i}-large", "low-large", "low-small")
         now, last = digest(cur), f"cc{i}"
         if now == seen:
             roots = cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

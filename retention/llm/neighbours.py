@@ -51,7 +51,7 @@ class Params:
     tried: int = 64             # queries searched against all rows to measure what the lists would miss
     target: float = 0.95        # their true neighbours that either bound alone must let through
     block_rows: int = 1024      # vectors of a stored block, about
-    query_rows: int = 256       # queries of a block, about
+    query_rows: int = 256       # queries that meet a list together, about
     merge_rows: int = 500_000   # finds a task gathers before it keeps the best of each query
 
 
@@ -199,7 +199,7 @@ def needed(graph: CentroidGraph, x: np.ndarray, sizes: np.ndarray, lists: list[l
 
 
 def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, vec_ids: np.ndarray, k: int):
-    """The ``k`` best of a block for each query, and all that tie with the last of them.
+    """The ``k`` best of a block for each query, ties to the smaller id.
 
     A matrix product finds who may be among them; their scores are then added
     up one by one in one order, so that equal vectors tie exactly.
@@ -210,7 +210,9 @@ def best_of_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarra
     slack = 1e-9 * np.sqrt((queries * queries).sum(1).max() * (vectors * vectors).sum(1).max())
     least = np.partition(rough, n - k, axis=1)[:, n - k] - slack if n > k else np.full(len(queries), -np.inf)
     row, col = np.nonzero((rough >= least[:, None]) & (rough > -np.inf))
-    return query_ids[row], vec_ids[col], np.einsum("rd,rd->r", queries[row], vectors[col])
+    # many may be as good as the last one, to rounding: in pieces, so that a block of copies takes no more room than another
+    score = np.concatenate([np.einsum("rd,rd->r", queries[row[i:i + 65536]], vectors[col[i:i + 65536]]) for i in range(0, max(1, len(row)), 65536)])
+    return best_of_all(query_ids[row], vec_ids[col], score, k)
 
 
 def best_of_all(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int):
@@ -308,15 +310,16 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
                 part = b.slice(a, 1024)
                 v = _matrix(part.column("vec"), dim)
                 row, lists = probe_lists(shared.value, np.column_stack([v, np.zeros(len(v))]), sizes, k, bounds)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), part.column("vec_id").take(take),
-                                                  part.column("vec").take(take)], names=["list", "vec_id", "vec"])
-
-    groups = max(1, -(-queries.count() // p.query_rows))
-
-    def asked(pairs):
-        grouped = pairs.groupBy("list", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).alias("g")).agg(
-            F.collect_list(F.struct("vec_id", "vec")).alias("q"))
+                yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), part.column("vec_id").take(pa.array(row))],
+                                                 names=["list", "vec_id"])
+
+    def asked(pairs, name):
+        pairs = scratch.store(pairs, name)
+        cut = pairs.groupBy(F.col("list").alias("l")).agg(F.ceil(F.count("*") / p.query_rows).cast("int").alias("parts"))    # a row per list
+        grouped = (pairs.join(F.broadcast(cut), F.col("list") == F.col("l"))
+                   .join(queries.select(F.col("vec_id").alias("v"), "vec"), F.col("vec_id") == F.col("v"))
+                   .groupBy("list", F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("g")).agg(
+                       F.collect_list(F.struct("vec_id", "vec")).alias("q")))
         return grouped.select(F.col("list").alias("ql"), F.col("q.vec_id").alias("query_ids"), F.flatten("q.vec").alias("query_flat"))
 
     def search(batches):
@@ -339,18 +342,19 @@ def nearest_neighbours(vectors: DataFrame, k: int = 20, query_step: int = 20, pa
         if got:
             yield best()
 
-    def searched(pairs, blocks):
-        met = asked(pairs).join(blocks, F.col("ql") == F.col("list")).select("query_ids", "query_flat", "ids", "flat")
+    def searched(pairs, blocks, name):
+        met = asked(pairs, name).join(blocks, F.col("ql") == F.col("list")).select("query_ids", "query_flat", "ids", "flat")
         return met.mapInArrow(search, "query_id long, vec_id long, score double")
 
     def best_k(found):
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k)      # replicas score alike
 
-    found = best_k(searched(queries.mapInArrow(probe, "list int, vec_id long, vec array<double>"), blocks))
+    found = best_k(searched(queries.mapInArrow(probe, "list int, vec_id long"), blocks, "asked"))
     if n_head:
         found = scratch.store(found, "found")
-        found = best_k(found.drop("rank").unionByName(searched(*_head(rows.where(in_head), queries, found, n_head, k, scratch, p))))
+        found = best_k(found.drop("rank").unionByName(searched(
+            *_head(rows.where(in_head), queries, found, n_head, k, scratch, p), "asked-head")))
     return found.select("query_id", "rank", "vec_id", (F.col("score") * F.lit(scale) * F.lit(scale)).alias("score"))
 
 
@@ -407,7 +411,7 @@ def _head(head: DataFrame, queries: DataFrame, found: DataFrame, n_head: int, k:
                            "head-blocks")
     least = found.groupBy(F.col("query_id").alias("q")).agg(F.min("score").alias("kth"), F.count("*").alias("n_found"))
     asked = queries.join(least, F.col("vec_id") == F.col("q"), "left").select(
-        "vec_id", "vec", "norm", F.when(F.col("n_found") == k, F.col("kth")).otherwise(F.lit(float("-inf"))).alias("kth"))
+        "vec_id", "norm", F.when(F.col("n_found") == k, F.col("kth")).otherwise(F.lit(float("-inf"))).alias("kth"))
 
     def reach(batches):
         for b in batches:
@@ -416,7 +420,6 @@ def _head(head: DataFrame, queries: DataFrame, found: DataFrame, n_head: int, k:
             upto = np.array([np.searchsorted(-tops * x * (1 + 1e-9), -y, side="right") for x, y in zip(norm, kth)], dtype=np.int64)
             row = pa.array(np.repeat(np.arange(b.num_rows), upto))
             lists = np.concatenate([numbers[:m] for m in upto.tolist()]) if b.num_rows else numbers[:0]
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), b.column("vec_id").take(row), b.column("vec").take(row)],
-                                             names=["list", "vec_id", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), b.column("vec_id").take(row)], names=["list", "vec_id"])
 
-    return asked.mapInArrow(reach, "list int, vec_id long, vec array<double>"), blocks
+    return asked.mapInArrow(reach, "list int, vec_id long"), blocks

@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.llm.common import Scratch, running_totals
+from retention.llm.common import Scratch, running_totals, with_groups
 
 
 class Line:
@@ -116,11 +116,11 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, text: str = "text", key
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"null")).alias("group"))
-    first = rows.groupBy("group").agg(F.min("doc_id").alias("first_id")).withColumnRenamed("group", "g")
-    placed = rows.join(first, rows["group"] == first["g"]).select(*rows.columns, "first_id", F.lit(1).alias("one"))
+    rows = scratch.store(rows, "rows")      # texts are read and hashed once
+    placed = with_groups(rows, ["group"], [F.min("doc_id").alias("first_id")], scratch, "first").withColumn("one", F.lit(1))
     line = scratch.store(running_totals(placed, ["first_id", "group", "doc_id"],
                                         {"size": "start", "one": "index"}, scratch, "ranged"), "line")
-    scratch.drop("ranged")
+    scratch.drop("ranged", "rows", "first")
     ends = line.groupBy("group").agg(F.max(F.col("start") + F.col("size")).alias("end"), F.sum("size").alias("bytes"),
                                      (F.max("index") + 1).alias("rows"))
     ends = scratch.store(ends.repartitionByRange("end").sortWithinPartitions("end"), "ends")

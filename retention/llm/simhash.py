@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from retention.llm.batches import text_slices, utf8, with_columns
-from retention.llm.common import Scratch, connected_components
+from retention.llm.common import Scratch, connected_components, with_groups
 
 _BITS = 64
 
@@ -119,11 +119,9 @@ def close_links(fps: DataFrame, radius: int, scratch: Scratch, bucket: int = 128
     links, depth = [], 0
     while True:
         rows = scratch.store(rows.withColumn("kept", F.col("fp").bitwiseAND(F.col("fixed"))), f"table{depth}")
-        sizes = rows.groupBy("fixed", "kept").agg(F.count("*").alias("n")).where("n > 1").select(
-            F.col("fixed").alias("m"), F.col("kept").alias("k"), "n")
-        shared = scratch.store(rows.join(sizes, (F.col("fixed") == F.col("m")) & (F.col("kept") == F.col("k")))
-                               .select("fp", "fixed", "kept", "n"), f"shared{depth}")
-        scratch.drop(f"table{depth}")
+        shared = scratch.store(with_groups(rows, ["fixed", "kept"], [F.count("*").alias("n")], scratch, f"sizes{depth}", "n > 1"),
+                               f"shared{depth}")
+        scratch.drop(f"table{depth}", f"sizes{depth}")
         links.append(scratch.store(shared.where(~hot).groupBy("fixed", "kept").agg(F.collect_list("fp").alias("members"))
                                    .select("members").mapInArrow(span, "a long, b long").distinct(), f"links{depth}"))
         level = shared.where(hot).select("fp", "fixed")
@@ -160,10 +158,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3, text: str =
     classes = scratch.store(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     links = close_links(classes, radius, scratch)
     parts = connected_components(links, scratch)
-    root = classes.join(parts, F.col("fp") == F.col("node"), "left").select(
-        F.col("fp").alias("f"), "first_id", F.coalesce("root", "fp").alias("root"))
-    first = root.groupBy("root").agg(F.min("first_id").alias("component_id")).withColumnRenamed("root", "r")
-    named = scratch.store(root.join(first, F.col("root") == F.col("r")).select("f", "component_id", F.col("root")), "named")
+    root = scratch.store(classes.join(parts, F.col("fp") == F.col("node"), "left").select(
+        F.col("fp").alias("f"), "first_id", F.coalesce("root", "fp").alias("root")), "roots")
+    named = scratch.store(with_groups(root, ["root"], [F.min("first_id").alias("component_id")], scratch, "components")
+                          .select("f", "component_id", "root"), "named")
+    scratch.drop("classes", "roots", "components")
     return rows.join(named, F.col("fp") == F.col("f")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp", "tie", "root")
 

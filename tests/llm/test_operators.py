@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retention.llm import encoding, licenses, mixing, neighbours, quality, queries, sharding, simhash, suffixes, token_counts, warc
-from retention.llm.common import Scratch, connected_components, running_totals
+from retention.llm.common import Scratch, connected_components, running_totals, with_groups
 
 SF = "/root/testdata/sf0.001"
 SPEC = public_tokenizers.path("word_bpe_49k.json")
@@ -290,16 +291,71 @@ def test_warc(spark, tmp_path):
     scratch = Scratch(spark, "t")
     records, payloads = warc.write_archive(df, scratch)
     assert payloads.count() == len({(h or "") for _, _, h, _ in rows})
-    back = warc.read_archive(records, payloads)
-    warc.write_warc_files(back, str(tmp_path / "w"), None)
-    text = b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("part-*")))
-    assert text.count(b"WARC-Record-ID: ") == len(rows)
     broken = payloads.withColumn("payload", F.concat("payload", F.lit(b"!")))
     with pytest.raises(Exception, match="digest"):
-        warc.read_archive(records, broken).collect()
+        warc.rebuilt(records, broken).collect()
+    with pytest.raises(Exception, match="no payload"):
+        warc.rebuilt(records, payloads.limit(1)).collect()
+    for size in (1, 1 << 20):       # a file a record, and all of a task's
+        path = str(tmp_path / f"w{size}")
+        warc.write_warc_files(warc.rebuilt(records, payloads), path, size)
+        seen = read_warc_plainly(path)
+        assert len(seen) == len(rows) and len({r["WARC-Record-ID"] for r in seen}) == len(rows)
+        assert Counter((r.get("Page-ID"), r["WARC-Type"]) for r in seen) == Counter((i if i is None else str(i), t) for i, _, _, t, _, _ in want)
+        by = {r["WARC-Record-ID"]: r for r in seen}
+        for r in seen:
+            source = by[r["WARC-Refers-To"]] if r["WARC-Type"] == "revisit" else r
+            assert "sha1:" + hashlib.sha1(source["payload"]).hexdigest() == r["WARC-Payload-Digest"] and source["WARC-Type"] == "response"
+            assert r["WARC-Type"] == "response" or not r["payload"]
+        back = warc.read_archive(spark, path, Scratch(spark, "t"), with_payload=True).collect()
+        assert Counter((r.id, r.url, bytes(r.payload)) for r in back) == Counter((i, u, (h or "").encode()) for i, u, h, _ in rows)
     assert warc.archive_pages(df.limit(0)).count() == 0
 
 
+def read_warc_plainly(path):
+    """Another reader: gunzips the files as a whole and cuts the records by their lengths."""
+    import gzip
+    import pathlib
+    out = []
+    for p in sorted(pathlib.Path(path).glob("part-*")):
+        data = gzip.decompress(p.read_bytes())
+        while data:
+            assert data.startswith(b"WARC/1.1\r\n")
+            end = data.index(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) for x in data[:end].decode().split("\r\n")[1:])
+            assert {"WARC-Record-ID", "WARC-Date", "WARC-Type", "Content-Length"} <= set(fields)
+            assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}-[0-9a-f]{4}-8[0-9a-f]{3}-8[0-9a-f]{3}-[0-9a-f]{12}>", fields["WARC-Record-ID"])
+            assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+            n = int(fields["Content-Length"])
+            block, tail = data[end + 4:end + 4 + n], data[end + 4 + n:end + 8 + n]
+            assert len(block) == n and tail == b"\r\n\r\n"
+            fields["payload"] = block.split(b"\r\n\r\n", 1)[1]
+            out.append(fields)
+            data = data[end + 8 + n:]
+    return out
+
+
+def test_warc_long_and_broken(spark, tmp_path):
+    """A payload over 16 MB (its gzip member does not end in a zero byte) and files with a changed or missing byte."""
+    rnd = random.Random(1)
+    html = "".join(rnd.choices("abcdefgh <>", k=1 << 20)) * 17
+    df = spark.createDataFrame([(1, "u", html), (2, "v", html), (3, None, "x")], "page_id long, url string, html string")
+    got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.archive_pages(df).collect()}
+    sha1 = hashlib.sha1(html.encode()).hexdigest()
+    assert got[1] == (len(html), sha1, "revisit", 2) and got[2] == (len(html), sha1, "response", None) and got[3][0] == 1
+    path = tmp_path / "w"
+    warc.write_warc_files(warc.rebuilt(*warc.write_archive(df.where("page_id = 3"), Scratch(spark, "t"))), str(path))
+    file = next(path.glob("part-*"))
+    whole = file.read_bytes()
+    import zlib
+    record = zlib.decompress(whole, 31)
+    for data in (whole[:-5], zlib.compress(record.replace(b"\r\n\r\nx", b"\r\n\r\ny"), wbits=31), zlib.compress(record[:-1], wbits=31)):
+        file.write_bytes(data)
+        (path / f".{file.name}.crc").unlink(missing_ok=True)
+        with pytest.raises(Exception, match="cut off|digest differs|not a whole"):
+            warc.parse_files(spark, str(path)).collect()
+
+
 def test_bpe(spark, docs):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(SPEC)
@@ -575,3 +631,24 @@ def test_suffix_array(text):
         return n
     assert suffixes.common_prefixes(text, sa, 50, lane=16).tolist() == [0] * (len(text) > 0) + [
         common(want[i - 1], want[i]) for i in range(1, len(text))]
+
+
+def test_hot_groups_are_split(spark):
+    """A third of all rows share a key: the join with their group's aggregate splits that key over several tasks."""
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    for k, v in zip(kept, ("20k", "-1", "20k", "-1", "1.5")):
+        spark.conf.set(k, v)
+    try:
+        scratch = Scratch(spark, "t")
+        rows = scratch.store(spark.range(0, 60_000, numPartitions=8).selectExpr("id", "if(id % 3 = 0, -1, id % 500) as g"), "rows")
+        got = with_groups(rows, ["g"], [F.min("id").alias("least"), F.count("*").alias("n")], scratch, "groups")
+        table = got.toPandas()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert (table[table.g == -1].n == 20_000).all() and (table[table.g == -1].least == 0).all() and len(table) == 60_000
+        hot = [sum(r.g == -1 for r in x) for x in got.rdd.glom().collect()]
+        assert sum(hot) == 20_000 and max(hot) <= 20_000 / 2       # not in one task
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
