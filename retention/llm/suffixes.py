@@ -17,7 +17,7 @@ earlier (in a document of smaller id, or earlier in the same one).
    strings are looked up by binary search among those of all.
 
 No step pairs documents, and what a task holds is bounded by one text or one
-shard. Comparisons that decide are made on bytes (equal whole texts and
+shard (a piece has at most ``_PIECE`` windows). Comparisons that decide are made on bytes (equal whole texts and
 pieces: on SHA-256).
 """
 
@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.llm.batches import text_slices, utf8, with_columns
-from retention.llm.common import Scratch, shuffle_partitions
+from retention.llm.common import Scratch, shuffle_partitions, with_groups
 
 GRAM = 32
 _LAST = (1 << 63) - 1
 _MULTIPLIERS = tuple(np.uint64(x) for x in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
-_POSITION_BITS = 23     # a single text over 8 MB takes the bits it needs
+_POSITION_BITS = 23     # the lowest bits of an anchor's rank; texts are walked in chunks that they can number
+_CHUNK = 1 << 22        # bytes of a chunk of a long text, half of what the bits can number
+_PIECE = 1 << 16        # windows of a piece, at most
 _SLICE = 1 << 18        # texts handled together, in bytes: what fits a core's cache
 
 
@@ -62,7 +64,7 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     """Segments of several texts: (text number, anchor hash, first window, last window, several places).
 
     Neighbouring segments with the same hash (as in a run of one character)
-    are one segment that counts as two places.
+    are one segment that counts as two places. Together the texts have at most ``2 ** _POSITION_BITS`` bytes.
     """
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     ends = np.cumsum(sizes)
@@ -79,8 +81,8 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     h ^= h >> np.uint64(32)
     h *= _MULTIPLIERS[1]
     h ^= h >> np.uint64(29)
-    bits = np.uint64(max(_POSITION_BITS, int(total).bit_length()))
-    # order by the hash's upper bits, ties to the left: the same choice wherever the same bytes stand
+    bits = np.uint64(_POSITION_BITS)
+    # order by the hash's upper bits, ties to the left: the same choice wherever, and in however long a text, the same bytes stand
     rank = (h >> bits << bits) | np.arange(grams, dtype=np.uint64)
     at = (sliding_min(rank, length - GRAM + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     doc = np.repeat(np.arange(len(texts)), sizes)[:len(at)]
@@ -102,6 +104,32 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     return docs[head], hashes[head], start[first[head]] - base, start[last[tail]] - base, tail > head
 
 
+def cut_segments(texts: list[bytes], length: int, chunk: int = _CHUNK, piece: int = _PIECE) -> tuple[np.ndarray, ...]:
+    """``segments`` of texts of any size, none of more than ``piece`` windows.
+
+    A long text is walked in chunks that share ``length - 1`` bytes, so each
+    window lies in one. A segment is cut between windows: its parts have the
+    same anchor, and each string still starts in one part.
+    """
+    if sum(map(len, texts)) <= 2 * chunk:
+        found = segments(texts, length)
+    else:
+        parts = []
+        for i, t in enumerate(texts):
+            for a in range(0, max(1, len(t) - length + 1), chunk):
+                _, h, s, e, many = segments([t[a:a + chunk + length - 1]], length)
+                parts.append((np.full(len(h), i), h, s + a, e + a, many))
+        found = tuple(map(np.concatenate, zip(*parts)))
+    doc, h, s, e, many = found
+    n = (e - s) // piece + 1
+    if (n > 1).any():
+        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        doc, h, s, e, many = (np.repeat(x, n) for x in (doc, h, s, e, many))
+        s = s + inner * piece
+        e = np.minimum(e, s + piece - 1)
+    return doc, h, s, e, many
+
+
 def suffix_array(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, rank) by Larsson-Sadakane refinement: groups that are still tied after h bytes are
     sorted by the rank of the suffix h bytes on, h doubling. The end of the text sorts before every byte."""
@@ -251,16 +279,16 @@ class Repeats:
 
         def find(batches):
             for b in text_slices(batches, "text", _SLICE):
-                doc, h, s, e, many = segments(utf8(b.column("text")), length)
+                doc, h, s, e, many = cut_segments(utf8(b.column("text")), length)
                 take = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("ord").take(take), b.column("dg").take(take), pa.array(h.view(np.int64)),
                      pa.array((s << 31 | e) * 2 + many)], names=["ord", "dg", "h", "place"])
 
         found = self.scratch.store(self.texts.mapInArrow(find, "ord long, dg long, h long, place long"), "anchors")
-        twice = found.groupBy("h").agg(F.sum(1 + F.col("place") % 2).alias("n")).where("n > 1").select(F.col("h").alias("hh"))
-        segs = self.scratch.store(found.join(twice, F.col("h") == F.col("hh")).drop("hh"), "segments")
-        self.scratch.drop("anchors")
+        segs = self.scratch.store(with_groups(found, ["h"], [F.sum(1 + F.col("place") % 2).alias("n")], self.scratch, "twice", "n > 1")
+                                  .drop("n"), "segments")
+        self.scratch.drop("anchors", "twice")
         by_doc = segs.groupBy(F.col("ord").alias("o"), F.col("dg").alias("d")).agg(
             F.sort_array(F.collect_list(F.struct("place", "h"))).alias("segs"))
         self.found = self.scratch.store(
@@ -311,8 +339,8 @@ class Repeats:
         hot = self.scratch.store(
             self.pieces.groupBy("h").agg(F.sum("size").alias("size")).where(F.col("size") > self.shard_bytes)
             .select(F.col("h").alias("hot"), F.ceil(F.col("size") / self.shard_bytes).alias("parts")), "hot")
-        # fewer rows than there are shards
-        placed = self.pieces.join(F.broadcast(hot), F.col("h") == F.col("hot"), "left").withColumn(
+        # broadcast only if Spark measures it as small
+        placed = self.pieces.join(hot, F.col("h") == F.col("hot"), "left").withColumn(
             "part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(0))
         placed = placed.select(F.pmod(F.xxhash64("h", "part"), F.lit(shards)).alias("shard"), "ord", "dg", "s", "piece",
                                F.col("parts").isNotNull().alias("shared"))
@@ -392,9 +420,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 1 << 1
     an empty table gives no rows.
     """
     job = Repeats(docs, length, shard_bytes, text, key)
-    counted = job.rows.groupBy("ord", "digest").agg(
-        F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("n_bytes"), F.min("doc_id").alias("doc_id"))
-    first = counted.groupBy("digest").agg(F.min("ord").alias("first")).withColumnRenamed("digest", "d")
+    slim = job.scratch.store(job.rows.select("ord", "doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"),
+                                             F.monotonically_increasing_id().alias("uid")), "rows")
+    rows = with_groups(slim, ["digest"], [F.min(F.struct("ord", "uid")).alias("first")], job.scratch, "first-rows")
 
     def cut(batches):
         for b in text_slices(batches, "text"):
@@ -409,9 +437,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 1 << 1
         .select("ord", "dg", "text", "spans").mapInArrow(cut, "ord long, dg long, removed long, parts long, kept string")
         .withColumnsRenamed({"ord": "o", "dg": "g"}), "changed")
     job.scratch.drop("found", "spans")
-    rows = counted.join(first, F.col("digest") == F.col("d")).withColumn("dg", Repeats.tie(F.col("digest")))
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    rows = rows.withColumn("later", (F.col("ord") != F.col("first")) | (F.col("copy") > 1))
+    rows = rows.withColumn("dg", Repeats.tie(F.col("digest"))).withColumn("later", F.struct("ord", "uid") != F.col("first"))
     rows = rows.join(changed, (F.col("ord") == F.col("o")) & (F.col("dg") == F.col("g")), "left")
     gone = F.col("later") & (F.col("n_bytes") >= length)
     return rows.select(
@@ -430,7 +456,7 @@ def without_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 1 <<
     text are one document here and all keep the same rest.
     """
     job = Repeats(docs, length, shard_bytes, text, key)
-    firsts = job.rows.groupBy("digest").agg(F.min("ord").alias("_first"))
+    firsts = job.rows.groupBy("digest").agg(F.min("ord").alias("_first"))      # a row per text; what is joined to the rows is stored
     cuts = firsts.select("_first", Repeats.tie(F.col("digest")).alias("_tie"), F.col("digest").alias("_digest")).join(
         job.spans.select(F.col("ord").alias("_o"), F.col("dg").alias("_d"), "spans"),
         (F.col("_first") == F.col("_o")) & (F.col("_tie") == F.col("_d")), "left")

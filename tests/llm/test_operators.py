@@ -612,11 +612,67 @@ def test_suffixes(spark, docs, shard_bytes):
     assert Counter(tuple(r) for r in suffixes.remove_repeats(docs, shard_bytes=shard_bytes).collect()) == want
 
 
-def test_suffix_texts(spark, docs):
-    cut = suffixes.without_repeats(docs)
-    assert cut.columns == docs.columns and cut.count() == docs.count()
-    left = [r.text for r in cut.where("text is not null and text != ''").collect()]
-    assert sum(PASSAGE in t for t in left) <= 1
+def kept_texts(texts, length=100):
+    """Texts in order -> what is left of each by the definition, half characters dropped."""
+    seen, out = set(), []
+    for t in texts:
+        t = t.encode()
+        gone = np.zeros(len(t) + 1, dtype=int)
+        for s in range(len(t) - length + 1):
+            if t[s:s + length] in seen:
+                gone[s] += 1
+                gone[s + length] -= 1
+            seen.add(t[s:s + length])
+        out.append(bytes(np.frombuffer(t, np.uint8)[np.cumsum(gone)[:-1] == 0]).decode(errors="ignore"))
+    return out
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 19, 1500])
+def test_suffix_texts(spark, docs, shard_bytes):
+    """``without_repeats`` by the definition. Rows equal in id and text are one document, so they keep the same rest."""
+    cut = suffixes.without_repeats(docs, shard_bytes=shard_bytes)
+    assert cut.columns == docs.columns
+    rows = {(r.doc_id, r.text) for r in docs.where("text is not null").select("doc_id", "text").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest()))
+    left = dict(zip(order, kept_texts([t for _, t in order])))
+    want = Counter((r.doc_id, None if r.text is None else left[r.doc_id, r.text], r.source) for r in docs.collect())
+    assert Counter((r.doc_id, r.text, r.source) for r in cut.collect()) == want
+
+
+def test_suffixes_of_long_texts(spark):
+    """A text of over 8 MB and a short one share passages wherever they stand; a run of 30 MB is one byte."""
+    rnd = random.Random(6)
+    passages = ["".join(rnd.choices("abcdefghij klm", k=150)) for _ in range(40)]
+    # what surrounds a passage differs each time, so that no string reaches over its ends
+    filler = ["ABCD"[i // 40] + "".join(rnd.choices("nopqrst uvwxyz", k=1 << 16)) + "EFGH"[i // 40] for i in range(150)]
+    long = "".join(x for pair in zip(filler, passages * 4) for x in pair)
+    assert len(long) > 9 << 20
+    first, run = ".".join(passages), "a" * (30 << 20)
+    rows = [(1, first), (2, long), (3, run), (4, "b" + "a" * 300 + "c")]
+    got = {r.doc_id: r for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # each passage's bytes go, and nothing of the filler (its bytes are random)
+    assert got[1].n_removed == 0 and got[2].n_spans == 150 and got[2].n_removed == 150 * 150
+    assert got[2].kept_sha256 == hashlib.sha256("".join(filler).encode()).hexdigest()
+    assert (got[3].n_removed, got[3].n_spans, got[3].kept_sha256) == ((30 << 20) - 1, 1, hashlib.sha256(b"a").hexdigest())
+    assert got[4].n_removed == 300
+
+
+@pytest.mark.parametrize("chunk, piece", [(300, 7), (1 << 22, 5), (137, 1 << 16)])
+def test_segments_in_chunks(chunk, piece):
+    """Every window lies in one segment, with the same anchor as in the whole text."""
+    rnd = random.Random(chunk)
+    texts = [bytes(rnd.choices(b"ab", k=n)) for n in (0, 50, 100, 101, 2000)] + [b"a" * 700]
+    def windows(found):
+        doc, h, s, e, _ = found
+        out = {}
+        for d, x, a, z in zip(doc.tolist(), h.tolist(), s.tolist(), e.tolist()):
+            for w in range(a, z + 1):
+                assert (d, w) not in out
+                out[d, w] = x
+        return out
+    want = windows(suffixes.segments(texts, 100))
+    found = suffixes.cut_segments(texts, 100, chunk, piece)
+    assert windows(found) == want and (found[3] - found[2]).max() < piece and len(want) == sum(max(0, len(t) - 99) for t in texts)
 
 
 @pytest.mark.parametrize("text", [b"", b"a", b"banana", b"aaaaaaaaaa", b"mississippi" * 5, bytes(random.Random(1).choices(b"ab\0", k=400))])
