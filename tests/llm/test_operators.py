@@ -208,25 +208,60 @@ def test_token_counts(spark, docs, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     coder = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    want = Counter((r.doc_id, len(coder.encode_ordinary(r.text or ""))) for r in docs.collect())
-    got = token_counts.document_token_counts(docs, path, public_tokenizers.PATTERN, block_bytes=64)   # most documents span blocks
-    assert Counter((r.doc_id, r.n_tokens) for r in got.collect()) == want
-
-
-def test_token_files(spark, tmp_path):
+    short = docs.where("text is null or length(text) < 2000").limit(40)
+    for rows, size in ((docs, "128m"), (docs, "5000"), (short, "61")):       # byte ranges that end within ids and documents
+        want = Counter((r.doc_id, len(coder.encode_ordinary(r.text or ""))) for r in rows.collect())
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            got = token_counts.document_token_counts(rows, path, public_tokenizers.PATTERN)
+            assert Counter((r.doc_id, r.n_tokens) for r in got.collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("dtype, eod", [("<u2", 50256), ("<u4", 50256), (">u2", 8), ("<u2", 0xBBEF)])
+def test_token_files(spark, tmp_path, dtype, eod):
+    """Files that others wrote: no separator at the end, one document over many ranges, ids that look like separators when cut
+    at an odd byte, a begin like a byte order mark."""
     rnd = np.random.RandomState(1)
-    ids = rnd.randint(0, 9, 5000).astype("<u2")
-    ids[100:2000] = 5                   # one document over many blocks
-    ids.tofile(tmp_path / "a.bin")
-    np.zeros(0, "<u2").tofile(tmp_path / "b.bin")
-    blocks = token_counts.read_token_files(spark, str(tmp_path), block_bytes=128)
-    got = sorted((r.ordinal, r.start, r.n_tokens) for r in token_counts.count_tokens(blocks, 8, Scratch(spark, "t")).collect())
-    ends = np.flatnonzero(ids == 8).tolist()
-    starts = [0, *(e + 1 for e in ends)]
-    want = [(k, s, e - s) for k, (s, e) in enumerate(zip(starts, ends))]
-    if starts[-1] < len(ids):
-        want.append((len(ends), starts[-1], len(ids) - starts[-1]))
-    assert got == want
+    mark = np.array([eod], dtype=dtype).tobytes()
+    bom = np.frombuffer((b"\xef\xbb\xbf" + mark * 4)[:8], dtype=dtype)
+    shifted = np.frombuffer((mark[1:] + mark * 6)[:mark.__len__() * 6], dtype=dtype)
+    files = {"a.bin": np.concatenate([rnd.randint(0, 60000, 3000), np.where(rnd.rand(4000) < 0.01, eod, 5), shifted]).astype(dtype),
+             "b.bin": np.zeros(0, dtype), "c.bin": np.concatenate([bom, [eod, eod, 7, eod]]).astype(dtype), "d.bin": np.array([eod], dtype)}
+    for name, ids in files.items():
+        ids.tofile(tmp_path / name)
+    want = []
+    for name, ids in files.items():
+        ends = np.flatnonzero(ids == eod).tolist()
+        starts = [0, *(e + 1 for e in ends)]
+        want += [(name, k, s, e - s) for k, (s, e) in enumerate(zip(starts, ends))]
+        if starts[-1] < len(ids):
+            want.append((name, len(ends), starts[-1], len(ids) - starts[-1]))
+    for size in ("128m", "1001", "100"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            got = token_counts.count_tokens(spark, str(tmp_path), eod, Scratch(spark, "t"), dtype).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted((r.file.rsplit("/", 1)[1], r.ordinal, r.start, r.n_tokens) for r in got) == sorted(want)
+    (tmp_path / "e.bin").write_bytes(b"odd")
+    with pytest.raises(Exception, match="ends within an id"):
+        token_counts.count_tokens(spark, str(tmp_path), eod, Scratch(spark, "t"), dtype).collect()
+
+
+def test_ranks_of_long_blanks():
+    data = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read()
+    plain, cut = token_counts.Ranks(data, public_tokenizers.PATTERN), token_counts.Ranks(data, public_tokenizers.PATTERN, 3)
+    rnd = random.Random(4)
+    for _ in range(300):
+        t = "".join(rnd.choice(["a", "b1", " ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "'s", "."]) for _ in range(rnd.randint(0, 30)))
+        assert cut.encode(t) == plain.words.encode_ordinary(t)
+    assert len(plain.encode("x" + " " * 2_000_000 + "y")) == 2_000_000 + 1
 
 
 def base_rules(text):
