@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import mmap
 import os
 import re
 import tempfile
@@ -23,7 +24,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -237,17 +237,19 @@ class Lexicon:
                     "id_start": as32(np.concatenate([[0], np.cumsum([len(x) for x in lists])])),
                     "ids": as32([i for x in lists for i in x])})
 
-    def save(self, path: str) -> None:
+    def to_bytes(self) -> bytes:
         parts = [getattr(self, n) for n in self.NAMES]
-        with open(path, "wb") as f:
-            np.asarray([len(p) for p in parts], dtype=np.int64).tofile(f)
-            for p in parts:
-                p.tofile(f)
+        return b"".join([np.asarray([len(p) for p in parts], dtype=np.int64).tobytes(), *(p.tobytes() for p in parts)])
 
     @classmethod
-    def mapped(cls, path: str) -> Lexicon:
-        sizes = np.fromfile(path, dtype=np.int64, count=len(cls.NAMES))
-        whole = np.memmap(path, dtype=np.int32, mode="r", offset=sizes.nbytes, shape=(int(sizes.sum()),))
+    def mapped(cls, data: bytes) -> Lexicon:
+        """The automaton on a memory map: pages are read as they are walked. The file has no name and goes with the process."""
+        with tempfile.TemporaryFile() as f:
+            f.write(data)
+            f.flush()
+            space = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        sizes = np.frombuffer(space, dtype=np.int64, count=len(cls.NAMES))
+        whole = np.frombuffer(space, dtype=np.int32, offset=sizes.nbytes)
         ends = np.cumsum(sizes)
         return cls({n: whole[e - s:e] for n, s, e in zip(cls.NAMES, sizes, ends)})
 
@@ -365,8 +367,8 @@ class Encoder:
 
 
 def encode_documents(docs: DataFrame, spec_path: str, top: int = 100_000, text: str = "text", key: str = "doc_id",
-                     with_ids: bool = False, carry: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, ``decoded`` with ``with_ids``), a row per document.
+                     with_ids: bool = False, with_decoded: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``, ``decoded`` if asked for), a row per document.
 
     The columns named by ``carry`` are handed on.
 
@@ -385,19 +387,11 @@ def encode_documents(docs: DataFrame, spec_path: str, top: int = 100_000, text:
     merger = WordMerger(spec)
     frequent = sorted({p for c in frequent_chunks(docs, top, text) for p in merger.parts(c.decode()) if isinstance(p, str)})
     words = dict(zip((w.encode() for w in frequent), merger.merge_all(frequent)))
-    # a driver-side file of bounded size that Spark itself hands to every executor
-    name = f"lexicon-{hashlib.sha256(repr(sorted(words)).encode() + spec.encode()).hexdigest()[:16]}.bin"
-    path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
-    Lexicon.build(words).save(path)
-    try:
-        spark.sparkContext.addFile(path)
-    except Exception as e:   # the same content under the same name was added before: nothing to do
-        if "already registered" not in str(e) and "exists and does not match" not in str(e):
-            raise
+    lexicon = spark.sparkContext.broadcast(Lexicon.build(words).to_bytes())      # bounded by ``top``
     shared = spark.sparkContext.broadcast(spec)     # the vocabulary file, of fixed size
 
     def run(batches):
-        enc = Encoder(shared.value, Lexicon.mapped(SparkFiles.get(name)))
+        enc = Encoder(shared.value, Lexicon.mapped(lexicon.value))
         for b in text_slices(batches, "text", 2 << 20):
             split = [t.split() for t in utf8(b.column("text"))]
             enc.learn(set().union(*split))
@@ -407,11 +401,14 @@ def encode_documents(docs: DataFrame, spec_path: str, top: int = 100_000, text:
                    "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
                    "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in decoded]}
             if with_ids:
-                new |= {"ids": pa.array([[int(i) for i in x.split()] for x in ids], pa.list_(pa.int32())),
-                        "decoded": pa.array([x.decode() for x in decoded], pa.string())}
+                flat = np.fromstring(b" ".join(filter(None, ids)), dtype=np.int32, sep=" ") if any(ids) else np.zeros(0, np.int32)
+                ends = np.concatenate([[0], np.cumsum(np.asarray(new["n_tokens"]))]).astype(np.int32)
+                new["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            if with_decoded:
+                new["decoded"] = pa.array([x.decode() for x in decoded], pa.string())
             yield with_columns(b, ["doc_id", *carry], **new)
 
     kinds = [f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry]
     schema = "doc_id long" + "".join(kinds) + ", n_tokens long, ids_sha256 string, decoded_sha256 string"
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *carry).mapInArrow(
-        run, schema + (", ids array<int>, decoded string" if with_ids else ""))
+        run, schema + ", ids array<int>" * with_ids + ", decoded string" * with_decoded)

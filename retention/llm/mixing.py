@@ -36,12 +36,12 @@ _PICK = """array_min(transform(
   i -> struct(((acc.c[i] + 1) * d + parts[i] - 1) div parts[i] as due, i as i))).i"""
 
 
-def target_parts(sizes: DataFrame, weights: dict[str, float] | None, alpha: float, period: int) -> DataFrame:
+def target_parts(sizes: DataFrame, weights: dict[str, float] | None, alpha: float, period: int, slots: int = 8) -> DataFrame:
     """(``src``, ``size``, ``parts``, ``d``): whole parts of the period by largest remainder, at least 1 each.
 
     ``weights`` names a weight per source (missing ones get the smallest
-    given); None takes bytes ** ``alpha``. The period grows to 8 slots per
-    source if there are very many sources.
+    given); None takes bytes ** ``alpha``. The period has ``period`` slots, or
+    ``slots`` per source where that is more.
     """
     if weights:
         entry = F.create_map(*[F.lit(x) for k, w in weights.items() for x in (k, float(w))])
@@ -50,7 +50,7 @@ def target_parts(sizes: DataFrame, weights: dict[str, float] | None, alpha: floa
         weight = F.pow(F.col("size").cast("double"), F.lit(alpha))
     every = Window.partitionBy(F.lit(0))   # one row per source
     w = sizes.withColumn("w", weight).withColumn("k", F.count("*").over(every)).withColumn(
-        "d", F.greatest(F.lit(period).cast("long"), F.col("k") * 8))
+        "d", F.greatest(F.lit(period).cast("long"), F.col("k") * slots))
     exact = (F.col("d") - F.col("k")) * F.col("w") / F.sum("w").over(every)
     w = w.withColumn("exact", exact).withColumn("base", F.floor("exact").cast("long"))
     rank = F.row_number().over(every.orderBy((F.col("exact") - F.col("base")).desc(), "src"))
@@ -59,7 +59,7 @@ def target_parts(sizes: DataFrame, weights: dict[str, float] | None, alpha: floa
 
 
 def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = 0.5,
-                  block_bytes: int = 1 << 16, period: int = 1000, max_sources: int = 10_000,
+                  block_bytes: int = 1 << 16, period: int = 1000, slots: int = 8, max_sources: int = 10_000,
                   text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
     """``doc_id, source, size, tie, block, release, deadline, block_slot, start, copies, position``.
 
@@ -68,7 +68,8 @@ def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, alph
     A null source is a source of its own, named ``(null)``; a null text counts
     as empty; every row weighs its UTF-8 bytes plus 1; rows without an id come
     first; a text longer than a block takes several blocks of its source. An
-    empty table gives an empty result. More than ``max_sources`` sources raise.
+    empty table gives an empty result. Weights are rounded to whole slots of a
+    period of ``period`` slots (``slots`` per source with more sources than that). More than ``max_sources`` sources raise.
     A hot source is spread over range partitions by ``running_totals``.
     """
     spark = docs.sparkSession
@@ -84,7 +85,7 @@ def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, alph
     sizes = scratch.store(units.groupBy("src").agg(F.sum("size").alias("size")), "sizes")
     if sizes.count() > max_sources:
         raise ValueError(f"more than {max_sources} sources")
-    parts = scratch.store(target_parts(sizes, weights, alpha, period), "parts")
+    parts = scratch.store(target_parts(sizes, weights, alpha, period, slots), "parts")
     table = parts.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("src", "parts"))).alias("s")).select(
         "d", F.col("s.src").alias("srcs"), F.col("s.parts").alias("parts"))
     slots = table.select("srcs", F.posexplode(F.expr(_EDF.format(pick=_PICK))).alias("slot", "i")).select(
@@ -110,11 +111,12 @@ def in_mixed_order(docs: DataFrame, mixed: DataFrame, text: str = "text", key: s
     """The rows of ``docs`` with their own columns, range-partitioned and sorted in mixed order."""
     place = mixed.select(F.col("doc_id").alias("_m_id"), F.col("source").alias("_m_src"), F.col("tie").alias("_m_tie"),
                          F.col("position").alias("_m_position"))
-    on = (F.col(key).cast("long").eqNullSafe(F.col("_m_id"))
-          & (F.coalesce(F.col(source), F.lit("(null)")) == F.col("_m_src"))
-          & (F.coalesce(F.xxhash64(text), F.lit(0)) == F.col("_m_tie")))
-    return (docs.join(place, on).repartitionByRange(shuffle_partitions(docs.sparkSession), "_m_position")
-            .sortWithinPartitions("_m_position").select(*[docs[c] for c in docs.columns]))
+    on = (docs[key].cast("long").eqNullSafe(place["_m_id"])
+          & (F.coalesce(docs[source], F.lit("(null)")) == place["_m_src"])
+          & (F.coalesce(F.xxhash64(docs[text]), F.lit(0)) == place["_m_tie"]))
+    at = place["_m_position"]
+    return (docs.join(place, on).repartitionByRange(shuffle_partitions(docs.sparkSession), at)
+            .sortWithinPartitions(at).select(*[docs[c] for c in docs.columns]))
 
 
 def with_position(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -122,9 +124,10 @@ def with_position(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> Da
 
     ``docs`` is a table read from files as ``in_mixed_order`` wrote it: part
     files are in the order of their numbers, rows in that of the file, however
-    Spark packs files into tasks. ``step`` hands ``_file`` and ``_row`` on.
+    Spark packs files into tasks. ``step`` hands ``_file`` and ``_row`` on
+    (columns of ``docs`` by these names are not seen).
     """
-    rows = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    rows = docs.select(*[c for c in docs.columns if c not in ("_file", "_row")], F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     part = F.regexp_extract("_file", r"part-(\d+)[^/]*$", 1).cast("long")
     before = Window.partitionBy(F.lit(0)).orderBy(part, "_file").rowsBetween(Window.unboundedPreceding, -1)
     files = rows.groupBy("_file").agg(F.count("*").alias("n"))      # one row per part file

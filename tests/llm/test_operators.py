@@ -135,6 +135,51 @@ def test_mixing(spark, docs):
     assert docs_in_order.columns == docs.columns and docs_in_order.count() == docs.count()
 
 
+def plain_mix(rows, weights, block_bytes, period, slots=8):
+    """(id, source, text) rows -> the ids in mixed order by a plain loop: parts by largest remainder, each slot to the released block
+    with the earliest deadline, sources that have run out left aside."""
+    units = {}
+    for i, s, t in rows:
+        size = len((t or "").encode()) + 1
+        units.setdefault("(null)" if s is None else s, []).append((i, t, size))
+    names = sorted(units)
+    total = {s: sum(u[2] for u in units[s]) for s in names}
+    d = max(period, slots * len(names))
+    w = {s: (weights.get(s, min(weights.values())) if weights else total[s] ** 0.5) for s in names}
+    exact = {s: (d - len(names)) * w[s] / sum(w.values()) for s in names}
+    parts = {s: 1 + int(exact[s]) for s in names}
+    for s in sorted(names, key=lambda s: (-(exact[s] - int(exact[s])), s))[:d - sum(parts.values())]:
+        parts[s] += 1
+    blocks = {}
+    for s in names:
+        at = 0
+        for i, t, size in sorted(units[s], key=lambda u: (u[0] is not None, u[0] or 0)):
+            blocks.setdefault((s, at // block_bytes), []).append((i, t))
+            at += size
+    last = {s: max(b for n, b in blocks if n == s) for s in names}
+    done, order, t = dict.fromkeys(names, 0), [], 0
+    while any(done[s] <= last[s] for s in names):
+        ready = [(-(-(done[s] + 1) * d // parts[s]), k, s) for k, s in enumerate(names) if done[s] * d // parts[s] <= t]
+        if ready:
+            _, _, s = min(ready)
+            order += blocks.get((s, done[s]), [])
+            done[s] += 1
+        t += 1
+    return order
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 0.5, "b": 0.2, "c": 0.05, "(null)": 0.25}, {"a": 1.0, "b": 7.0}])
+def test_mixing_is_earliest_deadline_first(spark, weights):
+    """The order of all rows against a second schedule, worked out slot by slot."""
+    rnd = random.Random(9)
+    rows = [(i, rnd.choice(["a", "a", "a", "b", "b", "c", None]), "é" * rnd.randint(0, 90)) for i in range(400)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, source string, text string, block string").repartition(3)
+    for block, period in ((200, 60), (64, 17)):
+        got = mixing.mix_documents(df, weights, block_bytes=block, period=period).orderBy("position").collect()
+        assert [r.doc_id for r in got] == [i for i, _ in plain_mix(rows, weights, block, period)]
+        assert [r.position for r in got] == list(range(400))
+
+
 def test_mixing_deviation(spark):
     rows = [(i, "x" * 99, s) for s, n in (("a", 700), ("b", 200), ("c", 100)) for i in range(n)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -401,17 +446,17 @@ def test_bpe(spark, docs):
         want.append((r.doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
     for top in (0, 40):     # no lexicon at all, and one that lacks most words
         assert Counter(tuple(r) for r in encoding.encode_documents(docs, SPEC, top=top).collect()) == Counter(want)
-    full = encoding.encode_documents(docs, SPEC, with_ids=True)
-    assert all(hashlib.sha256(r.decoded.encode()).hexdigest() == r.decoded_sha256 and len(r.ids) == r.n_tokens for r in full.collect())
+    full = encoding.encode_documents(docs, SPEC, with_ids=True, with_decoded=True)
+    assert all(hashlib.sha256(r.decoded.encode()).hexdigest() == r.decoded_sha256 and len(r.ids) == r.n_tokens
+               and hashlib.sha256(" ".join(map(str, r.ids)).encode()).hexdigest() == r.ids_sha256 for r in full.collect())
 
 
-def test_lexicon(tmp_path):
+def test_lexicon():
     rnd = random.Random(2)
     words = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 7))).encode(): [rnd.randrange(99) for _ in range(rnd.randint(0, 3))]
              for _ in range(400)}
     lex = encoding.Lexicon.build(words)
-    lex.save(tmp_path / "x")
-    lex = encoding.Lexicon.mapped(tmp_path / "x")
+    lex = encoding.Lexicon.mapped(lex.to_bytes())
     found = lex.find(sorted(words)).tolist()
     assert found == list(range(len(words))) and [lex.ids_of(i) for i in found] == [words[w] for w in sorted(words)]
     assert set(lex.find([b"", b"z", b"aaaaaaaaaaaa"]).tolist()) == {-1}
