@@ -40,9 +40,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text, a row per document, and its ``position`` in the mixed order."""
+    """The corpus of token ids: a row per document with its ``ids``, their count and the digests of ids and decoded text, and
+    its ``position`` in the mixed order."""
     return mixing.with_position(docs, lambda rows: encoding.encode_documents(
-        rows, public_tokenizers.path("word_bpe_49k.json"), carry=["_file", "_row"]))
+        rows, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, carry=["_file", "_row"]))
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup), ("mix", mix), ("bpe", bpe)]
