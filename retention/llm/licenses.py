@@ -8,8 +8,8 @@ frequency in the whole corpus, rarest first, and a block is compared only if it
 one), has enough words (length filter), and, from the place of its first
 shared prefix word on, can still reach the threshold (positional filter); a
 text's windows are walked only for templates that the whole text's words meet.
-The templates are a fixed small table that every task holds with its inverted
-index of prefix words.
+The templates are a small table (``notices``, or one's own within
+``MAX_TEMPLATES``) that every task holds with its inverted index of prefix words.
 """
 
 from __future__ import annotations
@@ -23,26 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retention.llm.batches import text_slices, utf8, with_columns
+from retention.llm.notices import FULL, PHRASES, TEMPLATES
 
-# fixed values: base phrases with their labels
-PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-
-# fixed values: public licence notices, as their texts tell users to state them
-TEMPLATES = (
-    ("mit", "released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    ("gpl-2", "licensed under the GNU General Public License, version 2"),
-    ("gpl-3", "licensed under the GNU General Public License, version 3"),
-    ("lgpl-3", "licensed under the GNU Lesser General Public License, version 3"),
-    ("agpl-3", "licensed under the GNU Affero General Public License, version 3"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("cc-by-nc", "licensed under CC BY-NC 4.0"),
-    ("cc-by-nc", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("cc-by-sa", "licensed under CC BY-SA 4.0"),
-)
+__all__ = ["FULL", "PHRASES", "TEMPLATES", "scan_licenses", "templates_of"]
 
 _OTHER = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 #: one table: A-Z to lower case, every other ASCII character that is no word character to a space
@@ -50,6 +33,18 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c in _OTHER else c for c in ra
 _LINES = bytes(10 if c == 10 else _TABLE[c] for c in range(256))
 
 
+#: bytes of a template table, at most: every task holds it
+MAX_TEMPLATES = 4 << 20
+
+
+def templates_of(table: DataFrame, label: str = "label", text: str = "text") -> tuple[tuple[str, str], ...]:
+    """Templates from a table (label, text); rows without a label or without a word are left out, more than ``MAX_TEMPLATES`` bytes raise."""
+    rows = table.select(F.col(label).cast("string").alias("label"), F.col(text).cast("string").alias("text")).na.drop().distinct()
+    if (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > MAX_TEMPLATES:
+        raise ValueError(f"templates of more than {MAX_TEMPLATES} bytes")
+    return tuple(sorted((r["label"], r["text"]) for r in rows.collect() if r["text"].encode().translate(_TABLE).split()))
+
+
 def template_words(templates=TEMPLATES) -> list[tuple[str, frozenset[bytes]]]:
     return [(label, frozenset(text.encode().translate(_TABLE).split())) for label, text in templates]
 

@@ -110,8 +110,15 @@ def read_lines(text: bytes) -> tuple[tuple, list[int], list[int]]:
              repeated_window_words(words)), bits, counts)
 
 
+#: texts that are still worth a vector step
+_FEW = 4
+
+
 def viterbi(bits: list[list[int]], chain: Chain) -> list[np.ndarray]:
-    """Best label sequence of each text; all texts of a batch advance one line at a time. Ties go to content."""
+    """Best label sequence of each text; all texts of a batch advance one line at a time. Ties go to content.
+
+    Where few texts are left, the longest, each goes on by itself with plain numbers, in the same arithmetic.
+    """
     emit = (np.arange(1 << _N)[:, None] >> np.arange(_N) & 1) @ np.asarray(chain.emit)
     move = np.asarray(chain.move)
     order = sorted(range(len(bits)), key=lambda d: -len(bits[d]))
@@ -120,7 +127,8 @@ def viterbi(bits: list[list[int]], chain: Chain) -> list[np.ndarray]:
     gain = emit[np.concatenate([np.asarray(bits[d], dtype=np.int64) for d in order])] / 2 if order else emit[:0]
     back = np.zeros((len(gain), 2), dtype=np.int8)
     score = np.stack([-gain[first], gain[first]], axis=1)
-    steps = int(length[0]) if order else 0
+    few = min(_FEW, len(order))
+    steps = int(length[few]) if len(order) > few else 1 if order else 0    # together; further on at most ``few`` are left
     for t in range(1, steps):
         live = int(np.searchsorted(-length, -t, side="left"))   # texts with more than t lines
         at = first[:live] + t
@@ -128,7 +136,27 @@ def viterbi(bits: list[list[int]], chain: Chain) -> list[np.ndarray]:
         back[at] = came[:, 1] >= came[:, 0]
         score[:live] = came.max(axis=1) + np.stack([-gain[at], gain[at]], axis=1)
     labels = np.zeros(len(gain), dtype=np.int8)
+    (m00, m01), (m10, m11) = move.tolist()
+    alone = {}
+    for k in range(few):
+        s0, s1 = score[k].tolist()
+        at, end = int(first[k]) + steps, int(first[k] + length[k])
+        came = bytearray()
+        for g in gain[at:end].tolist():
+            a0, a1, b0, b1 = s0 + m00, s1 + m10, s0 + m01, s1 + m11
+            came.append((a1 >= a0) + 2 * (b1 >= b0))
+            s0, s1 = (a1 if a1 > a0 else a0) - g, (b1 if b1 > b0 else b0) + g
+        score[k] = s0, s1
+        alone[k] = came
     now = (score[:, 1] >= score[:, 0]).astype(np.int8)
+    for k, came in alone.items():
+        label, out = int(now[k]), bytearray(len(came))
+        for i in range(len(came) - 1, -1, -1):
+            out[i] = label
+            label = came[i] >> label & 1
+        at = int(first[k]) + steps
+        labels[at:at + len(came)] = np.frombuffer(out, dtype=np.int8)
+        now[k] = label
     for t in range(steps - 1, -1, -1):
         live = int(np.searchsorted(-length, -t, side="left"))
         at = first[:live] + t
@@ -203,6 +231,8 @@ def train_chain(docs: DataFrame, labels: DataFrame, max_docs: int = 400, max_lin
     sample = (docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
               .join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "quality", "text")
               .mapInArrow(featurise, "doc_id long, quality int, bits array<int>"))
+    # rows that repeat a sampled id: one of them, whatever their number
+    sample = sample.groupBy("doc_id", "quality").agg(F.min("bits").alias("bits"))
     rows = sorted((r["doc_id"], r["quality"], list(r["bits"])) for r in sample.collect())
     if len({r[1] for r in rows}) < 2:
         return Chain()

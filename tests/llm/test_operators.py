@@ -487,28 +487,80 @@ def test_bpe_wide_spaces(spark):
         assert got == {i: lib.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
 
 
-def test_licenses(spark, docs):
-    import re
-    rows = docs.select("doc_id", "text").collect()
-    sets = licenses.template_words()
+def brute_licenses(text, templates, threshold=0.85):
+    """Base phrases, and labels, score and blocks by comparing every line and every window of words with every template."""
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-    want = []
-    for r in rows:
-        words, base, places, found, score, blocks = split(r.text), set(), [], set(), 0.0, 0
-        for phrase, label in licenses.PHRASES:
-            p = phrase.split()
-            at = [i for i in range(len(words)) if words[i:i + len(p)] == p]
-            places += at
-            base |= {label} if at else set()
-        for line in (r.text or "").split("\n"):
-            have = {w.encode() for w in split(line)}
-            part = [(len(s & have) / len(s), name) for name, s in sets if len(s & have) >= 0.85 * len(s) - 1e-9]
-            top = max((x for x, _ in part), default=0.0)
-            found |= {name for x, name in part if x == top}
-            score, blocks = max(score, top), blocks + len(part)
-        want.append((r.doc_id, len(words), len(places), min(places, default=None), max(places, default=None),
-                     ",".join(sorted(base)), ",".join(sorted(base | found)), score, blocks))
-    assert Counter(tuple(r) for r in licenses.scan_licenses(docs).collect()) == Counter(want)
+    words, base, places = split(text), set(), []
+    for phrase, label in licenses.PHRASES:
+        p = phrase.split()
+        at = [i for i in range(len(words)) if words[i:i + len(p)] == p]
+        places += at
+        base |= {label} if at else set()
+    lines, at = [], 0
+    for line in (text or "").split("\n"):
+        w = split(line)
+        lines.append((at, at + len(w) - 1, set(w)))
+        at += len(w)
+    sets = [(label, set(split(t)), len(split(t))) for label, t in templates]
+    enough = lambda n, t: n >= threshold * len(t) - 1e-9
+    found, blocks, score = {}, 0, 0.0
+    for k, (_, t, length) in enumerate(sets):
+        hit = [(a, z, len(t & have) / len(t)) for a, z, have in lines if have and enough(len(t & have), t)]
+        ends = []
+        for r in (i for i, w in enumerate(words) if w in t):      # the best window that ends at each word of the template
+            n, l = max((len(t & set(words[l:r + 1])), l) for l in range(max(0, r - length + 1), r + 1) if words[l] in t)
+            if enough(n, t):
+                ends.append((-n, r - l, l, r))
+        spots = []
+        for n, _, l, r in sorted(ends):
+            if all(r < a or z < l for a, z, _ in spots):
+                spots.append((l, r, -n / len(t)))
+        blocks += len(hit) + sum(not any(a <= r and l <= z for a, z, _ in hit) for l, r, _ in spots)
+        whole = [(a, z, x) for a, z, x in hit if not any(a <= l and r <= z or l <= a and z <= r for l, r, _ in spots)]
+        found[k] = spots + whole
+        score = max([score, *(x for *_, x in spots + hit)])
+    labels = set(base)
+    for k, own in found.items():
+        rivals = [j for j in found if j != k and enough(len(sets[k][1] & sets[j][1]), sets[k][1])]
+        for l, r, x in own:
+            if not any(y > x and a <= r and l <= z for j in rivals for a, z, y in found[j]):
+                labels.add(sets[k][0])
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, blocks
+
+
+def test_licenses(spark, docs):
+    want = Counter((r.doc_id, *brute_licenses(r.text, licenses.TEMPLATES)) for r in docs.select("doc_id", "text").collect())
+    assert Counter(tuple(r) for r in licenses.scan_licenses(docs).collect()) == want
+
+
+def test_license_notices_changed_and_wrapped(spark):
+    """Full notices, wrapped anywhere, with words left out or put in, beside others: by brute force, and the label is found."""
+    rnd = random.Random(5)
+    texts, names = [], []
+    for k in range(60):
+        label, t = rnd.choice(licenses.TEMPLATES)
+        w = t.split()
+        for _ in range(rnd.choice([0, 0, 1, 3, len(w) // 8])):
+            w[rnd.randrange(len(w))] = rnd.choice(["", "thing", "software"])
+        other = rnd.choice(licenses.TEMPLATES)[1].split()[:rnd.randint(0, 30)]
+        texts.append("".join(x + rnd.choice([" ", " ", " ", "\n", ", "]) for x in other + w + "and some other prose here".split()))
+        names.append(label if k % 3 else None)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan_licenses(df).collect()}
+    assert got == {i: brute_licenses(t, licenses.TEMPLATES) for i, t in enumerate(texts)}
+    plain = spark.createDataFrame([(i, "# readme\n" + t.replace(". ", ".\n\n")) for i, (_, t) in enumerate(licenses.FULL)], "doc_id long, text string")
+    assert all(licenses.FULL[r.doc_id][0] in r.labels.split(",") and r.score == 1.0 for r in licenses.scan_licenses(plain).collect())
+
+
+def test_license_templates_from_a_table(spark):
+    rows = [("own", "our house rule is that all may read this"), ("own", "our house rule is that all may read this"), (None, "no label"), ("x", " - "), ("y", None)]
+    table = spark.createDataFrame(rows, "label string, text string")
+    templates = licenses.templates_of(table)
+    assert templates == (("own", rows[0][1]),)
+    docs = spark.createDataFrame([(1, "Note: our house rule is that ALL may\nread this!"), (2, "nothing")], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in licenses.scan_licenses(docs, templates=templates).collect()} == {1: "own", 2: ""}
+    with pytest.raises(ValueError):
+        licenses.templates_of(spark.range(5).selectExpr("'l' as label", "repeat(cast(id as string), 2000000) as text"))
 
 
 def test_license_windows(spark):
@@ -788,3 +840,29 @@ def test_hot_groups_are_split(spark):
     finally:
         for k, v in kept.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_viterbi_of_long_texts(monkeypatch):
+    """The longest texts go on alone with the same result, tie for tie; millions of lines take seconds."""
+    import time
+    rnd = random.Random(2)
+    chain = quality.Chain()
+    n_bits = max(b.bit_length() for b in quality.read_lines(b"A line. Of text\n# $$$ 12\n\nx y z <a>")[1])
+    for _ in range(20):
+        bits = [[rnd.randrange(1 << n_bits) for _ in range(rnd.choice([1, 1, 2, 5, 30, 200]))] for _ in range(rnd.randint(1, 12))]
+        got = quality.viterbi(bits, chain)
+        monkeypatch.setattr(quality, "_FEW", 0)
+        want = quality.viterbi(bits, chain)
+        monkeypatch.undo()
+        assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    start = time.time()
+    assert len(quality.viterbi([[5, 3] * 1_000_000, [1]], chain)[0]) == 2_000_000
+    assert time.time() - start < 30
+
+
+def test_training_sample_is_bounded(spark):
+    """A labelled id that a great many rows repeat counts once."""
+    docs = spark.createDataFrame([(1, "good text here.\nand more.")] * 3000 + [(2, "### $$$ %%%\n|||")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    once = quality.train_chain(docs.distinct(), labels)
+    assert quality.train_chain(docs, labels) == once
