@@ -440,3 +440,62 @@ def _split_conversations(packed: DataFrame, scratch: Scratch, kind: str) -> Data
             yield pa.RecordBatch.from_pylist(out, pa.schema([b.schema.field("conv_id"), *_RESULT_TYPES]))
 
     return replayed.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "part", "k").mapInArrow(join, f"conv_id {kind}, {RESULT}")
+
+
+def repair_sql() -> str:
+    """DuckDB SQL for the rows of ``repair_conversations(damage(conversations))``: whole audits, row after row, in a recursive query.
+
+    ``step`` lists, for each state, the letters of one row's edits with their cost, the rows put in before it and the
+    state after; a conversation's next row keeps, for each state, the cheapest and then ASCII-least audit.
+    """
+    step = []
+    for p in range(4):
+        q, cost, letters, put = p, 0, "", []
+        step.append(f"({p}, NULL, 'D', {DELETE}, '', NULL, {p}, true)")
+        for _ in range(3):
+            before = "".join(r + r":\n" for r in put).replace(r"\n", "\n")
+            step += [f"({p}, '{c}', '{letters}K', {cost}, '{before}', NULL, {t}, false)" for (s, c), t in _KEPT.items() if s == q]
+            step.append(f"({p}, NULL, '{letters}R', {cost + REROLE}, '{before}', '{_ROLE[_NEXT[q]]}', {_NEXT[q]}, false)")
+            q, cost, letters = _NEXT[q], cost + INSERT, letters + "I"
+            put.append(_ROLE[q])
+    close = [f"({p}, '{x}', {INSERT * len(x)}, '{''.join(r + ':' + chr(10) for r in ('user', 'assistant')[2 - len(x):])}')" for p, x in _CLOSE.items()]
+    space = r"[ \t\n\x0B\f\r]"
+    return rf"""
+        WITH RECURSIVE
+        tab AS (SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce(list_prepend(b, range(8)),
+                lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS c FROM range(256) r(b))),
+        given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+        kinds AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                  lambda c, b: xor(c >> 8, tab.t[CAST(xor(c, b) & 255 AS BIGINT) + 1])), 4294967295) % 20 AS kind FROM given, tab),
+        harm AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                 CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(role || chr(0) || text), copy) AS i,
+                   regexp_replace(text, '{space}+$', '') AS bare FROM harm),
+        seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                 lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+        rows AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+                 FROM seen),
+        step(p, keep, letters, cost, put, rerole, t, gone) AS (VALUES {', '.join(step)}),
+        walk AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS lines FROM conversations
+                 UNION ALL
+                 SELECT conv_id, i, t, best.cost, best.audit, best.lines FROM (
+                     SELECT w.conv_id, r.i, s.t, min(struct_pack(
+                         cost := w.cost + s.cost + CASE WHEN r.fault = 'truncated' AND NOT s.gone THEN {TRUNCATED} ELSE 0 END,
+                         audit := w.audit || s.letters,
+                         lines := w.lines || CASE WHEN s.gone THEN '' ELSE s.put || coalesce(s.rerole, r.role) || ':' || r.text || chr(10) END)) AS best
+                     FROM walk w JOIN rows r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+                     JOIN step s ON s.p = w.state AND (s.keep IS NULL OR s.keep = left(r.role, 1)) AND (s.gone OR coalesce(r.fault, '') NOT IN ('blank', 'duplicate'))
+                     GROUP BY w.conv_id, r.i, s.t)),
+        shut(state, letters, cost, put) AS (VALUES {', '.join(close)}),
+        total AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                  count(*) FILTER (before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM rows GROUP BY conv_id),
+        done AS (SELECT w.conv_id, min(struct_pack(cost := w.cost + s.cost, audit := w.audit || s.letters, lines := w.lines || s.put)) AS best
+                 FROM walk w JOIN shut s USING (state) LEFT JOIN total t ON t.conv_id IS NOT DISTINCT FROM w.conv_id
+                 WHERE w.i = coalesce(t.n, 0) GROUP BY w.conv_id)
+        SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best.cost::BIGINT AS cost, best.audit AS audit,
+               sha256(CASE WHEN best.lines = '' THEN '' ELSE left(best.lines, length(best.lines) - 1) END) AS repaired_sha256
+        FROM done d LEFT JOIN total t ON t.conv_id IS NOT DISTINCT FROM d.conv_id"""

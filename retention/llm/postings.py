@@ -336,3 +336,23 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, within: i
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), "spans", "items")
+
+
+def decontaminate_sql(window: int = 10) -> str:
+    """DuckDB SQL for the rows of ``decontaminate`` (without ``spans`` and ``items``)."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = (f"regexp_extract_all(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+        i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item, w[s:s + {window - 1}] AS win
+                FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {window - 2}, 2))) AS s FROM i WHERE len(w) > 0)),
+        occ AS (SELECT r, s, n, w[s:s + n - 1] AS win FROM (
+                SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT len(win) AS n FROM win) WHERE len(w) >= n)),
+        hit AS (SELECT r, s, n, item FROM occ JOIN win USING (win)),
+        n_hit AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+        met AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN n_hit USING (r) LEFT JOIN met USING (r)"""
