@@ -99,9 +99,12 @@ def test_a_forest_trains_on_sparse_levels(spark):
     for enc in (fit_one_hot(df, "c"), fit_sparse(df, "c")):
         rows = enc.transform(df)
         feats = M.feature_columns(rows)
-        model = M.fit_forest(rows, feats, cfg)
+        pipe = M.forest_pipeline(feats, cfg)
+        pipe.getStages()[-1].setBootstrap(False)     # a bootstrap's draws depend on how files are packed into partitions
+        model = pipe.fit(M.with_label(rows))
         out.append((sorted((r["id"], r["prediction"], round(r["churn_probability"], 9)) for r in M.score(model, rows).collect()),
                     [(r["features"], round(r["importance"], 9)) for r in M.importances(model, M.feature_names(rows, feats)).collect()]))
+    assert M.fit_forest(rows, feats, cfg).stages[-1].getNumTrees == 5       # a vector column among the features
     assert out[0] == out[1] and len(out[0][1]) == 24 and sum(v for _, v in out[0][1]) == pytest.approx(1.0, abs=1e-6)
     cut = CutForest.of(model.stages[-1], spark)     # splits by the two categories of an entry
     data = model.stages[0].transform(M.with_label(rows))
