@@ -69,5 +69,6 @@ def op13_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_mixing, op3_sharding, op4_token_counts, op5_quality, op6_warc, op7_bpe,
                                    op8_licenses, op9_neighbours, op10_suffix_dedup, op11_conversations, op12_alignment, op13_postings)}
-ORACLES: dict[str, str] = {"op6_warc": warc.pages_sql(), "op11_conversations": conversations.repair_sql(),
+ORACLES: dict[str, str] = {"op6_warc": warc.pages_sql(), "op10_suffix_dedup": suffixes.repeats_sql(100),
+                          "op11_conversations": conversations.repair_sql(),
                           "op13_postings": postings.decontaminate_sql(10)}

@@ -481,3 +481,26 @@ def without_repeats(docs: DataFrame, length: int = 100, shard_bytes: int = 1 <<
             yield done.select(columns)
 
     return rows.select(*docs.columns, "_spans", "_later").mapInArrow(cut, docs.schema)
+
+
+def repeats_sql(length: int = 100) -> str:
+    """DuckDB SQL for the rows of ``remove_repeats`` (ids that are unique and not null): every string of every text, by its hex digits."""
+    return f"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        parts AS (SELECT doc_id, a, substring(h, 2 * a + 1, 2 * (256 + {length - 1})) AS c FROM (
+                  SELECT doc_id, h, unnest(range(0, length(h) // 2 - {length - 1}, 256)) AS a FROM d WHERE length(h) >= {2 * length})),
+        strings AS (SELECT doc_id, a + q AS p, substring(c, 2 * q + 1, {2 * length}) AS g FROM (
+                    SELECT doc_id, a, c, unnest(range(0, length(c) // 2 - {length - 1})) AS q FROM parts)),
+        firsts AS (SELECT g, min(struct_pack(doc_id := doc_id, p := p)) AS f FROM strings GROUP BY g HAVING count(*) > 1),
+        again AS (SELECT s.doc_id, s.p FROM strings s JOIN firsts USING (g) WHERE s.doc_id <> f.doc_id OR s.p <> f.p),
+        runs AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= {length} THEN 0 ELSE 1 END AS fresh FROM again),
+        numbered AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM runs),
+        spans AS (SELECT doc_id, min(p) AS a, max(p) + {length} AS b FROM numbered GROUP BY doc_id, run),
+        gone AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b
+                 FROM spans GROUP BY doc_id),
+        kept AS (SELECT d.doc_id, h, n_removed, n_spans, CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(list_transform(range(0, n_spans + 1),
+                 lambda i: substring(h, 2 * (CASE WHEN i = 0 THEN 0 ELSE b[i] END) + 1,
+                                     2 * ((CASE WHEN i = n_spans THEN length(h) // 2 ELSE a[i + 1] END) - (CASE WHEN i = 0 THEN 0 ELSE b[i] END)))), '') END AS rest
+                 FROM d LEFT JOIN gone USING (doc_id))
+        SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(rest)) AS kept_sha256 FROM kept"""
