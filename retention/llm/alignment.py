@@ -226,9 +226,12 @@ class Aligned:
         return products(group_incidence(self.group_a, self.n_groups), group_incidence(self.group_b, self.n_groups).transposed())
 
     def shared_counts(self) -> np.ndarray:
-        """How many shared-group links each A token has: the row lengths of that product."""
-        per_group = np.diff(group_incidence(self.group_b, self.n_groups).transposed().indptr)
-        return per_group[self.group_a]
+        """How many shared-group links each A token has: the sums of that product's rows."""
+        sums = [np.empty(0, dtype=np.int64)]
+        for _, part in self.shared_groups():
+            total = np.concatenate([[0], np.cumsum(part.values)])
+            sums.append(total[part.indptr[1:]] - total[part.indptr[:-1]])
+        return np.concatenate(sums)
 
     def group_digests(self) -> list[str]:
         """SHA-256 of the groups' ids, ``a,a|b;a|b,b``, by text; '' for a text without tokens."""

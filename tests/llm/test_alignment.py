@@ -132,6 +132,21 @@ def test_products():
     assert len(pairs) == x.shared_counts().sum()
 
 
+def test_shared_links_come_from_the_group_product(spark, monkeypatch):
+    """``n_shared`` sums the rows of the group product: in runs of any size it stays, and a product of twice the values doubles it."""
+    texts = ["the plain text of it, don't".encode(), b"", "école 日本 ".encode() * 40]
+    v = alignment.Aligner(A, B)
+    x = v.align(texts)
+    want = [sum(g == h for g in x.group_a[i:j].tolist() for h in x.group_b[k:m].tolist())
+            for i, j, k, m in zip(x.cuts_a, x.cuts_a[1:], x.cuts_b, x.cuts_b[1:])]
+    assert x.by_text(x.shared_counts(), x.cuts_a).tolist() == want and v.align([b""]).shared_counts().tolist() == []
+    plain = alignment.products
+    monkeypatch.setattr(alignment, "products", lambda a, b: plain(a, b, 7))
+    assert x.by_text(x.shared_counts(), x.cuts_a).tolist() == want
+    monkeypatch.setattr(alignment, "products", lambda a, b: ((i, alignment.Rows(p.indptr, p.indices, 2 * p.values, p.width)) for i, p in plain(a, b)))
+    assert x.by_text(x.shared_counts(), x.cuts_a).tolist() == [2 * n for n in want]
+
+
 def test_encoders_agree():
     """The faster encoder gives the library's ids; long blank runs go to the library."""
     v = alignment.ByteLevel(A)
