@@ -7,7 +7,6 @@ import math
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from retention.operators import distributions as D
 from retention.operators import prices as P
 from retention.operators import profile as PR
 from retention.operators import relations as R
-from retention.operators.encode import fit_one_hot, fit_sparse
+from retention.operators.encode import entry_sums, fit_one_hot, fit_sparse
 from retention.plans import features as FT
 from retention.plans.registry import ORACLES, finish, q, r6_sql, register, round_outer
 from retention.session import materialize
@@ -297,10 +296,7 @@ def q_one_hot_sparse_wide(spark, d):
     """A column of thousands of levels as sparse vectors, rare levels without an entry; their sum by entry."""
     rows = read_table(spark, d, "lineitem", ["l_partkey"]).select(F.col("l_partkey").cast("string").alias("part"))
     levels = fit_sparse(rows, "part", min_count=20)
-    total = levels.transform(rows).select(Summarizer.sum(F.col("part")).alias("s")).select(
-        F.posexplode(vector_to_array("s")).alias("entry", "n"))
-    names = spark.createDataFrame(list(enumerate(c.removeprefix("part_") for c in levels.levels.output_columns)), "i int, level string")
-    return total.join(names, F.col("entry") == F.col("i")).select("level", F.col("n").cast("bigint").alias("n_rows"))
+    return entry_sums(levels.transform(rows), "part").join(levels.names(), "entry").select("level", F.col("total").cast("bigint").alias("n_rows"))
 
 
 @register("one_hot_dropped", lambda: with_views(

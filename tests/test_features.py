@@ -2,14 +2,16 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from retention.functions.scalars import (log10p1, months_between_ref, nonzero_mean, r6, recode_flag,
                                          round_half_up, tenure_years)
 from retention.operators import model as M
 from retention.operators.forests import CutForest
-from retention.operators.encode import bool_columns_to_int, fit_one_hot, fit_sparse
+from retention.operators.encode import SparseLevels, StoredLevels, bool_columns_to_int, entry_sums, fit_one_hot, fit_sparse
 from retention.operators.columns import drop_columns, move_last, rename, select_columns
 
 
@@ -91,6 +93,25 @@ def test_sparse_levels_equal_named_columns(spark):
         fit_sparse(df.where("c is null"), "c").transform(df)
 
 
+def test_more_levels_than_a_schema_names(spark):
+    """Levels in a stored table give the same vectors as levels in the schema; entries are summed without a buffer of all of them."""
+    df = spark.createDataFrame([(i, f"v{i * i % 41}" if i % 9 else None) for i in range(400)], "id int, c string")
+    unseen = df.unionByName(spark.createDataFrame([(900, "new"), (900, "v1")], "id int, c string"))
+    named, stored = (fit_sparse(df, "c", "ch", ("v4",), 15, n) for n in (100, 3))
+    assert isinstance(stored, StoredLevels) and isinstance(named, SparseLevels) and stored.size == len(named.levels.output_columns) > 3
+    a, b = (sorted((r["id"], r["ch"].toArray().tolist()) for r in x.transform(unseen).collect()) for x in (named, stored))
+    assert a == b and len(a) == 402
+    assert sorted(named.names().collect()) == sorted(stored.names().collect())
+    want = {i: n for i, n in enumerate(np.sum([v for _, v in a], axis=0).tolist())}
+    for x in (named, stored):
+        assert {r["entry"]: r["total"] for r in entry_sums(x.transform(unseen), "ch").collect()} == want
+    assert stored.transform(df.limit(0)).count() == 0 and stored.transform(unseen, keep_source=True).columns == ["id", "c", "ch"]
+    mixed = spark.createDataFrame([(1, Vectors.dense(1, 0, 2)), (2, Vectors.sparse(3, [2], [5.0])), (3, None)], ["i", "v"])
+    assert sorted(map(tuple, entry_sums(mixed, "v").collect())) == [(0, 1.0), (1, 0.0), (2, 7.0)]
+    with pytest.raises(ValueError):
+        fit_sparse(df, "c", "ch", (), 10_000, 3)
+
+
 def test_a_forest_trains_on_sparse_levels(spark):
     """The scores of named columns and of the vector are the same, and so are the importances by name."""
     df = spark.createDataFrame([(i, float(i % 11), f"level{i % 23}", int(i % 23 < 9)) for i in range(600)], "id long, a double, c string, churn int")
