@@ -7,12 +7,15 @@
   numbers come from ranges, so no window sees a whole label.
 * The input is written to the checkpoint folder before iterative fitting,
   cutting the lineage back to the raw price history.
+* ``pyspark.ml`` grows a forest's nodes in the driver, so a large forest is
+  fitted and scored in stored parts of some trees each (``Forest``).
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from fractions import Fraction
 from multiprocessing.pool import ThreadPool
 
@@ -29,7 +32,7 @@ from pyspark.sql import types as T
 from retention.functions.scalars import hash_bucket, hash_long
 from retention.operators.forests import CutForest
 from retention.operators.ranks import numbered, smallest_bound
-from retention.session import checkpoint_dir, materialize
+from retention.session import checkpoint_dir, materialize, stored_path
 
 # Spark caps tree depth at 30; an unbounded depth request maps onto it.
 MAX_DEPTH = 30
@@ -98,9 +101,15 @@ class ForestConfig:
     seed: int = 42
     feature_subset: str = "sqrt"
     max_bins: int = 32
-    # memory for node statistics per pass: more nodes split per pass over the
-    # data means fewer passes for deep trees
-    max_memory_mb: int = 1024
+    # memory for node statistics per pass and task: more nodes split per pass
+    # over the data means fewer passes for deep trees
+    max_memory_mb: int = 256
+    # nodes that the driver grows in one fit, about; the trees of a larger forest come in several fits
+    nodes_per_fit: int = 200_000
+
+
+# Seeds of a forest's parts lie apart: ``pyspark.ml`` adds the partition's number to them.
+SEED_STEP = 1_000_003
 
 
 def in_fixed_order(df: DataFrame, key: str = "id") -> DataFrame:
@@ -127,39 +136,91 @@ def forest_pipeline(features: list[str], cfg: ForestConfig) -> Pipeline:
     return Pipeline(stages=[assembler, forest(cfg)])
 
 
+@dataclass
+class Forest:
+    """A fitted forest: a model, or the paths of several, each with some of the trees, of which the driver holds one at a time."""
+
+    parts: list[PipelineModel | str]
+    #: as ``pyspark.ml`` gives it for all trees: each tree's importances sum to 1, and so do the forest's
+    importance: list[float]
+    num_trees: int
+    n_nodes: int
+    n_features: int
+    #: parameters as the first fitted model holds them
+    held: dict
+
+    def models(self) -> Iterator[PipelineModel]:
+        return (PipelineModel.load(p) if isinstance(p, str) else p for p in self.parts)
+
+
 def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = ForestConfig(),
-               label: str = "churn", cut_lineage: bool = True) -> PipelineModel:
+               label: str = "churn", cut_lineage: bool = True) -> Forest:
+    """M2-M4: all ``cfg.num_trees`` trees, in fits of about ``cfg.nodes_per_fit`` nodes each.
+
+    A tree has fewer than two nodes a row, often far fewer: the first fit takes
+    as many trees as there may be at one node a row, the others as many as the
+    trees seen so far allow. Trees of a random forest are drawn
+    independently, so the parts together are a forest; each has its own seed.
+    """
     data = with_label(train, label)
-    checkpoint_dir(data.sparkSession)  # node-id cache checkpoints need a shared folder
+    spark = data.sparkSession
+    checkpoint_dir(spark)  # node-id cache checkpoints need a shared folder
     if cut_lineage:
         data = materialize(in_fixed_order(data.select("id", "label", *features)), "forest-train")
-    return forest_pipeline(features, cfg).fit(data)
+    parts, n_trees, n_nodes, most = [], 0, 0, max(data.count(), 1)
+    total, grown, held = 0.0, 0, {}
+    while left := cfg.num_trees - n_trees:
+        at_once = max(1, cfg.nodes_per_fit // most)
+        n = math.ceil(left / math.ceil(left / at_once)) if parts else min(left, at_once)
+        model = forest_pipeline(features, replace(cfg, num_trees=n, seed=cfg.seed + len(parts) * SEED_STEP)).fit(data)
+        rf = model.stages[-1]
+        held = held or {k: rf.getOrDefault(k) for k in ("maxDepth", "minInstancesPerNode", "seed", "featureSubsetStrategy", "impurity", "bootstrap")}
+        # a tree that is one leaf has no importances
+        split = 1 if n == cfg.num_trees else sum(tree.depth > 0 for tree in rf.trees)
+        total, grown = total + rf.featureImportances.toArray() * split, grown + split
+        n_trees, n_nodes = n_trees + rf.getNumTrees, n_nodes + rf.totalNumNodes
+        each = math.ceil(rf.totalNumNodes / n)
+        most = max(most, each) if parts else each
+        if n == cfg.num_trees:
+            parts.append(model)
+        else:
+            parts.append(stored_path(spark, "forest-part"))
+            model.write().save(parts[-1])
+    return Forest(parts, (total / max(grown, 1)).tolist(), n_trees, n_nodes, rf.numFeatures, held)
 
 
-def score(model: PipelineModel, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
+def score(model: Forest, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
     """M5 + M6 + S5 rows: id, the columns ``keep``, label, prediction, probability of class 1
-    (0 where the training rows held class 0 alone)."""
-    out = model.transform(with_label(df, label))
-    return out.select(F.col(key), *[F.col(f"`{c}`") for c in keep], F.col("label"), F.col("prediction"),
-                      F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)).alias("churn_probability"))
-
-
-def importances(model: PipelineModel, features: list[str]) -> DataFrame:
+    (0 where the training rows held class 0 alone). The votes of the forest's parts are
+    added up row by row, part after part."""
+    rows = with_label(df, label)
+    for k, part in enumerate(model.models()):
+        votes = vector_to_array("rawPrediction")
+        inputs = part.stages[0].getInputCols()
+        out = part.transform(rows).withColumn("_votes", F.zip_with("_votes", votes, lambda a, b: a + b) if k else votes)
+        rows = out.select(*[F.col(f"`{c}`") for c in dict.fromkeys([key, *keep, "label", *inputs, "_votes"])])
+        if k < len(model.parts) - 1:
+            rows = materialize(rows, "forest-votes")
+    every = F.aggregate("_votes", F.lit(0.0), lambda a, b: a + b)
+    return rows.select(F.col(key), *[F.col(f"`{c}`") for c in keep], F.col("label"),
+                       (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double").alias("prediction"),
+                       F.coalesce(F.try_divide(F.get("_votes", F.lit(1)), every), F.lit(0.0)).alias("churn_probability"))
+
+
+def importances(model: Forest, features: list[str]) -> DataFrame:
     """M9 (+ O2): (features, importance) sorted ascending, impurity based, sums to 1.
     The table has one row per feature (``feature_names``), built from the fitted model's vector."""
-    rf = model.stages[-1]
-    values = rf.featureImportances.toArray().tolist()
     session = SparkSession.getActiveSession()
-    rows = [(name, float(v)) for name, v in zip(features, values)]
+    rows = [(name, float(v)) for name, v in zip(features, model.importance)]
     return session.createDataFrame(rows, "features string, importance double").orderBy("importance", "features")
 
 
-def parameters(model: PipelineModel) -> DataFrame:
+def parameters(model: Forest) -> DataFrame:
     """The parameters that the fitted forest holds, one row."""
-    rf = model.stages[-1]
+    p = model.held
     return SparkSession.getActiveSession().createDataFrame(
-        [(rf.getNumTrees, rf.getOrDefault("maxDepth"), rf.getOrDefault("minInstancesPerNode"), rf.getOrDefault("seed"),
-          rf.getOrDefault("featureSubsetStrategy"), rf.getOrDefault("impurity"), rf.getOrDefault("bootstrap"), rf.numFeatures, rf.totalNumNodes)],
+        [(model.num_trees, p["maxDepth"], p["minInstancesPerNode"], p["seed"], p["featureSubsetStrategy"], p["impurity"], p["bootstrap"],
+          model.n_features, model.n_nodes)],
         "num_trees int, max_depth int, min_leaf int, seed long, feature_subset string, impurity string, bootstrap boolean, n_features int, "
         "n_nodes long")
 
@@ -174,7 +235,7 @@ def with_folds(df: DataFrame, k: int = 5, label: str = "churn", key: str = "id")
 class GridResult:
     """M10 + M11: the fitted best model, its setting and the table of all settings."""
 
-    model: PipelineModel
+    model: Forest
     best: dict
     table: DataFrame
 
@@ -221,8 +282,7 @@ def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300)
     settings = [(n, d, leaf, total[n, d, leaf] / folds) for n in trees for d in depths for leaf in leaves]
     best = max(settings, key=lambda s: s[3])
     n, d, leaf, _ = best
-    model = Pipeline(stages=[assembler, forest(ForestConfig(n, d, leaf, seed, cfg.feature_subset, cfg.max_bins, cfg.max_memory_mb))]).fit(
-        materialize(in_fixed_order(with_label(train, label).select("id", "label", *features)), "forest-train"))
+    model = fit_forest(train, features, replace(cfg, num_trees=n, max_depth=d, min_instances_per_node=leaf, seed=seed), label)
     table = spark.createDataFrame([(*s, s is best) for s in settings],
                                   "num_trees int, max_depth int, min_leaf int, accuracy double, is_best boolean")
     return GridResult(model, {"num_trees": n, "max_depth": d, "min_leaf": leaf, "accuracy": best[3]}, table)

@@ -155,3 +155,46 @@ def test_same_seed_same_forest_however_partitioned(toy):
         model = M.fit_forest(part, ["a", "b"], cfg)
         scores.append([tuple(r) for r in M.score(model, toy).orderBy("id").collect()])
     assert scores[0] == scores[1] == scores[2]
+
+
+def _noisy(toy):
+    return toy.withColumn("churn", F.when(F.col("id") % 5 == 0, 1 - F.col("churn")).otherwise(F.col("churn"))).withColumn(
+        "b", F.col("b") + F.col("id") % 13 / 10)
+
+
+def test_a_forest_in_parts_is_one_forest(toy):
+    """No fit has more than its share of the nodes; votes and importances are those of all trees."""
+    data = _noisy(toy)
+    model = M.fit_forest(data, ["a", "b"], M.ForestConfig(num_trees=12, max_depth=8, seed=5, nodes_per_fit=500))
+    fitted = [m.stages[-1] for m in model.models()]
+    assert len(fitted) > 2 and len({rf.getOrDefault("seed") for rf in fitted}) == len(fitted)
+    assert sum(rf.getNumTrees for rf in fitted) == 12 and max(rf.totalNumNodes for rf in fitted) < 700
+    p = M.parameters(model).first()
+    assert (p["num_trees"], p["seed"], p["n_nodes"]) == (12, 5, sum(rf.totalNumNodes for rf in fitted))
+    vectors = _vectors(data).select("id", "features")
+    trees = [t for rf in fitted for t in rf.trees]
+    votes = [{r["id"]: r["p"] for r in t.transform(vectors).select("id", vector_to_array("probability").alias("p")).collect()} for t in trees]
+    for r in M.score(model, data).collect():
+        want = np.mean([v[r["id"]] for v in votes], axis=0)
+        assert r["churn_probability"] == pytest.approx(want[1]) and (abs(want[1] - 0.5) < 1e-9 or r["prediction"] == want.argmax())
+    every = np.mean([t.featureImportances.toArray() for t in trees], axis=0)
+    assert [r["importance"] for r in M.importances(model, ["a", "b"]).orderBy("features").collect()] == pytest.approx(every.tolist())
+
+
+def test_parts_score_repeated_and_null_ids(spark, toy):
+    """Votes are added up by row, not by id; columns of the rows stay."""
+    data = _noisy(toy)
+    model = M.fit_forest(data, ["a", "b"], M.ForestConfig(num_trees=9, max_depth=4, seed=5, nodes_per_fit=1300))
+    assert len(model.parts) > 1
+    rows = data.withColumn("id", F.when(F.col("id") >= 10, F.col("id") % 50))
+    got = sorted(tuple(r)[1:] for r in M.score(model, rows, keep=["b"]).collect())
+    assert got == sorted(tuple(r)[1:] for r in M.score(model, data, keep=["b"]).collect()) and len(got) == 400
+
+
+def test_a_small_forest_is_one_fit(toy):
+    """As large forests before: the model of one fit with the given seed, scored as it scores itself."""
+    model = M.fit_forest(_noisy(toy), ["a", "b"], M.ForestConfig(num_trees=10, max_depth=5, seed=3))
+    assert len(model.parts) == 1
+    own = model.parts[0].transform(M.with_label(_noisy(toy))).select("id", "label", "prediction", vector_to_array("probability")[1]).collect()
+    assert sorted(map(tuple, own)) == sorted(map(tuple, M.score(model, _noisy(toy)).collect()))
+    assert model.importance == model.parts[0].stages[-1].featureImportances.toArray().tolist()
