@@ -157,9 +157,9 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
                label: str = "churn", cut_lineage: bool = True) -> Forest:
     """M2-M4: all ``cfg.num_trees`` trees, in fits of about ``cfg.nodes_per_fit`` nodes each.
 
-    A tree has fewer than two nodes a row, often far fewer: the first fit takes
-    as many trees as there may be at one node a row, the others as many as the
-    trees seen so far allow. Trees of a random forest are drawn
+    A tree has fewer than two nodes a row, mostly far fewer: the first fit takes
+    as many trees as there may be at one node for two rows, the others as many
+    as the trees seen so far allow. Trees of a random forest are drawn
     independently, so the parts together are a forest; each has its own seed.
     """
     data = with_label(train, label)
@@ -167,7 +167,7 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     checkpoint_dir(spark)  # node-id cache checkpoints need a shared folder
     if cut_lineage:
         data = materialize(in_fixed_order(data.select("id", "label", *features)), "forest-train")
-    parts, n_trees, n_nodes, most = [], 0, 0, max(data.count(), 1)
+    parts, n_trees, n_nodes, most = [], 0, 0, max(data.count() // 2, 1)
     total, grown, held = 0.0, 0, {}
     while left := cfg.num_trees - n_trees:
         at_once = max(1, cfg.nodes_per_fit // most)
