@@ -103,7 +103,7 @@ class ForestConfig:
     max_bins: int = 32
     # memory for node statistics per pass and task: more nodes split per pass
     # over the data means fewer passes for deep trees
-    max_memory_mb: int = 256
+    max_memory_mb: int = 64
     # nodes that the driver grows in one fit, about; the trees of a larger forest come in several fits
     nodes_per_fit: int = 200_000
 

@@ -198,3 +198,8 @@ def test_a_small_forest_is_one_fit(toy):
     own = model.parts[0].transform(M.with_label(_noisy(toy))).select("id", "label", "prediction", vector_to_array("probability")[1]).collect()
     assert sorted(map(tuple, own)) == sorted(map(tuple, M.score(model, _noisy(toy)).collect()))
     assert model.importance == model.parts[0].stages[-1].featureImportances.toArray().tolist()
+
+
+def test_node_statistics_leave_an_executor_room(toy):
+    """Two tasks' statistics take a small share of a heap of 1800 MB."""
+    assert M.forest(M.ForestConfig()).getMaxMemoryInMB() <= 64
