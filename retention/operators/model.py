@@ -106,6 +106,8 @@ class ForestConfig:
     max_memory_mb: int = 64
     # nodes that the driver grows in one fit, about; the trees of a larger forest come in several fits
     nodes_per_fit: int = 200_000
+    # rows times trees of one fit: for each the executors hold a bootstrap count and node ids
+    counts_per_fit: int = 30_000_000
 
 
 # Seeds of a forest's parts lie apart: ``pyspark.ml`` adds the partition's number to them.
@@ -155,7 +157,8 @@ class Forest:
 
 def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = ForestConfig(),
                label: str = "churn", cut_lineage: bool = True) -> Forest:
-    """M2-M4: all ``cfg.num_trees`` trees, in fits of about ``cfg.nodes_per_fit`` nodes each.
+    """M2-M4: all ``cfg.num_trees`` trees, in fits of about ``cfg.nodes_per_fit`` nodes
+    and at most ``cfg.counts_per_fit`` rows times trees each (a fit has one tree at least).
 
     A tree has fewer than two nodes a row, mostly far fewer: the first fit takes
     as many trees as there may be at one node for two rows, the others as many
@@ -167,10 +170,11 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     checkpoint_dir(spark)  # node-id cache checkpoints need a shared folder
     if cut_lineage:
         data = materialize(in_fixed_order(data.select("id", "label", *features)), "forest-train")
-    parts, n_trees, n_nodes, most = [], 0, 0, max(data.count() // 2, 1)
+    n_rows = max(data.count(), 1)
+    parts, n_trees, n_nodes, most = [], 0, 0, max(n_rows // 2, 1)
     total, grown, held = 0.0, 0, {}
     while left := cfg.num_trees - n_trees:
-        at_once = max(1, cfg.nodes_per_fit // most)
+        at_once = max(1, min(cfg.nodes_per_fit // most, cfg.counts_per_fit // n_rows))
         n = math.ceil(left / math.ceil(left / at_once)) if parts else min(left, at_once)
         model = forest_pipeline(features, replace(cfg, num_trees=n, seed=cfg.seed + len(parts) * SEED_STEP)).fit(data)
         rf = model.stages[-1]

@@ -200,6 +200,15 @@ def test_a_small_forest_is_one_fit(toy):
     assert model.importance == model.parts[0].stages[-1].featureImportances.toArray().tolist()
 
 
+def test_parts_bound_the_counts_of_rows_and_trees(toy):
+    """Trees of few nodes: the executors' counts and node ids, not the nodes, decide how many trees a fit takes."""
+    model = M.fit_forest(_noisy(toy), ["a", "b"], M.ForestConfig(num_trees=30, max_depth=1, seed=5, counts_per_fit=400 * 8))
+    trees = [m.stages[-1].getNumTrees for m in model.models()]
+    assert sum(trees) == 30 == model.num_trees and max(trees) <= 8
+    one = M.fit_forest(_noisy(toy), ["a", "b"], M.ForestConfig(num_trees=2, max_depth=1, seed=5, counts_per_fit=1))
+    assert [m.stages[-1].getNumTrees for m in one.models()] == [1, 1]
+
+
 def test_node_statistics_leave_an_executor_room(toy):
     """Two tasks' statistics take a small share of a heap of 1800 MB."""
     assert M.forest(M.ForestConfig()).getMaxMemoryInMB() <= 64
