@@ -154,6 +154,20 @@ class Forest:
     def models(self) -> Iterator[PipelineModel]:
         return (PipelineModel.load(p) if isinstance(p, str) else p for p in self.parts)
 
+    @property
+    def stages(self) -> list:
+        """The assembler and the model of a forest that is one fit."""
+        only, = self.models()
+        return only.stages
+
+
+def _as_forest(model: Forest | PipelineModel) -> Forest:
+    """A fitted pipeline is a forest of one part."""
+    if isinstance(model, Forest):
+        return model
+    rf = model.stages[-1]
+    return Forest([model], rf.featureImportances.toArray().tolist(), rf.getNumTrees, rf.totalNumNodes, rf.numFeatures, {})
+
 
 def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = ForestConfig(),
                label: str = "churn", cut_lineage: bool = True) -> Forest:
@@ -193,11 +207,11 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     return Forest(parts, (total / max(grown, 1)).tolist(), n_trees, n_nodes, rf.numFeatures, held)
 
 
-def score(model: Forest, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
+def score(model: Forest | PipelineModel, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
     """M5 + M6 + S5 rows: id, the columns ``keep``, label, prediction, probability of class 1
     (0 where the training rows held class 0 alone). The votes of the forest's parts are
     added up row by row, part after part."""
-    rows = with_label(df, label)
+    model, rows = _as_forest(model), with_label(df, label)
     for k, part in enumerate(model.models()):
         votes = vector_to_array("rawPrediction")
         inputs = part.stages[0].getInputCols()
@@ -211,11 +225,11 @@ def score(model: Forest, df: DataFrame, label: str = "churn", key: str = "id", k
                        F.coalesce(F.try_divide(F.get("_votes", F.lit(1)), every), F.lit(0.0)).alias("churn_probability"))
 
 
-def importances(model: Forest, features: list[str]) -> DataFrame:
+def importances(model: Forest | PipelineModel, features: list[str]) -> DataFrame:
     """M9 (+ O2): (features, importance) sorted ascending, impurity based, sums to 1.
     The table has one row per feature (``feature_names``), built from the fitted model's vector."""
     session = SparkSession.getActiveSession()
-    rows = [(name, float(v)) for name, v in zip(features, model.importance)]
+    rows = [(name, float(v)) for name, v in zip(features, _as_forest(model).importance)]
     return session.createDataFrame(rows, "features string, importance double").orderBy("importance", "features")
 
 
