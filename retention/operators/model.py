@@ -8,7 +8,8 @@
 * The input is written to the checkpoint folder before iterative fitting,
   cutting the lineage back to the raw price history.
 * ``pyspark.ml`` grows a forest's nodes in the driver, so a large forest is
-  fitted and scored in stored parts of some trees each (``Forest``).
+  fitted and scored in stored parts of some trees each (``Forest``). Where rows
+  times trees are many, tasks grow whole trees instead (``trees.StoredForest``).
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import types as T
 from retention.functions.scalars import hash_bucket, hash_long
 from retention.operators.forests import CutForest
 from retention.operators.ranks import numbered, smallest_bound
+from retention.operators.trees import StoredForest
 from retention.session import checkpoint_dir, materialize, stored_path
 
 # Spark caps tree depth at 30; an unbounded depth request maps onto it.
@@ -108,6 +110,9 @@ class ForestConfig:
     nodes_per_fit: int = 200_000
     # rows times trees of one fit: for each the executors hold a bootstrap count and node ids
     counts_per_fit: int = 30_000_000
+    # rows times trees over which tasks grow the trees, and the bytes (one for each row and feature) that such a task holds
+    counts_for_tasks: int = 4_000_000
+    bytes_per_task: int = 128_000_000
 
 
 # Seeds of a forest's parts lie apart: ``pyspark.ml`` adds the partition's number to them.
@@ -161,16 +166,23 @@ class Forest:
         return only.stages
 
 
-def _as_forest(model: Forest | PipelineModel) -> Forest:
+def _as_forest(model: Forest | StoredForest | PipelineModel) -> Forest | StoredForest:
     """A fitted pipeline is a forest of one part."""
-    if isinstance(model, Forest):
+    if isinstance(model, (Forest, StoredForest)):
         return model
     rf = model.stages[-1]
     return Forest([model], rf.featureImportances.toArray().tolist(), rf.getNumTrees, rf.totalNumNodes, rf.numFeatures, {})
 
 
+def in_tasks(data: DataFrame, features: list[str], cfg: ForestConfig, n_rows: int) -> bool:
+    """Whether a forest's trees are grown in tasks: many of them, plain numbers as features, and a table that a task can hold."""
+    plain = all(isinstance(data.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in features)
+    return (n_rows * cfg.num_trees > cfg.counts_for_tasks and n_rows * (len(features) + 2) <= cfg.bytes_per_task
+            and plain and cfg.max_bins <= 256)
+
+
 def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = ForestConfig(),
-               label: str = "churn", cut_lineage: bool = True) -> Forest:
+               label: str = "churn", cut_lineage: bool = True) -> Forest | StoredForest:
     """M2-M4: all ``cfg.num_trees`` trees, in fits of about ``cfg.nodes_per_fit`` nodes
     and at most ``cfg.counts_per_fit`` rows times trees each (a fit has one tree at least).
 
@@ -178,6 +190,10 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     as many trees as there may be at one node for two rows, the others as many
     as the trees seen so far allow. Trees of a random forest are drawn
     independently, so the parts together are a forest; each has its own seed.
+
+    A forest of more than ``cfg.counts_for_tasks`` rows times trees is grown by
+    tasks, each with the whole table as bytes, while that has at most
+    ``cfg.bytes_per_task``.
     """
     data = with_label(train, label)
     spark = data.sparkSession
@@ -185,6 +201,9 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     if cut_lineage:
         data = materialize(in_fixed_order(data.select("id", "label", *features)), "forest-train")
     n_rows = max(data.count(), 1)
+    if cut_lineage and in_tasks(data, features, cfg, n_rows):
+        n_classes = int(data.agg(F.max("label")).first()[0]) + 1
+        return StoredForest.fit(data, features, forest(cfg), n_rows, n_classes)
     parts, n_trees, n_nodes, most = [], 0, 0, max(n_rows // 2, 1)
     total, grown, held = 0.0, 0, {}
     while left := cfg.num_trees - n_trees:
@@ -207,12 +226,16 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     return Forest(parts, (total / max(grown, 1)).tolist(), n_trees, n_nodes, rf.numFeatures, held)
 
 
-def score(model: Forest | PipelineModel, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
+def score(model: Forest | StoredForest | PipelineModel, df: DataFrame, label: str = "churn", key: str = "id", keep=()) -> DataFrame:
     """M5 + M6 + S5 rows: id, the columns ``keep``, label, prediction, probability of class 1
     (0 where the training rows held class 0 alone). The votes of the forest's parts are
     added up row by row, part after part."""
     model, rows = _as_forest(model), with_label(df, label)
-    for k, part in enumerate(model.models()):
+    if isinstance(model, StoredForest):
+        names = dict.fromkeys([key, *keep, "label", *model.features])
+        rows = materialize(rows.select(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id().alias("_row")), "forest-rows")
+        rows = rows.join(model.votes(rows, rows.count()), "_row")
+    for k, part in enumerate([] if isinstance(model, StoredForest) else model.models()):
         votes = vector_to_array("rawPrediction")
         inputs = part.stages[0].getInputCols()
         out = part.transform(rows).withColumn("_votes", F.zip_with("_votes", votes, lambda a, b: a + b) if k else votes)
@@ -225,7 +248,7 @@ def score(model: Forest | PipelineModel, df: DataFrame, label: str = "churn", ke
                        F.coalesce(F.try_divide(F.get("_votes", F.lit(1)), every), F.lit(0.0)).alias("churn_probability"))
 
 
-def importances(model: Forest | PipelineModel, features: list[str]) -> DataFrame:
+def importances(model: Forest | StoredForest | PipelineModel, features: list[str]) -> DataFrame:
     """M9 (+ O2): (features, importance) sorted ascending, impurity based, sums to 1.
     The table has one row per feature (``feature_names``), built from the fitted model's vector."""
     session = SparkSession.getActiveSession()
@@ -233,7 +256,7 @@ def importances(model: Forest | PipelineModel, features: list[str]) -> DataFrame
     return session.createDataFrame(rows, "features string, importance double").orderBy("importance", "features")
 
 
-def parameters(model: Forest) -> DataFrame:
+def parameters(model: Forest | StoredForest) -> DataFrame:
     """The parameters that the fitted forest holds, one row."""
     p = model.held
     return SparkSession.getActiveSession().createDataFrame(
