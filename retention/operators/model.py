@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from retention.functions.scalars import hash_bucket, hash_long
 from retention.operators.forests import CutForest
 from retention.operators.ranks import numbered, smallest_bound
-from retention.operators.trees import StoredForest
+from retention.operators.trees import StoredForest, fold_hits
 from retention.session import checkpoint_dir, materialize, stored_path
 
 # Spark caps tree depth at 30; an unbounded depth request maps onto it.
@@ -281,6 +281,28 @@ class GridResult:
     table: DataFrame
 
 
+def _grid_fits(folded: DataFrame, features: list[str], largest: list[ForestConfig], folds: int, trees: list[int], depths: list[int],
+               parallelism: int | None) -> list[tuple]:
+    """(trees, depth, leaf size, accuracy) of each setting and fold, by fits of ``pyspark.ml``."""
+    spark = folded.sparkSession
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+    # one table of vectors for all fits, with the rows of a seed's bootstrap in a fixed order
+    data = materialize(in_fixed_order(assembler.transform(folded).select("id", "label", "fold", "features")), "forest-cv")
+
+    def accuracies(job: tuple[ForestConfig, int]) -> list[tuple]:
+        cfg, fold = job
+        grown = forest(cfg).fit(data.where(F.col("fold") != fold))
+        return [(n, d, cfg.min_instances_per_node, acc)
+                for (n, d), acc in CutForest.of(grown, spark).accuracies(data.where(F.col("fold") == fold), trees, depths).items()]
+
+    jobs = [(cfg, fold) for cfg in largest for fold in range(folds)]
+    pool = ThreadPool(min(len(jobs), parallelism or max(1, spark.sparkContext.defaultParallelism // 2)))
+    try:
+        return [row for rows in pool.map(inheritable_thread_target(spark)(accuracies), jobs) for row in rows]
+    finally:
+        pool.close()
+
+
 def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300), max_depth=(MAX_DEPTH, 10, 20, 30),
                 min_leaf=(1, 2, 4), folds: int = 5, seed: int = 42, parallelism: int | None = None,
                 label: str = "churn", cfg: ForestConfig = ForestConfig()) -> GridResult:
@@ -290,7 +312,8 @@ def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300)
     greatest depth. The first n of its trees are a forest of n trees, and its
     trees cut at a depth are trees grown to that depth (``forests.CutForest``),
     so all settings of the other two parameters are scored from it in one
-    pass over the fold. Ties go to the setting that comes first.
+    pass over the fold. Ties go to the setting that comes first. Where the
+    forests are large (``in_tasks``), tasks grow their trees and score the fold.
 
     sklearn's ``min_samples_split`` has no Spark parameter and is left out;
     depth "None" collapses onto 30 (duplicates are removed).
@@ -298,27 +321,19 @@ def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300)
     spark = train.sparkSession
     checkpoint_dir(spark)   # node-id cache checkpoints need a shared folder
     folded = with_folds(with_label(train.select("id", label, *features), label), folds, label)
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    # one table of vectors for all fits, with the rows of a seed's bootstrap in a fixed order
-    data = materialize(in_fixed_order(assembler.transform(folded).select("id", "label", "fold", "features")), "forest-cv")
     depths = sorted({min(d, MAX_DEPTH) for d in max_depth})
     trees, leaves = sorted(set(num_trees)), sorted(set(min_leaf))
-
-    def accuracies(job: tuple[int, int]) -> list[tuple]:
-        leaf, fold = job
-        grown = forest(ForestConfig(max(trees), max(depths), leaf, seed, cfg.feature_subset, cfg.max_bins, cfg.max_memory_mb)).fit(
-            data.where(F.col("fold") != fold))
-        return [(n, d, leaf, acc) for (n, d), acc in CutForest.of(grown, spark).accuracies(data.where(F.col("fold") == fold), trees, depths).items()]
-
-    jobs = [(leaf, fold) for leaf in leaves for fold in range(folds)]
-    pool = ThreadPool(min(len(jobs), parallelism or max(1, spark.sparkContext.defaultParallelism // 2)))
-    try:
-        found = pool.map(inheritable_thread_target(spark)(accuracies), jobs)
-    finally:
-        pool.close()
+    largest = [replace(cfg, num_trees=max(trees), max_depth=max(depths), min_instances_per_node=leaf, seed=seed) for leaf in leaves]
+    n_rows = train.count()
     total: dict[tuple, float] = {}
-    for rows in found:
-        for n, d, leaf, acc in rows:
+    if folds > 1 and in_tasks(train, features, largest[0], n_rows):
+        data = materialize(in_fixed_order(folded.select("id", "label", "fold", *features)), "forest-cv")
+        n_classes = int(data.agg(F.max("label")).first()[0]) + 1
+        found = fold_hits(data, features, [forest(c) for c in largest], folds, trees, depths, n_rows, n_classes)
+        for (n, d, leaf, _), acc in sorted(found.items()):
+            total[n, d, leaf] = total.get((n, d, leaf), 0.0) + acc
+    else:
+        for n, d, leaf, acc in _grid_fits(folded, features, largest, folds, trees, depths, parallelism):
             total[n, d, leaf] = total.get((n, d, leaf), 0.0) + acc
     settings = [(n, d, leaf, total[n, d, leaf] / folds) for n in trees for d in depths for leaf in leaves]
     best = max(settings, key=lambda s: s[3])

@@ -30,8 +30,8 @@ from retention.session import materialize
 NO_GAIN = 1e-14
 # Rows and nodes worked on at once: their histograms stay in a core's cache.
 ROWS_AT_ONCE, NODES_AT_ONCE = 16_384, 256
-# Nodes and rows of a scoring task.
-NODES_A_TASK, ROWS_A_TASK = 1_000_000, 262_144
+# Nodes and rows of a scoring task; rows whose votes a grid's fold counts at once.
+NODES_A_TASK, ROWS_A_TASK, FOLD_ROWS_A_TASK = 1_000_000, 262_144, 65_536
 # Rows times trees of a growing task: its trees' nodes are fewer than that, mostly far fewer.
 COUNTS_A_TASK = 8_000_000
 
@@ -128,6 +128,15 @@ class Tree:
                 return at
             at[live] = self.left[node] + (flat[live * width + f] > self.bin[node])
 
+    def ends(self, depth: int) -> np.ndarray:
+        """For each node the leaf that its rows are in when the tree is cut at ``depth``."""
+        leaf, end = self.leaves(depth), np.arange(len(self.feature))
+        for a, b in zip(self.levels[:-1], self.levels[1:]):
+            at = a + np.flatnonzero(self.feature[a:b] >= 0)
+            cut = at[leaf[at] | (end[at] != at)]
+            end[self.left[cut]] = end[self.left[cut] + 1] = end[cut]
+        return end
+
     def shares(self) -> np.ndarray:
         return self.stats / self.stats.sum(axis=1, keepdims=True)
 
@@ -227,13 +236,15 @@ def _splits(stats: np.ndarray, min_leaf: int) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- in Spark
-def find_points(data: DataFrame, features: list[str], est: RandomForestClassifier, n_rows: int) -> list[np.ndarray]:
-    """The features' candidate thresholds, from a sample as large as ``pyspark.ml`` takes for them."""
+def find_points(data: DataFrame, features: list[str], est: RandomForestClassifier, n_rows: int, folds: int = 0) -> list[list[np.ndarray]]:
+    """The features' candidate thresholds, from a sample as large as ``pyspark.ml`` takes for them; with ``folds``
+    for each fold from rows that it leaves to training."""
     bins = min(est.getMaxBins(), n_rows)
-    share = max(est.getMaxBins() ** 2, 10_000) / n_rows
-    rows = _assembled(data, features).select("x")
-    found = (rows.sample(False, share, est.getSeed()) if share < 1 else rows).toArrow()
-    return split_points(_matrix(found.column("x").combine_chunks(), len(features)), bins)
+    share = max(est.getMaxBins() ** 2, 10_000) / n_rows * (folds / (folds - 1) if folds else 1)
+    rows = _assembled(data, features).select("x", *(["fold"] if folds else []))
+    found = (rows.sample(False, share, est.getSeed()) if share < 1 else rows).toArrow().combine_chunks()
+    x, fold = _matrix(found.column("x").combine_chunks(), len(features)), np.asarray(found.column("fold")) if folds else None
+    return [split_points(x[fold != k] if folds else x, bins) for k in range(max(folds, 1))]
 
 
 def _assembled(data: DataFrame, features: list[str]) -> DataFrame:
@@ -251,21 +262,24 @@ def _joined(column: pa.ChunkedArray, dtype: str, width: int | None = None) -> np
     return out.reshape(-1, width) if width else out
 
 
-def _row_blocks(data: DataFrame, features: list[str], points: list[np.ndarray], last: str | None = None) -> DataFrame:
-    """Blocks of the rows of a stored table: bins, class and the byte ``last`` (or 0) of each row, and its place in the table's files."""
+def _row_blocks(data: DataFrame, features: list[str], points: list[list[np.ndarray]]) -> DataFrame:
+    """Blocks of the rows of a stored table: each row's bins, class and one more byte, and its place in the table's files.
+    With the thresholds of several folds there are blocks for each ``fold``; the byte is 1 in rows that the fold holds out."""
     place = F.expr("cast(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) as long) * 8589934592 + _metadata.row_index")
-    rows = data.select("label", (F.col(last) if last else F.lit(0)).cast("int").alias("_last"), place.alias("_place"), *[f"`{c}`" for c in features])
+    rows = data.select("label", (F.col("fold") if len(points) > 1 else F.lit(-1)).alias("_fold"), place.alias("_place"), *[f"`{c}`" for c in features])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             label = np.asarray(b.column("label").to_numpy(zero_copy_only=False), dtype=float)
             if not ((label >= 0) & (label < 256) & (label == np.floor(label))).all():
                 raise ValueError("labels must be whole numbers from 0")
-            extra = np.column_stack([label, b.column("_last").to_numpy(zero_copy_only=False)]).astype(np.uint8)
-            block = np.column_stack([binned(_matrix(b.column("x"), len(points)), points), extra])
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (np.asarray(b.column("_place")), block)], names=["place", "rows"])
+            x, place, own = _matrix(b.column("x"), len(features)), np.asarray(b.column("_place")).tobytes(), np.asarray(b.column("_fold"))
+            for fold, p in enumerate(points):
+                block = np.column_stack([binned(x, p), np.column_stack([label, own == fold]).astype(np.uint8)])
+                yield pa.RecordBatch.from_arrays([pa.array([fold], pa.int32()), pa.array([place], pa.binary()), pa.array([block.tobytes()], pa.binary())],
+                                                 names=["fold", "place", "rows"])
 
-    return _assembled(rows, features).select("_place", "label", "_last", "x").mapInArrow(run, "place binary, rows binary")
+    return _assembled(rows, features).select("_place", "_fold", "label", "x").mapInArrow(run, "fold int, place binary, rows binary")
 
 
 def _in_place(t: pa.Table, width: int) -> np.ndarray:
@@ -274,10 +288,10 @@ def _in_place(t: pa.Table, width: int) -> np.ndarray:
     return rows if (place[1:] > place[:-1]).all() else rows[place.argsort()]
 
 
-def _dealt(blocks: DataFrame, n: int):
-    """A group with all blocks for each of ``n`` tasks."""
-    each = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return each.repartition(4 * n, "group").groupBy("group")      # more partitions than groups: few share one
+def _dealt(blocks: DataFrame, n: int, folds: int = 1):
+    """A group with all blocks of a fold for each of ``n`` tasks a fold, numbered task * folds + fold."""
+    each = blocks.withColumn("group", F.explode(F.sequence("fold", F.lit((n - 1) * folds) + F.col("fold"), F.lit(folds))))
+    return each.repartition(4 * n * folds, "group").groupBy("group")      # more partitions than groups: few share one
 
 
 @dataclass(frozen=True)
@@ -343,7 +357,7 @@ class StoredForest:
         grown = sorted(trees.select("tree", "n_nodes", "importance").collect())       # one row per tree
         total = np.sum([r["importance"] for r in grown], axis=0)
         held = {k: est.getOrDefault(k) for k in ("maxDepth", "minInstancesPerNode", "seed", "featureSubsetStrategy", "impurity", "bootstrap")}
-        return cls(trees, features, points, n_classes, (total / (total.sum() or 1.0)).tolist(), len(grown), sum(r["n_nodes"] for r in grown),
+        return cls(trees, features, points[0], n_classes, (total / (total.sum() or 1.0)).tolist(), len(grown), sum(r["n_nodes"] for r in grown),
                    len(features), held)
 
     def votes(self, rows: DataFrame, n_rows: int) -> DataFrame:
@@ -389,3 +403,48 @@ class StoredForest:
         parts = blocks.repartition(n, *keys).groupBy(*keys).cogroup(trees.repartition(n, *keys).groupBy(*keys)).applyInArrow(
             score, "block long, group int, ids binary, votes binary")
         return parts.groupBy("block").applyInArrow(add, "_row long, _votes array<double>")
+
+
+def fold_hits(data: DataFrame, features: list[str], ests: list[RandomForestClassifier], folds: int, trees: list[int], depths: list[int],
+              n_rows: int, n_classes: int) -> dict[tuple[int, int, int, int], float]:
+    """(trees, depth, leaf size, fold) -> accuracy on the fold: a forest for each of ``ests`` (which differ in leaf size)
+    and fold, grown on the other folds of the stored table ``data``, its first trees, cut at each depth.
+
+    A task grows some trees of one forest and scores the fold's rows with
+    them; what leaves it are sums of votes.
+    """
+    width, growers = len(features), [Grower.of(est, len(features), n_classes) for est in ests]
+    parts = max(1, -(-4 * data.sparkSession.sparkContext.defaultParallelism // (len(ests) * folds * len(trees))), -(-max(trees) * n_rows // COUNTS_A_TASK) // len(trees))
+    jobs = [(of, a + (b - a) * i // parts, a + (b - a) * (i + 1) // parts) for of in range(len(ests)) for a, b in zip([0, *trees], trees) for i in range(parts)]
+
+    def run(t: pa.Table) -> pa.Table:
+        (of, start, stop), fold = jobs[t.column("group")[0].as_py() // folds], t.column("fold")[0].as_py()
+        rows = _in_place(t, width + 2)
+        out = rows[:, -1] == 1
+        train, held = rows[~out], rows[out]
+        votes = np.zeros((len(depths), len(held), n_classes))
+        for number in range(start, stop):
+            tree = growers[of].tree(train, number)
+            at, shares = tree.reached(np.ascontiguousarray(held[:, :width])), tree.shares()
+            for d, depth in enumerate(depths):
+                votes[d] += shares[tree.ends(depth)[at]]
+        cuts = range(0, len(held), FOLD_ROWS_A_TASK)
+        return pa.Table.from_pylist([{"of": of, "fold": fold, "chunk": i, "start": start, "stop": stop, "label": held[i:i + FOLD_ROWS_A_TASK, -2].tobytes(),
+                                      "votes": votes[:, i:i + FOLD_ROWS_A_TASK].tobytes()} for i in cuts],
+                                    schema=pa.schema([*[(c, pa.int32()) for c in ("of", "fold", "chunk", "start", "stop")], ("label", pa.binary()), ("votes", pa.binary())]))
+
+    def count(t: pa.Table) -> pa.Table:
+        out, total = [], 0.0
+        for r in sorted(t.to_pylist(), key=lambda r: (r["start"], r["stop"])):
+            label = np.frombuffer(r["label"], "u1")
+            total = total + np.frombuffer(r["votes"], "<f8").reshape(len(depths), len(label), n_classes)
+            if r["stop"] in trees and r["start"] < r["stop"]:
+                out += [{"n": r["stop"], "depth": depth, "of": r["of"], "fold": r["fold"], "hits": int((p.argmax(axis=1) == label).sum()), "rows": len(label)}
+                        for depth, p in zip(depths, total)]
+        return pa.Table.from_pylist(out, schema=pa.schema([*[(c, pa.int32()) for c in ("n", "depth", "of", "fold")], ("hits", pa.int64()), ("rows", pa.int64())]))
+
+    blocks = _row_blocks(data, features, find_points(data, features, ests[0], n_rows, folds))
+    sums = _dealt(blocks, len(jobs), folds).applyInArrow(run, "of int, fold int, chunk int, start int, stop int, label binary, votes binary")
+    found = (sums.groupBy("of", "fold", "chunk").applyInArrow(count, "n int, depth int, of int, fold int, hits long, rows long")
+             .groupBy("n", "depth", "of", "fold").agg(F.sum("hits").alias("hits"), F.sum("rows").alias("rows")).collect())     # one row per setting and fold
+    return {(r["n"], r["depth"], ests[r["of"]].getMinInstancesPerNode(), r["fold"]): r["hits"] / r["rows"] for r in found}

@@ -129,3 +129,44 @@ def test_a_table_that_no_task_can_hold_is_fitted_in_parts(rows):
 def test_subset_sizes():
     assert [T.subset_size(s, 23, 100) for s in ("sqrt", "auto", "all", "log2", "onethird", "7", "0.5")] == [5, 5, 23, 5, 8, 7, 12]
     assert T.subset_size("auto", 23, 1) == 23
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 4, 7])
+def test_a_cut_tree_is_one_grown_to_that_depth(depth):
+    """Without draws: the same leaf shares for each row, and the same leaves."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 32, (1500, 4), dtype=np.uint8)
+    bytes_ = np.column_stack([x, ((x[:, 0] > 15) ^ (rng.random(1500) < 0.3)).astype(np.uint8), rng.integers(1, 3, 1500, dtype=np.uint8)])
+    deep, small = (T.grow(bytes_, 2, 32, 4, d, 1, rng).pruned() for d in (12, depth))
+    at = deep.ends(depth)[deep.reached(x)]
+    assert np.array_equal(deep.shares()[at], small.shares()[small.reached(x)]) and len(set(at)) == (small.feature < 0).sum()
+
+
+def test_a_large_grid_is_scored_in_tasks(spark, rows, monkeypatch):
+    """The accuracies are those of forests grown on the other folds with the same trees, whatever rows are counted at once."""
+    grid = dict(num_trees=(6, 3), max_depth=(5, 2), min_leaf=(1, 40), folds=3, seed=9, cfg=M.ForestConfig(**IN_TASKS))
+    found = M.grid_search(rows, FEATURES, **grid)
+    table = [tuple(r) for r in found.table.collect()]
+    assert [r[:3] for r in table] == [(n, d, leaf) for n in (3, 6) for d in (2, 5) for leaf in (1, 40)] and sum(r[4] for r in table) == 1
+    monkeypatch.setattr(T, "FOLD_ROWS_A_TASK", 70)
+    assert [tuple(r) for r in M.grid_search(rows, FEATURES, **grid).table.collect()] == table
+    p = M.parameters(found.model).first()
+    assert (p["num_trees"], p["max_depth"], p["min_leaf"]) == next(r[:3] for r in table if r[4]) and isinstance(found.model, T.StoredForest)
+
+    data = M.materialize(M.in_fixed_order(M.with_folds(M.with_label(rows), 3)), "folds")
+    held = data.toPandas()
+    for n, d, leaf, accuracy, _ in table:
+        each = []
+        for fold in range(3):
+            est = M.forest(M.ForestConfig(num_trees=6, max_depth=5, min_instances_per_node=leaf, seed=9))
+            model = T.StoredForest.fit(M.materialize(M.in_fixed_order(data.where(F.col("fold") != fold)), "train"), FEATURES, est, 600, 2)
+            trees = [T.Tree.of_bytes(r.asDict()) for r in sorted(model.trees.collect())][:n]
+            own = held[held["fold"] == fold]
+            x = T.binned(own[FEATURES].to_numpy(), model.points)
+            if d == 5:
+                votes = sum(t.shares()[t.reached(x)] for t in trees)
+                each.append((votes.argmax(axis=1) == own["label"]).mean())
+        if each:
+            assert accuracy == pytest.approx(np.mean(each))
+    small = M.grid_search(rows, FEATURES, **{**grid, "cfg": M.ForestConfig()}).table.collect()
+    assert max(abs(a[3] - b[3]) for a, b in zip(table, small)) < 0.12
