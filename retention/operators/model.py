@@ -112,7 +112,7 @@ class ForestConfig:
     counts_per_fit: int = 30_000_000
     # rows times trees over which tasks grow the trees, and the bytes (one for each row and feature) that such a task holds
     counts_for_tasks: int = 4_000_000
-    bytes_per_task: int = 128_000_000
+    bytes_per_task: int = 48_000_000
 
 
 # Seeds of a forest's parts lie apart: ``pyspark.ml`` adds the partition's number to them.
@@ -175,10 +175,13 @@ def _as_forest(model: Forest | StoredForest | PipelineModel) -> Forest | StoredF
 
 
 def in_tasks(data: DataFrame, features: list[str], cfg: ForestConfig, n_rows: int) -> bool:
-    """Whether a forest's trees are grown in tasks: many of them, plain numbers as features, and a table that a task can hold."""
+    """Whether a forest's trees are grown in tasks: many of them, and plain numbers as features."""
     plain = all(isinstance(data.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in features)
-    return (n_rows * cfg.num_trees > cfg.counts_for_tasks and n_rows * (len(features) + 2) <= cfg.bytes_per_task
-            and plain and cfg.max_bins <= 256)
+    return n_rows * cfg.num_trees > cfg.counts_for_tasks and plain and cfg.max_bins <= 256
+
+
+def rows_per_task(features: list[str], cfg: ForestConfig) -> int:
+    return cfg.bytes_per_task // (len(features) + 2)
 
 
 def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = ForestConfig(),
@@ -192,7 +195,7 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     independently, so the parts together are a forest; each has its own seed.
 
     A forest of more than ``cfg.counts_for_tasks`` rows times trees is grown by
-    tasks, each with the whole table as bytes, while that has at most
+    tasks, each with the table as bytes, or with a node's rows where that has more than
     ``cfg.bytes_per_task``.
     """
     data = with_label(train, label)
@@ -203,7 +206,7 @@ def fit_forest(train: DataFrame, features: list[str], cfg: ForestConfig = Forest
     n_rows = max(data.count(), 1)
     if cut_lineage and in_tasks(data, features, cfg, n_rows):
         n_classes = int(data.agg(F.max("label")).first()[0]) + 1
-        return StoredForest.fit(data, features, forest(cfg), n_rows, n_classes)
+        return StoredForest.fit(data, features, forest(cfg), n_rows, n_classes, rows_per_task(features, cfg))
     parts, n_trees, n_nodes, most = [], 0, 0, max(n_rows // 2, 1)
     total, grown, held = 0.0, 0, {}
     while left := cfg.num_trees - n_trees:
@@ -313,7 +316,7 @@ def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300)
     trees cut at a depth are trees grown to that depth (``forests.CutForest``),
     so all settings of the other two parameters are scored from it in one
     pass over the fold. Ties go to the setting that comes first. Where the
-    forests are large (``in_tasks``), tasks grow their trees and score the fold.
+    forests are large (``in_tasks``) and a task can hold the table, tasks grow their trees and score the fold.
 
     sklearn's ``min_samples_split`` has no Spark parameter and is left out;
     depth "None" collapses onto 30 (duplicates are removed).
@@ -326,7 +329,7 @@ def grid_search(train: DataFrame, features: list[str], num_trees=(100, 200, 300)
     largest = [replace(cfg, num_trees=max(trees), max_depth=max(depths), min_instances_per_node=leaf, seed=seed) for leaf in leaves]
     n_rows = train.count()
     total: dict[tuple, float] = {}
-    if folds > 1 and in_tasks(train, features, largest[0], n_rows):
+    if folds > 1 and in_tasks(train, features, largest[0], n_rows) and n_rows <= rows_per_task(features, cfg):
         data = materialize(in_fixed_order(folded.select("id", "label", "fold", *features)), "forest-cv")
         n_classes = int(data.agg(F.max("label")).first()[0]) + 1
         found = fold_hits(data, features, [forest(c) for c in largest], folds, trees, depths, n_rows, n_classes)

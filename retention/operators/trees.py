@@ -7,7 +7,8 @@ class merged. ``pyspark.ml`` passes over the table for each group of
 nodes, and each partition sends a histogram of each node. Here a row's features are
 a byte each, a task gets the table of bytes and grows whole trees from it, all
 nodes of a level at once; the nodes are stored by the tasks, the driver never
-holds them.
+holds them. Of a table too large for that, passes over its blocks grow the top of
+each tree until a task can hold a node's rows, and tasks grow what is below.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retention.session import materialize
+from retention.session import materialize, stored_path
 
 #: a gain below is rounding: the smallest real one is about one over the square of the rows
 NO_GAIN = 1e-14
@@ -34,6 +35,8 @@ ROWS_AT_ONCE, NODES_AT_ONCE = 16_384, 256
 NODES_A_TASK, ROWS_A_TASK, FOLD_ROWS_A_TASK = 1_000_000, 262_144, 65_536
 # Rows times trees of a growing task: its trees' nodes are fewer than that, mostly far fewer.
 COUNTS_A_TASK = 8_000_000
+# Rows times trees whose tops are grown together; below them each row in a tree's bootstrap is shuffled once.
+COUNTS_A_PASS = 60_000_000
 
 
 def subset_size(strategy: str, n_features: int, n_trees: int) -> int:
@@ -144,6 +147,24 @@ class Tree:
         return {"feature": self.feature.astype("<i2").tobytes(), "bin": self.bin.astype("u1").tobytes(), "left": self.left.astype("<i4").tobytes(),
                 "stats": self.stats.astype("<f8").tobytes()}
 
+    def with_below(self, below: dict[int, Tree]) -> Tree:
+        """With trees in place of some leaves, by the leaf's number."""
+        depth = [np.repeat(np.arange(len(self.levels) - 1), np.diff(self.levels))]
+        columns, n = [[c.copy()] for c in (self.feature, self.bin, self.left, self.stats, self.gain)], len(self.feature)
+        for at, tree in below.items():
+            left = np.where(tree.feature >= 0, tree.left + (n - 1), 0)      # its root is the leaf, the others come last
+            for out, c in zip(columns, (tree.feature, tree.bin, left, tree.stats, tree.gain)):
+                out[0][at] = c[0]
+                out.append(c[1:])
+            depth.append(depth[0][at] + np.repeat(np.arange(len(tree.levels) - 1), np.diff(tree.levels))[1:])
+            n += len(tree.feature) - 1
+        depth = np.concatenate(depth)
+        order = depth.argsort(kind="stable")        # children stay side by side
+        number = np.empty(n, dtype=np.int64)
+        number[order] = np.arange(n)
+        feature, bin_, left, stats, gain = (np.concatenate(c)[order] for c in columns)
+        return Tree(feature, bin_, np.where(feature >= 0, number[left], 0), stats, gain, np.append(0, np.cumsum(np.bincount(depth))))
+
     @classmethod
     def of_bytes(cls, row: dict) -> Tree:
         feature, left = np.frombuffer(row["feature"], "<i2").astype(np.int64), np.frombuffer(row["left"], "<i4").astype(np.int64)
@@ -177,34 +198,18 @@ def grow(rows: np.ndarray, n_classes: int, n_bins: int, tried: int, max_depth: i
         for a, b in zip(slices, np.append(slices[1:], len(nodes))):
             k, own, flat, n = b - a, nodes[a:b], rows[starts[a] * width:ends[b - 1] * width], ends[b - 1] - starts[a]
             total = here[own]
-            drawn = rng.random((k, n_features)).argpartition(tried - 1, axis=1)[:, :tried] if tried < n_features else np.tile(np.arange(tried), (k, 1))
+            drawn = _drawn(rng, k, n_features, tried)
             slot, sums = np.repeat(np.arange(k), sizes[a:b]), np.zeros(n_classes * tried * k * n_bins)
             for i in range(0, n, ROWS_AT_ONCE):
                 of = slot[i:i + ROWS_AT_ONCE]
-                first = np.arange(i * width, (i + len(of)) * width, width)
-                weight = flat.take(first + (width - 1)).astype(float)
-                cell = flat.take(first + drawn.T.take(of, axis=1)) + (np.arange(0, tried * k * n_bins, k * n_bins)[:, None] + (
-                    of * n_bins + flat.take(first + (width - 2)).astype(np.int64) * (tried * k * n_bins)))
-                sums += np.bincount(cell.ravel(), np.tile(weight, tried), len(sums))
+                sums += _histogram(flat[i * width:(i + len(of)) * width], width, of, drawn, n_classes, n_bins)
             sums = np.cumsum(sums.reshape(n_classes, tried, k, n_bins), axis=3)
-            worth, allowed = np.full((tried, k, n_bins), -1.0), True
-            for side in (sums, total.T[:, None, :, None] - sums):
-                n_side = side.sum(axis=0)
-                allowed = allowed & (n_side >= least)
-                part = np.einsum("cjkb,cjkb->jkb", side, side)
-                np.divide(part, n_side, out=part, where=n_side > 0)
-                worth = part if side is sums else worth + part
-            worth = np.where(allowed, worth, -1.0)
-            by_feature = worth.argmax(axis=2)
-            best = np.take_along_axis(worth, by_feature[:, :, None], axis=2)[:, :, 0]
-            chosen = best.argmax(axis=0)
-            n_here = total.sum(axis=1)
-            won = (best[chosen, np.arange(k)] - (total * total).sum(axis=1) / n_here) / n_here
+            chosen, best, won = _best(sums, total, least)
             split = np.flatnonzero(won > NO_GAIN)
             if not len(split):
                 continue
             chosen = chosen[split]
-            f, at = drawn[split, chosen], by_feature[chosen, split]
+            f, at = drawn[split, chosen], best[split]
             feature[own[split]], bin_[own[split]], gain[own[split]] = f, at, won[split]
             left[own[split]] = n_nodes + np.arange(0, 2 * len(split), 2)
             n_nodes += 2 * len(split)
@@ -230,6 +235,37 @@ def grow(rows: np.ndarray, n_classes: int, n_bins: int, tried: int, max_depth: i
     return Tree(*(np.concatenate(c) for c in (features, bins, lefts, stats, gains)), np.array(levels))
 
 
+def _histogram(flat: np.ndarray, width: int, slot: np.ndarray, drawn: np.ndarray, n_classes: int, n_bins: int) -> np.ndarray:
+    """Weights by class, drawn feature, node and bin, of rows of bytes one after another, each in the node ``slot``."""
+    (k, tried), first = drawn.shape, np.arange(0, len(flat), width)
+    weight = flat.take(first + (width - 1)).astype(float)
+    cell = flat.take(first + drawn.T.take(slot, axis=1)) + (np.arange(0, tried * k * n_bins, k * n_bins)[:, None] + (
+        slot * n_bins + flat.take(first + (width - 2)).astype(np.int64) * (tried * k * n_bins)))
+    return np.bincount(cell.ravel(), np.tile(weight, tried), n_classes * tried * k * n_bins)
+
+
+def _best(sums: np.ndarray, total: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each node the drawn feature (by its place) and bin to split at, and the gain, from weights up to each bin."""
+    worth, allowed = 0.0, True
+    for side in (sums, total.T[:, None, :, None] - sums):
+        n_side = side.sum(axis=0)
+        allowed = allowed & (n_side >= least)
+        part = np.einsum("cjkb,cjkb->jkb", side, side)
+        np.divide(part, n_side, out=part, where=n_side > 0)
+        worth = worth + part
+    worth = np.where(allowed, worth, -1.0)
+    by_feature = worth.argmax(axis=2)
+    best = np.take_along_axis(worth, by_feature[:, :, None], axis=2)[:, :, 0]
+    chosen, k = best.argmax(axis=0), np.arange(len(total))
+    n_here = total.sum(axis=1)
+    return chosen, by_feature[chosen, k], (best[chosen, k] - (total * total).sum(axis=1) / n_here) / n_here
+
+
+def _drawn(rng: np.random.Generator, k: int, n_features: int, tried: int) -> np.ndarray:
+    """``tried`` features for each of ``k`` nodes."""
+    return rng.random((k, n_features)).argpartition(tried - 1, axis=1)[:, :tried] if tried < n_features else np.tile(np.arange(tried), (k, 1))
+
+
 def _splits(stats: np.ndarray, min_leaf: int) -> np.ndarray:
     """Nodes of more than one class with weight for two leaves."""
     return ((stats > 0).sum(axis=1) > 1) & (stats.sum(axis=1) >= 2 * max(min_leaf, 1))
@@ -312,13 +348,152 @@ class Grower:
         return cls(n_features, n_classes, est.getMaxBins(), subset_size(est.getFeatureSubsetStrategy(), n_features, est.getNumTrees()),
                    est.getMaxDepth(), est.getMinInstancesPerNode(), est.getSeed(), est.getSubsamplingRate())
 
-    def tree(self, rows: np.ndarray, number: int) -> Tree:
-        """A tree of the forest; it depends on the rows and their order, the seed and its number alone."""
-        rng = np.random.default_rng([self.seed & (2**63 - 1), number])
+    def rng(self, *of: int) -> np.random.Generator:
+        return np.random.default_rng([self.seed & (2**63 - 1), *of])
+
+    def bag(self, rows: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """The rows that a bootstrap draws, each once with its weight."""
         weight = rng.poisson(self.rate, len(rows))
         bag = rows[weight > 0]
         bag[:, -1] = weight[weight > 0]
-        return grow(bag, self.n_classes, self.n_bins, self.tried, self.max_depth, self.min_leaf, rng).pruned()
+        return bag
+
+    def tree(self, rows: np.ndarray, number: int) -> Tree:
+        """A tree of the forest; it depends on the rows and their order, the seed and its number alone."""
+        rng = self.rng(number)
+        return self.below(self.bag(rows, rng), 0, rng).pruned()
+
+    def below(self, bag: np.ndarray, depth: int, rng: np.random.Generator) -> Tree:
+        """What grows from a node at ``depth`` with these rows."""
+        return grow(bag, self.n_classes, self.n_bins, self.tried, self.max_depth - depth, self.min_leaf, rng)
+
+    def row(self, number: int, tree: Tree) -> dict:
+        """A pruned tree as a row of the stored table."""
+        return {"tree": number, "n_nodes": len(tree.feature), "importance": tree.importance(self.n_features).tolist()} | tree.to_bytes()
+
+
+_TREE = "tree int, n_nodes long, importance array<double>, feature binary, bin binary, left binary, stats binary"
+_TREE_ARROW = pa.schema([("tree", pa.int32()), ("n_nodes", pa.int64()), ("importance", pa.list_(pa.float64())),
+                         *[(c, pa.binary()) for c in ("feature", "bin", "left", "stats")]])
+
+
+def _given(f, **held):
+    """``f`` of one argument, as Spark wants it."""
+    return lambda x: f(x, **held)
+
+
+class _Top:
+    """The top of a tree, as the driver has it: its nodes so far, those to be split by the next pass, and those whose rows a task can hold."""
+
+    def __init__(self, number: int):
+        self.number, self.nodes, self.depth, self.passed, self.ready = number, [[-1, 0, 0, None, 0.0]], [0], [0], []
+
+    def tree(self, n_classes: int) -> Tree:
+        feature, bin_, left, stats, gain = zip(*self.nodes)     # by depth: a pass makes a level
+        return Tree(np.array(feature), np.array(bin_, dtype=np.uint8), np.array(left), np.array([np.zeros(n_classes) if x is None else x for x in stats]),
+                    np.array(gain, dtype=float), np.append(0, np.cumsum(np.bincount(self.depth))))
+
+    def split(self, found: dict, drawn: np.ndarray, grower: Grower, rows_per_task: int) -> None:
+        """Takes the best splits of the nodes that a pass went over."""
+        nodes, self.passed = self.passed, []
+        for i, at in enumerate(nodes):
+            total = np.array(found["total"][i])
+            self.nodes[at][3] = total
+            if not _splits(total[None], grower.min_leaf)[0] or found["won"][i] <= NO_GAIN or self.depth[at] >= grower.max_depth:
+                continue
+            self.nodes[at][:3] = int(drawn[i, found["chosen"][i]]), found["best"][i], len(self.nodes)
+            self.nodes[at][4] = found["won"][i]
+            for stats in (np.array(found["below"][i]), total - np.array(found["below"][i])):
+                self.nodes.append([-1, 0, 0, stats, 0.0])
+                self.depth.append(self.depth[at] + 1)
+                if _splits(stats[None], grower.min_leaf)[0] and self.depth[-1] < grower.max_depth:
+                    (self.passed if stats.sum() > rows_per_task else self.ready).append(len(self.nodes) - 1)
+
+
+def _grown_from_tops(blocks: DataFrame, grower: Grower, n_trees: int, n_rows: int, rows_per_task: int) -> DataFrame:
+    """The stored trees of a table of which a task can't hold all rows.
+
+    A pass over the blocks makes a level of the tops of some trees: class
+    histograms of the nodes with more than ``rows_per_task`` rows, which a task
+    a tree adds up. Then the rows of each node left are brought together, and
+    a task grows what is below it.
+    """
+    spark, width, g = blocks.sparkSession, grower.n_features, grower
+    blocks = materialize(blocks, "forest-blocks")
+    path = stored_path(spark, "forest-trees")
+    at_once = max(1, COUNTS_A_PASS // n_rows)
+
+    def bags(t: pa.RecordBatch, numbers: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
+        for place, rows in zip(t.column("place").to_pylist(), t.column("rows").to_pylist()):
+            first, rows = int(np.frombuffer(place, "<i8")[0]), np.frombuffer(rows, "u1").reshape(-1, width + 2)
+            for number in numbers:
+                yield first, number, g.bag(rows, g.rng(number, first, 0))
+
+    def histograms(batches, tops: dict, drawn: dict) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        for b in batches:
+            for _, number, bag in bags(b, list(drawn)):
+                tree, passed = tops[number]
+                slot = np.full(len(tree.feature), -1)
+                slot[passed] = np.arange(len(passed))
+                slot = slot[tree.reached(np.ascontiguousarray(bag[:, :width]))]
+                bag, slot = bag[slot >= 0], slot[slot >= 0]
+                sums[number] = sums.get(number, 0.0) + _histogram(bag.reshape(-1), width + 2, slot, drawn[number], g.n_classes, g.n_bins)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["tree", "sums"])
+
+    def choose(t: pa.Table) -> pa.Table:
+        sums = np.sum([np.frombuffer(x, "<f8") for x in t.column("sums").to_pylist()], axis=0)
+        sums = np.cumsum(sums.reshape(g.n_classes, g.tried, -1, g.n_bins), axis=3)
+        total = sums[:, 0, :, -1].T
+        with np.errstate(invalid="ignore", divide="ignore"):
+            chosen, best, won = _best(sums, total, max(g.min_leaf, 1))
+        below = sums[:, chosen, np.arange(len(total)), best].T
+        return pa.table({"tree": t.column("tree")[:1], "chosen": [chosen.tolist()], "best": [best.tolist()], "won": [np.nan_to_num(won).tolist()],
+                         "total": [total.tolist()], "below": [below.tolist()]},
+                        schema=pa.schema([("tree", pa.int32()), ("chosen", pa.list_(pa.int64())), ("best", pa.list_(pa.int64())), ("won", pa.list_(pa.float64())),
+                                          ("total", pa.list_(pa.list_(pa.float64()))), ("below", pa.list_(pa.list_(pa.float64())))]))
+
+    def deal(batches, tops: dict) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, number, bag in bags(b, list(tops)):
+                tree, ready = tops[number]
+                at = tree.reached(np.ascontiguousarray(bag[:, :width]))
+                found = [(int(n), bag[at == n].tobytes()) for n in np.intersect1d(at, ready)]
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(found), pa.int32()), pa.array([n for n, _ in found], pa.int64()),
+                                                  pa.array([first] * len(found), pa.int64()), pa.array([x for _, x in found], pa.binary())],
+                                                 names=["tree", "node", "place", "rows"])
+
+    def grow_below(t: pa.Table, depth: dict) -> pa.Table:
+        number, node = t.column("tree")[0].as_py(), t.column("node")[0].as_py()
+        order = np.asarray(t.column("place")).argsort()
+        bag = np.frombuffer(b"".join(t.column("rows").take(pa.array(order)).to_pylist()), "u1").reshape(-1, width + 2)
+        tree = g.below(bag, depth[number][node], g.rng(number, node, 1))
+        return pa.Table.from_pylist([{"tree": number, "node": node, "gain": tree.gain.tobytes(), "levels": tree.levels.tobytes()} | tree.to_bytes()], schema=pa.schema(
+            [("tree", pa.int32()), ("node", pa.int64()), *[(c, pa.binary()) for c in ("feature", "bin", "left", "stats", "gain", "levels")]]))
+
+    def join(t: pa.Table, tops: dict) -> pa.Table:
+        number, below = t.column("tree")[0].as_py(), {}
+        for r in sorted((r for r in t.to_pylist() if r["node"] is not None), key=lambda r: r["node"]):
+            below[r["node"]] = Tree.of_bytes(r)
+            below[r["node"]].gain, below[r["node"]].levels = np.frombuffer(r["gain"], "<f8"), np.frombuffer(r["levels"], "<i8")
+        return pa.Table.from_pylist([g.row(number, tops[number][0].with_below(below).pruned())], schema=_TREE_ARROW)
+
+    for start in range(0, n_trees, at_once):
+        growing = [_Top(number) for number in range(start, min(start + at_once, n_trees))]
+        while any(top.passed for top in growing):
+            tops = {top.number: (top.tree(g.n_classes), np.array(top.passed)) for top in growing if top.passed}
+            drawn = {top.number: _drawn(g.rng(top.number, len(top.nodes), 2), len(top.passed), width, g.tried) for top in growing if top.passed}
+            found = (blocks.mapInArrow(_given(histograms, tops=tops, drawn=drawn), "tree int, sums binary").groupBy("tree").applyInArrow(
+                choose, "tree int, chosen array<long>, best array<long>, won array<double>, total array<array<double>>, below array<array<double>>").collect())
+            for r in found:
+                growing[r["tree"] - start].split(r, drawn[r["tree"]], g, rows_per_task)
+        tops = {top.number: (top.tree(g.n_classes), np.array(top.ready, dtype=np.int64)) for top in growing}
+        dealt = blocks.mapInArrow(_given(deal, tops=tops), "tree int, node long, place long, rows binary").groupBy("tree", "node")
+        below = dealt.applyInArrow(_given(grow_below, depth={top.number: top.depth for top in growing}),
+                                   "tree int, node long, feature binary, bin binary, left binary, stats binary, gain binary, levels binary")
+        every = spark.range(start, start + len(growing)).select(F.col("id").cast("int").alias("tree"))      # a top may be a whole tree
+        every.unionByName(below, allowMissingColumns=True).groupBy("tree").applyInArrow(_given(join, tops=tops), _TREE).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 @dataclass
@@ -337,8 +512,8 @@ class StoredForest:
     held: dict
 
     @classmethod
-    def fit(cls, data: DataFrame, features: list[str], est: RandomForestClassifier, n_rows: int, n_classes: int) -> StoredForest:
-        """All trees of ``est`` on the stored table ``data`` (``label`` and the features); a task holds the table's bytes once."""
+    def fit(cls, data: DataFrame, features: list[str], est: RandomForestClassifier, n_rows: int, n_classes: int, rows_per_task: int) -> StoredForest:
+        """All trees of ``est`` on the stored table ``data`` (``label`` and the features); a task holds ``rows_per_task`` rows' bytes at most."""
         points, grower, n_trees = find_points(data, features, est, n_rows), Grower.of(est, len(features), n_classes), est.getNumTrees()
         n = min(n_trees, max(4 * data.sparkSession.sparkContext.defaultParallelism, -(-n_trees * n_rows // COUNTS_A_TASK)))
 
@@ -346,14 +521,12 @@ class StoredForest:
             group, rows = t.column("group")[0].as_py(), _in_place(t, grower.n_features + 2)
             out = []
             for number in range(group * n_trees // n, (group + 1) * n_trees // n):
-                tree = grower.tree(rows, number)
-                out.append({"tree": number, "n_nodes": len(tree.feature), "importance": tree.importance(grower.n_features).tolist()} | tree.to_bytes())
-            return pa.Table.from_pylist(out, schema=pa.schema([
-                ("tree", pa.int32()), ("n_nodes", pa.int64()), ("importance", pa.list_(pa.float64())),
-                *[(c, pa.binary()) for c in ("feature", "bin", "left", "stats")]]))
-
-        trees = materialize(_dealt(_row_blocks(data, features, points), n).applyInArrow(
-            run, "tree int, n_nodes long, importance array<double>, feature binary, bin binary, left binary, stats binary"), "forest-trees")
+                out.append(grower.row(number, grower.tree(rows, number)))
+            return pa.Table.from_pylist(out, schema=_TREE_ARROW)
+
+        blocks = _row_blocks(data, features, points)
+        trees = (materialize(_dealt(blocks, n).applyInArrow(run, _TREE), "forest-trees") if n_rows <= rows_per_task else
+                 _grown_from_tops(blocks, grower, n_trees, n_rows, rows_per_task))
         grown = sorted(trees.select("tree", "n_nodes", "importance").collect())       # one row per tree
         total = np.sum([r["importance"] for r in grown], axis=0)
         held = {k: est.getOrDefault(k) for k in ("maxDepth", "minInstancesPerNode", "seed", "featureSubsetStrategy", "impurity", "bootstrap")}

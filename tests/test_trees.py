@@ -121,9 +121,57 @@ def test_forests_in_tasks_refuse_what_others_refuse(spark, rows):
     assert one.n_nodes == one.num_trees == 3 and {tuple(r)[2:] for r in M.score(one, rows).collect()} == {(0.0, 0.0)}
 
 
-def test_a_table_that_no_task_can_hold_is_fitted_in_parts(rows):
-    cfg = M.ForestConfig(num_trees=4, max_depth=3, bytes_per_task=100, **IN_TASKS)
-    assert isinstance(M.fit_forest(rows, FEATURES, cfg), M.Forest)
+@pytest.mark.parametrize("depth, leaf, at_once", [(9, 1, 2000), (9, 12, 10**6), (1, 1, 10**6), (0, 1, 10**6)])
+def test_tops_of_trees_are_grown_over_the_blocks(spark, rows, monkeypatch, depth, leaf, at_once):
+    """Where a task can't hold the table: whole trees to their depth and leaf size, the same however the input was partitioned."""
+    monkeypatch.setattr(T, "COUNTS_A_PASS", at_once)
+    cfg = dict(num_trees=3, max_depth=depth, min_instances_per_node=leaf, seed=5, **IN_TASKS)
+    split = M.fit_forest(rows, FEATURES, M.ForestConfig(bytes_per_task=6 * 150, **cfg))
+    again = M.fit_forest(rows.repartition(3), FEATURES, M.ForestConfig(bytes_per_task=6 * 150, **cfg))
+    trees = [[r.asDict() for r in sorted(m.trees.collect())] for m in (split, again)]
+    assert trees[0] == trees[1] and [r["tree"] for r in trees[0]] == [0, 1, 2] and split.held["maxDepth"] == depth
+    for r in trees[0]:
+        t = T.Tree.of_bytes(r)
+        inner = np.flatnonzero(t.feature >= 0)
+        assert np.array_equal(t.stats[t.left[inner]] + t.stats[t.left[inner] + 1], t.stats[inner])      # no row is lost at a split
+        assert abs(t.stats[0].sum() - 900) < 150 and t.stats[1:].sum(axis=1).min(initial=leaf) >= leaf
+        assert len(t.feature) == 1 + 2 * len(inner) and sorted([0, *t.left[inner], *t.left[inner] + 1]) == list(range(len(t.feature)))
+    assert sum(split.importance) == pytest.approx(float(depth > 0))
+    if depth > 1:
+        whole = M.fit_forest(rows, FEATURES, M.ForestConfig(**cfg))
+        accuracy = [EV.metrics(M.score(m, rows)).first()["accuracy"] for m in (split, whole)]
+        assert abs(accuracy[0] - accuracy[1]) < 0.08
+
+
+@pytest.mark.parametrize("depth, leaf", [(9, 1), (30, 3), (2, 1)])
+def test_tops_and_what_is_below_are_the_whole_tree(rows, monkeypatch, depth, leaf):
+    """Without draws: the nodes of one task."""
+    monkeypatch.setattr(T.Grower, "bag", lambda self, rows, rng: np.column_stack([rows[:, :-1], np.ones(len(rows), dtype=np.uint8)]))
+    data, est = M.materialize(M.with_label(rows), "plain"), M.forest(M.ForestConfig(1, depth, leaf, feature_subset="all"))
+    points = T.find_points(data, FEATURES, est, 900)
+    grower, blocks = T.Grower.of(est, 4, 2), T._row_blocks(data, FEATURES, points).drop("fold")
+    t = blocks.toArrow()
+    want = grower.tree(T._in_place(t, 6), 0)
+    tops = T._Top(0)
+    held = T._in_place(t, 6)
+    bag = grower.bag(held, None)
+    while tops.passed:
+        tree, k = tops.tree(2), len(tops.passed)
+        slot = np.full(len(tree.feature), -1)
+        slot[tops.passed] = np.arange(k)
+        slot = slot[tree.reached(np.ascontiguousarray(bag[:, :4]))]
+        drawn = np.tile(np.arange(4), (k, 1))
+        sums = np.cumsum(T._histogram(bag[slot >= 0].reshape(-1), 6, slot[slot >= 0], drawn, 2, 32).reshape(2, 4, k, 32), axis=3)
+        total = sums[:, 0, :, -1].T
+        chosen, best, won = T._best(sums, total, leaf)
+        tops.split(dict(total=total, chosen=chosen, best=best, won=won, below=sums[:, chosen, np.arange(k), best].T), drawn, grower, 100)
+    top = tops.tree(2)
+    at = top.reached(np.ascontiguousarray(bag[:, :4]))
+    got = top.with_below({n: grower.below(bag[at == n], tops.depth[n], np.random.default_rng(0)) for n in tops.ready}).pruned()
+    assert np.array_equal(got.levels, want.levels) and (depth < 3 or tops.ready)
+    nodes = [sorted(zip(t.feature.tolist(), t.bin.tolist(), t.stats.tolist(), t.gain.round(9).tolist())) for t in (got, want)]
+    assert nodes[0] == nodes[1]         # in another order within a level
+    assert np.array_equal(got.stats[got.reached(held[:, :4])], want.stats[want.reached(held[:, :4])])
 
 
 def test_subset_sizes():
@@ -159,7 +207,7 @@ def test_a_large_grid_is_scored_in_tasks(spark, rows, monkeypatch):
         each = []
         for fold in range(3):
             est = M.forest(M.ForestConfig(num_trees=6, max_depth=5, min_instances_per_node=leaf, seed=9))
-            model = T.StoredForest.fit(M.materialize(M.in_fixed_order(data.where(F.col("fold") != fold)), "train"), FEATURES, est, 600, 2)
+            model = T.StoredForest.fit(M.materialize(M.in_fixed_order(data.where(F.col("fold") != fold)), "train"), FEATURES, est, 600, 2, 600)
             trees = [T.Tree.of_bytes(r.asDict()) for r in sorted(model.trees.collect())][:n]
             own = held[held["fold"] == fold]
             x = T.binned(own[FEATURES].to_numpy(), model.points)
