@@ -175,8 +175,8 @@ def _as_forest(model: Forest | StoredForest | PipelineModel) -> Forest | StoredF
 
 
 def in_tasks(data: DataFrame, features: list[str], cfg: ForestConfig, n_rows: int) -> bool:
-    """Whether a forest's trees are grown in tasks: many of them, and plain numbers as features."""
-    plain = all(isinstance(data.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in features)
+    """Whether a forest's trees are grown in tasks: many of them, and plain numbers as features, of which the driver holds a sample."""
+    plain = len(features) <= 1000 and all(isinstance(data.schema[c].dataType, (T.NumericType, T.BooleanType)) for c in features)
     return n_rows * cfg.num_trees > cfg.counts_for_tasks and plain and cfg.max_bins <= 256
 
 

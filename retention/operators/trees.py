@@ -141,7 +141,8 @@ class Tree:
         return end
 
     def shares(self) -> np.ndarray:
-        return self.stats / self.stats.sum(axis=1, keepdims=True)
+        total = self.stats.sum(axis=1, keepdims=True)
+        return np.divide(self.stats, total, out=np.zeros_like(self.stats), where=total > 0)
 
     def to_bytes(self) -> dict:
         return {"feature": self.feature.astype("<i2").tobytes(), "bin": self.bin.astype("u1").tobytes(), "left": self.left.astype("<i4").tobytes(),
@@ -424,8 +425,8 @@ def _grown_from_tops(blocks: DataFrame, grower: Grower, n_trees: int, n_rows: in
     at_once = max(1, COUNTS_A_PASS // n_rows)
 
     def bags(t: pa.RecordBatch, numbers: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
-        for place, rows in zip(t.column("place").to_pylist(), t.column("rows").to_pylist()):
-            first, rows = int(np.frombuffer(place, "<i8")[0]), np.frombuffer(rows, "u1").reshape(-1, width + 2)
+        for place, rows in zip(t.column("place"), t.column("rows")):
+            first, rows = int(np.frombuffer(place.as_py(), "<i8")[0]), np.frombuffer(rows.as_py(), "u1").reshape(-1, width + 2)
             for number in numbers:
                 yield first, number, g.bag(rows, g.rng(number, first, 0))
 
